@@ -72,6 +72,8 @@ def with_views(sql: str, *names: str) -> str:
 
     for n in names:
         add(n)
+    if not order:
+        return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in order)
     return f"WITH {ctes}\n{sql}"
 
