@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prodlake.plans import changes, endpoints, ingest  # noqa: F401
+from prodlake.plans import changes, endpoints, ingest, layers  # noqa: F401
 from prodlake.plans.registry import ORACLE, QUERIES
 
 

@@ -37,6 +37,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).csv(path)
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
+
+
 def write_lines(df: DataFrame, path: str) -> None:
     df.write.text(path)
 
