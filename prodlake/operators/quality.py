@@ -40,12 +40,31 @@ def month_outside(lo: int, hi: int) -> str:
     return f"month: outside {lo}..{hi}"
 
 
+_SEP = "\u001f"  # joins messages inside one row; never part of a message
+
+
+def merge_checks(checks: Sequence[tuple[Column, str]]) -> list[tuple[Column, str]]:
+    """One predicate per message (ORed), in first-seen order, so a reason is
+    never listed twice."""
+    merged: dict[str, Column] = {}
+    for bad, msg in checks:
+        merged[msg] = merged[msg] | bad if msg in merged else bad
+    return [(bad, msg) for msg, bad in merged.items()]
+
+
 def reasons_of(checks: Sequence[tuple[Column, str]]) -> Column:
     """Array of the messages whose bad-row predicate is true (a NULL
-    predicate counts as passed; NOT NULL has its own check)."""
+    predicate counts as passed; NOT NULL has its own check).
+
+    Built from ``concat_ws`` (which skips NULLs) and ``split`` rather than
+    ``array_compact``: a lambda function would take the whole check out of
+    whole-stage code generation.
+    """
+    checks = merge_checks(checks)
     if not checks:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(bad, F.lit(msg)) for bad, msg in checks]))
+    joined = F.concat_ws(_SEP, *[F.when(bad, F.lit(msg)) for bad, msg in checks])
+    return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, _SEP))
 
 
 def add_reasons(df: DataFrame, checks: Sequence[tuple[Column, str]]) -> DataFrame:
@@ -127,10 +146,8 @@ def type_and_check(raw: DataFrame, rules: Sequence[ColumnRule], extra: Sequence[
             late.append((F.col(r.name).isNull() & F.col(f"_t_{r.name}").isNull(), required(r.name)))
         if r.max_length is not None:
             late.append((F.length(F.col(r.name)) > F.lit(r.max_length), too_long(r.name, r.max_length)))
-    out = out.withColumn(REASONS, reasons_of(checks + late)).drop(*[f"_t_{n}" for n in names])
-    if extra:
-        out = add_reasons(out, extra)
-    return out
+    # the extra (model) checks see the typed columns, like the rule checks
+    return out.withColumn(REASONS, reasons_of(checks + late + list(extra))).drop(*[f"_t_{n}" for n in names])
 
 
 def accepted(checked: DataFrame) -> DataFrame:

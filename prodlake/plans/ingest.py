@@ -114,29 +114,34 @@ _DIRTY_TYPED_SQL = f"""
     FROM ({_DIRTY_RAW_SQL}) r"""
 
 
-def _reason_sql(model_checks: bool) -> str:
+def _reason_sql(model_checks: bool, merged: bool) -> str:
+    """``merged``: model checks given to ``type_and_check`` (one predicate per
+    message, in first-seen order); otherwise appended afterwards by
+    ``validate_production`` (new messages go to the end)."""
+    wb_required = "t_wellbore IS NULL AND raw_wellbore IS NULL"
+    if model_checks and merged:
+        wb_required = "t_wellbore IS NULL OR trim(t_wellbore) = ''"
     cases = [
         "CASE WHEN _corrupt_record IS NOT NULL THEN 'malformed record' END",
         "CASE WHEN raw_year IS NOT NULL AND t_year IS NULL THEN 'year: not int' END",
         "CASE WHEN raw_month IS NOT NULL AND t_month IS NULL THEN 'month: not int' END",
         "CASE WHEN raw_oil IS NOT NULL AND t_oil IS NULL THEN 'oil: not decimal(15,5)' END",
         "CASE WHEN raw_gas IS NOT NULL AND t_gas IS NULL THEN 'gas: not decimal(15,5)' END",
-        "CASE WHEN t_wellbore IS NULL AND raw_wellbore IS NULL THEN 'wellbore: required' END",
+        f"CASE WHEN {wb_required} THEN 'wellbore: required' END",
         "CASE WHEN length(t_wellbore) > 50 THEN 'wellbore: longer than 50' END",
         "CASE WHEN t_year IS NULL AND raw_year IS NULL THEN 'year: required' END",
         "CASE WHEN t_month IS NULL AND raw_month IS NULL THEN 'month: required' END",
     ]
     if model_checks:
-        cases += [
+        if not merged:
             # appended without repeats: a null wellbore already says "required"
-            "CASE WHEN t_wellbore IS NOT NULL AND trim(t_wellbore) = '' THEN 'wellbore: required' END",
-            "CASE WHEN t_month IS NULL OR t_month < 1 OR t_month > 12 THEN 'month: outside 1..12' END",
-        ]
+            cases.append("CASE WHEN t_wellbore IS NOT NULL AND trim(t_wellbore) = '' THEN 'wellbore: required' END")
+        cases.append("CASE WHEN t_month IS NULL OR t_month < 1 OR t_month > 12 THEN 'month: outside 1..12' END")
     return f"concat_ws('; ', {', '.join(cases)})"
 
 
-def _checked_sql(model_checks: bool = True) -> str:
-    return f"SELECT *, {_reason_sql(model_checks)} AS reason FROM ({_DIRTY_TYPED_SQL}) t"
+def _checked_sql(model_checks: bool = True, merged: bool = True) -> str:
+    return f"SELECT *, {_reason_sql(model_checks, merged)} AS reason FROM ({_DIRTY_TYPED_SQL}) t"
 
 
 # --- S1, S7, P1, A1, P2: the notebook ----------------------------------------
@@ -254,7 +259,7 @@ def accepted_rows(spark, sf_dir):
 
 @register(
     "validate_production",
-    with_views(f"SELECT {_TYPED_OUT}, reason FROM ({_checked_sql()}) c"),
+    with_views(f"SELECT {_TYPED_OUT}, reason FROM ({_checked_sql(merged=False)}) c"),
 )
 def validate_production(spark, sf_dir):
     typed = Q.type_and_check(dirty_raw(spark, sf_dir), PRODUCTION_RULES)
