@@ -2,9 +2,12 @@
 carrier/year sums, year/wellbore sums and the oil pivot, plus the ordering
 and top-k helpers.
 
-All of them are hash aggregates with a partial (map-side) step, so a hot
+All of them aggregate in two steps, partial (map-side) then final, so a hot
 wellbore holding a third of the rows is reduced to one row per input
 partition before the shuffle; no group is ever gathered into one task.
+Sums, means and counts are hash aggregates; picking a whole row per key
+(``min_by`` / ``max_by`` over a struct) is planned as a sort aggregate,
+which spills instead of failing when a partition is large.
 """
 
 from __future__ import annotations
@@ -108,14 +111,18 @@ def measure_pivot(
     """One row per ``row`` value, one column per ``column`` value holding the
     sum of ``measure``; a missing combination is NULL.
 
-    Give ``values``: without them Spark runs an extra job to find the
-    distinct values (capped by ``spark.sql.pivotMaxValues``). For many
-    wellbores use :func:`year_wellbore_sums` (long form) instead.
+    With ``values`` given this is one hash aggregate of conditional sums
+    (one shuffle; Spark's ``pivot`` plans two). Without them Spark's
+    ``pivot`` runs an extra job to find the distinct values (capped by
+    ``spark.sql.pivotMaxValues``). For many wellbores use
+    :func:`year_wellbore_sums` (long form) instead.
     """
-    grouped = df.groupBy(row)
-    pivoted = grouped.pivot(column, list(values)) if values is not None else grouped.pivot(column)
-    out = pivoted.agg(F.sum(measure).cast(SUM_TYPE))
-    return out
+    if values is None:
+        return df.groupBy(row).pivot(column).agg(F.sum(measure).cast(SUM_TYPE))
+    sums = [
+        F.sum(F.when(F.col(column) == F.lit(v), F.col(measure))).cast(SUM_TYPE).alias(str(v)) for v in values
+    ]
+    return df.groupBy(row).agg(*sums)
 
 
 def ordered_by(df: DataFrame, *cols: str) -> DataFrame:

@@ -259,3 +259,38 @@ _PIVOT_SQL = ", ".join(
 def oil_pivot(spark, sf_dir):
     rows = Fl.between(fx.production_by_flag(spark, sf_dir), *CONSUMER)
     return A.measure_pivot(rows, PIVOT_VALUES, measure="oil")
+
+
+def production_lake(spark, sf_dir):
+    """``production`` landed once as a Parquet table partitioned by year: the
+    layout the prepared layer keeps, where year bounds prune folders and
+    month bounds reach the Parquet reader."""
+    from prodlake.plans import staging as S
+    from prodlake.sinks.writers import sink_lake
+
+    path = S.landed(spark, sf_dir, "production_lake", fx.production, lambda df, p: sink_lake(df, p))
+    return spark.read.parquet(path)
+
+
+@register(
+    "oil_sum_between_lake",
+    with_views(
+        f"SELECT wellbore, {dsum('oil')} AS oil_sum FROM production "
+        f"WHERE {interval_sql(INDEPENDENT, *SPAN)} GROUP BY wellbore",
+        "production",
+    ),
+)
+def oil_sum_between_lake(spark, sf_dir):
+    return A.oil_sum_between(production_lake(spark, sf_dir), *SPAN)
+
+
+@register(
+    "gas_avg_between_lake_chronological",
+    with_views(
+        f"SELECT wellbore, {dmean('gas')} AS gas_avg FROM production "
+        f"WHERE {interval_sql(CHRONOLOGICAL, *CROSS)} GROUP BY wellbore",
+        "production",
+    ),
+)
+def gas_avg_between_lake_chronological(spark, sf_dir):
+    return A.gas_avg_between(production_lake(spark, sf_dir), *CROSS, mode=CHRONOLOGICAL)
