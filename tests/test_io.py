@@ -74,3 +74,32 @@ def test_stream_landing_is_incremental(spark, tmp):
     spark.range(3, 5).write.parquet(f"{src}/batch2")
     land_raw_stream(spark, f"{src}/*", schema, out, ckpt, timeout_s=120)
     assert spark.read.parquet(out).count() == 5
+
+
+def test_wellbore_json_against_declared_81_columns(spark, tmp):
+    import json
+
+    from prodlake.operators import quality as Q
+    from prodlake.schemas import WELLBORE_COLUMNS, WELLBORE_RULES, WELLBORE_SCHEMA
+
+    good = {n: ("x" if n != "wlbNsCode" else "N") for n, _, _ in WELLBORE_COLUMNS}
+    missing = dict(good)
+    missing.pop("wlbWell")  # NOT NULL column absent from the object
+    long_code = dict(good, wlbNsCode="NN")  # nvarchar(1)
+    p = Path(tmp) / "wellbore.json"
+    p.write_text(json.dumps([good, missing, long_code]))
+    df = SF.scan_json_array(spark, str(p), WELLBORE_SCHEMA)
+    assert len(WELLBORE_SCHEMA.fields) == 81
+    reasons = sorted(tuple(r[Q.REASONS]) for r in Q.validate_schema(df, WELLBORE_RULES).collect())
+    assert reasons == [(), ("wlbNsCode: longer than 1",), ("wlbWell: required",)]
+
+
+def test_jdbc_options_need_bounds(spark):
+    import pytest
+
+    from prodlake.sources.jdbc import jdbc_options, scan_jdbc
+
+    opts = jdbc_options("jdbc:x://h/db", "dbo.ProductionData", user="u", fetchsize=10)
+    assert opts == {"url": "jdbc:x://h/db", "dbtable": "dbo.ProductionData", "user": "u", "fetchsize": "10"}
+    with pytest.raises(ValueError):
+        scan_jdbc(spark, "jdbc:x://h/db", "t", partition_column="id")
