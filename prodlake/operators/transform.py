@@ -42,6 +42,12 @@ def auto_map(df: DataFrame, target: T.StructType, case_sensitive: bool = False)
     return df.select(cols)
 
 
+def union_by_name(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """Append rows matched to the table by column name; columns the rows
+    lack are NULL (load after ``auto_map``)."""
+    return table.unionByName(rows, allowMissingColumns=True)
+
+
 def expand_records(df: DataFrame, json_col: str, schema: T.DataType, keep: Sequence[str] = ()) -> DataFrame:
     """JSON text to columns. An object becomes one row, an array of objects
     one row per element (``inline``); ``keep`` columns are carried along."""

@@ -30,7 +30,6 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

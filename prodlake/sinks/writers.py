@@ -52,16 +52,48 @@ def append(df: DataFrame, target: Target, batch_size: int | None = None, num_par
     _save(w, target)
 
 
+def write_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    mode: str = "append",
+    batch_size: int | None = 10_000,
+    num_partitions: int | None = None,
+    **options,
+) -> None:
+    """K1 in the notebook's shape: append (or, with ``mode="overwrite"``,
+    truncate and load) a frame into a database table, creating it when
+    absent."""
+    target = Target.jdbc(url, table, **options)
+    if mode == "append":
+        append(df, target, batch_size=batch_size, num_partitions=num_partitions)
+    elif mode == "overwrite":
+        full_refresh(df, target)
+    else:
+        raise ValueError(f"unsupported mode {mode!r}")
+
+
 def full_refresh(df: DataFrame, target: Target) -> None:
     """Empty the target, then load the rows (idempotent).
 
     JDBC keeps the table and its definition (``TRUNCATE`` then insert); a
-    folder is overwritten; with ``partition_by`` and dynamic overwrite only
-    the partitions present in ``df`` are replaced.
+    folder is overwritten whole, partitioned or not (static overwrite,
+    whatever the session's default).
     """
     w = _writer(df, target, "overwrite")
     if target.kind == "jdbc":
         w = w.option("truncate", "true")
+    else:
+        w = w.option("partitionOverwriteMode", "static")
+    _save(w, target)
+
+
+def replace_partitions(df: DataFrame, target: Target) -> None:
+    """Overwrite only the partitions present in ``df`` (e.g. reload one
+    year) and keep the others (dynamic partition overwrite)."""
+    if not target.partition_by:
+        raise ValueError("replace_partitions needs a partitioned target")
+    w = _writer(df, target, "overwrite").option("partitionOverwriteMode", "dynamic")
     _save(w, target)
 
 

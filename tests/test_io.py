@@ -103,3 +103,37 @@ def test_jdbc_options_need_bounds(spark):
     assert opts == {"url": "jdbc:x://h/db", "dbtable": "dbo.ProductionData", "user": "u", "fetchsize": "10"}
     with pytest.raises(ValueError):
         scan_jdbc(spark, "jdbc:x://h/db", "t", partition_column="id")
+
+
+def test_union_by_name_fills_missing(spark):
+    a = spark.createDataFrame([(1, "x")], "id long, name string")
+    b = spark.createDataFrame([("y",)], "name string")
+    rows = sorted((r.id or 0, r.name) for r in P.union_by_name(a, b).collect())
+    assert rows == [(0, "y"), (1, "x")]
+
+
+def test_json_array_landing_spreads_rows(spark, tmp):
+    from prodlake.plans import staging as S
+
+    df = spark.range(120).selectExpr("cast(id % 2 AS string) AS k", "id")
+    old = S.ROWS_PER_ARRAY_FILE
+    S.ROWS_PER_ARRAY_FILE = 50
+    try:
+        S.write_json_arrays(df, f"{tmp}/arr", "k")
+    finally:
+        S.ROWS_PER_ARRAY_FILE = old
+    files = [p for p in Path(f"{tmp}/arr").iterdir() if p.name.startswith("part-") and p.stat().st_size > 0]
+    assert len(files) == 3
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("id", T.LongType())])
+    assert SF.scan_json_array(spark, f"{tmp}/arr", schema).count() == 120
+
+
+def test_full_refresh_empties_partitioned_target_replace_keeps_others(spark, tmp):
+    target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
+    both = spark.createDataFrame([(1996, 1), (1997, 2)], "year int, v int")
+    only97 = spark.createDataFrame([(1997, 3)], "year int, v int")
+    W.full_refresh(both, target)
+    W.replace_partitions(only97, target)
+    assert sorted((r.year, r.v) for r in read_target(spark, target).collect()) == [(1996, 1), (1997, 3)]
+    W.full_refresh(only97, target)
+    assert sorted((r.year, r.v) for r in read_target(spark, target).collect()) == [(1997, 3)]
