@@ -13,14 +13,13 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from prodlake.plans import catalog  # noqa: E402
-from prodlake.session import build_session  # noqa: E402
+from prodlake.session import build_session, shared_dir  # noqa: E402
 
 HEADLINE = ["oil_sum_between", "carrier_year_sums", "search", "oil_pivot", "apply_updates", "copy_lake_to_table"]
 
@@ -42,7 +41,9 @@ def main() -> None:
         shuffle_partitions=max(2 * cpus, 8),
         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g")},
     )
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="prodlake-bench-ckpt-"))
+    # the shared folder comes from spark.checkpoint.dir; only a local run
+    # without it gets a fresh folder of its own
+    shared_dir(spark)
     qs = catalog.queries()
     timings: dict[str, float] = {}
     for name in HEADLINE:

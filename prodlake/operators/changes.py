@@ -16,12 +16,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prodlake.operators.quality import REASONS, add_reasons, default_checks, production_checks
 from prodlake.schemas import PRODUCTION_RULES
-from prodlake.session import shared_dir
+from prodlake.session import scratch_path
 
 # --- fixed values: change statuses ------------------------------------------
 APPLIED = "applied"
@@ -30,8 +30,10 @@ NOT_FOUND = "not_found"
 SUPERSEDED = "superseded"
 CONFLICT = "conflict"
 
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
-MAX_BROADCAST_PARTITIONS = 200_000
+# a part file's place in its folder: its task's partition, then its chunk
+_PART = r"^part-(\d+)"
+_CHUNK = r"-c(\d+)[.]"
+MAX_BROADCAST_FILES = 200_000
 
 
 @dataclass
@@ -47,38 +49,62 @@ def current_max_id(table: DataFrame, key: str = "id") -> int:
     return int(value) if value is not None else 0
 
 
+def number_stored(spark: SparkSession, path: str, start_after: int, key: str = "id") -> DataFrame:
+    """Ids ``start_after + 1, + 2, ...`` for every row stored under ``path``
+    (a Parquet folder), in file order and, inside a file, in row order.
+
+    A row's id depends only on where it is stored: its file's offset (the
+    running count of the files before it, by part and chunk number) plus its
+    ``_metadata.row_index``. It does not depend on how files are split into
+    tasks, on AQE or on a retried task, so every pass over the folder gives
+    the same ids. The offset table has one row per file; it is broadcast
+    only when the listed file count is under ``MAX_BROADCAST_FILES``.
+    """
+    stored = spark.read.parquet(path)
+    cols = [c for c in stored.columns if c != key]
+    fname = F.col("_metadata.file_name")
+    counts = stored.select(fname.alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    file_order = [
+        F.regexp_extract("_file", _PART, 1).cast("long"),
+        F.regexp_extract("_file", _CHUNK, 1).cast("long"),
+        F.col("_file"),
+    ]
+    before = Window.orderBy(*file_order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    if len(stored.inputFiles()) <= MAX_BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    rows = stored.select(*cols, fname.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    new_id = (F.lit(start_after) + F.col("_off") + F.col("_row") + F.lit(1)).cast("long")
+    return rows.join(offsets, "_file").select(new_id.alias(key), *cols)
+
+
 def assign_ids(
     df: DataFrame,
     start_after: int,
     key: str = "id",
     order_by: Sequence[str] | None = None,
-    materialize: bool = True,
 ) -> DataFrame:
     """Ids ``start_after + 1, + 2, ...`` in ``order_by`` order (or in the
-    stored order of the input when ``order_by`` is None).
-
-    No global ``row_number`` window (one partition). Instead: sort (a range
-    shuffle), freeze the result with a reliable ``checkpoint`` in the shared
-    folder so every later pass sees the same partitions, count rows per
-    partition, and add a running offset per partition. The offset table has
-    one row per partition; it is broadcast only when the partition count is
-    under ``MAX_BROADCAST_PARTITIONS``.
+    input's partition order when ``order_by`` is None).
+
+    No global ``row_number`` window (one task). The rows are sorted (a range
+    shuffle) and written once to a new folder in the shared folder named by
+    ``spark.checkpoint.dir``; part files come out in sort order, and
+    :func:`number_stored` numbers them. The written copy also cuts the
+    lineage: a lost executor re-reads files, never re-sorts.
+
+    Rows equal on ``order_by`` get a tie-breaker, so that a value held by a
+    third of the rows is spread over many range partitions instead of being
+    sorted by one task.
     """
-    base = df.orderBy(*order_by) if order_by else df
-    if materialize:
-        shared_dir(base.sparkSession)
-        base = base.checkpoint(eager=True)
-    tagged = base.withColumn("_mid", F.monotonically_increasing_id())
-    pid = F.shiftright(F.col("_mid"), _ROW_BITS)
-    counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    if base.rdd.getNumPartitions() <= MAX_BROADCAST_PARTITIONS:
-        offsets = F.broadcast(offsets)
-    joined = tagged.join(offsets, pid == F.col("_pid"))
-    row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    new_id = (F.lit(start_after) + F.col("_off") + row + F.lit(1)).cast("long")
-    return joined.select(new_id.alias(key), *[F.col(c) for c in df.columns if c != key])
+    spark = df.sparkSession
+    base = df.select(*[c for c in df.columns if c != key])
+    if order_by:
+        tie = "_tie"
+        base = base.withColumn(tie, F.monotonically_increasing_id()).orderBy(*order_by, tie).drop(tie)
+    path = scratch_path(spark, "ids")
+    base.write.parquet(path)
+    return number_stored(spark, path, start_after, key)
 
 
 def insert_checks() -> list[tuple[Column, str]]:

@@ -72,11 +72,19 @@ def copy_lake_to_table(
     (with their ids), the rejected rows with reasons, and the staging path."""
     staged_path = scratch_path(spark, "staged-load")
     staged = stage_checked(checked_rows(spark, src, mapping, rules, columns=columns, header=header), staged_path)
-    good = staged.filter(F.col(STATUS) == "accepted").drop(STATUS, Q.REASONS, Q.RAW)
+    names = [r.name for r in rules]
     bad = Q.rejected(staged.filter(F.col(STATUS) == "rejected").drop(STATUS))
     exists = target.kind in ("jdbc", "catalog") or path_exists(spark, target.location)
     start = M.current_max_id(read_target(spark, target), key) if exists else 0
-    with_ids = M.assign_ids(good, start, key=key, order_by=order_by, materialize=order_by is not None)
-    with_ids = with_ids.select(key, *[r.name for r in rules])
+    accepted_path = f"{staged_path}/{STATUS}=accepted"
+    if order_by:
+        good = staged.filter(F.col(STATUS) == "accepted").select(*names)
+        with_ids = M.assign_ids(good, start, key=key, order_by=order_by)
+    elif path_exists(spark, accepted_path):
+        # the staged accepted files are already a stored order: number them
+        with_ids = M.number_stored(spark, accepted_path, start, key=key)
+    else:
+        with_ids = staged.filter(F.lit(False)).select(F.lit(None).cast("long").alias(key), *names)
+    with_ids = with_ids.select(key, *names)
     append(with_ids, target)
     return LoadResult(with_ids, bad, staged_path)

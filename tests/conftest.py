@@ -1,12 +1,11 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from prodlake.session import build_session  # noqa: E402
+from prodlake.session import build_session, shared_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -14,7 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", app_name="prodlake-tests", shuffle_partitions=4)
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="prodlake-test-ckpt-"))
+    shared_dir(s)  # spark.checkpoint.dir when set, else a fresh local folder
     yield s
     s.stop()
 
