@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from prodlake.operators.quality import REASONS, add_reasons, default_checks, production_checks
+from prodlake.operators.quality import default_checks, failed, production_checks
 from prodlake.schemas import PRODUCTION_RULES
 from prodlake.session import scratch_path
 
@@ -126,9 +126,10 @@ def apply_inserts(
     is reported ``conflict`` (the prose's "can't create an existing entry").
     """
     cols = [c for c in table.columns if c != key]
-    checked = add_reasons(requests.select(*cols), insert_checks())
-    valid = checked.filter(F.size(REASONS) == 0).drop(REASONS)
-    invalid = checked.filter(F.size(REASONS) > 0).drop(REASONS)
+    rows = requests.select(*cols)
+    bad = failed(insert_checks())
+    valid = rows.filter(~bad)
+    invalid = rows.filter(bad)
     report_parts = [invalid.select(*cols, F.lit(None).cast("long").alias(key), F.lit(BAD_REQUEST).alias("status"))]
     if reject_existing_on:
         stored = table.select(*reject_existing_on)
@@ -158,10 +159,9 @@ def apply_updates(
     else ``applied``.
     """
     cols = [c for c in table.columns if c != key]
-    checked = add_reasons(changes, insert_checks())
-    bad = (F.col(path_key) != F.col(key)) | F.col(path_key).isNull() | (F.size(REASONS) > 0)
+    bad = (F.col(path_key) != F.col(key)) | F.col(path_key).isNull() | failed(insert_checks())
     stored = table.select(key).withColumn("_found", F.lit(True))
-    flagged = checked.withColumn("_bad", bad).join(stored, key, "left")
+    flagged = changes.withColumn("_bad", bad).join(stored, key, "left")
     candidate = F.struct(F.col(seq), *[F.col(c) for c in cols])
     winners = (
         flagged.filter(~F.col("_bad") & F.col("_found"))

@@ -52,7 +52,7 @@ def checked_rows(
 
 def stage_checked(checked: DataFrame, path: str) -> DataFrame:
     """Write checked rows once, split into status folders; return the read."""
-    status = F.when(F.size(Q.REASONS) == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
+    status = F.when(Q.passed(), F.lit("accepted")).otherwise(F.lit("rejected"))
     checked.withColumn(STATUS, status).write.partitionBy(STATUS).parquet(path)
     return checked.sparkSession.read.parquet(path)
 

@@ -2,14 +2,17 @@
 defaults, check NOT NULL / length / the production model, and split rows
 into accepted and rejected frames with a reason per failed check.
 
-Checks are plain column predicates gathered into one ``_reasons`` array, so
-the whole split is a single projection inside the scan's stage: no join, no
-shuffle, and the rejected rows are kept instead of being dropped.
+Checks are plain column predicates. The failed ones are joined into one
+``_reasons`` text (empty when the row passed), so the whole split is a single
+projection inside the scan's stage: no join, no shuffle, no array building,
+and the rejected rows are kept instead of being dropped. Where only the
+status is needed, :func:`failed` gives it as one boolean.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +20,9 @@ from pyspark.sql import functions as F
 from prodlake.schemas import MONTH_RANGE, ColumnRule
 from prodlake.sources.files import CORRUPT
 
-REASONS = "_reasons"
+REASONS = "_reasons"  # failed checks joined by SEP; "" when the row passed
 RAW = "_raw"
+SEP = "; "
 
 # --- fixed values: reason texts -------------------------------------------
 MALFORMED = "malformed record"
@@ -40,9 +44,6 @@ def month_outside(lo: int, hi: int) -> str:
     return f"month: outside {lo}..{hi}"
 
 
-_SEP = "\u001f"  # joins messages inside one row; never part of a message
-
-
 def merge_checks(checks: Sequence[tuple[Column, str]]) -> list[tuple[Column, str]]:
     """One predicate per message (ORed), in first-seen order, so a reason is
     never listed twice."""
@@ -53,26 +54,38 @@ def merge_checks(checks: Sequence[tuple[Column, str]]) -> list[tuple[Column, str
 
 
 def reasons_of(checks: Sequence[tuple[Column, str]]) -> Column:
-    """Array of the messages whose bad-row predicate is true (a NULL
-    predicate counts as passed; NOT NULL has its own check).
-
-    Built from ``concat_ws`` (which skips NULLs) and ``split`` rather than
-    ``array_compact``: a lambda function would take the whole check out of
-    whole-stage code generation.
+    """The messages whose bad-row predicate is true, joined by ``SEP``, ""
+    when none is (a NULL predicate counts as passed; NOT NULL has its own
+    check). ``concat_ws`` skips the NULLs of the passed checks: plain string
+    functions, no lambda, so the check stays in whole-stage code generation.
     """
     checks = merge_checks(checks)
     if not checks:
-        return F.array().cast("array<string>")
-    joined = F.concat_ws(_SEP, *[F.when(bad, F.lit(msg)) for bad, msg in checks])
-    return F.when(joined == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(joined, _SEP))
+        return F.lit("")
+    return F.concat_ws(SEP, *[F.when(bad, F.lit(msg)) for bad, msg in checks])
+
+
+def failed(checks: Sequence[tuple[Column, str]]) -> Column:
+    """True when any check fails (a NULL predicate counts as passed): the
+    status alone, without building the reason text."""
+    if not checks:
+        return F.lit(False)
+    return reduce(lambda a, b: a | b, [F.coalesce(bad, F.lit(False)) for bad, _ in checks])
+
+
+def passed() -> Column:
+    return F.col(REASONS) == F.lit("")
 
 
 def add_reasons(df: DataFrame, checks: Sequence[tuple[Column, str]]) -> DataFrame:
-    """Append reasons to ``_reasons`` (created when absent), no repeats."""
-    new = reasons_of(checks)
-    if REASONS in df.columns:
-        new = F.array_distinct(F.concat(F.col(REASONS), new))
-    return df.withColumn(REASONS, new)
+    """Append reasons to ``_reasons`` (created when absent), no repeats: a
+    message the row already has is not added again."""
+    if REASONS not in df.columns:
+        return df.withColumn(REASONS, reasons_of(checks))
+    old = F.col(REASONS)
+    padded = F.concat(F.lit(SEP), old, F.lit(SEP))
+    fresh = [F.when(bad & ~padded.contains(F.lit(f"{SEP}{msg}{SEP}")), F.lit(msg)) for bad, msg in merge_checks(checks)]
+    return df.withColumn(REASONS, F.concat_ws(SEP, F.when(old != F.lit(""), old), *fresh))
 
 
 def default_checks(rules: Sequence[ColumnRule]) -> list[tuple[Column, str]]:
@@ -152,14 +165,14 @@ def type_and_check(raw: DataFrame, rules: Sequence[ColumnRule], extra: Sequence[
 
 def accepted(checked: DataFrame) -> DataFrame:
     """Rows without reasons, helper columns dropped."""
-    return checked.filter(F.size(REASONS) == 0).drop(REASONS, RAW)
+    return checked.filter(passed()).drop(REASONS, RAW)
 
 
 def rejected(checked: DataFrame, joined: str | None = "reason") -> DataFrame:
-    """Rows with at least one reason, as read, with the reasons (joined to
-    one text column when ``joined`` names it)."""
-    bad = checked.filter(F.size(REASONS) > 0)
-    reason = F.array_join(F.col(REASONS), "; ").alias(joined) if joined else F.col(REASONS)
+    """Rows with at least one reason, as read, with the reasons (one text
+    column named ``joined``, or an array ``_reasons`` when it is None)."""
+    bad = checked.filter(~passed())
+    reason = F.col(REASONS).alias(joined) if joined else F.split(F.col(REASONS), SEP).alias(REASONS)
     return bad.select(f"{RAW}.*", reason)
 
 
@@ -172,7 +185,5 @@ def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def quality_stamp(checked: DataFrame, column: str = "quality") -> DataFrame:
     """T4: keep every row, stamped ``passed`` or ``failed`` with its reasons."""
-    stamp = F.when(F.size(REASONS) == 0, F.lit("passed")).otherwise(F.lit("failed"))
-    return checked.drop(RAW).withColumn(column, stamp).withColumn("reason", F.array_join(F.col(REASONS), "; ")).drop(
-        REASONS
-    )
+    stamp = F.when(passed(), F.lit("passed")).otherwise(F.lit("failed"))
+    return checked.drop(RAW).withColumn(column, stamp).withColumnRenamed(REASONS, "reason")

@@ -49,7 +49,7 @@ def _inserted(spark, sf_dir) -> M.ChangeResult:
 @register("assign_ids", with_views(_ASSIGNED_SQL, "production_keyed"))
 def assign_ids(spark, sf_dir):
     table = fx.production_keyed(spark, sf_dir)
-    valid = Q.accepted(Q.add_reasons(insert_requests(spark, sf_dir), M.insert_checks()))
+    valid = insert_requests(spark, sf_dir).filter(~Q.failed(M.insert_checks()))
     return M.assign_ids(valid, M.current_max_id(table), order_by=ID_ORDER)
 
 

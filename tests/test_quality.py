@@ -62,9 +62,9 @@ def test_validate_schema_length_and_null(spark):
     df = spark.createDataFrame([("W-1", 1, 1), (None, 1, 1), ("Z" * 60, 1, 1)], "wellbore string, year int, month int")
     rules = [r for r in PRODUCTION_RULES if r.name in ("wellbore", "year", "month")]
     out = {r.wellbore: r[Q.REASONS] for r in Q.validate_schema(df, rules).collect()}
-    assert out["W-1"] == []
-    assert out[None] == ["wellbore: required"]
-    assert out["Z" * 60] == ["wellbore: longer than 50"]
+    assert out["W-1"] == ""
+    assert out[None] == "wellbore: required"
+    assert out["Z" * 60] == "wellbore: longer than 50"
 
 
 def test_apply_defaults(spark):
@@ -88,3 +88,17 @@ def test_copy_lake_to_table_appends_with_ids(spark, tmp):
     rows = sorted((r.id, r.wellbore) for r in read_target(spark, target).collect())
     # append is not idempotent: the two good rows twice, ids continue
     assert rows == [(1, "W-1"), (2, "W-6"), (3, "W-1"), (4, "W-6")]
+
+
+def test_added_reasons_are_not_repeated(spark):
+    df = spark.createDataFrame([("", 13), ("W", 5), (None, 0)], "wellbore string, month int")
+    once = Q.add_reasons(df, Q.production_checks())
+    twice = Q.add_reasons(once, Q.production_checks() + [(Q.F.col("month") > 12, "month: above 12")])
+    got = {(r.wellbore, r.month): r[Q.REASONS] for r in twice.collect()}
+    assert got == {
+        ("", 13): "wellbore: required; month: outside 1..12; month: above 12",
+        ("W", 5): "",
+        (None, 0): "wellbore: required; month: outside 1..12",
+    }
+    flags = {(r.wellbore, r.month): r.bad for r in df.select("*", Q.failed(Q.production_checks()).alias("bad")).collect()}
+    assert flags == {("", 13): True, ("W", 5): False, (None, 0): True}
