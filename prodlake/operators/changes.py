@@ -132,7 +132,9 @@ def apply_inserts(
     invalid = rows.filter(bad)
     report_parts = [invalid.select(*cols, F.lit(None).cast("long").alias(key), F.lit(BAD_REQUEST).alias("status"))]
     if reject_existing_on:
-        stored = table.select(*reject_existing_on)
+        # distinct first (partial aggregate): a combination stored many times
+        # is one row before the join, not a hot key on its build side
+        stored = table.select(*reject_existing_on).distinct()
         conflicts = valid.join(stored, list(reject_existing_on), "left_semi")
         valid = valid.join(stored, list(reject_existing_on), "left_anti")
         report_parts.append(conflicts.select(*cols, F.lit(None).cast("long").alias(key), F.lit(CONFLICT).alias("status")))
@@ -198,7 +200,9 @@ def apply_deletes(table: DataFrame, deletes: DataFrame, key: str = "id", seq: st
         F.lit(NOT_FOUND)
     )
     report = flagged.join(first, key, "left").select(*deletes.columns, status.alias("status"))
-    keys = deletes.select(key)
+    # one row per deleted key (the aggregate above): a key deleted many times
+    # does not pile up on the join's build side
+    keys = first.select(key)
     kept = table.join(keys, key, "left_anti")
     removed = table.join(keys, key, "left_semi")
     return ChangeResult(kept, report, removed)
