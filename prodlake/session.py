@@ -41,6 +41,41 @@ def build_session(
     return spark
 
 
+MiB = 1 << 20
+# most reduce partitions one shuffle should have (map-status size and
+# scheduler load grow with it); AQE coalesces the rest down at run time
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_mib: int = 256) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of Parquet on ``total_cores``
+    executor cores, to pass as ``build_session(extra=...)`` or
+    ``spark-submit --conf``.
+
+    * Scan tasks of ``partition_mib`` (``maxPartitionBytes``): 100 TB is about
+      400 000 tasks of 256 MiB, each well inside one core's memory share.
+    * The first shuffle width assumes the shuffle may be as large as the
+      input (a table rewrite by key is); AQE then coalesces partitions up to
+      the same advisory size, judged by size rather than by core count.
+    * Skewed join partitions (five times the median and over the advisory
+      size) are split by AQE; broadcast stays at Spark's checked runtime
+      threshold.
+    """
+    target = partition_mib * MiB
+    width = max(2 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(min(width, MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target),
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
