@@ -31,8 +31,8 @@ SUPERSEDED = "superseded"
 CONFLICT = "conflict"
 
 # a part file's place in its folder: its task's partition, then its chunk
-_PART = r"^part-(\d+)"
-_CHUNK = r"-c(\d+)[.]"
+# ("part-00003-<job uuid>-c000..." or, in a partition folder, "....c000...")
+_PART_FILE = r"^part-(\d+)-[0-9a-f-]{36}[-.]c(\d+)"
 MAX_BROADCAST_FILES = 200_000
 
 
@@ -64,9 +64,10 @@ def number_stored(spark: SparkSession, path: str, start_after: int, key: str = "
     cols = [c for c in stored.columns if c != key]
     fname = F.col("_metadata.file_name")
     counts = stored.select(fname.alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    # names Spark did not write sort by name alone
     file_order = [
-        F.regexp_extract("_file", _PART, 1).cast("long"),
-        F.regexp_extract("_file", _CHUNK, 1).cast("long"),
+        F.regexp_extract("_file", _PART_FILE, 1).try_cast("long"),
+        F.regexp_extract("_file", _PART_FILE, 2).try_cast("long"),
         F.col("_file"),
     ]
     before = Window.orderBy(*file_order).rowsBetween(Window.unboundedPreceding, -1)

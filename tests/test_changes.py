@@ -78,3 +78,38 @@ def test_assign_ids_dense_in_order_across_partitions(spark):
     rows = sorted((r.id, r.v) for r in out.collect())
     assert [i for i, _ in rows] == list(range(101, 5101))
     assert [v for _, v in rows] == sorted(v for _, v in rows)
+
+
+def test_stored_numbering_ignores_task_layout(spark, tmp):
+    """Ids come from (file, row index), so a re-run with other splits and
+    other shuffle widths (as after a lost executor) gives the same ids."""
+    from pyspark.sql import functions as F
+
+    path = f"{tmp}/stored"
+    spark.range(0, 20000, numPartitions=5).select((F.col("id") * 7919 % 20000).alias("v")).write.parquet(path)
+    first = {r.v: r.id for r in M.number_stored(spark, path, 0).collect()}
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4096")
+    try:
+        again = {r.v: r.id for r in M.number_stored(spark, path, 0).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert first == again
+    assert sorted(first.values()) == list(range(1, 20001))
+
+
+def test_load_without_order_numbers_staged_rows(spark, tmp):
+    from pathlib import Path
+
+    from prodlake.operators.load import copy_lake_to_table
+    from prodlake.sources.tables import Target, read_target
+
+    src = Path(tmp) / "src.csv"
+    src.write_text("W,Y,M,O,G\n" + "\n".join(f"W-{i},2001,{1 + i % 12},{i},1" for i in range(50)) + "\nW-x,2001,13,1,1\n")
+    mapping = {"W": "wellbore", "Y": "year", "M": "month", "O": "oil", "G": "gas"}
+    target = Target.parquet(f"{tmp}/table")
+    res = copy_lake_to_table(spark, str(src), target, mapping)
+    assert res.rejected.count() == 1
+    ids = sorted(r.id for r in read_target(spark, target).collect())
+    assert ids == list(range(1, 51))
