@@ -10,9 +10,13 @@ from prodlake.operators import quality as Q
 from prodlake.operators import transform as P
 from prodlake.plans.ingest import _DIRTY_RAW_SQL, dirty_raw
 from prodlake.plans.oracle import with_views
+from prodlake.plans.registry import ORACLE as ORACLE_SQL
 from prodlake.plans.registry import register
 from prodlake.schemas import OIL_GAS_TYPE, PRODUCTION_RULES
+from prodlake.session import scratch_path
+from prodlake.sinks.writers import full_refresh
 from prodlake.sources import fixtures as fx
+from prodlake.sources.tables import Target
 
 VALUE_COLS = ["wellbore", "year", "month", "oil", "gas"]
 ID_ORDER = ["year", "month", "wellbore", "oil", "gas"]
@@ -177,3 +181,33 @@ def removed_rows(spark, sf_dir):
 )
 def delete_report(spark, sf_dir):
     return _deleted(spark, sf_dir).report
+
+
+# --- the keyed table stored bucketed by id: a change batch then shuffles only
+# itself; the table is read bucket by bucket, never re-shuffled -------------
+_BUCKETED: dict[tuple[int, str], str] = {}
+
+
+def production_keyed_bucketed(spark, sf_dir):
+    """``production_keyed`` saved once per session as a catalog table in the
+    shared folder, bucketed by id into as many buckets as the session's
+    shuffle width (so the change side's shuffle lines up with the buckets)."""
+    memo = (id(spark), sf_dir)
+    name = _BUCKETED.get(memo)
+    if name is None or not spark.catalog.tableExists(name):
+        name = f"production_keyed_{len(_BUCKETED)}_{abs(hash(sf_dir)) % 10**8}"
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        target = Target.catalog(name, path=scratch_path(spark, name), bucket_by=("id",), buckets=buckets)
+        full_refresh(fx.production_keyed(spark, sf_dir), target)
+        _BUCKETED[memo] = name
+    return spark.table(name)
+
+
+@register("apply_updates_bucketed", ORACLE_SQL["apply_updates"])
+def apply_updates_bucketed(spark, sf_dir):
+    return M.apply_updates(production_keyed_bucketed(spark, sf_dir), update_changes(spark, sf_dir)).table
+
+
+@register("apply_deletes_bucketed", ORACLE_SQL["apply_deletes"])
+def apply_deletes_bucketed(spark, sf_dir):
+    return M.apply_deletes(production_keyed_bucketed(spark, sf_dir), delete_requests(spark, sf_dir)).table

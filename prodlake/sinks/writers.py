@@ -16,12 +16,18 @@ from prodlake.sources.tables import Target
 
 
 def _writer(df: DataFrame, target: Target, mode: str):
+    if target.bucket_by:
+        # one task per bucket (the same hash as the buckets), so each bucket
+        # is one file instead of one file per task and bucket
+        df = df.repartition(target.buckets, *target.bucket_by)
     w = df.write.mode(mode)
     if target.kind == "jdbc":
         return w.format("jdbc").options(**target.options)
     w = w.options(**target.options)
     if target.partition_by:
         w = w.partitionBy(*target.partition_by)
+    if target.bucket_by:
+        w = w.bucketBy(target.buckets, *target.bucket_by).sortBy(*target.bucket_by)
     if target.kind == "csv":
         w = w.option("header", True)
     return w

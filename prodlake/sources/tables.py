@@ -20,6 +20,8 @@ class Target:
     location: str
     options: dict[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int | None = None
 
     @staticmethod
     def parquet(path: str, partition_by: tuple[str, ...] = ()) -> "Target":
@@ -30,8 +32,16 @@ class Target:
         return Target("jdbc", table, jdbc_options(url, table, **options))
 
     @staticmethod
-    def catalog(name: str) -> "Target":
-        return Target("catalog", name)
+    def catalog(
+        name: str, path: str | None = None, bucket_by: tuple[str, ...] = (), buckets: int | None = None
+    ) -> "Target":
+        """A session-catalog table; with ``path`` its files live there (an
+        external table in the shared folder). With ``bucket_by`` the rows are
+        stored hash-bucketed on those columns, so a later join or aggregate
+        on them reads the table without shuffling it."""
+        if bool(bucket_by) != bool(buckets):
+            raise ValueError("bucket_by and buckets go together")
+        return Target("catalog", name, {"path": path} if path else {}, (), tuple(bucket_by), buckets)
 
 
 def read_target(spark: SparkSession, target: Target, schema=None) -> DataFrame:

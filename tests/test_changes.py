@@ -113,3 +113,26 @@ def test_load_without_order_numbers_staged_rows(spark, tmp):
     assert res.rejected.count() == 1
     ids = sorted(r.id for r in read_target(spark, target).collect())
     assert ids == list(range(1, 51))
+
+
+def test_bucketed_table_is_not_reshuffled(spark, tmp, table):
+    from prodlake.sinks.writers import full_refresh
+    from prodlake.sources.tables import Target
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = Target.catalog("keyed_bucketed_test", path=f"{tmp}/kb", bucket_by=("id",), buckets=n)
+    full_refresh(table, target)
+    stored = spark.table("keyed_bucketed_test")
+    changes = spark.createDataFrame([(2, 2, 1, "W-b", 2001, 3, Decimal(2), Decimal(2))], CHANGE)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        bucketed = M.apply_updates(stored, changes).table
+        plain = M.apply_updates(table, changes).table
+        shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        # plain: table, changes and the stored keys each shuffled; bucketed: the changes once
+        assert shuffles(plain) == 3 and shuffles(bucketed) == 1
+        assert {r.id: r.wellbore for r in bucketed.collect()} == {1: "W-1", 2: "W-b", 3: "W-3", 4: "W-4", 5: "W-5"}
+    finally:
+        spark.conf.set(key, before)
