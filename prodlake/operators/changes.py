@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prodlake.operators.quality import default_checks, failed, production_checks
 from prodlake.schemas import PRODUCTION_RULES
@@ -34,6 +35,7 @@ CONFLICT = "conflict"
 # ("part-00003-<job uuid>-c000..." or, in a partition folder, "....c000...")
 _PART_FILE = r"^part-(\d+)-[0-9a-f-]{36}[-.]c(\d+)"
 MAX_BROADCAST_FILES = 200_000
+_BAD = "_bad"
 
 
 @dataclass
@@ -49,7 +51,9 @@ def current_max_id(table: DataFrame, key: str = "id") -> int:
     return int(value) if value is not None else 0
 
 
-def number_stored(spark: SparkSession, path: str, start_after: int, key: str = "id") -> DataFrame:
+def number_stored(
+    spark: SparkSession, path: str, start_after: int, key: str = "id", schema: T.StructType | None = None
+) -> DataFrame:
     """Ids ``start_after + 1, + 2, ...`` for every row stored under ``path``
     (a Parquet folder), in file order and, inside a file, in row order.
 
@@ -59,8 +63,9 @@ def number_stored(spark: SparkSession, path: str, start_after: int, key: str = "
     tasks, on AQE or on a retried task, so every pass over the folder gives
     the same ids. The offset table has one row per file; it is broadcast
     only when the listed file count is under ``MAX_BROADCAST_FILES``.
+    ``schema`` (the written one) lets an empty folder read as no rows.
     """
-    stored = spark.read.parquet(path)
+    stored = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     cols = [c for c in stored.columns if c != key]
     fname = F.col("_metadata.file_name")
     counts = stored.select(fname.alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
@@ -105,7 +110,7 @@ def assign_ids(
         base = base.withColumn(tie, F.monotonically_increasing_id()).orderBy(*order_by, tie).drop(tie)
     path = scratch_path(spark, "ids")
     base.write.parquet(path)
-    return number_stored(spark, path, start_after, key)
+    return number_stored(spark, path, start_after, key, schema=base.schema)
 
 
 def insert_checks() -> list[tuple[Column, str]]:
@@ -125,12 +130,19 @@ def apply_inserts(
     largest; invalid ones are reported ``bad_request``. With
     ``reject_existing_on``, a request equal to a stored row on those columns
     is reported ``conflict`` (the prose's "can't create an existing entry").
+
+    The checked batch is landed once in the shared folder, split by status:
+    the id sort (which reads its input twice, to sample and to shuffle) and
+    the report then read Parquet, not the batch's source again.
     """
     cols = [c for c in table.columns if c != key]
-    rows = requests.select(*cols)
-    bad = failed(insert_checks())
-    valid = rows.filter(~bad)
-    invalid = rows.filter(bad)
+    spark = requests.sparkSession
+    checked = requests.select(*cols, failed(insert_checks()).alias(_BAD))
+    path = scratch_path(spark, "insert-batch")
+    checked.write.partitionBy(_BAD).parquet(path)
+    staged = spark.read.schema(checked.schema).parquet(path)
+    valid = staged.filter(~F.col(_BAD)).drop(_BAD)
+    invalid = staged.filter(F.col(_BAD)).drop(_BAD)
     report_parts = [invalid.select(*cols, F.lit(None).cast("long").alias(key), F.lit(BAD_REQUEST).alias("status"))]
     if reject_existing_on:
         # distinct first (partial aggregate): a combination stored many times

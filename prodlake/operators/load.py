@@ -53,8 +53,10 @@ def checked_rows(
 def stage_checked(checked: DataFrame, path: str) -> DataFrame:
     """Write checked rows once, split into status folders; return the read."""
     status = F.when(Q.passed(), F.lit("accepted")).otherwise(F.lit("rejected"))
-    checked.withColumn(STATUS, status).write.partitionBy(STATUS).parquet(path)
-    return checked.sparkSession.read.parquet(path)
+    out = checked.withColumn(STATUS, status)
+    out.write.partitionBy(STATUS).parquet(path)
+    # the written schema, so that a batch without rows reads as no rows
+    return checked.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def copy_lake_to_table(
@@ -82,7 +84,7 @@ def copy_lake_to_table(
         with_ids = M.assign_ids(good, start, key=key, order_by=order_by)
     elif path_exists(spark, accepted_path):
         # the staged accepted files are already a stored order: number them
-        with_ids = M.number_stored(spark, accepted_path, start, key=key)
+        with_ids = M.number_stored(spark, accepted_path, start, key=key, schema=staged.drop(STATUS).schema)
     else:
         with_ids = staged.filter(F.lit(False)).select(F.lit(None).cast("long").alias(key), *names)
     with_ids = with_ids.select(key, *names)

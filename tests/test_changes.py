@@ -136,3 +136,10 @@ def test_bucketed_table_is_not_reshuffled(spark, tmp, table):
         assert {r.id: r.wellbore for r in bucketed.collect()} == {1: "W-1", 2: "W-b", 3: "W-3", 4: "W-4", 5: "W-5"}
     finally:
         spark.conf.set(key, before)
+
+
+def test_empty_batches(spark, table):
+    empty = spark.createDataFrame([], "wellbore string, year int, month int, oil decimal(15,5), gas decimal(15,5)")
+    res = M.apply_inserts(table, empty, order_by=["wellbore"])
+    assert res.table.count() == 5 and res.report.count() == 0
+    assert M.assign_ids(empty, 0, order_by=["wellbore"]).count() == 0
