@@ -168,11 +168,11 @@ def _field_cast_sql() -> str:
 
 @register("select_cast", with_views(_field_cast_sql(), "field_csv"))
 def select_cast(spark, sf_dir):
-    return P.select_cast(SF.scan_csv(spark, field_csv(spark, sf_dir)), FIELD_TYPES)
+    return P.select_cast(SF.scan_csv(spark, field_csv(spark, sf_dir), columns=FIELD_COLUMNS), FIELD_TYPES)
 
 
 def _carrier_sums(spark, sf_dir):
-    typed = P.select_cast(SF.scan_csv(spark, field_csv(spark, sf_dir)), FIELD_TYPES)
+    typed = P.select_cast(SF.scan_csv(spark, field_csv(spark, sf_dir), columns=FIELD_COLUMNS), FIELD_TYPES)
     return A.group_sums(typed, [FIELD_CARRIER, FIELD_YEAR], FIELD_MEASURES, digits=4)
 
 
@@ -212,12 +212,12 @@ def enrich_column(spark, sf_dir):
     ),
 )
 def map_columns(spark, sf_dir):
-    return P.map_columns(SF.scan_csv(spark, production_csv(spark, sf_dir)), LAKE_TO_TABLE)
+    return P.map_columns(SF.scan_csv(spark, production_csv(spark, sf_dir), columns=DIRTY_SOURCE_COLUMNS), LAKE_TO_TABLE)
 
 
 @register("scan_csv_typed", with_views("SELECT wellbore, year, month, oil, gas FROM production", "production"))
 def scan_csv_typed(spark, sf_dir):
-    raw = SF.scan_csv_checked(spark, production_csv(spark, sf_dir))
+    raw = SF.scan_csv_checked(spark, production_csv(spark, sf_dir), columns=DIRTY_SOURCE_COLUMNS)
     mapped = P.map_columns(raw, {**LAKE_TO_TABLE, SF.CORRUPT: SF.CORRUPT})
     return Q.accepted(Q.type_and_check(mapped, PRODUCTION_RULES))
 

@@ -11,9 +11,21 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def scan_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+def _text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
+def scan_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None = None, **options) -> DataFrame:
     """All CSV files under a path or glob, first row as header, every column
-    read as text (no schema inference pass over the data)."""
+    read as text (no schema inference pass over the data).
+
+    With the declared ``columns`` Spark does not run a job to read the
+    header for the names; each file's header is still checked against them
+    while it is scanned (``enforceSchema=False``), so a file with other
+    columns fails instead of being mapped by position.
+    """
+    if columns:
+        return spark.read.schema(_text_schema(columns)).options(header=True, enforceSchema=False, **options).csv(path)
     return spark.read.options(header=True, inferSchema=False, **options).csv(path)
 
 
@@ -32,8 +44,10 @@ def scan_csv_checked(
     """
     header = options.pop("header", True)
     names = columns or header_columns(spark, path, **options)
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    schema = schema.add(T.StructField(CORRUPT, T.StringType(), True))
+    schema = _text_schema(names).add(T.StructField(CORRUPT, T.StringType(), True))
+    if header:
+        # declared names are checked against each file's header row
+        options.setdefault("enforceSchema", False)
     return (
         spark.read.schema(schema)
         .options(header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)

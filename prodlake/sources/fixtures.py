@@ -19,8 +19,19 @@ from pyspark.sql import functions as F
 from prodlake.schemas import FIELD_CARRIER, FIELD_MEASURES, FIELD_YEAR, OIL_GAS_TYPE
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, read once per session: the file listing and the
+    footer read (a small Spark job) are not repeated by every query. Rows
+    are not cached; each query still scans the files it needs."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _wellbore(key: Column) -> Column:
