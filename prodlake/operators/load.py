@@ -51,9 +51,18 @@ def checked_rows(
 
 
 def stage_checked(checked: DataFrame, path: str) -> DataFrame:
-    """Write checked rows once, split into status folders; return the read."""
-    status = F.when(Q.passed(), F.lit("accepted")).otherwise(F.lit("rejected"))
-    out = checked.withColumn(STATUS, status)
+    """Write checked rows once, split into status folders; return the read.
+
+    An accepted row keeps only its typed values and a rejected row only its
+    text as read (plus the reasons), so the staged copy is not twice the
+    input."""
+    ok = Q.passed()
+    status = F.when(ok, F.lit("accepted")).otherwise(F.lit("rejected"))
+    kept = [
+        F.when(~ok, F.col(c)).alias(c) if c == Q.RAW else c if c == Q.REASONS else F.when(ok, F.col(c)).alias(c)
+        for c in checked.columns
+    ]
+    out = checked.select(*kept, status.alias(STATUS))
     out.write.partitionBy(STATUS).parquet(path)
     # the written schema, so that a batch without rows reads as no rows
     return checked.sparkSession.read.schema(out.schema).parquet(path)
