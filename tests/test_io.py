@@ -137,3 +137,16 @@ def test_full_refresh_empties_partitioned_target_replace_keeps_others(spark, tmp
     assert sorted((r.year, r.v) for r in read_target(spark, target).collect()) == [(1996, 1), (1997, 3)]
     W.full_refresh(only97, target)
     assert sorted((r.year, r.v) for r in read_target(spark, target).collect()) == [(1997, 3)]
+
+
+def test_csv_with_declared_columns_checks_header(spark, tmp):
+    import pytest
+
+    from prodlake.sources import files as SF
+
+    p = Path(tmp) / "a.csv"
+    p.write_text("name,year\nW-1,2001\n")
+    rows = SF.scan_csv(spark, str(p), columns=["name", "year"]).collect()
+    assert [(r.name, r.year) for r in rows] == [("W-1", "2001")]
+    with pytest.raises(Exception):
+        SF.scan_csv(spark, str(p), columns=["year", "name"]).collect()  # other order: not mapped by position
