@@ -150,3 +150,18 @@ def test_csv_with_declared_columns_checks_header(spark, tmp):
     assert [(r.name, r.year) for r in rows] == [("W-1", "2001")]
     with pytest.raises(Exception):
         SF.scan_csv(spark, str(p), columns=["year", "name"]).collect()  # other order: not mapped by position
+
+
+def test_ingest_formats_round_trip(spark, tmp):
+    """The formats named for ingest that this machine has: CSV, JSON, ORC and
+    Parquet, each written and read back through one table description."""
+    from prodlake.sinks.writers import append, full_refresh
+    from prodlake.sources.tables import Target, read_target
+
+    df = spark.createDataFrame([("W-1", 2001, 1), ("W-2", 2002, 12)], "wellbore string, year int, month int")
+    for kind in ("csv", "json", "orc", "parquet"):
+        target = Target(kind, f"{tmp}/{kind}")
+        full_refresh(df, target)
+        append(df, target)
+        back = read_target(spark, target, schema=df.schema)
+        assert sorted(tuple(r) for r in back.collect()) == sorted(2 * [("W-1", 2001, 1), ("W-2", 2002, 12)]), kind
