@@ -40,9 +40,15 @@ _BAD = "_bad"
 
 @dataclass
 class ChangeResult:
+    """The new table, one report row per change, the removed rows (deletes)
+    and ``changed``: one row per key whose stored row was added, replaced or
+    removed (what a partition-wise write needs, see
+    ``sinks.writers.write_changed_partitions``)."""
+
     table: DataFrame
     report: DataFrame
     removed: DataFrame | None = None
+    changed: DataFrame | None = None
 
 
 def current_max_id(table: DataFrame, key: str = "id") -> int:
@@ -156,7 +162,7 @@ def apply_inserts(
     report = inserted.select(*cols, key, F.lit(APPLIED).alias("status"))
     for part in report_parts:
         report = report.unionByName(part)
-    return ChangeResult(new_table, report)
+    return ChangeResult(new_table, report, changed=inserted.select(key))
 
 
 def apply_updates(
@@ -174,10 +180,15 @@ def apply_updates(
     else ``applied``.
     """
     cols = [c for c in table.columns if c != key]
+    # ties on seq go to the greatest values, compared in the change batch's
+    # column order: the table's order depends on its layout (a partitioned
+    # folder lists its partition columns last)
+    wanted = set(cols)
+    ranked = [c for c in changes.columns if c in wanted]
     bad = (F.col(path_key) != F.col(key)) | F.col(path_key).isNull() | failed(insert_checks())
     stored = table.select(key).withColumn("_found", F.lit(True))
     flagged = changes.withColumn("_bad", bad).join(stored, key, "left")
-    candidate = F.struct(F.col(seq), *[F.col(c) for c in cols])
+    candidate = F.struct(F.col(seq), *[F.col(c) for c in ranked])
     winners = (
         flagged.filter(~F.col("_bad") & F.col("_found"))
         .groupBy(key)
@@ -196,7 +207,7 @@ def apply_updates(
         key,
         *[F.when(F.col("_win").isNotNull(), F.col(f"_win.{c}")).otherwise(F.col(c)).alias(c) for c in cols],
     )
-    return ChangeResult(updated, report)
+    return ChangeResult(updated, report, changed=winners.select(key))
 
 
 def apply_deletes(table: DataFrame, deletes: DataFrame, key: str = "id", seq: str = "seq") -> ChangeResult:
@@ -218,4 +229,4 @@ def apply_deletes(table: DataFrame, deletes: DataFrame, key: str = "id", seq: st
     keys = first.select(key)
     kept = table.join(keys, key, "left_anti")
     removed = table.join(keys, key, "left_semi")
-    return ChangeResult(kept, report, removed)
+    return ChangeResult(kept, report, removed, changed=keys)

@@ -14,9 +14,9 @@ from prodlake.plans.registry import ORACLE as ORACLE_SQL
 from prodlake.plans.registry import register
 from prodlake.schemas import OIL_GAS_TYPE, PRODUCTION_RULES
 from prodlake.session import scratch_path
-from prodlake.sinks.writers import full_refresh
+from prodlake.sinks.writers import full_refresh, write_changed_partitions
 from prodlake.sources import fixtures as fx
-from prodlake.sources.tables import Target
+from prodlake.sources.tables import Target, read_target
 
 VALUE_COLS = ["wellbore", "year", "month", "oil", "gas"]
 ID_ORDER = ["year", "month", "wellbore", "oil", "gas"]
@@ -211,3 +211,30 @@ def apply_updates_bucketed(spark, sf_dir):
 @register("apply_deletes_bucketed", ORACLE_SQL["apply_deletes"])
 def apply_deletes_bucketed(spark, sf_dir):
     return M.apply_deletes(production_keyed_bucketed(spark, sf_dir), delete_requests(spark, sf_dir)).table
+
+
+# --- the keyed table as a year-partitioned folder: a change batch rewrites
+# only the years it touches ------------------------------------------------
+def _keyed_lake_copy(spark, sf_dir) -> Target:
+    """A fresh copy of ``production_keyed`` partitioned by year (a change
+    query must not alter a table other queries read)."""
+    target = Target.parquet(scratch_path(spark, "keyed-lake"), partition_by=("year",))
+    full_refresh(fx.production_keyed(spark, sf_dir), target)
+    return target
+
+
+def _commit(spark, target: Target, result: M.ChangeResult):
+    write_changed_partitions(spark, target, result.table, result.changed)
+    return read_target(spark, target).select("id", *VALUE_COLS)
+
+
+@register("apply_updates_lake", ORACLE_SQL["apply_updates"])
+def apply_updates_lake(spark, sf_dir):
+    target = _keyed_lake_copy(spark, sf_dir)
+    return _commit(spark, target, M.apply_updates(read_target(spark, target), update_changes(spark, sf_dir)))
+
+
+@register("apply_deletes_lake", ORACLE_SQL["apply_deletes"])
+def apply_deletes_lake(spark, sf_dir):
+    target = _keyed_lake_copy(spark, sf_dir)
+    return _commit(spark, target, M.apply_deletes(read_target(spark, target), delete_requests(spark, sf_dir)))

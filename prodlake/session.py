@@ -117,3 +117,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(hconf).exists(jpath)
 
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder (recursively) through the Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(hconf).delete(jpath, True)

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from prodlake.session import delete_path, scratch_path
 from prodlake.sources.files import scan_csv
-from prodlake.sources.tables import Target
+from prodlake.sources.tables import Target, read_target
 
 
 def _writer(df: DataFrame, target: Target, mode: str):
@@ -103,6 +105,64 @@ def replace_partitions(df: DataFrame, target: Target) -> None:
     _save(w, target)
 
 
+# a change batch touching more partition values than this is written as a
+# whole new table instead (the touched values go through the driver)
+MAX_TOUCHED_PARTITIONS = 100_000
+
+
+def write_changed_partitions(
+    spark: SparkSession,
+    target: Target,
+    new_table: DataFrame,
+    changed: DataFrame,
+    key: str = "id",
+) -> list[tuple]:
+    """Write a changed table back to its partitioned folder, rewriting only
+    the partitions a change batch touched; the others are neither rewritten
+    nor read for the write.
+
+    A partition is touched when a changed key has a row in it before or after
+    the batch (an update can move a row from one year to another). The new
+    content of the touched partitions is staged in the shared folder first
+    (Spark cannot overwrite a folder it is reading), then moved in by dynamic
+    partition overwrite; a touched partition left without rows is removed.
+    Returns the touched partition values.
+    """
+    parts = list(target.partition_by)
+    if not parts or target.kind in ("jdbc", "catalog"):
+        raise ValueError("write_changed_partitions needs a partitioned file target")
+    stored = read_target(spark, target)
+    keys = changed.select(key).distinct()
+    before = stored.join(keys, key, "left_semi").select(*parts)
+    after = new_table.join(keys, key, "left_semi").select(*parts)
+    touched_df = before.unionByName(after).distinct()
+    touched = [tuple(r) for r in touched_df.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+    if len(touched) > MAX_TOUCHED_PARTITIONS:
+        raise ValueError("the batch touches too many partitions; write the new table to a new folder")
+    if not touched:
+        return []
+    touched_small = F.broadcast(spark.createDataFrame(touched, touched_df.schema))
+    content = new_table.join(touched_small, parts, "left_semi").select(*stored.columns)
+    staged_path = scratch_path(spark, "changed-partitions")
+    content.write.partitionBy(*parts).format(target.kind).save(staged_path)
+    staged = spark.read.schema(content.schema).format(target.kind).load(staged_path)
+    # touched partitions that keep no row: their folders, found by Spark's own listing
+    kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+    emptied = [t for t in touched if t not in kept]
+    folders = []
+    if emptied:
+        listed = spark.read.schema(stored.schema).format(target.kind).load(target.location)
+        gone = spark.createDataFrame(emptied, touched_df.schema)
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
+        with_folder = listed.select(*parts, folder.alias("_folder"))
+        folders = [r[0] for r in with_folder.join(F.broadcast(gone), parts, "left_semi").select("_folder").distinct().collect()]
+    if kept:
+        replace_partitions(staged, target)
+    for path in folders:
+        delete_path(spark, path)
+    return touched
+
+
 def sink_lake(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("year",)) -> str:
     """Write a frame to the lake, partitioned so year filters prune folders."""
     full_refresh(df, Target(fmt, path, {}, tuple(partition_by)))

@@ -1,3 +1,4 @@
+from pathlib import Path
 from decimal import Decimal
 
 import pytest
@@ -143,3 +144,28 @@ def test_empty_batches(spark, table):
     res = M.apply_inserts(table, empty, order_by=["wellbore"])
     assert res.table.count() == 5 and res.report.count() == 0
     assert M.assign_ids(empty, 0, order_by=["wellbore"]).count() == 0
+
+
+def test_changed_partitions_only_are_rewritten(spark, tmp):
+    from prodlake.sinks.writers import full_refresh, write_changed_partitions
+    from prodlake.sources.tables import Target, read_target
+
+    rows = [(1, "W-1", 2000, 1, Decimal(1), Decimal(0)), (2, "W-2", 2001, 1, Decimal(2), Decimal(0)),
+            (3, "W-3", 2002, 1, Decimal(3), Decimal(0)), (4, "W-4", 2003, 1, Decimal(4), Decimal(0))]
+    target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
+    full_refresh(spark.createDataFrame(rows, SCHEMA), target)
+    files = lambda year: sorted(p.name for p in Path(f"{tmp}/lake/year={year}").glob("*.parquet"))
+    untouched = files(2003)
+    # id 1 moves from 2000 to 2001; id 3 (the only row of 2002) is deleted
+    stored = read_target(spark, target)
+    moved = spark.createDataFrame([(1, 1, 1, "W-1", 2001, 5, Decimal(9), Decimal(9))], CHANGE)
+    upd = M.apply_updates(stored, moved)
+    touched = write_changed_partitions(spark, target, upd.table, upd.changed)
+    assert sorted(touched) == [(2000,), (2001,)]
+    stored = read_target(spark, target)
+    dele = M.apply_deletes(stored, spark.createDataFrame([(3, 1)], "id long, seq int"))
+    assert write_changed_partitions(spark, target, dele.table, dele.changed) == [(2002,)]
+    got = sorted((r.id, r.year, r.month) for r in read_target(spark, target).collect())
+    assert got == [(1, 2001, 5), (2, 2001, 1), (4, 2003, 1)]
+    assert not Path(f"{tmp}/lake/year=2002").exists()
+    assert files(2003) == untouched  # never rewritten
