@@ -105,8 +105,8 @@ def replace_partitions(df: DataFrame, target: Target) -> None:
     _save(w, target)
 
 
-# a change batch touching more partition values than this is written as a
-# whole new table instead (the touched values go through the driver)
+# the touched partition values go through the driver; a batch touching more
+# than this is refused (write the whole new table to a new folder instead)
 MAX_TOUCHED_PARTITIONS = 100_000
 
 
@@ -118,8 +118,9 @@ def write_changed_partitions(
     key: str = "id",
 ) -> list[tuple]:
     """Write a changed table back to its partitioned folder, rewriting only
-    the partitions a change batch touched; the others are neither rewritten
-    nor read for the write.
+    the partitions a change batch touched; the others keep their files.
+    (Finding the touched partitions scans the key and partition columns;
+    the new table is computed as usual and filtered to those partitions.)
 
     A partition is touched when a changed key has a row in it before or after
     the batch (an update can move a row from one year to another). The new
