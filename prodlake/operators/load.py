@@ -23,7 +23,7 @@ from prodlake.schemas import PRODUCTION_RULES, ColumnRule
 from prodlake.session import path_exists, scratch_path
 from prodlake.sinks.writers import append
 from prodlake.sources.files import CORRUPT, scan_csv_checked
-from prodlake.sources.tables import Target, read_target
+from prodlake.sources.tables import Target, read_target, stored_max
 
 STATUS = "_status"
 
@@ -86,7 +86,12 @@ def copy_lake_to_table(
     names = [r.name for r in rules]
     bad = Q.rejected(staged.filter(F.col(STATUS) == "rejected").drop(STATUS))
     exists = target.kind in ("jdbc", "catalog") or path_exists(spark, target.location)
-    start = M.current_max_id(read_target(spark, target), key) if exists else 0
+    if not exists:
+        start = 0
+    elif target.kind == "parquet":
+        start = int(stored_max(spark, target.location, key) or 0)  # from footers, no id scan
+    else:
+        start = M.current_max_id(read_target(spark, target), key)
     accepted_path = f"{staged_path}/{STATUS}=accepted"
     if order_by:
         good = staged.filter(F.col(STATUS) == "accepted").select(*names)

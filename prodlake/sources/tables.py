@@ -62,3 +62,30 @@ def scan_table(spark: SparkSession, name_or_target: str | Target) -> DataFrame:
     if isinstance(name_or_target, Target):
         return read_target(spark, name_or_target)
     return spark.table(name_or_target)
+
+
+def footer_max_query(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """``max(column)`` of a Parquet folder planned to read only the files'
+    footer statistics (``PushedAggregation``), in a separate session (same
+    cluster, its own SQL settings) so the caller's session is unchanged."""
+    from pyspark.sql import functions as F
+
+    iso = spark.newSession()
+    v1 = iso.conf.get("spark.sql.sources.useV1SourceList")
+    # the footer read needs the Parquet source of Spark's newer data source API
+    iso.conf.set("spark.sql.sources.useV1SourceList", ",".join(f for f in v1.split(",") if f.strip() != "parquet"))
+    iso.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return iso.read.parquet(path).agg(F.max(column).alias(column))
+
+
+def stored_max(spark: SparkSession, path: str, column: str):
+    """``max(column)`` of a Parquet folder from its footers: one value per
+    file, no scan of the column (on a 100 TB table the id column alone is
+    terabytes). A file without statistics makes the footer read fail; then
+    the column is scanned."""
+    from pyspark.sql import functions as F
+
+    try:
+        return footer_max_query(spark, path, column).first()[0]
+    except Exception:  # noqa: BLE001 - no statistics in some footer
+        return spark.read.parquet(path).agg(F.max(column)).first()[0]

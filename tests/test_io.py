@@ -165,3 +165,16 @@ def test_ingest_formats_round_trip(spark, tmp):
         append(df, target)
         back = read_target(spark, target, schema=df.schema)
         assert sorted(tuple(r) for r in back.collect()) == sorted(2 * [("W-1", 2001, 1), ("W-2", 2002, 12)]), kind
+
+
+def test_stored_max_reads_footers(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from prodlake.sources.tables import footer_max_query, stored_max
+
+    path = f"{tmp}/ids"
+    spark.range(0, 5000, numPartitions=3).withColumn("year", (F.col("id") % 2).cast("int")).write.partitionBy("year").parquet(path)
+    assert stored_max(spark, path, "id") == 4999
+    plan = footer_max_query(spark, path, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(id)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") in ("false", None)  # caller's session untouched
