@@ -87,7 +87,11 @@ def scan_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
 
 
 def scan_binary(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """Files as opaque bytes: (path, modificationTime, length, content)."""
+    """Files as opaque bytes: (path, modificationTime, length, content).
+
+    Each file is one row whose content is held in memory by one task (Spark
+    refuses files over 2 GiB here); it suits many small files. Column
+    pruning to path / length / modificationTime reads no content."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
