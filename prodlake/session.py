@@ -33,6 +33,10 @@ def build_session(
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # a local run keeps the catalog's default folder out of the working
+        # directory; a cluster names its own warehouse
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="prodlake-warehouse-")
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
