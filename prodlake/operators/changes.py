@@ -41,9 +41,10 @@ _BAD = "_bad"
 @dataclass
 class ChangeResult:
     """The new table, one report row per change, the removed rows (deletes)
-    and ``changed``: one row per key whose stored row was added, replaced or
-    removed (what a partition-wise write needs, see
-    ``sinks.writers.write_changed_partitions``)."""
+    and ``changed``: the keys whose stored row the batch may have added,
+    replaced or removed (what a partition-wise write needs, see
+    ``sinks.writers.write_changed_partitions``; a key without a stored row
+    touches nothing)."""
 
     table: DataFrame
     report: DataFrame
@@ -186,14 +187,14 @@ def apply_updates(
     wanted = set(cols)
     ranked = [c for c in changes.columns if c in wanted]
     bad = (F.col(path_key) != F.col(key)) | F.col(path_key).isNull() | failed(insert_checks())
-    stored = table.select(key).withColumn("_found", F.lit(True))
-    flagged = changes.withColumn("_bad", bad).join(stored, key, "left")
+    checked = changes.withColumn("_bad", bad)
     candidate = F.struct(F.col(seq), *[F.col(c) for c in ranked])
-    winners = (
-        flagged.filter(~F.col("_bad") & F.col("_found"))
-        .groupBy(key)
-        .agg(F.max(candidate).alias("_win"))
-    )
+    # the winning valid change per key, whether or not the key is stored: the
+    # table's left join drops the keys it lacks, so the new table needs no
+    # pass over the table's keys (only the report asks which keys exist)
+    winners = checked.filter(~F.col("_bad")).groupBy(key).agg(F.max(candidate).alias("_win"))
+    stored = table.select(key).withColumn("_found", F.lit(True))
+    flagged = checked.join(stored, key, "left")
     status = (
         F.when(F.col("_bad"), F.lit(BAD_REQUEST))
         .when(F.col("_found").isNull(), F.lit(NOT_FOUND))
