@@ -225,9 +225,10 @@ def apply_deletes(table: DataFrame, deletes: DataFrame, key: str = "id", seq: st
         F.lit(NOT_FOUND)
     )
     report = flagged.join(first, key, "left").select(*deletes.columns, status.alias("status"))
-    # one row per deleted key (the aggregate above): a key deleted many times
-    # does not pile up on the join's build side
-    keys = first.select(key)
+    # one row per requested key (a partial aggregate), so a key deleted many
+    # times does not pile up on a build side; found or not does not matter to
+    # the new table, so it needs no pass over the table's keys
+    keys = deletes.select(key).distinct()
     kept = table.join(keys, key, "left_anti")
     removed = table.join(keys, key, "left_semi")
     return ChangeResult(kept, report, removed, changed=keys)
