@@ -58,11 +58,15 @@ def stage_checked(checked: DataFrame, path: str) -> DataFrame:
     input."""
     ok = Q.passed()
     status = F.when(ok, F.lit("accepted")).otherwise(F.lit("rejected"))
-    kept = [
-        F.when(~ok, F.col(c)).alias(c) if c == Q.RAW else c if c == Q.REASONS else F.when(ok, F.col(c)).alias(c)
-        for c in checked.columns
-    ]
-    out = checked.select(*kept, status.alias(STATUS))
+
+    def kept(c: str):
+        if c == Q.REASONS:
+            return F.col(c)
+        if c == Q.RAW:
+            return F.when(~ok, F.col(c)).alias(c)  # the text only where it is rejected
+        return F.when(ok, F.col(c)).alias(c)  # typed values only where accepted
+
+    out = checked.select(*[kept(c) for c in checked.columns], status.alias(STATUS))
     out.write.partitionBy(STATUS).parquet(path)
     # the written schema, so that a batch without rows reads as no rows
     return checked.sparkSession.read.schema(out.schema).parquet(path)
