@@ -45,3 +45,15 @@ def test_change_batches_shuffle_the_table_once(no_broadcast):
     # the table and the batch, each once; no extra pass over the table's keys
     assert shuffles(upd) == 2
     assert shuffles(dels) == 2
+
+
+def test_bucketed_table_changes_shuffle_only_the_batch(no_broadcast, tmp):
+    from prodlake.sinks.writers import full_refresh
+    from prodlake.sources.tables import Target
+
+    n = int(no_broadcast.conf.get("spark.sql.shuffle.partitions"))
+    target = Target.catalog("keyed_at_scale", path=f"{tmp}/kb", bucket_by=("id",), buckets=n)
+    full_refresh(fx.production_keyed(no_broadcast, SF), target)
+    table = no_broadcast.table("keyed_at_scale")
+    assert shuffles(M.apply_updates(table, PC.update_changes(no_broadcast, SF)).table) == 1
+    assert shuffles(M.apply_deletes(table, PC.delete_requests(no_broadcast, SF)).table) == 1
