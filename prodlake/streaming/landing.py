@@ -51,13 +51,18 @@ def land_raw_stream(
     fmt: str = "parquet",
     timeout_s: float = 600,
     partition_by: tuple[str, ...] = (),
+    max_files_per_trigger: int | None = None,
     **tags,
 ) -> StreamingQuery:
     """Land every file not landed before into ``output`` and stop.
 
-    Raises when the query fails or does not finish within ``timeout_s``.
+    ``max_files_per_trigger`` bounds each micro-batch; ``availableNow``
+    still takes every waiting file, in as many batches as needed, so a large
+    backlog is landed in steps that each fit the cluster, each committed to
+    the checkpoint. Raises when the query fails or does not finish within
+    ``timeout_s``.
     """
-    stream = raw_stream(spark, source, schema, fmt, **tags)
+    stream = raw_stream(spark, source, schema, fmt, max_files_per_trigger=max_files_per_trigger, **tags)
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -178,3 +178,16 @@ def test_stored_max_reads_footers(spark, tmp):
     plan = footer_max_query(spark, path, "id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [MAX(id)]" in plan
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") in ("false", None)  # caller's session untouched
+
+
+def test_stream_backlog_lands_in_bounded_batches(spark, tmp):
+    src = f"{tmp}/drop"
+    for i in range(4):
+        spark.range(i * 10, i * 10 + 10, numPartitions=1).write.parquet(f"{src}/b{i}")
+    schema = spark.read.parquet(f"{src}/b0").schema
+    out, ckpt = f"{tmp}/out", f"{tmp}/ckpt"
+    query = land_raw_stream(spark, f"{src}/*", schema, out, ckpt, timeout_s=120, max_files_per_trigger=1)
+    assert spark.read.parquet(out).count() == 40
+    # one file per micro-batch, every waiting file taken
+    batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 4 and all(p["numInputRows"] == 10 for p in batches)
