@@ -74,19 +74,27 @@ def number_stored(
     """
     stored = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     cols = [c for c in stored.columns if c != key]
+    # files are told apart by their full path (one task writes equal names
+    # into different partition folders) and ordered by their name
+    fpath = F.col("_metadata.file_path")
     fname = F.col("_metadata.file_name")
-    counts = stored.select(fname.alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    # names Spark did not write sort by name alone
+    counts = (
+        stored.select(fpath.alias("_file"), fname.alias("_name"))
+        .groupBy("_file", "_name")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    # names Spark did not write sort by name, then path
     file_order = [
-        F.regexp_extract("_file", _PART_FILE, 1).try_cast("long"),
-        F.regexp_extract("_file", _PART_FILE, 2).try_cast("long"),
+        F.regexp_extract("_name", _PART_FILE, 1).try_cast("long"),
+        F.regexp_extract("_name", _PART_FILE, 2).try_cast("long"),
+        F.col("_name"),
         F.col("_file"),
     ]
     before = Window.orderBy(*file_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     if len(stored.inputFiles()) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
-    rows = stored.select(*cols, fname.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    rows = stored.select(*cols, fpath.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     new_id = (F.lit(start_after) + F.col("_off") + F.col("_row") + F.lit(1)).cast("long")
     return rows.join(offsets, "_file").select(new_id.alias(key), *cols)
 

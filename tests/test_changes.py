@@ -169,3 +169,14 @@ def test_changed_partitions_only_are_rewritten(spark, tmp):
     assert got == [(1, 2001, 5), (2, 2001, 1), (4, 2003, 1)]
     assert not Path(f"{tmp}/lake/year=2002").exists()
     assert files(2003) == untouched  # never rewritten
+
+
+def test_stored_numbering_over_partition_folders(spark, tmp):
+    """One task writes files of the same name into several partition
+    folders; every row still gets its own id."""
+    from pyspark.sql import functions as F
+
+    path = f"{tmp}/parts"
+    spark.range(0, 600, numPartitions=2).withColumn("year", (F.col("id") % 3).cast("int")).write.partitionBy("year").parquet(path)
+    ids = sorted(r.id for r in M.number_stored(spark, path, 0, key="n").select(F.col("n").alias("id")).collect())
+    assert ids == list(range(1, 601))
