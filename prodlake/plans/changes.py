@@ -3,6 +3,8 @@ driver tables, applied to ``production_keyed``."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from prodlake.operators import changes as M
@@ -195,7 +197,8 @@ def production_keyed_bucketed(spark, sf_dir):
     memo = (id(spark), sf_dir)
     name = _BUCKETED.get(memo)
     if name is None or not spark.catalog.tableExists(name):
-        name = f"production_keyed_{len(_BUCKETED)}_{abs(hash(sf_dir)) % 10**8}"
+        # a new name each time: never replaces a table someone else made
+        name = f"production_keyed_{uuid.uuid4().hex[:12]}"
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         target = Target.catalog(name, path=scratch_path(spark, name), bucket_by=("id",), buckets=buckets)
         full_refresh(fx.production_keyed(spark, sf_dir), target)
