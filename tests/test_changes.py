@@ -180,3 +180,18 @@ def test_stored_numbering_over_partition_folders(spark, tmp):
     spark.range(0, 600, numPartitions=2).withColumn("year", (F.col("id") % 3).cast("int")).write.partitionBy("year").parquet(path)
     ids = sorted(r.id for r in M.number_stored(spark, path, 0, key="n").select(F.col("n").alias("id")).collect())
     assert ids == list(range(1, 601))
+
+
+def test_changed_partitions_create_a_new_year(spark, tmp):
+    from prodlake.sinks.writers import full_refresh, write_changed_partitions
+    from prodlake.sources.tables import Target, read_target
+
+    rows = [(1, "W-1", 2000, 1, Decimal(1), Decimal(0)), (2, "W-2", 2001, 1, Decimal(2), Decimal(0))]
+    target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
+    full_refresh(spark.createDataFrame(rows, SCHEMA), target)
+    moved = spark.createDataFrame([(1, 1, 1, "W-1", 2005, 5, Decimal(9), Decimal(9))], CHANGE)
+    upd = M.apply_updates(read_target(spark, target), moved)
+    assert sorted(write_changed_partitions(spark, target, upd.table, upd.changed)) == [(2000,), (2005,)]
+    got = sorted((r.id, r.year) for r in read_target(spark, target).collect())
+    assert got == [(1, 2005), (2, 2001)]
+    assert not Path(f"{tmp}/lake/year=2000").exists()
