@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import mixing
+from prodlake.llm import decontaminate, mixing
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,8 +22,22 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
+    "op9_decontamination": op9_decontamination,
 }
 ORACLE: dict[str, str] = {}
 
