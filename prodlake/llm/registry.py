@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import decontaminate, mixing
+from prodlake.llm import decontaminate, langid, mixing
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -36,6 +40,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op9_decontamination": op9_decontamination,
 }
