@@ -11,12 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import decontaminate, langid, mixing
+from prodlake.llm import decontaminate, langid, mixing, secrets
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(spans, k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.digest(spans, secrets.KINDS[:3]), 256).alias("base_sha256"),
+        secrets.digest(spans, secrets.KINDS).alias("spans"),
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -40,6 +51,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_secrets": op3_secrets,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op9_decontamination": op9_decontamination,
