@@ -109,6 +109,16 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
+def row_slices(batch: pa.RecordBatch, column: int, most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole rows whose texts have about ``most`` bytes."""
+    _, offsets = text_bytes(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _cuts(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
     """Slices of about SLICE_BYTES that end at a row's end or, inside a long
     row, behind a byte that belongs to no word."""
@@ -177,7 +187,7 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros(len(h) - n + 1, np.uint64)
     for i in range(n):
         out = out * _U(_BASE) + h[i : len(h) - n + 1 + i]
-    return mix64(out + _U(n) * _GOLD)
+    return mix64(out + _U(n * int(_GOLD) % (1 << 64)))
 
 
 def row_of(offsets: np.ndarray) -> np.ndarray:

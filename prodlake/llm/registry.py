@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import decontaminate, langid, mixing, secrets
+from prodlake.llm import decontaminate, langid, lm_score, mixing, secrets
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -54,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op3_secrets": op3_secrets,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
+    "op7_lm_score": op7_lm_score,
     "op9_decontamination": op9_decontamination,
 }
 ORACLE: dict[str, str] = {}

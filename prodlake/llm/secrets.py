@@ -9,7 +9,7 @@ Two kinds of spans are reported for every whole text, in code points:
   run's marginal cost: bytes of (context + run) less bytes of (context), both
   compressed against a dictionary of identifiers. Ordinary words, paths and
   identifiers are matched in the dictionary or the context and cost little; a
-  random string costs close to a byte a character.
+  random string costs half a byte a character (hexadecimal) up to a whole one.
 
 The dictionary holds a fixed list of identifiers common in code and the
 ``dictionary_words`` most frequent identifiers of the whole corpus (letters and
@@ -181,7 +181,7 @@ _SPANS = pa.list_(
 )
 
 
-def scanner(dictionary: bytes, threshold: float = 0.8):
+def scanner(dictionary: bytes, threshold: float = 0.5):
     """A column function: text -> spans. The dictionary's size is bounded by
     its word count, so it travels with the function."""
 
@@ -195,7 +195,7 @@ def scanner(dictionary: bytes, threshold: float = 0.8):
     return scan
 
 
-def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``doc_id, spans`` for every row."""
     scan = scanner(identifier_dictionary(docs, text_col), threshold)
     return docs.select(docs[id_col].alias("doc_id"), scan(docs[text_col]).alias("spans"))
