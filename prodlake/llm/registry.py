@@ -11,12 +11,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import decontaminate, langid, lm_score, mixing, secrets
+from prodlake.llm import chat, decontaminate, langid, lm_score, mixing, secrets
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: a public vocabulary file; its path is the operator's parameter
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.format_conversations(turns, tokenizer=VOCABULARY))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -55,6 +71,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_chat_format": op2_chat_format,
     "op3_secrets": op3_secrets,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
