@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import chat, decontaminate, langid, lm_score, mixing, secrets
+from prodlake.llm import chat, decontaminate, imatch, langid, lm_score, mixing, secrets
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op7_lm_score": op7_lm_score,
+    "op8_imatch": op8_imatch,
     "op9_decontamination": op9_decontamination,
 }
 ORACLE: dict[str, str] = {}
