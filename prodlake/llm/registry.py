@@ -11,12 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import chat, decontaminate, imatch, langid, lm_score, mixing, secrets
+from prodlake.llm import chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, secrets
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "cls")
+
+
 #: a public vocabulary file; its path is the operator's parameter
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -75,6 +80,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_chat_format": op2_chat_format,
     "op3_secrets": op3_secrets,
     "op4_language_id": op4_language_id,
