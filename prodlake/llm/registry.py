@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, secrets
+from prodlake.llm import chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, resample, secrets
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_chat_format": op2_chat_format,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op7_lm_score": op7_lm_score,
     "op8_imatch": op8_imatch,
     "op9_decontamination": op9_decontamination,
+    "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {}
 
