@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, resample, secrets
+from prodlake.llm import chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, resample, secrets, suffix_dedup
 from prodlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op3_secrets": op3_secrets,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_lm_score": op7_lm_score,
     "op8_imatch": op8_imatch,
     "op9_decontamination": op9_decontamination,
