@@ -10,12 +10,16 @@ megabyte at a time, so memory follows the slice and not the longest text.
 from __future__ import annotations
 
 import atexit
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from prodlake.session import delete_path, scratch_path
 
@@ -42,10 +46,41 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that its
+    functions run wherever the driver was started from."""
+    sc = spark.sparkContext
+    if _shipped.get("context") == sc.applicationId:
+        return
+    root = Path(__file__).resolve().parents[1]
+    into = Path(tempfile.mkdtemp(prefix="prodlake-package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(into, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(into))
+    _shipped["context"] = sc.applicationId
+
+
+_shipped: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(id_col: Column, text: Column) -> Column:
+    """A number by which rows that agree in id and text agree."""
+    return F.xxhash64(id_col.cast("string"), F.lit("\x00"), F.coalesce(text, F.lit("")))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # ---------------------------------------------------------------- hashing
 
 _U = np.uint64

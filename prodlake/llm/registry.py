@@ -6,13 +6,14 @@ digest columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodlake.llm import chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, resample, secrets, suffix_dedup
-from prodlake.llm.common import table
+from prodlake.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,8 +104,17 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {}
 
 
+def _shipping(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _shipping(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
