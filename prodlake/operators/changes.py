@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prodlake.operators.quality import default_checks, failed, production_checks
+from prodlake.operators.quality import apply_defaults, default_checks, failed, production_checks
 from prodlake.schemas import PRODUCTION_RULES
 from prodlake.session import scratch_path
 
@@ -34,17 +35,17 @@ CONFLICT = "conflict"
 # a part file's place in its folder: its task's partition, then its chunk
 # ("part-00003-<job uuid>-c000..." or, in a partition folder, "....c000...")
 _PART_FILE = r"^part-(\d+)-[0-9a-f-]{36}[-.]c(\d+)"
-MAX_BROADCAST_FILES = 200_000
-_BAD = "_bad"
+GROUP_FILES = 1000
+_BAD, _ROW = "_bad", "_row"
 
 
 @dataclass
 class ChangeResult:
     """The new table, one report row per change, the removed rows (deletes)
     and ``changed``: the keys whose stored row the batch may have added,
-    replaced or removed (what a partition-wise write needs, see
-    ``sinks.writers.write_changed_partitions``; a key without a stored row
-    touches nothing)."""
+    replaced or removed, with the new values where there are any (what a
+    partition-wise write needs, see ``sinks.writers.write_changed_partitions``;
+    a key without a stored row touches nothing)."""
 
     table: DataFrame
     report: DataFrame
@@ -68,9 +69,14 @@ def number_stored(
     running count of the files before it, by part and chunk number) plus its
     ``_metadata.row_index``. It does not depend on how files are split into
     tasks, on AQE or on a retried task, so every pass over the folder gives
-    the same ids. The offset table has one row per file; it is broadcast
-    only when the listed file count is under ``MAX_BROADCAST_FILES``.
-    ``schema`` (the written one) lets an empty folder read as no rows.
+    the same ids.
+
+    Offsets are counted on two levels: per group of ``GROUP_FILES`` part
+    numbers, then inside each group, so no task orders all files. What is
+    broadcast is 16 bytes a file (a hash of its path, its offset): 6 MB for
+    100 TB in files of 256 MiB. Rows are never shuffled for it. Two paths
+    with one hash raise. ``schema`` (the written one) lets an empty folder
+    read as no rows.
     """
     stored = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     cols = [c for c in stored.columns if c != key]
@@ -78,25 +84,32 @@ def number_stored(
     # into different partition folders) and ordered by their name
     fpath = F.col("_metadata.file_path")
     fname = F.col("_metadata.file_name")
+    part, chunk = (F.regexp_extract("_name", _PART_FILE, i).try_cast("long") for i in (1, 2))
+    # names Spark did not write sort first, by name and then path
+    group = F.coalesce(F.floor(part / F.lit(GROUP_FILES)), F.lit(-1)).cast("long")
     counts = (
         stored.select(fpath.alias("_file"), fname.alias("_name"))
         .groupBy("_file", "_name")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_file", "_name", "_n", part.alias("_part"), chunk.alias("_chunk"), group.alias("_group"))
+    )
+    place = scratch_path(spark, "file-counts")
+    counts.write.parquet(place)
+    counts = spark.read.schema(counts.schema).parquet(place)
+    # one row per GROUP_FILES files
+    groups = counts.groupBy("_group").agg(F.sum("_n").alias("_sum"))
+    ahead = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("_group", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_group").orderBy("_part", "_chunk", "_name", "_file")
+    before = F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_group", F.xxhash64("_file").alias("_hash"), before.alias("_before")).join(groups, "_group")
+    twice = F.count(F.lit(1)) > 1
+    offsets = offsets.groupBy("_hash").agg(
+        F.when(twice, F.raise_error(F.lit("two files share a path hash"))).otherwise(F.max(F.col("_base") + F.col("_before"))).alias("_off")
     )
-    # names Spark did not write sort by name, then path
-    file_order = [
-        F.regexp_extract("_name", _PART_FILE, 1).try_cast("long"),
-        F.regexp_extract("_name", _PART_FILE, 2).try_cast("long"),
-        F.col("_name"),
-        F.col("_file"),
-    ]
-    before = Window.orderBy(*file_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    if len(stored.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    rows = stored.select(*cols, fpath.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    rows = stored.select(*cols, F.xxhash64(fpath).alias("_hash"), F.col("_metadata.row_index").alias("_row"))
     new_id = (F.lit(start_after) + F.col("_off") + F.col("_row") + F.lit(1)).cast("long")
-    return rows.join(offsets, "_file").select(new_id.alias(key), *cols)
+    return rows.join(F.broadcast(offsets), "_hash").select(new_id.alias(key), *cols)
 
 
 def assign_ids(
@@ -134,17 +147,46 @@ def insert_checks() -> list[tuple[Column, str]]:
     return production_checks() + default_checks(PRODUCTION_RULES)
 
 
+def staged_batch(batch: DataFrame, name: str) -> DataFrame:
+    """The batch written once to the shared folder with a number per row
+    (``_row``), so that equal rows can be told apart and every later join
+    reads it from storage."""
+    spark = batch.sparkSession
+    numbered = batch.withColumn(_ROW, F.monotonically_increasing_id())
+    path = scratch_path(spark, name)
+    numbered.write.parquet(path)
+    return spark.read.schema(numbered.schema).parquet(path)
+
+
+def _stored_frame(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_defaults(batch: DataFrame) -> DataFrame:
+    """The table's defaults (oil and gas 0) for values a request leaves out."""
+    return apply_defaults(batch, PRODUCTION_RULES)
+
+
 def apply_inserts(
     table: DataFrame,
     requests: DataFrame,
     key: str = "id",
     order_by: Sequence[str] | None = None,
     reject_existing_on: Sequence[str] | None = None,
+    start_after: int | None = None,
 ) -> ChangeResult:
     """M1: valid requests become rows with new ids after the table's
-    largest; invalid ones are reported ``bad_request``. With
-    ``reject_existing_on``, a request equal to a stored row on those columns
-    is reported ``conflict`` (the prose's "can't create an existing entry").
+    largest; invalid ones are reported ``bad_request``. A missing oil or gas
+    takes the table's default. With ``reject_existing_on``, a request equal
+    to a stored row on those columns is reported ``conflict`` (the prose's
+    "can't create an existing entry"), and so are all but the first of
+    several requests equal to each other on them; NULLs count as equal.
+
+    ``start_after`` is the largest id in use when the caller knows it (e.g.
+    ``sources.tables.stored_max`` of a stored table, which reads footers);
+    otherwise the id column is scanned for it.
 
     The checked batch is landed once in the shared folder, split by status:
     the id sort (which reads its input twice, to sample and to shuffle) and
@@ -152,7 +194,8 @@ def apply_inserts(
     """
     cols = [c for c in table.columns if c != key]
     spark = requests.sparkSession
-    checked = requests.select(*cols, failed(insert_checks()).alias(_BAD))
+    checked = with_defaults(requests).select(*cols, failed(insert_checks()).alias(_BAD))
+    checked = checked.withColumn(_ROW, F.monotonically_increasing_id())
     path = scratch_path(spark, "insert-batch")
     checked.write.partitionBy(_BAD).parquet(path)
     staged = spark.read.schema(checked.schema).parquet(path)
@@ -160,18 +203,25 @@ def apply_inserts(
     invalid = staged.filter(F.col(_BAD)).drop(_BAD)
     report_parts = [invalid.select(*cols, F.lit(None).cast("long").alias(key), F.lit(BAD_REQUEST).alias("status"))]
     if reject_existing_on:
-        # distinct first (partial aggregate): a combination stored many times
-        # is one row before the join, not a hot key on its build side
-        stored = table.select(*reject_existing_on).distinct()
-        conflicts = valid.join(stored, list(reject_existing_on), "left_semi")
-        valid = valid.join(stored, list(reject_existing_on), "left_anti")
+        on = list(reject_existing_on)
+        # the first request of every combination, written before it is joined:
+        # both sides of the join then come from storage and a hot combination
+        # can be split; the table's side is joined as it is
+        first = valid.groupBy(*on).agg(F.min(_ROW).alias(_ROW))
+        first = _stored_frame(first, "first-requests")
+        a, b = first.alias("a"), table.select(*on).alias("b")
+        same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on])
+        new = _stored_frame(a.join(b, same, "left_anti").select(F.col(f"a.{_ROW}")), "new-requests")
+        conflicts = valid.join(new, _ROW, "left_anti")
+        valid = valid.join(new, _ROW, "left_semi")
         report_parts.append(conflicts.select(*cols, F.lit(None).cast("long").alias(key), F.lit(CONFLICT).alias("status")))
-    inserted = assign_ids(valid, current_max_id(table, key), key=key, order_by=order_by)
+    start = current_max_id(table, key) if start_after is None else start_after
+    inserted = assign_ids(valid.drop(_ROW), start, key=key, order_by=order_by)
     new_table = table.unionByName(inserted.select(*table.columns))
     report = inserted.select(*cols, key, F.lit(APPLIED).alias("status"))
     for part in report_parts:
         report = report.unionByName(part)
-    return ChangeResult(new_table, report, changed=inserted.select(key))
+    return ChangeResult(new_table, report, changed=inserted.select(key, *cols))
 
 
 def apply_updates(
@@ -184,9 +234,11 @@ def apply_updates(
     """M2 + M4: replace whole rows by key.
 
     Per change: ``bad_request`` when the path key differs from the body key
-    or the row is invalid, ``not_found`` when the key is not stored,
-    ``superseded`` when a later change (higher ``seq``) to the same key wins,
-    else ``applied``.
+    (a missing one differs from any) or the row is invalid after defaults,
+    ``not_found`` when the key is not stored, ``superseded`` when another
+    change to the same key wins, else ``applied``: exactly one per stored
+    key. The highest ``seq`` wins (NULL is the lowest), then the greatest
+    values, then one of the equal changes.
     """
     cols = [c for c in table.columns if c != key]
     # ties on seq go to the greatest values, compared in the change batch's
@@ -194,49 +246,50 @@ def apply_updates(
     # folder lists its partition columns last)
     wanted = set(cols)
     ranked = [c for c in changes.columns if c in wanted]
-    bad = (F.col(path_key) != F.col(key)) | F.col(path_key).isNull() | failed(insert_checks())
-    checked = changes.withColumn("_bad", bad)
-    candidate = F.struct(F.col(seq), *[F.col(c) for c in ranked])
+    mismatch = ~F.col(path_key).eqNullSafe(F.col(key)) | F.col(key).isNull()
+    bad = mismatch | failed(insert_checks())
+    checked = staged_batch(with_defaults(changes).withColumn(_BAD, bad), "update-batch")
+    candidate = F.struct(F.col(seq), *[F.col(c) for c in ranked], F.col(_ROW))
     # the winning valid change per key, whether or not the key is stored: the
     # table's left join drops the keys it lacks, so the new table needs no
     # pass over the table's keys (only the report asks which keys exist)
-    winners = checked.filter(~F.col("_bad")).groupBy(key).agg(F.max(candidate).alias("_win"))
-    stored = table.select(key).withColumn("_found", F.lit(True))
-    flagged = checked.join(stored, key, "left")
+    winners = checked.filter(~F.col(_BAD)).groupBy(key).agg(F.max(candidate).alias("_win"))
+    winners = _stored_frame(winners, "winning-updates")
+    # one row per requested key that is stored, with its winner's row: written
+    # before the batch is joined to it once, so a hot key can be split
+    known = winners.select(key, F.col(f"_win.{_ROW}").alias("_applied")).join(table.select(key), key, "left_semi")
+    known = _stored_frame(known, "stored-updates")
     status = (
-        F.when(F.col("_bad"), F.lit(BAD_REQUEST))
-        .when(F.col("_found").isNull(), F.lit(NOT_FOUND))
-        .when(candidate.eqNullSafe(F.col("_win")), F.lit(APPLIED))
+        F.when(F.col(_BAD), F.lit(BAD_REQUEST))
+        .when(F.col("_applied").isNull(), F.lit(NOT_FOUND))
+        .when(F.col("_applied") == F.col(_ROW), F.lit(APPLIED))
         .otherwise(F.lit(SUPERSEDED))
     )
-    report = flagged.join(winners, key, "left").select(
-        key, path_key, seq, *cols, status.alias("status")
-    )
+    report = checked.join(known, key, "left").select(key, path_key, seq, *cols, status.alias("status"))
     updated = table.join(winners, key, "left").select(
         key,
         *[F.when(F.col("_win").isNotNull(), F.col(f"_win.{c}")).otherwise(F.col(c)).alias(c) for c in cols],
     )
-    return ChangeResult(updated, report, changed=winners.select(key))
+    return ChangeResult(updated, report, changed=winners.select(key, *[F.col(f"_win.{c}").alias(c) for c in cols]))
 
 
 def apply_deletes(table: DataFrame, deletes: DataFrame, key: str = "id", seq: str = "seq") -> ChangeResult:
     """M3 + M4: remove rows by key, return the removed rows.
 
-    Per request: the first (lowest ``seq``) delete of a stored key is
-    ``applied``; a repeat, or a key that is not stored, is ``not_found``
-    (as a second DELETE call would be).
+    Per request: the first delete of a stored key is ``applied``, exactly
+    one: the lowest ``seq`` (NULL comes last), then one of the equal
+    requests. A repeat, or a key that is not stored, is ``not_found`` (as a
+    second DELETE call would be).
     """
-    stored = table.select(key).withColumn("_found", F.lit(True))
-    flagged = deletes.join(stored, key, "left")
-    first = flagged.filter(F.col("_found")).groupBy(key).agg(F.min(seq).alias("_first"))
-    status = F.when(F.col("_found").isNotNull() & (F.col(seq) == F.col("_first")), F.lit(APPLIED)).otherwise(
-        F.lit(NOT_FOUND)
-    )
-    report = flagged.join(first, key, "left").select(*deletes.columns, status.alias("status"))
-    # one row per requested key (a partial aggregate), so a key deleted many
-    # times does not pile up on a build side; found or not does not matter to
-    # the new table, so it needs no pass over the table's keys
-    keys = deletes.select(key).distinct()
+    batch = staged_batch(deletes, "delete-batch")
+    # one row per requested key (a partial aggregate); found or not does not
+    # matter to the new table, so it needs no pass over the table's keys
+    first = batch.groupBy(key).agg(F.min(F.struct(F.col(seq).isNull(), F.col(seq), F.col(_ROW))).alias("_f"))
+    first = _stored_frame(first.select(key, F.col(f"_f.{_ROW}").alias("_applied")), "first-deletes")
+    keys = first.select(key)
+    known = _stored_frame(first.join(table.select(key), key, "left_semi"), "stored-deletes")
+    status = F.when(F.col("_applied") == F.col(_ROW), F.lit(APPLIED)).otherwise(F.lit(NOT_FOUND))
+    report = batch.join(known, key, "left").select(*deletes.columns, status.alias("status"))
     kept = table.join(keys, key, "left_anti")
     removed = table.join(keys, key, "left_semi")
     return ChangeResult(kept, report, removed, changed=keys)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodlake.functions import INDEPENDENT, all_of, interval_bounds, search_predicate
+from prodlake.session import scratch_path
 
 
 def between(
@@ -54,9 +55,15 @@ def lookup(requests: DataFrame, table: DataFrame, key: str = "id", found: str =
 
     An equi-join on the key: AQE broadcasts a side whose runtime size is
     under the threshold and otherwise sort-merges both sides on the key.
-    The table's key must be unique (it is the primary key).
+    The table's key must be unique (it is the primary key). A request column
+    named like a stored one (or like ``found``) raises: neither may hide the
+    other.
     """
-    payload = [c for c in table.columns if c != key and c not in requests.columns]
+    taken = {c.lower() for c in requests.columns if c != key}
+    clash = [c for c in [*table.columns, found] if c != key and c.lower() in taken]
+    if clash:
+        raise ValueError(f"request columns named like stored ones: {clash}; rename them")
+    payload = [c for c in table.columns if c != key]
     right = table.select(key, *payload, F.lit(True).alias(found))
     out = requests.join(right, on=key, how="left")
     return out.withColumn(found, F.coalesce(F.col(found), F.lit(False)))
@@ -72,13 +79,22 @@ def missing(requests: DataFrame, table: DataFrame, key: str = "id") -> DataFrame
     return requests.join(table.select(key), on=key, how="left_anti")
 
 
-def exists_flag(requests: DataFrame, table: DataFrame, key: str = "id", flag: str = "present") -> DataFrame:
+def exists_flag(
+    requests: DataFrame, table: DataFrame, key: str = "id", flag: str = "present", unique: bool = True
+) -> DataFrame:
     """Every request with a boolean telling whether its key is present.
 
-    The table side is reduced to distinct keys first (map-side partial
-    aggregation, so a repeated key costs one row per partition), and the
-    join then reuses that hash partitioning.
+    A primary key is joined as it is: with a scan on both sides AQE can split
+    a request key that holds a third of the rows (an aggregate between the
+    shuffle and the join would rule that out). For a column that repeats,
+    ``unique=False`` writes the distinct keys to the shared folder first and
+    joins those.
     """
-    keys = table.groupBy(key).agg(F.lit(True).alias(flag))
+    keys = table.select(key)
+    if not unique:
+        path = scratch_path(requests.sparkSession, "distinct-keys")
+        keys.distinct().write.parquet(path)
+        keys = requests.sparkSession.read.schema(keys.schema).parquet(path)
+    keys = keys.withColumn(flag, F.lit(True))
     out = requests.join(keys, on=key, how="left")
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

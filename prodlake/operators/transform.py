@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prodlake.operators.quality import SEP, not_type
 from prodlake.schemas import OIL_GAS_TYPE
 
 
@@ -30,15 +31,31 @@ def map_columns(df: DataFrame, mapping: Mapping[str, str], drop: Sequence[str] =
     return df.select([F.col(s).alias(t) for s, t in mapping.items() if t not in drop])
 
 
-def auto_map(df: DataFrame, target: T.StructType, case_sensitive: bool = False) -> DataFrame:
+def auto_map(
+    df: DataFrame, target: T.StructType, case_sensitive: bool = False, reasons: str | None = None
+) -> DataFrame:
     """Map by equal names (import schemas): every target column taken from
-    the source column of the same name, NULL when the source has none."""
-    by_name = {(c if case_sensitive else c.lower()): c for c in df.columns}
+    the source column of the same name, NULL when the source has none. Source
+    columns equal but for case raise, unless ``case_sensitive``. With
+    ``reasons``, a column of that name tells which values didn't parse
+    (``; ``-joined, empty when all did)."""
+    fold = (lambda c: c) if case_sensitive else str.lower
+    by_name: dict[str, str] = {}
+    for c in df.columns:
+        if fold(c) in by_name:
+            raise ValueError(f"columns {by_name[fold(c)]!r} and {c!r} map to the same name")
+        by_name[fold(c)] = c
     cols = []
+    lost = []
     for f in target.fields:
-        src = by_name.get(f.name if case_sensitive else f.name.lower())
+        src = by_name.get(fold(f.name))
+        if src:
+            bad = F.col(src).isNotNull() & F.col(src).try_cast(f.dataType).isNull()
+            lost.append(F.when(bad, F.lit(not_type(f.name, f.dataType))))
         value = F.col(src).try_cast(f.dataType) if src else F.lit(None).cast(f.dataType)
         cols.append(value.alias(f.name))
+    if reasons:
+        cols.append((F.concat_ws(SEP, *lost) if lost else F.lit("")).alias(reasons))
     return df.select(cols)
 
 

@@ -185,6 +185,48 @@ def delete_report(spark, sf_dir):
     return _deleted(spark, sf_dir).report
 
 
+# --- conflicts: the insert batch above next to a third of the stored rows,
+# refused where an equal row is stored or was asked for before --------------
+def conflicting_requests(spark, sf_dir):
+    known = fx.production_keyed(spark, sf_dir).filter(F.col("id") % 3 == 0).select(*VALUE_COLS)
+    return insert_requests(spark, sf_dir).select(*VALUE_COLS).unionByName(known)
+
+
+_CONFLICT_SQL = (
+    f"SELECT {_V}, row_number() OVER (PARTITION BY {_V}) AS rn, ({_V}) IN (SELECT ({_V}) FROM production_keyed) AS stored "
+    f"FROM (SELECT {_V} FROM ({_REQ_SQL}) q UNION ALL SELECT {_V} FROM production_keyed WHERE id % 3 = 0) u WHERE {_VALID_SQL}"
+)
+
+
+@register(
+    "apply_inserts_conflict",
+    with_views(
+        f"SELECT {_V}, row_number() OVER (ORDER BY {', '.join(ID_ORDER)}) + (SELECT max(id) FROM production_keyed) AS id, "
+        f"'applied' AS status FROM ({_CONFLICT_SQL}) a WHERE rn = 1 AND NOT stored UNION ALL "
+        f"SELECT {_V}, CAST(NULL AS bigint) AS id, 'conflict' AS status FROM ({_CONFLICT_SQL}) c WHERE rn > 1 OR stored UNION ALL "
+        f"SELECT {_V}, CAST(NULL AS bigint) AS id, 'bad_request' AS status FROM ({_REQ_SQL}) q WHERE NOT ({_VALID_SQL})",
+        "production_keyed",
+    ),
+)
+def apply_inserts_conflict(spark, sf_dir):
+    table = fx.production_keyed(spark, sf_dir)
+    return M.apply_inserts(table, conflicting_requests(spark, sf_dir), order_by=ID_ORDER, reject_existing_on=VALUE_COLS).report
+
+
+@register(
+    "delete_report_ties",
+    with_views(
+        "SELECT id, seq, CASE WHEN found AND row_number() OVER (PARTITION BY id ORDER BY seq) = 1 THEN 'applied' ELSE 'not_found' END "
+        f"AS status FROM (SELECT d.*, id IN (SELECT id FROM production_keyed) AS found FROM ({_DEL_SQL} UNION ALL {_DEL_SQL}) d) x",
+        "production_keyed",
+    ),
+)
+def delete_report_ties(spark, sf_dir):
+    """Every delete asked for twice, with the same sequence number."""
+    requests = delete_requests(spark, sf_dir)
+    return M.apply_deletes(fx.production_keyed(spark, sf_dir), requests.unionByName(requests)).report
+
+
 # --- the keyed table stored bucketed by id: a change batch then shuffles only
 # itself; the table is read bucket by bucket, never re-shuffled -------------
 _BUCKETED: dict[tuple[int, str], str] = {}
@@ -226,18 +268,20 @@ def _keyed_lake_copy(spark, sf_dir) -> Target:
     return target
 
 
-def _commit(spark, target: Target, result: M.ChangeResult):
-    write_changed_partitions(spark, target, result.table, result.changed)
+def _commit(spark, target: Target, change):
+    write_changed_partitions(spark, target, change)
     return read_target(spark, target).select("id", *VALUE_COLS)
 
 
 @register("apply_updates_lake", ORACLE_SQL["apply_updates"])
 def apply_updates_lake(spark, sf_dir):
     target = _keyed_lake_copy(spark, sf_dir)
-    return _commit(spark, target, M.apply_updates(read_target(spark, target), update_changes(spark, sf_dir)))
+    batch = update_changes(spark, sf_dir)
+    return _commit(spark, target, lambda t: M.apply_updates(t, batch))
 
 
 @register("apply_deletes_lake", ORACLE_SQL["apply_deletes"])
 def apply_deletes_lake(spark, sf_dir):
     target = _keyed_lake_copy(spark, sf_dir)
-    return _commit(spark, target, M.apply_deletes(read_target(spark, target), delete_requests(spark, sf_dir)))
+    batch = delete_requests(spark, sf_dir)
+    return _commit(spark, target, lambda t: M.apply_deletes(t, batch))

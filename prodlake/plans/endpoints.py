@@ -4,6 +4,8 @@ consumer's long and pivoted shapes."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from prodlake.functions import CHRONOLOGICAL, INDEPENDENT
@@ -11,7 +13,10 @@ from prodlake.operators import aggregates as A
 from prodlake.operators import filters as Fl
 from prodlake.plans.oracle import dmean, dsum, interval_sql, with_views
 from prodlake.plans.registry import register
+from prodlake.session import scratch_path
+from prodlake.sinks.writers import full_refresh
 from prodlake.sources import fixtures as fx
+from prodlake.sources import tables as Tb
 
 # --- fixed parameters of the registered queries --------------------------
 # The driver data spans 1995..2001. SPAN is an ordinary interval; CROSS has
@@ -93,7 +98,55 @@ KEYED_COLS = "id, wellbore, year, month, oil, gas"
 
 @register("scan_table", with_views(f"SELECT {KEYED_COLS} FROM production_keyed", "production_keyed"))
 def scan_table(spark, sf_dir):
-    return fx.production_keyed(spark, sf_dir)
+    """The table and a view over it, each read by name: the view's rows the
+    stored table also has."""
+    name = stored_keyed(spark, sf_dir)
+    view = f"{name}_view"
+    Tb.scan_table(spark, name).createOrReplaceTempView(view)
+    return Tb.scan_table(spark, view).select(*KEYED_COLS.split(", "))
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_keyed(spark, sf_dir) -> str:
+    """``production_keyed`` saved once per session as a catalog table in the
+    shared folder: filters on its columns reach the Parquet scan."""
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    name = _STORED.get(memo)
+    if name is None or not spark.catalog.tableExists(name):
+        name = f"production_{uuid.uuid4().hex[:12]}"
+        full_refresh(fx.production_keyed(spark, sf_dir), Tb.Target.catalog(name, path=scratch_path(spark, name)))
+        _STORED[memo] = name
+    return name
+
+
+@register(
+    "search_stored",
+    with_views(
+        f"SELECT {KEYED_COLS} FROM production_keyed "
+        f"WHERE contains(wellbore, '{SEARCH_TEXT}') OR contains(cast(year AS varchar), '{SEARCH_TEXT}')",
+        "production_keyed",
+    ),
+)
+def search_stored(spark, sf_dir):
+    return Fl.search(Tb.scan_table(spark, stored_keyed(spark, sf_dir)), SEARCH_TEXT)
+
+
+@register(
+    "filter_equal_stored",
+    with_views(f"SELECT {KEYED_COLS} FROM production_keyed WHERE wellbore = '{EQUAL_WELLBORE}'", "production_keyed"),
+)
+def filter_equal_stored(spark, sf_dir):
+    return Fl.filter_equal(Tb.scan_table(spark, stored_keyed(spark, sf_dir)), "wellbore", EQUAL_WELLBORE)
+
+
+@register(
+    "first_match_value",
+    with_views(f"SELECT {KEYED_COLS} FROM production_keyed WHERE wellbore = '{EQUAL_WELLBORE}' ORDER BY id LIMIT 1", "production_keyed"),
+)
+def first_match_value(spark, sf_dir):
+    return A.first_match(Tb.scan_table(spark, stored_keyed(spark, sf_dir)), EQUAL_WELLBORE, order="id")
 
 
 @register(

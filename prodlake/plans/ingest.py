@@ -12,8 +12,8 @@ from prodlake.operators import aggregates as A
 from prodlake.operators import quality as Q
 from prodlake.operators import transform as P
 from prodlake.plans import staging as S
-from prodlake.plans.oracle import VIEWS, with_views
-from prodlake.plans.registry import register
+from prodlake.plans.oracle import with_views
+from prodlake.plans.registry import ORACLE, register
 from prodlake.schemas import (
     ENRICH_OFFSET,
     FIELD_CARRIER,
@@ -21,7 +21,9 @@ from prodlake.schemas import (
     FIELD_MEASURES,
     FIELD_TYPES,
     FIELD_YEAR,
+    OIL_GAS_TYPE,
     PRODUCTION_RULES,
+    WELLBORE_RULES,
     ColumnRule,
 )
 from prodlake.session import scratch_path
@@ -329,10 +331,14 @@ def validate_schema(spark, sf_dir):
 PART_SCHEMA = T.StructType([T.StructField(r.name, T.StringType(), True) for r in PART_RULES])
 
 
-@register("scan_binary")
+@register("scan_binary", with_views(f"SELECT {_FIELD_TEXT_COLS} FROM field_csv", "field_csv"))
 def scan_binary(spark, sf_dir):
-    """Rows-only: file names carry a per-run folder."""
-    return SF.scan_binary(spark, field_csv(spark, sf_dir), glob="*.csv").select("path", "length", "content")
+    """The files' bytes, decoded to lines here and split into fields: what
+    was landed comes back. Each file's first line is its header."""
+    files = SF.scan_binary(spark, field_csv(spark, sf_dir), glob="*.csv").select("content")
+    lines = files.select(F.explode(F.slice(F.split(F.decode("content", "UTF-8"), "\n"), 2, 1 << 30)).alias("line"))
+    fields = F.split("line", ",")
+    return lines.filter("line <> ''").select(*[fields[i].alias(c) for i, c in enumerate(FIELD_COLUMNS)])
 
 
 @register("scan_json_array", with_views(f"SELECT {_PART_COLS} FROM part_strings", "part_strings"))
@@ -418,4 +424,93 @@ def two_step_refresh(spark, sf_dir):
     return read_target(spark, target)
 
 
-__all__ = ["VIEWS"]
+@register(
+    "scan_json_array_checked",
+    with_views(f"SELECT {_PART_COLS}, '' AS reason FROM part_strings UNION ALL "
+               f"SELECT {', '.join(f'NULL AS {r.name}' for r in PART_RULES)}, '{Q.MALFORMED}' AS reason", "part_strings"),
+)
+def scan_json_array_checked(spark, sf_dir):
+    """The arrays next to a file that breaks off: it is one row with a reason."""
+    broken = scratch_path(spark, "broken-json")
+    spark.range(1).select(F.lit('[{"p_partkey": "1"}, {"p_partkey": "2"').alias("value")).write.text(broken)
+    rows = SF.scan_json_array_checked(spark, [part_json_arrays(spark, sf_dir), broken], PART_SCHEMA)
+    text_rules = [ColumnRule(r.name, T.StringType(), nullable=True, max_length=None) for r in PART_RULES]
+    checked = Q.type_and_check(rows, text_rules)
+    return checked.select(*[r.name for r in PART_RULES], F.col(Q.REASONS).alias("reason"))
+
+
+@register(
+    "expand_record_lists",
+    with_views("SELECT wellbore, year, month, oil FROM production_keyed", "production_keyed"),
+)
+def expand_record_lists(spark, sf_dir):
+    """Lists of records (the orders of a customer and year) to one row a record."""
+    rows = fx.production_keyed(spark, sf_dir)
+    lists = rows.groupBy("wellbore", "year").agg(F.to_json(F.collect_list(F.struct("year", "month", "oil"))).alias("records"))
+    record = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField("oil", OIL_GAS_TYPE)])
+    return P.expand_records(lists.drop("year"), "records", T.ArrayType(record), keep=["wellbore"])
+
+
+@register(
+    "auto_map_append",
+    with_views(
+        "SELECT TRY_CAST(p_partkey AS bigint) AS p_partkey, p_name, p_brand AS P_BRAND, CAST(NULL AS varchar) AS p_comment, '' AS reason "
+        "FROM part_strings UNION ALL SELECT TRY_CAST(p_name AS bigint), p_name, p_brand, NULL, "
+        "CASE WHEN TRY_CAST(p_name AS bigint) IS NULL THEN 'p_partkey: not bigint' ELSE '' END FROM part_strings",
+        "part_strings",
+    ),
+)
+def auto_map_append(spark, sf_dir):
+    """Two sources mapped by name and appended; keys that don't parse (the
+    second source has names there) are NULL with a reason."""
+    rows = fx.part_strings(spark, sf_dir)
+    first = P.auto_map(rows, _AUTO_TARGET, reasons="reason")
+    second = P.auto_map(rows.withColumn("p_partkey", F.col("p_name")).select("p_partkey", "p_name", "p_brand"), _AUTO_TARGET, reasons="reason")
+    return P.union_by_name(first, second)
+
+
+def wide_wellbores(spark, sf_dir):
+    """Every part as a row of the declared 81 text columns: its values spread
+    over them in turn, some left out, some too long."""
+    part = fx.part_strings(spark, sf_dir)
+    source = part.columns
+    return part.select(
+        *[F.expr(_wide_sql(i, source[i % len(source)])).alias(r.name) for i, r in enumerate(WELLBORE_RULES)], F.col("p_partkey").alias("_part")
+    )
+
+
+def _wide_sql(i: int, column: str) -> str:
+    """Column ``i``: every 7th value left out in a different row, every 11th
+    repeated 60 times."""
+    return (
+        f"CASE WHEN (cast(p_partkey AS bigint) + {i}) % 7 = 0 THEN NULL "
+        f"WHEN (cast(p_partkey AS bigint) + {i}) % 11 = 0 THEN repeat({column}, 60) ELSE {column} END"
+    )
+
+
+def _wide_reasons_sql() -> str:
+    source = [r.name for r in PART_RULES]
+    out = []
+    for i, r in enumerate(WELLBORE_RULES):
+        value = _wide_sql(i, source[i % len(source)]).replace("AS string", "AS varchar")
+        if not r.nullable:
+            out.append(f"CASE WHEN ({value}) IS NULL THEN '{r.name}: required' END")
+        if r.max_length is not None:
+            out.append(f"CASE WHEN length({value}) > {r.max_length} THEN '{r.name}: longer than {r.max_length}' END")
+    return f"concat_ws('; ', {', '.join(out)})"
+
+
+@register("validate_wellbore", with_views(f"SELECT p_partkey, {_wide_reasons_sql()} AS reason FROM part_strings", "part_strings"))
+def validate_wellbore(spark, sf_dir):
+    """V3 with the 81 declared columns over a whole driver table."""
+    checked = Q.validate_schema(wide_wellbores(spark, sf_dir), WELLBORE_RULES)
+    return checked.select(F.col("_part").alias("p_partkey"), F.col(Q.REASONS).alias("reason"))
+
+
+@register("notebook_end_to_end", ORACLE["enrich_column"])
+def notebook_end_to_end(spark, sf_dir):
+    """Extract, cast, sum, enrich, append to a table, read the table back."""
+    target = Target.parquet(scratch_path(spark, "transformed"))
+    sums = _carrier_sums(spark, sf_dir)
+    W.append(P.enrich_column(sums, "GDPRColumn", F.col(FIELD_YEAR) + F.lit(ENRICH_OFFSET)), target)
+    return read_target(spark, target)

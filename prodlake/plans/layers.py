@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from prodlake.operators import layers as L
 from prodlake.operators.load import copy_lake_to_table as _copy
 from prodlake.plans.changes import ID_ORDER, VALUE_COLS
@@ -45,10 +47,28 @@ def events_drop_folder(spark, sf_dir) -> str:
     return S.landed(spark, sf_dir, "events_drop", fx.events, S.write_parquet)
 
 
-@register("land_raw")
+_EVENT = "event_id, user_id, event_type, ts, value"
+_TAG_SQL = ", ".join(f"'{v}' AS {k}" for k, v in TAGS.items())
+
+
+def _stable(landed):
+    """What doesn't differ from run to run: the event, its tags, and that
+    it names its source file and a time."""
+    file = F.regexp_extract(F.col("source_path"), r"([^/]+)$", 1)
+    return landed.select(
+        *_EVENT.split(", "),
+        *TAGS,
+        (F.length(file) > 0).alias("has_source"),
+        F.col("source_time").isNotNull().alias("has_time"),
+    )
+
+
+_LANDED_SQL = f"SELECT {_EVENT}, {_TAG_SQL}, TRUE AS has_source, TRUE AS has_time FROM events"
+
+
+@register("land_raw", _LANDED_SQL)
 def land_raw(spark, sf_dir):
-    """Rows-only: the source time is the file's modification time."""
-    return L.land_raw(fx.events(spark, sf_dir), **TAGS)
+    return _stable(L.land_raw(fx.events(spark, sf_dir), **TAGS))
 
 
 @register("dedup_raw", "SELECT DISTINCT * FROM events")
@@ -58,26 +78,34 @@ def dedup_raw(spark, sf_dir):
     return L.dedup_raw(ev.unionByName(ev))
 
 
-@register("dedup_raw_keep_first")
+@register("dedup_raw_keep_first", _LANDED_SQL.replace("SELECT", "SELECT DISTINCT", 1))
 def dedup_raw_keep_first(spark, sf_dir):
-    """Rows-only: landed twice with metadata, earliest landing kept."""
+    """Landed twice with metadata, earliest landing kept."""
     landed = L.land_raw(fx.events(spark, sf_dir), **TAGS)
-    return L.dedup_raw(landed.unionByName(landed), metadata=["source_path", "source_time"])
+    return _stable(L.dedup_raw(landed.unionByName(landed), metadata=["source_path", "source_time"]))
 
 
-@register("lineage_columns")
+@register(
+    "lineage_columns",
+    "SELECT event_id, ts, event_type, value, 'events.parquet' AS file, 'events-transform' AS job, TRUE AS has_load_time FROM events",
+)
 def lineage_columns(spark, sf_dir):
-    """Rows-only: load time differs per run."""
+    """The load time differs per run; that there is one doesn't. The file is
+    the driver table's name, a folder or a file."""
     raw = L.land_raw(fx.events(spark, sf_dir), **TAGS)
-    return L.lineage_columns(raw.select("event_id", "ts", "event_type", "value", "source_path"), job="events-transform")
+    traced = L.lineage_columns(raw.select("event_id", "ts", "event_type", "value", "source_path"), job="events-transform")
+    file = F.regexp_extract("source_path", r"(events\.parquet)", 1)
+    return traced.select(
+        "event_id", "ts", "event_type", "value", file.alias("file"), "job", F.col("load_time").isNotNull().alias("has_load_time")
+    )
 
 
-@register("land_raw_stream")
+@register("land_raw_stream", _LANDED_SQL)
 def land_raw_stream(spark, sf_dir):
-    """Rows-only: the events file landed by a streaming query, run twice on
-    one checkpoint (the second run finds no new file and adds nothing)."""
+    """The events file landed by a streaming query, run twice on one
+    checkpoint (the second run finds no new file and adds nothing)."""
     schema = fx.events(spark, sf_dir).schema
     out, ckpt = scratch_path(spark, "raw-events"), scratch_path(spark, "raw-events-ckpt")
     for _ in range(2):
         _land_stream(spark, events_drop_folder(spark, sf_dir), schema, out, ckpt, **TAGS)
-    return spark.read.parquet(out)
+    return _stable(spark.read.parquet(out))

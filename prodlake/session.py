@@ -7,9 +7,11 @@ passes them (tests pass small numbers for ``local[*]``).
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 
@@ -46,9 +48,6 @@ def build_session(
 
 
 MiB = 1 << 20
-# most reduce partitions one shuffle should have (map-status size and
-# scheduler load grow with it); AQE coalesces the rest down at run time
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def scale_settings(input_bytes: int, total_cores: int, partition_mib: int = 256) -> dict[str, str]:
@@ -69,7 +68,7 @@ def scale_settings(input_bytes: int, total_cores: int, partition_mib: int = 256)
     width = max(2 * total_cores, -(-input_bytes // target))
     return {
         "spark.sql.files.maxPartitionBytes": str(target),
-        "spark.sql.shuffle.partitions": str(min(width, MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -81,7 +80,9 @@ def scale_settings(input_bytes: int, total_cores: int, partition_mib: int = 256)
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    # "local-cluster" has executors of their own and counts as a cluster
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -111,7 +112,27 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused path below the shared folder (no overwrite races)."""
     base = shared_dir(spark)
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def drop_scratch() -> None:
+    """Remove every scratch path this driver made. Runs when the driver
+    ends; a long-running driver may call it once its results are committed
+    (frames that still read scratch copies can't be used after it)."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            delete_path(spark, path)
+        except (Py4JError, OSError, AttributeError):  # the JVM is gone
+            return
+
+
+atexit.register(drop_scratch)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

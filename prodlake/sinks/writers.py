@@ -8,12 +8,14 @@ before reading it. Snapshots go to a new folder instead.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.session import delete_path, scratch_path
-from prodlake.sources.files import scan_csv
+from prodlake.operators.changes import ChangeResult
+from prodlake.session import delete_path, path_exists, scratch_path
+from prodlake.sources.files import CORRUPT, scan_csv_checked
 from prodlake.sources.tables import Target, read_target
 
 
@@ -53,10 +55,7 @@ def append(df: DataFrame, target: Target, batch_size: int | None = None, num_par
     """
     w = _writer(df, target, "append")
     if target.kind == "jdbc":
-        if batch_size:
-            w = w.option("batchsize", str(batch_size))
-        if num_partitions:
-            w = w.option("numPartitions", str(num_partitions))
+        w = _batched(w, batch_size, num_partitions)
     _save(w, target)
 
 
@@ -76,13 +75,24 @@ def write_jdbc(
     if mode == "append":
         append(df, target, batch_size=batch_size, num_partitions=num_partitions)
     elif mode == "overwrite":
-        full_refresh(df, target)
+        full_refresh(df, target, batch_size=batch_size, num_partitions=num_partitions)
     else:
         raise ValueError(f"unsupported mode {mode!r}")
 
 
-def full_refresh(df: DataFrame, target: Target) -> None:
-    """Empty the target, then load the rows (idempotent).
+def _batched(w, batch_size: int | None, num_partitions: int | None):
+    if batch_size:
+        w = w.option("batchsize", str(batch_size))
+    if num_partitions:
+        w = w.option("numPartitions", str(num_partitions))
+    return w
+
+
+def full_refresh(
+    df: DataFrame, target: Target, batch_size: int | None = None, num_partitions: int | None = None
+) -> None:
+    """Empty the target, then load the rows (idempotent). For JDBC,
+    ``batch_size`` and ``num_partitions`` as in :func:`append`.
 
     JDBC keeps the table and its definition (``TRUNCATE`` then insert); a
     folder is overwritten whole, partitioned or not (static overwrite,
@@ -90,7 +100,7 @@ def full_refresh(df: DataFrame, target: Target) -> None:
     """
     w = _writer(df, target, "overwrite")
     if target.kind == "jdbc":
-        w = w.option("truncate", "true")
+        w = _batched(w.option("truncate", "true"), batch_size, num_partitions)
     else:
         w = w.option("partitionOverwriteMode", "static")
     _save(w, target)
@@ -105,74 +115,121 @@ def replace_partitions(df: DataFrame, target: Target) -> None:
     _save(w, target)
 
 
-# the touched partition values go through the driver; a batch touching more
-# than this is refused (write the whole new table to a new folder instead)
-MAX_TOUCHED_PARTITIONS = 100_000
+def _null_safe(left: str, right: str, columns: Sequence[str]):
+    return reduce(lambda x, y: x & y, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
+def _bounds(parts: DataFrame, columns: Sequence[str]):
+    """A filter that every row of ``parts`` meets and that prunes folders:
+    least and greatest value per column (two values and a flag each)."""
+    stats = parts.agg(
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))],
+        *[F.max(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
+    ).first()
+    out = F.lit(True)
+    for c in columns:
+        inside = F.col(c).isNull() if stats[f"null_{c}"] else F.lit(False)
+        if stats[f"lo_{c}"] is not None:
+            inside = inside | F.col(c).between(F.lit(stats[f"lo_{c}"]), F.lit(stats[f"hi_{c}"]))
+        out = out & inside
+    return out
+
+
+def stored_slice(stored: DataFrame, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The stored rows of the ``touched`` partitions (NULL is a partition as
+    well); the scan reads the folders within their bounds alone."""
+    s, t = stored.filter(_bounds(touched, columns)).alias("s"), touched.alias("t")
+    return s.join(t, _null_safe("s", "t", columns), "left_semi").select(*stored.columns)
 
 
 def write_changed_partitions(
     spark: SparkSession,
     target: Target,
-    new_table: DataFrame,
-    changed: DataFrame,
+    change: Callable[[DataFrame], ChangeResult],
     key: str = "id",
-) -> list[tuple]:
+) -> DataFrame:
     """Write a changed table back to its partitioned folder, rewriting only
-    the partitions a change batch touched; the others keep their files.
-    (Finding the touched partitions scans the key and partition columns;
-    the new table is computed as usual and filtered to those partitions.)
-
-    A partition is touched when a changed key has a row in it before or after
-    the batch (an update can move a row from one year to another). The new
-    content of the touched partitions is staged in the shared folder first
-    (Spark cannot overwrite a folder it is reading), then moved in by dynamic
-    partition overwrite; a touched partition left without rows is removed.
-    Returns the touched partition values.
+    the partitions a batch of updates or deletes touched; the others keep
+    their files. ``change`` applies the batch to a table, e.g. ``lambda t:
+    apply_updates(t, batch)``.
+
+    A partition is touched when a changed key has a row in it, or (an update
+    can move a row to another year) will have. Finding them scans the key and
+    partition columns; the batch is then applied to the stored rows of those
+    partitions alone. Their new content is staged in the shared folder, and
+    ``commit_partitions`` swaps it in. If the driver is lost during the swap,
+    call ``commit_partitions`` on the staged folder again: it does the same
+    once more, whatever was done before. Returns the touched partitions, one
+    row each.
     """
     parts = list(target.partition_by)
     if not parts or target.kind in ("jdbc", "catalog"):
         raise ValueError("write_changed_partitions needs a partitioned file target")
     stored = read_target(spark, target)
-    keys = changed.select(key).distinct()
-    before = stored.join(keys, key, "left_semi").select(*parts)
-    after = new_table.join(keys, key, "left_semi").select(*parts)
-    touched_df = before.unionByName(after).distinct()
-    touched = [tuple(r) for r in touched_df.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(touched) > MAX_TOUCHED_PARTITIONS:
-        raise ValueError("the batch touches too many partitions; write the new table to a new folder")
-    if not touched:
-        return []
-    touched_small = F.broadcast(spark.createDataFrame(touched, touched_df.schema))
-    content = new_table.join(touched_small, parts, "left_semi").select(*stored.columns)
-    staged_path = scratch_path(spark, "changed-partitions")
-    content.write.partitionBy(*parts).format(target.kind).save(staged_path)
-    staged = spark.read.schema(content.schema).format(target.kind).load(staged_path)
-    # touched partitions that keep no row: their folders, found by Spark's own listing
-    kept = {tuple(r) for r in staged.select(*parts).distinct().collect()}
-    emptied = [t for t in touched if t not in kept]
-    folders = []
-    if emptied:
-        listed = spark.read.schema(stored.schema).format(target.kind).load(target.location)
-        gone = spark.createDataFrame(emptied, touched_df.schema)
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
-        with_folder = listed.select(*parts, folder.alias("_folder"))
-        folders = [r[0] for r in with_folder.join(F.broadcast(gone), parts, "left_semi").select("_folder").distinct().collect()]
-    if kept:
-        replace_partitions(staged, target)
-    for path in folders:
-        delete_path(spark, path)
-    return touched
+    place = scratch_path(spark, "changed-partitions")
+    changed = change(stored).changed
+    # a key without a stored row touches nothing
+    hits = stored.select(key, *parts).join(changed.select(key).distinct(), key, "left_semi")
+    touched = hits.select(*parts)
+    if set(parts) <= set(changed.columns):
+        moved = changed.select(key, *parts).join(stored.select(key), key, "left_semi")
+        touched = touched.unionByName(moved.select(*parts))
+    touched.distinct().write.parquet(f"{place}/touched")
+    touched = spark.read.schema(touched.schema).parquet(f"{place}/touched")
+    if touched.isEmpty():
+        delete_path(spark, place)
+        return spark.createDataFrame([], touched.schema)
+    content = change(stored_slice(stored, touched, parts)).table.select(*stored.columns)
+    # full-size files, large partitions split over several
+    content.hint("rebalance", *parts).write.partitionBy(*parts).format(target.kind).save(f"{place}/content")
+    found = touched.toArrow()
+    commit_partitions(spark, target, place)
+    return spark.createDataFrame(found)
+
+
+def commit_partitions(spark: SparkSession, target: Target, place: str) -> None:
+    """Swap staged partitions in (see ``write_changed_partitions``): the ones
+    with rows by dynamic overwrite, then the folders of the emptied ones are
+    removed, the staged copy last. Safe to run again after a crash."""
+    parts = list(target.partition_by)
+    if not path_exists(spark, f"{place}/content"):
+        raise ValueError(f"nothing staged in {place}")
+    stored = read_target(spark, target)
+    staged = spark.read.schema(stored.schema).format(target.kind).load(f"{place}/content")
+    touched = spark.read.parquet(f"{place}/touched")
+    filled = staged.select(*parts).distinct()
+    emptied = touched.alias("t").join(filled.alias("f"), _null_safe("t", "f", parts), "left_anti")
+    # found by Spark's own listing before anything is changed
+    listed = spark.read.schema(stored.schema).format(target.kind).load(target.location)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
+    with_folder = listed.select(*parts, folder.alias("_folder")).alias("s")
+    gone = with_folder.join(emptied.alias("e"), _null_safe("s", "e", parts), "left_semi").select("_folder").distinct()
+    if not path_exists(spark, f"{place}/gone"):
+        gone.write.parquet(f"{place}/gone")
+    replace_partitions(staged, target)
+    for r in spark.read.schema(gone.schema).parquet(f"{place}/gone").toLocalIterator():
+        delete_path(spark, r["_folder"])
+    delete_path(spark, place)
 
 
 def sink_lake(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("year",)) -> str:
-    """Write a frame to the lake, partitioned so year filters prune folders."""
-    full_refresh(df, Target(fmt, path, {}, tuple(partition_by)))
+    """Write a frame to the lake, partitioned so year filters prune folders.
+    Rows are dealt by partition first (full-size files, a large year split
+    over several), not written as a file per task and year."""
+    full_refresh(df.hint("rebalance", *partition_by), Target(fmt, path, {}, tuple(partition_by)))
     return path
 
 
 def csv_to_json(spark: SparkSession, src: str, dst: str, **csv_options) -> str:
-    """Convert CSV (header row) to JSON Lines, one file per task."""
-    scan_csv(spark, src, **csv_options).write.mode("overwrite").json(dst)
+    """Convert CSV (header row) to JSON Lines, one file per task. Lines with
+    too many or too few fields are not converted: they go, as read, to
+    ``<dst>_rejected`` (text)."""
+    rows = scan_csv_checked(spark, src, **csv_options)
+    good = F.col(CORRUPT).isNull()
+    # with every column asked for, a line's field count is always checked
+    rows.filter(good).drop(CORRUPT).write.mode("overwrite").json(dst)
+    rejected = rows.filter(~good).select(*[c for c in rows.columns if c != CORRUPT], CORRUPT).select(F.col(CORRUPT).alias("value"))
+    rejected.write.mode("overwrite").text(f"{dst}_rejected")
     return dst
 
 

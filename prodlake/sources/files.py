@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+# a quote inside a quoted field is written twice
+QUOTING = {"quote": '"', "escape": '"'}
 
 
 def _text_schema(names: list[str]) -> T.StructType:
@@ -25,13 +27,13 @@ def scan_csv(spark: SparkSession, path: str | list[str], columns: list[str] | No
     columns fails instead of being mapped by position.
     """
     if columns:
-        return spark.read.schema(_text_schema(columns)).options(header=True, enforceSchema=False, **options).csv(path)
-    return spark.read.options(header=True, inferSchema=False, **options).csv(path)
+        return spark.read.schema(_text_schema(columns)).options(**{"header": True, "enforceSchema": False, **QUOTING, **options}).csv(path)
+    return spark.read.options(**{"header": True, "inferSchema": False, **QUOTING, **options}).csv(path)
 
 
 def header_columns(spark: SparkSession, path: str | list[str], **options) -> list[str]:
     """Column names from the header row (Spark reads one line, not the data)."""
-    return spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
+    return spark.read.options(**{"header": True, "inferSchema": False, **QUOTING, **options}).csv(path).columns
 
 
 def scan_csv_checked(
@@ -50,7 +52,7 @@ def scan_csv_checked(
         options.setdefault("enforceSchema", False)
     return (
         spark.read.schema(schema)
-        .options(header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)
+        .options(**{"header": header, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **QUOTING, **options})
         .csv(path)
     )
 
@@ -68,7 +70,7 @@ def scan_lake(spark: SparkSession, uri: str, store_options: dict[str, str] | Non
     """The same CSV reader whatever the store: pass-through, mounted or by
     account key. Store settings (``fs.*`` keys) go in as read options and
     reach the Hadoop file system of this read only, not the whole session."""
-    return spark.read.options(header=True, inferSchema=False, **(store_options or {}), **csv_options).csv(uri)
+    return spark.read.options(**{"header": True, "inferSchema": False, **QUOTING, **(store_options or {}), **csv_options}).csv(uri)
 
 
 def scan_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
@@ -80,6 +82,16 @@ def scan_json_array(spark: SparkSession, path: str | list[str], schema: T.Struct
     return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
 
 
+def scan_json_array_checked(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """``scan_json_array`` plus ``_corrupt_record``: a file that doesn't parse
+    (cut off, not JSON) is one row whose values are NULL and whose text is
+    kept there, so it can be told from a row of NULLs and rejected. Filter or
+    type it with ``operators.quality.type_and_check``: the record is a reason."""
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    reader = spark.read.schema(with_corrupt).option("multiLine", True).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
 def scan_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """JSON Lines (what Spark writes); never with ``multiLine``, which would
     keep only the first record of each file."""

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from prodlake.sources.jdbc import jdbc_options
@@ -45,6 +47,9 @@ class Target:
 
 
 def read_target(spark: SparkSession, target: Target, schema=None) -> DataFrame:
+    """The stored rows. A JDBC target is read through several connections
+    when its options name ``partitionColumn``, ``lowerBound``, ``upperBound``
+    and ``numPartitions`` (``Target.jdbc(url, table, partitionColumn=...)``)."""
     if target.kind == "jdbc":
         return spark.read.format("jdbc").options(**target.options).load()
     if target.kind == "catalog":
@@ -87,5 +92,8 @@ def stored_max(spark: SparkSession, path: str, column: str):
 
     try:
         return footer_max_query(spark, path, column).first()[0]
-    except Exception:  # noqa: BLE001 - no statistics in some footer
+    except (PySparkException, Py4JJavaError) as e:
+        if "statistics" not in str(e).lower():
+            raise
+        # some footer has none for the column
         return spark.read.parquet(path).agg(F.max(column)).first()[0]

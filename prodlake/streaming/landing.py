@@ -16,6 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from prodlake.operators.layers import SOURCE_PATH, SOURCE_TIME
 
 
+MAX_FILE_AGE = "100000d"
+
+
 def raw_stream(
     spark: SparkSession,
     source: str,
@@ -28,7 +31,11 @@ def raw_stream(
     **reader_options,
 ):
     """Streaming DataFrame of newly arrived files, tagged like ``land_raw``."""
-    reader = spark.readStream.format(fmt).schema(schema).options(**reader_options)
+    # Spark's default drops, for good and without an error, a new file dated
+    # over a week before the newest one taken (copies that keep their times,
+    # backfills). Never by age: the price is that the checkpoint's file log
+    # keeps the name of every file ever taken.
+    reader = spark.readStream.format(fmt).schema(schema).options(**{"maxFileAge": MAX_FILE_AGE, **reader_options})
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.load(source)
@@ -49,7 +56,7 @@ def land_raw_stream(
     output: str,
     checkpoint: str,
     fmt: str = "parquet",
-    timeout_s: float = 600,
+    timeout_s: float | None = None,
     partition_by: tuple[str, ...] = (),
     max_files_per_trigger: int | None = None,
     **tags,
@@ -59,16 +66,18 @@ def land_raw_stream(
     ``max_files_per_trigger`` bounds each micro-batch; ``availableNow``
     still takes every waiting file, in as many batches as needed, so a large
     backlog is landed in steps that each fit the cluster, each committed to
-    the checkpoint. Raises when the query fails or does not finish within
-    ``timeout_s``.
+    the checkpoint. Runs until all is landed; with ``timeout_s`` it stops
+    and raises after that time (what is committed stays, a rerun goes on).
+    Raises when the query fails.
     """
     stream = raw_stream(spark, source, schema, fmt, max_files_per_trigger=max_files_per_trigger, **tags)
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.start(output)
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"raw landing did not finish in {timeout_s} s")
     if query.exception() is not None:

@@ -157,14 +157,12 @@ def test_changed_partitions_only_are_rewritten(spark, tmp):
     files = lambda year: sorted(p.name for p in Path(f"{tmp}/lake/year={year}").glob("*.parquet"))
     untouched = files(2003)
     # id 1 moves from 2000 to 2001; id 3 (the only row of 2002) is deleted
-    stored = read_target(spark, target)
     moved = spark.createDataFrame([(1, 1, 1, "W-1", 2001, 5, Decimal(9), Decimal(9))], CHANGE)
-    upd = M.apply_updates(stored, moved)
-    touched = write_changed_partitions(spark, target, upd.table, upd.changed)
-    assert sorted(touched) == [(2000,), (2001,)]
-    stored = read_target(spark, target)
-    dele = M.apply_deletes(stored, spark.createDataFrame([(3, 1)], "id long, seq int"))
-    assert write_changed_partitions(spark, target, dele.table, dele.changed) == [(2002,)]
+    touched = write_changed_partitions(spark, target, lambda t: M.apply_updates(t, moved))
+    assert sorted(r.year for r in touched.collect()) == [2000, 2001]
+    gone = spark.createDataFrame([(3, 1)], "id long, seq int")
+    touched = write_changed_partitions(spark, target, lambda t: M.apply_deletes(t, gone))
+    assert [r.year for r in touched.collect()] == [2002]
     got = sorted((r.id, r.year, r.month) for r in read_target(spark, target).collect())
     assert got == [(1, 2001, 5), (2, 2001, 1), (4, 2003, 1)]
     assert not Path(f"{tmp}/lake/year=2002").exists()
@@ -190,8 +188,109 @@ def test_changed_partitions_create_a_new_year(spark, tmp):
     target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
     full_refresh(spark.createDataFrame(rows, SCHEMA), target)
     moved = spark.createDataFrame([(1, 1, 1, "W-1", 2005, 5, Decimal(9), Decimal(9))], CHANGE)
-    upd = M.apply_updates(read_target(spark, target), moved)
-    assert sorted(write_changed_partitions(spark, target, upd.table, upd.changed)) == [(2000,), (2005,)]
+    touched = write_changed_partitions(spark, target, lambda t: M.apply_updates(t, moved))
+    assert sorted(r.year for r in touched.collect()) == [2000, 2005]
     got = sorted((r.id, r.year) for r in read_target(spark, target).collect())
     assert got == [(1, 2005), (2, 2001)]
     assert not Path(f"{tmp}/lake/year=2000").exists()
+
+
+def test_partition_commit_with_null_partitions(spark, tmp):
+    from prodlake.sinks.writers import full_refresh, write_changed_partitions
+    from prodlake.sources.tables import Target, read_target
+
+    rows = [(1, "A", None, 1, Decimal(1), Decimal(0)), (2, "B", 2001, 1, Decimal(2), Decimal(0)), (3, "C", None, 1, Decimal(2), Decimal(0))]
+    target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
+    full_refresh(spark.createDataFrame(rows, SCHEMA), target)
+    moved = spark.createDataFrame([(1, 1, 1, "A2", 2001, 5, Decimal(9), Decimal(9))], CHANGE)
+    write_changed_partitions(spark, target, lambda t: M.apply_updates(t, moved))
+    got = sorted((r.id, r.wellbore, r.year) for r in read_target(spark, target).collect())
+    assert got == [(1, "A2", 2001), (2, "B", 2001), (3, "C", None)]
+    # nothing stored is touched: nothing is written
+    none = spark.createDataFrame([(99, 1)], "id long, seq int")
+    assert write_changed_partitions(spark, target, lambda t: M.apply_deletes(t, none)).count() == 0
+
+
+def test_partition_commit_goes_on_after_a_crash(spark, tmp, monkeypatch):
+    from prodlake.sinks import writers as W
+    from prodlake.sources.tables import Target, read_target
+
+    rows = [(i, "W", 2000 + i, 1, Decimal(i), Decimal(0)) for i in range(1, 5)]
+    for crash_at in ("replace_partitions", "delete_path"):
+        target = Target.parquet(f"{tmp}/{crash_at}", partition_by=("year",))
+        W.full_refresh(spark.createDataFrame(rows, SCHEMA), target)
+        moved = spark.createDataFrame([(1, 1, 1, "W", 2002, 5, Decimal(9), Decimal(9))], CHANGE)
+        places = []
+        real = W.commit_partitions
+        monkeypatch.setattr(W, "commit_partitions", lambda s, t, p: (places.append(p), real(s, t, p)))
+        with monkeypatch.context() as m:
+
+            def lost(*a):
+                raise RuntimeError("driver lost")
+
+            m.setattr(W, crash_at, lost)
+            with pytest.raises(RuntimeError):
+                W.write_changed_partitions(spark, target, lambda t: M.apply_updates(t, moved))
+        real(spark, target, places[0])
+        got = sorted((r.id, r.year) for r in read_target(spark, target).collect())
+        assert got == [(1, 2002), (2, 2002), (3, 2003), (4, 2004)]
+        assert not Path(f"{tmp}/{crash_at}/year=2001").exists()
+        monkeypatch.undo()
+
+
+def test_one_year_update_reads_one_year(spark, tmp):
+    from prodlake.sinks import writers as W
+    from prodlake.sources.tables import Target, read_target
+
+    rows = [(i, "W", 1990 + i % 20, 1, Decimal(i), Decimal(0)) for i in range(100)]
+    target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
+    W.full_refresh(spark.createDataFrame(rows, SCHEMA), target)
+    stored = read_target(spark, target)
+    touched = spark.createDataFrame([(1996,)], "year int")
+    plan = W.stored_slice(stored, touched, ["year"])._jdf.queryExecution().executedPlan().toString()
+    filters = [x for x in plan.splitlines() if "PartitionFilters" in x]
+    assert "year#" in filters[0] and "1996" in filters[0] and W.stored_slice(stored, touched, ["year"]).count() == 5
+
+
+def test_missing_body_id_and_defaults(spark, table):
+    changes = spark.createDataFrame(
+        [(None, 1, 1, "W", 2001, 3, Decimal(2), Decimal(2)), (2, 2, 1, "W-b", 2001, 3, None, None), (None, None, 1, "W", 2001, 3, Decimal(2), Decimal(2))],
+        CHANGE,
+    )
+    res = M.apply_updates(table, changes)
+    assert sorted((r.id or 0, r.status) for r in res.report.collect()) == [(0, M.BAD_REQUEST), (0, M.BAD_REQUEST), (2, M.APPLIED)]
+    assert [(r.oil, r.gas) for r in res.table.filter("id = 2").collect()] == [(0, 0)]
+    new = spark.createDataFrame([("W-9", 2001, 2, None, None)], "wellbore string, year int, month int, oil decimal(15,5), gas decimal(15,5)")
+    assert [(r.status, r.oil) for r in M.apply_inserts(table, new, start_after=70).report.collect()] == [(M.APPLIED, 0)]
+
+
+def test_equal_changes_have_one_winner(spark, table):
+    same = (2, 2, 1, "W-b", 2001, 3, Decimal(2), Decimal(2))
+    res = M.apply_updates(table, spark.createDataFrame([same, same, same, (3, 3, None, "W-c", 2001, 3, Decimal(2), Decimal(2))], CHANGE))
+    assert sorted((r.id, r.status) for r in res.report.collect()) == [(2, M.APPLIED), (2, M.SUPERSEDED), (2, M.SUPERSEDED), (3, M.APPLIED)]
+    dele = M.apply_deletes(table, spark.createDataFrame([(1, 5), (1, 5), (2, None), (3, 1), (3, None), (77, 1)], "id long, seq int"))
+    assert sorted((r.id, r.status) for r in dele.report.collect()) == [
+        (1, M.APPLIED), (1, M.NOT_FOUND), (2, M.APPLIED), (3, M.APPLIED), (3, M.NOT_FOUND), (77, M.NOT_FOUND)
+    ]
+    assert {r.id for r in dele.removed.collect()} == {1, 2, 3} and dele.table.count() == 2
+
+
+def test_conflicts_inside_a_batch(spark, table):
+    stored = table.filter("id = 1").first()
+    req = [(stored.wellbore, stored.year, 7, Decimal(1), Decimal(1)), ("N", 2001, 1, Decimal(1), Decimal(1)), ("N", 2001, 2, Decimal(1), Decimal(1)), ("M", 2002, 1, None, None)]
+    batch = spark.createDataFrame(req, "wellbore string, year int, month int, oil decimal(15,5), gas decimal(15,5)")
+    res = M.apply_inserts(table, batch, reject_existing_on=["wellbore", "year"])
+    assert sorted((r.wellbore, r.status) for r in res.report.collect()) == sorted(
+        [(stored.wellbore, M.CONFLICT), ("N", M.APPLIED), ("N", M.CONFLICT), ("M", M.APPLIED)]
+    )
+    assert res.table.count() == 7
+
+
+def test_numbering_in_small_groups(spark, tmp, monkeypatch):
+    monkeypatch.setattr(M, "GROUP_FILES", 1)
+    from pyspark.sql import functions as F
+
+    path = f"{tmp}/stored"
+    spark.range(0, 5000, numPartitions=7).select(F.col("id").alias("v")).write.parquet(path)
+    got = {r.v: r.id for r in M.number_stored(spark, path, 10).collect()}
+    assert got == {v: v + 11 for v in range(5000)}

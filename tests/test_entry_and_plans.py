@@ -77,17 +77,18 @@ def test_pivot_is_one_shuffle(spark):
 def test_assign_ids_has_no_global_window_over_rows(spark):
     df = spark.range(100).selectExpr("id AS v")
     plan = plan_text(M.assign_ids(df, 0, order_by=["v"]))
-    # the only window runs over the per-partition counts, behind an aggregate
-    assert plan.count("Window [") == 1 and "HashAggregate" in plan
+    # two windows, neither over rows: over file groups, and over the files of each group
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert len(windows) == 2 and sum("_group" in x and "_part" in x for x in windows) == 1 and "HashAggregate" in plan
     assert "localCheckpoint" not in plan
 
 
 def test_scale_settings_for_100_tb():
-    from prodlake.session import MAX_SHUFFLE_PARTITIONS, scale_settings
+    from prodlake.session import scale_settings
 
     big = scale_settings(100 * 10**12, total_cores=8000)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
-    assert int(big["spark.sql.shuffle.partitions"]) == min(-(-100 * 10**12 // (256 << 20)), MAX_SHUFFLE_PARTITIONS)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     small = scale_settings(10 << 20, total_cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
