@@ -176,7 +176,8 @@ def removed_rows(spark, sf_dir):
 @register(
     "delete_report",
     with_views(
-        "SELECT id, seq, CASE WHEN found AND seq = min(seq) OVER (PARTITION BY id) THEN 'applied' ELSE 'not_found' END "
+        # one delete of a key is applied, also where line numbers repeat
+        "SELECT id, seq, CASE WHEN found AND row_number() OVER (PARTITION BY id ORDER BY seq) = 1 THEN 'applied' ELSE 'not_found' END "
         f"AS status FROM (SELECT d.*, id IN (SELECT id FROM production_keyed) AS found FROM ({_DEL_SQL}) d) x",
         "production_keyed",
     ),

@@ -225,11 +225,14 @@ def csv_to_json(spark: SparkSession, src: str, dst: str, **csv_options) -> str:
     too many or too few fields are not converted: they go, as read, to
     ``<dst>_rejected`` (text)."""
     rows = scan_csv_checked(spark, src, **csv_options)
+    # parsed once, with every column (a line's field count is only checked then)
+    place = scratch_path(spark, "checked-csv")
+    rows.write.parquet(place)
+    checked = spark.read.schema(rows.schema).parquet(place)
     good = F.col(CORRUPT).isNull()
-    # with every column asked for, a line's field count is always checked
-    rows.filter(good).drop(CORRUPT).write.mode("overwrite").json(dst)
-    rejected = rows.filter(~good).select(*[c for c in rows.columns if c != CORRUPT], CORRUPT).select(F.col(CORRUPT).alias("value"))
-    rejected.write.mode("overwrite").text(f"{dst}_rejected")
+    checked.filter(good).drop(CORRUPT).write.mode("overwrite").json(dst)
+    checked.filter(~good).select(F.col(CORRUPT).alias("value")).write.mode("overwrite").text(f"{dst}_rejected")
+    delete_path(spark, place)
     return dst
 
 
