@@ -91,3 +91,11 @@ def test_exists_and_semi_anti(spark, prod):
 
 def test_filter_equal(prod):
     assert ids(Fl.filter_equal(prod, "wellbore", "W-2")) == [3, 4]
+
+
+def test_lookup_never_hides_columns(spark, prod):
+    import pytest
+
+    req = spark.createDataFrame([(1, 1999)], "id long, year int")
+    with pytest.raises(ValueError, match="year"):
+        Fl.lookup(req, prod)

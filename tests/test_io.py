@@ -1,5 +1,6 @@
 from pathlib import Path
 
+import pytest
 from pyspark.sql import types as T
 
 from prodlake.operators import layers as L
@@ -191,3 +192,56 @@ def test_stream_backlog_lands_in_bounded_batches(spark, tmp):
     # one file per micro-batch, every waiting file taken
     batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 4 and all(p["numInputRows"] == 10 for p in batches)
+
+
+def test_json_file_that_breaks_off_is_rejected(spark, tmp):
+    from pyspark.sql import types as T
+
+    from prodlake.operators import quality as Q
+    from prodlake.schemas import ColumnRule
+    from prodlake.sources.files import scan_json_array_checked
+
+    Path(f"{tmp}/a.json").write_text('[{"a": "1"}, {"a": "2"}]')
+    Path(f"{tmp}/b.json").write_text('[{"a": "3"}, {"a": "4"}, {"a')
+    rows = scan_json_array_checked(spark, f"{tmp}/*.json", T.StructType([T.StructField("a", T.StringType())]))
+    checked = Q.type_and_check(rows, [ColumnRule("a", T.StringType(), nullable=True, max_length=None)])
+    good, bad = Q.split(checked)
+    assert sorted(r.a for r in good.collect()) == ["1", "2"]
+    assert [r.reason for r in bad.collect()] == [Q.MALFORMED]
+
+
+def test_csv_lines_with_other_field_counts_are_kept_apart(spark, tmp):
+    Path(f"{tmp}/x.csv").write_text('a,b\n1,2\n2,3,4\n"say ""hi"", twice",5\n9\n')
+    dst = W.csv_to_json(spark, f"{tmp}/x.csv", f"{tmp}/json")
+    got = sorted((r.a, r.b) for r in spark.read.json(dst).collect())
+    assert got == [("1", "2"), ('say "hi", twice', "5")]
+    assert sorted(r.value for r in spark.read.text(f"{dst}_rejected").collect()) == ["2,3,4", "9"]
+
+
+def test_auto_map_tells_what_did_not_parse(spark):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([("1", "x"), ("one", "y"), (None, "z")], "id string, name string")
+    target = T.StructType([T.StructField("ID", T.LongType()), T.StructField("name", T.StringType())])
+    got = [tuple(r) for r in P.auto_map(df, target, reasons="why").orderBy("name").collect()]
+    assert got == [(1, "x", ""), (None, "y", "ID: not bigint"), (None, "z", "")]
+    with pytest.raises(ValueError, match="same name"):
+        P.auto_map(df.selectExpr("id", "name", "name AS NAME2").toDF("id", "name", "NAME"), target)
+
+
+def test_stream_takes_old_files(spark, tmp):
+    import os
+    import time
+
+    from prodlake.streaming.landing import land_raw_stream
+
+    src, out, ckpt = f"{tmp}/src", f"{tmp}/out", f"{tmp}/ckpt"
+    spark.range(3).coalesce(1).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    land_raw_stream(spark, src, schema, out, ckpt)
+    spark.range(10, 15).coalesce(1).write.mode("append").parquet(src)
+    old = time.time() - 30 * 86400
+    newest = max(Path(src).glob("part-*.parquet"), key=lambda p: p.stat().st_mtime)
+    os.utime(newest, (old, old))
+    land_raw_stream(spark, src, schema, out, ckpt)
+    assert spark.read.parquet(out).count() == 8

@@ -90,3 +90,47 @@ def test_search_and_interval_filters_reach_scan(spark, tmp):
     assert "GreaterThanOrEqual(month,2)" in plan
     found = Fl.search(df, "HOT").count()
     assert found == 1000
+
+
+def test_hot_request_keys_are_split(spark, tmp):
+    """Over stored Parquet, a third of the batch on one key, no broadcasts:
+    the joins of the reports and of the key check split the hot partition."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    hot_production(spark, 3000).write.parquet(f"{tmp}/table")
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 3000).cast("long")
+    spark.range(0, 60000, numPartitions=8).select(
+        key.alias("id"),
+        key.alias("path_id"),
+        F.col("id").cast("int").alias("seq"),
+        F.sha2(F.col("id").cast("string"), 256).substr(1, 40).alias("wellbore"),
+        F.lit(2001).alias("year"),
+        F.lit(1).alias("month"),
+        F.lit(1).cast("decimal(15,5)").alias("oil"),
+        F.lit(1).cast("decimal(15,5)").alias("gas"),
+    ).write.parquet(f"{tmp}/batch")
+    table, batch = spark.read.parquet(f"{tmp}/table"), spark.read.parquet(f"{tmp}/batch")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for df in (
+            M.apply_updates(table, batch).report,
+            M.apply_deletes(table, batch.select("id", "seq", "wellbore")).report,
+            Fl.exists_flag(batch.select("id", "wellbore"), table),
+        ):
+            assert len(df.collect()) == 60000
+            assert "skew=true" in plan_text(df)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
