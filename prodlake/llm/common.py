@@ -9,7 +9,6 @@ megabyte at a time, so memory follows the slice and not the longest text.
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -23,26 +22,18 @@ from pyspark.sql import functions as F
 
 from prodlake.session import delete_path, scratch_path
 
-_staged: list[tuple[SparkSession, str]] = []
+ROWS_PER_FILE = 50_000
 
 
-def _drop_staged() -> None:
-    for spark, path in _staged:
-        try:
-            delete_path(spark, path)
-        except Exception:  # noqa: BLE001  the JVM may be gone already
-            return
-
-
-atexit.register(_drop_staged)
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back (removed when the driver ends)."""
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (removed when the
+    driver ends). ``rows``, about how many there are, keeps a table of a few
+    rows from being written as a file per shuffle partition."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(1 + rows // ROWS_PER_FILE)
     df.write.parquet(path)
-    _staged.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,6 +59,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Remove the files of a frame that ``stage`` returned and nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        delete_path(df.sparkSession, files[0].rpartition("/")[0])
+
+
 def row_key(id_col: Column, text: Column) -> Column:
     """A number by which rows that agree in id and text agree."""
     return F.xxhash64(id_col.cast("string"), F.lit("\x00"), F.coalesce(text, F.lit("")))

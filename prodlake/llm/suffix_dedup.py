@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prodlake.llm.common import BYTE_CODE, mix64, powers, stage, text_bytes
+from prodlake.llm.common import BYTE_CODE, drop_staged, mix64, powers, stage, text_bytes
 
 _U = np.uint64
 CORE = 64
@@ -175,12 +175,16 @@ class SuffixLevels:
         found = array.groupBy("core").agg(F.sum("n").alias("n")).filter("n > 1").select("core")
         for _, level in self.levels:
             found = found.union(array.select("core").distinct().join(level.select("core"), "core", "left_semi"))
+        found = stage(found.distinct(), "cores-again")
         size = 1
         while self.levels and self.levels[-1][0] == size:
             _, other = self.levels.pop()
-            array, size = _array(array.unionByName(other)), 2 * size
+            merged = _array(array.unionByName(other))
+            drop_staged(array)
+            drop_staged(other)
+            array, size = merged, 2 * size
         self.levels.append((size, array))
-        return stage(found.distinct(), "cores-again")
+        return found
 
     def entries(self, cores: DataFrame) -> DataFrame:
         """All entries with one of the core hashes, counted over the levels."""
@@ -275,25 +279,24 @@ def _blocks(found: DataFrame, length: int) -> DataFrame:
     return stage(found.mapInArrow(run, "run bigint, n bigint, lo bigint, hi bigint, shared bigint, cover bigint"), "blocks")
 
 
-def _windows(open_blocks: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """Single windows of the blocks left open: ``run, n, at, window``."""
-    asked = open_blocks.groupBy("run").agg(F.collect_list(F.struct("lo", "hi")).alias("asked"))
-    rows = found.select("run", "n", "bytes").join(stage(asked, "open-blocks"), "run")
+def _windows(blocks: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """Single windows of some blocks ``run, n, lo, hi``: ``run, n, at, window``."""
+    asked = blocks.groupBy("run").agg(F.collect_list(F.struct("lo", "hi", "n")).alias("asked"))
+    rows = found.select("run", "bytes").join(stage(asked, "open-blocks"), "run")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw, offsets = text_bytes(b.column(2))
-            asked = b.column(3)
+            raw, offsets = text_bytes(b.column(1))
+            asked = b.column(2)
             flat, lengths = asked.flatten(), asked.value_lengths().to_numpy()
-            lo, hi = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            lo, hi, n = (flat.field(i).to_numpy() for i in range(3))
             row = np.repeat(np.repeat(np.arange(b.num_rows), lengths), hi - lo + 1)
             step = np.arange(len(row)) - np.repeat(np.cumsum(hi - lo + 1) - (hi - lo + 1), hi - lo + 1)
             at = np.repeat(lo, hi - lo + 1) + step
             start = offsets[row] + at
             window = Hashes(raw).of(start, start + length)
-            take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array(at), pa.array(window.view(np.int64))],
+                [b.column(0).take(pa.array(row)), pa.array(np.repeat(n, hi - lo + 1)), pa.array(at), pa.array(window.view(np.int64))],
                 names=["run", "n", "at", "window"],
             )
 
@@ -309,11 +312,21 @@ def _again(rows: DataFrame, column: str) -> DataFrame:
 def repeated_runs(found: DataFrame, length: int) -> DataFrame:
     """``run, lo, hi``: window starts (within the run) that occur elsewhere."""
     blocks = _blocks(found, length)
-    whole = blocks.join(_again(blocks, "cover"), "cover", "left_semi").select("run", "lo", "hi")
-    rest = blocks.join(_again(blocks, "shared"), "shared", "left_semi")
-    # a block that is covered again asks nothing, but may answer others
-    windows = _windows(rest.select("run", "lo", "hi"), found, length)
-    single = windows.join(_again(windows, "window"), "window", "left_semi").select("run", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    # blocks that cover the same bytes are one entry, standing for all of them
+    place = F.col("lo") * 1024 + F.col("hi")
+    entries = blocks.groupBy("shared", "cover").agg(
+        F.sum("n").alias("n"), F.min("run").alias("run"), F.min_by(place, F.col("run")).alias("place")
+    )
+    entries = stage(entries.select("shared", "cover", "n", "run", F.floor(F.col("place") / 1024).alias("lo"), (F.col("place") % 1024).alias("hi")), "block-entries")
+    covers = stage(entries.filter("n > 1").select("cover"), "covers-again")
+    whole = blocks.join(covers, "cover", "left_semi").select("run", "lo", "hi")
+    # open: an entry of one block, next to others with the same shared bytes;
+    # a block that is covered again asks nothing, but answers
+    some = entries.groupBy("shared").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).filter("k > 1 and least = 1")
+    rest = entries.join(stage(some.select("shared"), "open-shared"), "shared", "left_semi").select("run", "n", "lo", "hi")
+    windows = _windows(rest, found, length)
+    single = windows.filter("n = 1").join(_again(windows, "window"), "window", "left_semi")
+    single = single.select("run", F.col("at").alias("lo"), F.col("at").alias("hi"))
     return stage(whole.unionByName(single), "repeated-windows")
 
 
