@@ -44,9 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship(spark)
     classes = jaccard_join.similarity_classes(docs).filter("n_shingles > 0")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    # null component ids (no document of the group has an id) stay apart by class
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("class "), F.col("cls").cast("string")))
-    kept = classes.groupBy(group.alias("group")).agg(F.min(first).alias("first")).select(F.col("first.key").alias("kept_key"))
+    kept = classes.groupBy("group").agg(F.min(first).alias("first")).select(F.col("first.key").alias("kept_key"))
     name = free_name(docs, "row_key")
     keyed = docs.withColumn(name, row_key(docs["doc_id"], docs["text"]))
     has_word = F.coalesce(docs["text"].rlike(mixing.WORD), F.lit(False))
