@@ -5,7 +5,9 @@ Two kinds of spans are reported for every whole text, in code points:
 * the three patterns (``assign``, ``access``, ``hex``), leftmost and not
   overlapping per kind;
 * ``novel``: a run of 16 or more characters of ``[A-Za-z0-9+/_.=-]`` that stands
-  near a sensitive word and that zstandard can't compress. The measure is the
+  near a sensitive word and that zstandard can't compress. If the run as a whole
+  isn't one, each value of 16 or more behind an ``=`` inside it is measured alone,
+  with the names in front of it (``NAME=value``) as context. The measure is the
   run's marginal cost: bytes of (context + run) less bytes of (context), both
   compressed against a dictionary of identifiers. Ordinary words, paths and
   identifiers are matched in the dictionary or the context and cost little; a
@@ -49,6 +51,7 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
 RUN_LEAST = 16
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+VALUE = re.compile(r"(?<==)[A-Za-z0-9+/_.-]+=*")  # inside a run: what an = assigns
 SENSITIVE = re.compile(
     r"pass|pwd|secret|token|key|auth|bearer|credential|private|signature|session|cookie|akia", re.ASCII | re.IGNORECASE
 )
@@ -131,18 +134,29 @@ def scan_text(text: str, novelty: Novelty, threshold: float) -> list[dict]:
         out.append({"kind": kind, "start": start, "end": end, "value_start": value, "novelty": round(cost, 4)})
     starts = np.array([s for s, _ in taken])
     reach = np.maximum.accumulate([e for _, e in taken]) if taken else None
-    for m in RUN.finditer(text):
-        start, end = m.span()
-        # pattern spans that begin before this run's end: does any reach into it?
+
+    def measure(start: int, end: int) -> bool:
+        # pattern spans that begin before this end: does any reach into it?
         k = int(np.searchsorted(starts, end, "left")) if taken else 0
         if k and reach[k - 1] > start:
-            continue
-        before = text[max(0, start - BEFORE) : start]
-        if not SENSITIVE.search(before) and not SENSITIVE.match(m[0]):
-            continue
-        cost = novelty.cost(before, m[0], text[end : end + AFTER])
+            return False
+        cost = novelty.cost(text[max(0, start - BEFORE) : start], text[start:end], text[end : end + AFTER])
         if cost >= threshold:
             out.append({"kind": "novel", "start": start, "end": end, "value_start": start, "novelty": round(cost, 4)})
+        return cost >= threshold
+
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        near = bool(SENSITIVE.search(text, max(0, start - BEFORE), start))
+        if (near or SENSITIVE.match(m[0])) and measure(start, end):
+            continue
+        at = start
+        for v in VALUE.finditer(text, start, end):
+            # the name in front of the = is part of the run
+            near = near or bool(SENSITIVE.search(text, at, v.start()))
+            at = v.start()
+            if near and v.end() - at >= RUN_LEAST:
+                measure(at, v.end())
     return sorted(out, key=lambda x: (x["start"], KINDS.index(x["kind"])))
 
 

@@ -75,3 +75,18 @@ def test_runs_across_slices_and_empty_table(spark, no_docs):
     got = secrets.scan_secrets(spark.createDataFrame([(1, long)], "doc_id long, text string")).first()
     assert [(s["kind"], s["start"]) for s in got["spans"]] == [("novel", len(long) - len(RANDOM))]
     assert secrets.scan_secrets(no_docs).collect() == []
+
+
+def test_values_assigned_inside_a_run():
+    novelty = secrets._novelty(" ".join(secrets.IDENTIFIERS).encode())
+    for line, value in [
+        ("export AWS_SECRET_ACCESS_KEY=", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzX3pLq8Rt2"),
+        ("STRIPE_KEY=", "sk_live_" + RANDOM),
+        ("MY_AUTH=", "Zx81kQp07LmVt3RwYb6N"),
+        ("MODE=production=APP_KEY=", RANDOM + "=="),
+    ]:
+        found = secrets.scan_text(f"a = 1\n{line}{value}\n", novelty, 0.5)
+        at = 6 + len(line)
+        assert [(x["kind"], x["value_start"], x["end"]) for x in found] == [("novel", at, at + len(value))], line
+    assert secrets.scan_text(f"COLOUR={RANDOM}", novelty, 0.5) == []
+    assert secrets.scan_text("export CACHE_KEY=application/json.response.default.settings", novelty, 0.5) == []
