@@ -4,19 +4,21 @@ Training tokens (words of A-Z lower-cased texts, then one end per document) are
 counted as 1- and 2-grams over all training documents. A count ``c`` is kept
 quantised, ``q = 1 + floor(log_b c)``, by setting bits for the pairs (n-gram, 1)
 to (n-gram, q) in one Bloom filter. A lookup probes level 1, 2, ... until a level
-is missing; the last level found stands for the middle of its counts. The filter
-is broadcast, and a text's log10 probability is the sum over its tokens of
+is missing; the last level found stands for the middle of its counts, and a text's log10 probability is the sum over
+its tokens of
 
     P(w | v) = (f(v w) + mu * P(w)) / (f(v) + mu)
     P(w)     = (f(w) + 0.5) / (N + 0.5 * (V + 1))
 
 with ``f`` the filter's answer and the end token in front of the first word.
 
-The filter's size grows with the n-grams kept up to ``max_bytes``; if all n-grams
-wouldn't fit at ``bits_per_level``, those with the lowest counts are left out, by
-the lowest count that lets the rest fit (from a histogram of all counts). That
-bounds the broadcast and the driver's share for any corpus. The filter is built
-by slices: an n-gram's hash picks the slice, each task fills some slices.
+The filter holds all n-grams and grows with them: it consists of slices of
+``SLICE_SLOTS`` bits, as many as ``bits_per_level`` asks for; an n-gram's hash picks
+the slice. A task fills a slice and answers all n-grams of the documents that fall
+into it, those never seen in training too. The answers are a staged table. Those
+of the highest levels, as many as fit ``max_bytes``, are broadcast; a document's
+other pairs are joined with the table by a shuffle. Both ways give the same answer,
+so the result doesn't depend on ``max_bytes``.
 
 The base score needs exact counts. The ``head`` most frequent training tokens are
 sent along as a sorted table of fixed size; a document's other words are joined
@@ -39,11 +41,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prodlake.llm.common import _BASE, hash_words, mix64, row_slices, stage
+from prodlake.llm.common import _BASE, drop_staged, hash_words, mix64, row_slices, stage
 
 _U = np.uint64
 END = mix64(np.array([0xE0D], np.uint64))[0]  # no word hashes to it but by chance
 GROUP = 256  # documents that are counted together
+SLICE_SLOTS = 1 << 20  # bits of a slice of the filter
+ANSWER_BYTES = 9  # of a broadcast answer: hash and level
 
 
 def held_out(id_col: Column) -> Column:
@@ -65,21 +69,37 @@ def _pairs(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def ngram_counts(training: DataFrame) -> DataFrame:
-    """``n`` (1 or 2), ``gram`` (hash), ``c`` over all rows of ``text``."""
+    """``n`` (1 or 2), ``gram`` (hash), ``c`` over all rows of ``text``; rows that
+    are ``held_out`` (if there is such a column) count 0."""
+    held = F.col("held_out") if "held_out" in training.columns else F.lit(False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x for whole in batches for x in row_slices(whole, 0)):
             t, off = _tokens(b.column(0))
+            taught = np.repeat(~b.column(1).to_numpy(zero_copy_only=False), np.diff(off))
             for n, h in ((1, t), (2, _pairs(t, off))):
-                gram, c = np.unique(h, return_counts=True)
+                gram, back = np.unique(h, return_inverse=True)
+                c = np.bincount(back, taught, len(gram)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(gram), n, np.int8)), pa.array(gram.view(np.int64)), pa.array(c)], names=["n", "gram", "c"]
                 )
 
-    rows = training.select("text").mapInArrow(run, "n tinyint, gram bigint, c bigint")
+    rows = training.select("text", held.alias("held_out")).mapInArrow(run, "n tinyint, gram bigint, c bigint")
     return rows.groupBy("n", "gram").agg(F.sum("c").alias("c"))
 
 
+def middle(level: np.ndarray, base: float) -> np.ndarray:
+    """The middle of a level's counts, 0 of level 0."""
+    least = base ** (level - 1.0)
+    return np.where(level > 0, (least + np.maximum(base**level.astype(float) - 1, least)) / 2, 0.0)
+
+
+def middle_of(level: Column, base: float) -> Column:
+    """``middle`` of a column; null is level 0."""
+    least, end = F.pow(F.lit(base), level - 1), F.pow(F.lit(base), level)
+    return F.when(level > 0, (least + F.greatest(end - 1, least)) / 2).otherwise(0.0)
+
+
 @dataclass
 class LogFrequencyFilter:
     """``bits`` in ``2**slice_bits`` slices; all bits of an n-gram lie in the
@@ -114,8 +134,8 @@ class LogFrequencyFilter:
                 out[at] = True
         return np.packbits(out, bitorder="little")
 
-    def counts(self, gram: np.ndarray) -> np.ndarray:
-        """The quantised count of each n-gram, 0 if it isn't held."""
+    def levels(self, gram: np.ndarray) -> np.ndarray:
+        """The level found of each n-gram, 0 if it isn't held."""
         top = np.zeros(len(gram), np.int64)
         slots = len(self.bits) * 8 >> self.slice_bits
         start = (gram >> _U(64 - self.slice_bits)).astype(np.int64) * slots if self.slice_bits else np.zeros(len(gram), np.int64)
@@ -124,8 +144,11 @@ class LogFrequencyFilter:
             live = live[self._holds(gram[live], level, start[live], slots)]
             top[live] = level
             level += 1
-        middle = (self.base ** (top - 1.0) + np.maximum(self.base**top - 1, self.base ** (top - 1.0))) / 2
-        return np.where(top > 0, middle, 0.0)
+        return top
+
+    def counts(self, gram: np.ndarray) -> np.ndarray:
+        """The quantised count of each n-gram, 0 if it isn't held."""
+        return middle(self.levels(gram), self.base)
 
     def _holds(self, gram: np.ndarray, level: int, start: np.ndarray, slots: int) -> np.ndarray:
         out = np.ones(len(gram), bool)
@@ -167,6 +190,47 @@ def build_filter(
     return LogFrequencyFilter(bits, slice_bits, base, probes)
 
 
+def filter_answers(counts: DataFrame, *, base: float, probes: int, bits_per_level: float) -> DataFrame:
+    """``n, gram, c, q`` over staged ``n, gram, c``: the level that the filter of
+    all n-grams with ``c > 0`` finds, of every n-gram with one."""
+    level = 1 + F.floor(F.log(F.col("c").cast("double")) / F.lit(math.log(base)) + F.lit(1e-9))
+    levels = counts.filter("c > 0").agg(F.sum(level)).first()[0] or 0
+    parts = max(1, math.ceil(levels * bits_per_level / SLICE_SLOTS))
+
+    def run(part: pa.Table) -> pa.Table:
+        gram, c = part.column("gram").to_numpy().view(np.uint64), part.column("c").to_numpy()
+        bits = LogFrequencyFilter.fill(gram[c > 0], c[c > 0], base, probes, SLICE_SLOTS)
+        q = LogFrequencyFilter(bits, 0, base, probes).levels(gram).astype(np.int16)
+        return part.select(["n", "gram", "c"]).append_column("q", pa.array(q)).filter(pa.array(q > 0))
+
+    placed = counts.select("n", "gram", "c", F.pmod("gram", F.lit(parts)).alias("part"))
+    return placed.groupBy("part").applyInArrow(run, "n tinyint, gram bigint, c bigint, q smallint")
+
+
+def _head(answers: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of the highest levels, ``most`` at most, sorted, and their levels."""
+    held, least = 0, None
+    for r in sorted(answers.groupBy("q").agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r["q"]):
+        if held + r["k"] > most:
+            break
+        held, least = held + r["k"], r["q"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8)
+    top = answers.filter(F.col("q") >= least).select("gram", "q").toArrow()
+    gram = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(gram)
+    return gram[order], top.column("q").to_numpy().astype(np.int8)[order]
+
+
+def _levels_in(head: tuple[np.ndarray, np.ndarray], gram: np.ndarray) -> np.ndarray:
+    """The levels of n-grams in the head, -1 of others."""
+    known, q = head
+    if not len(known):
+        return np.full(len(gram), -1, np.int64)
+    at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
+    return np.where(known[at] == gram, q[at], -1).astype(np.int64)
+
+
 def score_documents(
     docs: DataFrame,
     *,
@@ -182,11 +246,13 @@ def score_documents(
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), held_out(docs[id_col]).alias("held_out"))
-    counts = stage(ngram_counts(rows.filter(~F.col("held_out"))), "lm-counts")
-    single = counts.filter("n = 1")
+    counts = stage(ngram_counts(rows), "lm-counts")
+    answers = stage(filter_answers(counts, base=base, probes=probes, bits_per_level=bits_per_level), "lm-answers")
+    drop_staged(counts)
+    single = answers.filter("n = 1 and c > 0")
     size = single.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, vocabulary = size["n"] or 0, size["v"]
-    model = build_filter(counts, base=base, probes=probes, bits_per_level=bits_per_level, max_bytes=max_bytes)
+    model = _head(answers, max_bytes // ANSWER_BYTES)
     top = single.orderBy(F.desc("c"), "gram").limit(head).select("gram", "c").toArrow()
     gram = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(gram)
@@ -209,54 +275,87 @@ def score_documents(
                 base_sum = np.bincount(row, part[back], b.num_rows)
                 n_known = np.bincount(row, found[back], b.num_rows).astype(np.int64)
                 # the model: one lookup per distinct 1- and 2-gram
-                f1 = f.counts(word)
+                q1 = _levels_in(f, word)
                 pair, pair_back = np.unique(_pairs(t, off), return_inverse=True)
                 before = np.empty(len(t), np.int64)
                 before[1:] = back[:-1]
                 before[off[:-1]] = np.searchsorted(word, END)
+                q12 = _levels_in(f, pair)[pair_back]
+                here = (q12 >= 0) & (q1[before] >= 0) & (q1[back] >= 0)
+                f1 = middle(q1, base)
                 p1 = (f1[back] + 0.5) / denominator
-                f12 = np.minimum(f.counts(pair)[pair_back], np.minimum(f1[before], f1[back]))
+                f12 = np.minimum(middle(q12, base), np.minimum(f1[before], f1[back]))
                 p = (f12 + mu * p1) / (f1[before] + mu)
-                score = np.bincount(row, np.log10(p), b.num_rows)
+                score = np.bincount(row[here], np.log10(p[here]), b.num_rows).astype(float)  # whole numbers if none is
+                # pairs outside what is broadcast, once per document with their number
+                away = np.flatnonzero(~here)
+                _, one, often = np.unique(row[away] * len(pair) + pair_back[away], return_index=True, return_counts=True)
+                one = away[one]
+                v, w = before[one], back[one]
                 # words outside the head, once per document with their number
                 rest = np.flatnonzero(~found[back])
                 pairs, times = np.unique(np.stack([row[rest], back[rest]]), axis=1, return_counts=True) if len(rest) else (
                     np.zeros((2, 0), np.int64),
                     np.zeros(0, np.int64),
                 )
-                m, k = pairs.shape[1], b.num_rows
-                none = lambda kind: pa.nulls(m, kind)
+                m, k, j = pairs.shape[1], b.num_rows, len(one)
+                none = lambda kind: pa.nulls(m + j, kind)
                 rid = b.column(0).to_numpy()
+                word_id, zero = word.view(np.int64), pa.nulls(k + m, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([rid, rid[pairs[0]]])),
+                        pa.array(np.concatenate([rid, rid[pairs[0]], rid[row[one]]])),
                         pa.concat_arrays([b.column(1), none(b.column(1).type)]),
                         pa.concat_arrays([b.column(3), none(pa.bool_())]),
                         pa.concat_arrays([pa.array(np.diff(off)), none(pa.int64())]),
                         pa.concat_arrays([pa.array(n_known), none(pa.int64())]),
                         pa.concat_arrays([pa.array(base_sum), none(pa.float64())]),
                         pa.concat_arrays([pa.array(score), none(pa.float64())]),
-                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(word[pairs[1]].view(np.int64))]),
-                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(times)]),
+                        pa.array(np.repeat([0, 1, 2], [k, m, j]).astype(np.int8)),
+                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(word_id[pairs[1]]), pa.array(pair.view(np.int64)[pair_back[one]])]),
+                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(times), pa.array(often)]),
+                        *[
+                            pa.concat_arrays([zero.cast(kind), pa.array(x, kind, mask=out)])
+                            for kind, side, known_side in ((pa.int16(), q1, True), (pa.int64(), word_id, False))
+                            for at_word in (v, w)
+                            for x, out in ((side[at_word], (q1[at_word] >= 0) != known_side),)
+                        ],
                     ],
-                    names=["rid", "doc_id", "held_out", "n_tokens", "n_head", "base_head", "score", "gram", "times"],
+                    names=["rid", "doc_id", "held_out", "n_tokens", "n_head", "base_head", "score", "kind", "gram", "times", "v", "w", "v_gram", "w_gram"],
                 )
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = (
         f"rid bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, n_head bigint, base_head double,"
-        " score double, gram bigint, times bigint"
+        " score double, kind tinyint, gram bigint, times bigint, v smallint, w smallint, v_gram bigint, w_gram bigint"
     )
     # the row number lives only in this table, which is written once
     numbered = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text", "held_out")
     scored = stage(numbered.mapInArrow(run, schema), "lm-scored")
-    rare = scored.filter(F.col("gram").isNotNull()).select("rid", "gram", "times")
+    rare = scored.filter("kind = 1").select("rid", "gram", "times")
     joined = rare.join(single.select("gram", "c"), "gram", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    tail = joined.groupBy("rid").agg(
-        F.sum(F.col("times") * (F.log10(F.col("c") + 0.5) - F.lit(scale))).alias("base_tail"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_tail"),
+    base_tail = joined.select(
+        "rid",
+        (F.col("times") * (F.log10(F.col("c") + 0.5) - F.lit(scale))).alias("base_tail"),
+        F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("n_tail"),
+        F.lit(0.0).alias("score_tail"),
     )
-    heads = scored.filter(F.col("gram").isNull()).drop("gram", "times")
+    away = scored.filter("kind = 2").select("rid", "gram", "times", "v", "w", "v_gram", "w_gram")
+    slim = lambda df: df.select("rid", "gram", "times", "v", "w")
+    some = away.filter("v_gram is not null or w_gram is not null")
+    words = answers.filter("n = 1")
+    for side in ("v", "w"):
+        # a word whose level is known gets a key of its own that finds nothing
+        key = F.coalesce(f"{side}_gram", F.xxhash64("rid", "gram", F.lit(side)))
+        found = words.select(F.col("gram").alias("key"), F.col("q").alias("found"))
+        some = some.withColumn("key", key).join(found, "key", "left").withColumn(side, F.coalesce(side, "found")).drop("key", "found")
+    paired = slim(away.filter("v_gram is null and w_gram is null")).unionByName(slim(some))
+    paired = paired.join(answers.filter("n = 2").select("gram", "q"), "gram", "left")
+    f_v, f_w, f_vw = (middle_of(F.col(c), base) for c in ("v", "w", "q"))
+    p = (F.least(f_vw, f_v, f_w) + F.lit(mu / denominator) * (f_w + 0.5)) / (f_v + F.lit(mu))
+    score_tail = paired.select("rid", F.lit(0.0).alias("base_tail"), F.lit(0).cast("long").alias("n_tail"), (F.col("times") * F.log10(p)).alias("score_tail"))
+    tail = base_tail.unionByName(score_tail).groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("base_tail", "n_tail", "score_tail")])
+    heads = scored.filter("kind = 0").drop("kind", "gram", "times", "v", "w", "v_gram", "w_gram")
     return heads.join(tail, "rid", "left").select(
         "doc_id",
         "held_out",
@@ -264,5 +363,5 @@ def score_documents(
         (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base_head") + F.coalesce("base_tail", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("score_tail", F.lit(0.0))).alias("score"),
     )

@@ -61,3 +61,27 @@ def test_filter_holds_quantised_counts(spark):
     assert (unknown > 0).mean() < 0.06
     small = lm_score.build_filter(table, base=1.5, probes=4, bits_per_level=12, max_bytes=1 << 13, slice_bits=3)
     assert len(small.bits) <= 1 << 13 and (small.counts(gram[count > 1000]) > 0).all()
+
+
+@pytest.mark.parametrize("max_bytes", [0, 200, 1 << 25])
+def test_scores_hold_all_ngrams_whatever_is_broadcast(spark, doc_rows, max_bytes):
+    """Against plain Python; at this size the filter has hardly a false answer."""
+    rows = [(i, t) for i, t, *_ in doc_rows]
+    tokens = [[None, *(t or "").encode().lower().split(), None] for _, t in rows]
+    single, double = Counter(), Counter()
+    for (i, _), w in zip(rows, tokens, strict=True):
+        if i is None or zlib.crc32(str(i).encode()) % 5 != 1:
+            single.update(w[1:])
+            double.update(zip(w[:-1], w[1:], strict=True))
+    bottom = sum(single.values()) + 0.5 * (len(single) + 1)
+    f = lambda c: float(lm_score.middle(lm_score.LogFrequencyFilter.level(np.array([c]), 1.5), 1.5)[0]) if c else 0.0
+
+    def p(v, w):
+        fv, fw = f(single[v]), f(single[w])
+        return (min(f(double[v, w]), fv, fw) + 50 * (fw + 0.5) / bottom) / (fv + 50)
+
+    want = sorted((str(i), sum(math.log10(p(v, w)) for v, w in zip(t[:-1], t[1:], strict=True))) for (i, _), t in zip(rows, tokens, strict=True))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r["doc_id"]), r["score"]) for r in lm_score.score_documents(docs, max_bytes=max_bytes).collect())
+    assert [g[0] for g in got] == [x[0] for x in want]
+    assert [g[1] for g in got] == pytest.approx([x[1] for x in want], rel=1e-3)
