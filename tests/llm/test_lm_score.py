@@ -63,7 +63,7 @@ def test_filter_holds_quantised_counts(spark):
     assert len(small.bits) <= 1 << 13 and (small.counts(gram[count > 1000]) > 0).all()
 
 
-@pytest.mark.parametrize("max_bytes", [0, 200, 1 << 25])
+@pytest.mark.parametrize("max_bytes", [0, 200, 1024, 1 << 25])
 def test_scores_hold_all_ngrams_whatever_is_broadcast(spark, doc_rows, max_bytes):
     """Against plain Python; at this size the filter has hardly a false answer."""
     rows = [(i, t) for i, t, *_ in doc_rows]
@@ -74,7 +74,10 @@ def test_scores_hold_all_ngrams_whatever_is_broadcast(spark, doc_rows, max_bytes
             single.update(w[1:])
             double.update(zip(w[:-1], w[1:], strict=True))
     bottom = sum(single.values()) + 0.5 * (len(single) + 1)
-    f = lambda c: float(lm_score.middle(lm_score.LogFrequencyFilter.level(np.array([c]), 1.5), 1.5)[0]) if c else 0.0
+
+    def f(c):
+        least = 1.5 ** math.floor(math.log(c) / math.log(1.5) + 1e-9) if c else 0.0
+        return (least + max(1.5 * least - 1, least)) / 2
 
     def p(v, w):
         fv, fw = f(single[v]), f(single[w])
