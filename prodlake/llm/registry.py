@@ -9,10 +9,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, resample, secrets, suffix_dedup
+from prodlake.llm import byte_bpe, chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, resample, secrets, suffix_dedup
 from prodlake.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +90,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+
+
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path(BYTE_BPE)
+    coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoder(docs, path)(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_chat_format": op2_chat_format,
@@ -100,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op8_imatch": op8_imatch,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 ORACLE: dict[str, str] = {}
 
