@@ -13,7 +13,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.llm import byte_bpe, chat, decontaminate, imatch, jaccard_join, langid, lm_score, mixing, resample, secrets, suffix_dedup
+from prodlake.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    hard_negatives,
+    imatch,
+    jaccard_join,
+    langid,
+    lm_score,
+    mixing,
+    oracle,
+    resample,
+    secrets,
+    suffix_dedup,
+    vector_codes,
+)
 from prodlake.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +120,17 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_chat_format": op2_chat_format,
@@ -117,8 +143,13 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_vector_codes": op13_vector_codes,
+}
+ORACLE: dict[str, str] = {
+    "op12_hard_negatives": oracle.HARD_NEGATIVES,
+    "op13_vector_codes": oracle.vector_codes(),
 }
-ORACLE: dict[str, str] = {}
 
 
 def _shipping(query: Query) -> Query:
