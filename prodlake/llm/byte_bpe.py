@@ -16,7 +16,8 @@ and the merges are replayed there over the distinct words:
   step by step, always by its lowest pair, the leftmost first.
 
 The encoded words go back to their blocks, and each document's sequence is read
-off. Texts cross no shuffle, only word numbers and distinct words do. Blocks are
+off. Texts cross no shuffle, only word numbers and distinct words do, a block's
+words in one packed row for each bucket of words. Blocks are
 cut twice, once for each side, in the order in which a task reads its rows, and
 a block that doesn't find as many words as it has distinct ones fails the job.
 
@@ -43,6 +44,7 @@ import heapq
 import re
 import sys
 import unicodedata
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -56,8 +58,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
-REPLAY_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
+REPLAY_BYTES = 4 << 20
 MOST_VOCABULARY = 1 << 27
 NO_PAIR = np.int32(np.iinfo(np.int32).max)
 LONG_TEXT = 1 << 22
@@ -190,10 +192,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], split: Splitter, text: int) -> It
         yield f"{part}-{made}", rows, sequences, numbers
 
 
-def _packed(sequence: array) -> bytes:
-    """Word numbers, byte plane by byte plane, compressed."""
-    planes = np.frombuffer(sequence, np.uint8).reshape(-1, 4).T if len(sequence) else np.zeros(0, np.uint8)
-    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+def _packed(numbers) -> bytes:
+    """32-bit numbers, byte plane by byte plane, compressed."""
+    x = np.frombuffer(numbers, np.int32) if len(numbers) else np.zeros(0, np.int32)
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
 
 
 def _unpacked(packed: bytes) -> np.ndarray:
@@ -201,6 +203,26 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.int32).ravel()
 
 
+def _packed_words(words: list[bytes]) -> tuple[bytes, bytes]:
+    return _packed(np.fromiter(map(len, words), np.int32, len(words))), zstandard.compress(b"".join(words), 1)
+
+
+def _unpacked_words(sizes: bytes, joined: bytes) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(_unpacked(sizes), dtype=np.int64)])
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(zstandard.decompress(joined))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, buffers)
+
+
+def _dealt(numbers: _Numbers, buckets: int) -> Iterator[tuple[int, np.ndarray, list[bytes]]]:
+    """``bucket, numbers, words`` of a block's words, dealt by word."""
+    words = [w.encode() for w in numbers]
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+    order = np.argsort(bucket, kind="stable")
+    met, begin = np.unique(bucket[order], return_index=True)
+    for b, at in zip(met.tolist(), np.split(order, begin[1:]), strict=True):
+        yield b, at.astype(np.int32), [words[i] for i in at]
+
+
 # ---------------------------------------------------------------- replay
 
 
@@ -313,36 +335,44 @@ def replay(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     return token[kept], count[begin]
 
 
+_WORDS = "block string, numbers binary, sizes binary, words binary"
+_CODED = "block string, numbers binary, sizes binary, ids binary"
+
+
 def _replay_words(content, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``block, i, word`` to rows ``block, i, ids``, part by part."""
+    """The words of some blocks, a row for each block's share, to their ids."""
     v = vocabulary(content.value)
 
-    def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        coded = pc.dictionary_encode(rows.column("word")).combine_chunks()
-        if isinstance(coded, pa.ChunkedArray):
-            coded = coded.chunk(0)
+    def flush(held: list[tuple[str, bytes, pa.Array]]) -> Iterator[pa.RecordBatch]:
+        coded = pc.dictionary_encode(pa.concat_arrays([words for _, _, words in held]))
         ids, begin = replay(coded.dictionary.to_pylist(), v)
-        buffer = pa.py_buffer(np.ascontiguousarray(ids, np.int32))
-        each = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(begin) - 1, [None, pa.py_buffer(np.ascontiguousarray(begin * 4)), buffer]
-        )
-        for b in pa.table(
-            {"block": rows.column("block"), "i": rows.column("i"), "ids": each.take(coded.indices).cast(pa.binary())}
-        ).to_batches(max_chunksize=1 << 16):
-            yield b
+        at = coded.indices.to_numpy()
+        lengths = np.diff(begin).astype(np.int32)
+        first = 0
+        for block, numbers, words in held:
+            mine = at[first : first + len(words)]
+            first += len(words)
+            out = np.ascontiguousarray(ids[_ranges(begin[mine], lengths[mine])], np.int32)
+            row = [[block], [numbers], [_packed(lengths[mine])], [_packed(out)]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, _CODED_TYPES, strict=True)], names=_CODED_NAMES)
 
     held, size = [], 0
     for batch in batches:
-        held.append(batch)
-        size += batch.column(batch.schema.get_field_index("word")).nbytes
-        if size >= REPLAY_BYTES:
-            yield from flush(held)
-            held, size = [], 0
-    if size or held:
+        for row in batch.to_pylist():
+            words = _unpacked_words(row["sizes"], row["words"])
+            held.append((row["block"], row["numbers"], words))
+            size += words.nbytes
+            if size >= REPLAY_BYTES:
+                yield from flush(held)
+                held, size = [], 0
+    if held:
         yield from flush(held)
 
 
+_CODED_NAMES = ["block", "numbers", "sizes", "ids"]
+_CODED_TYPES = [pa.string(), pa.binary(), pa.binary(), pa.binary()]
+
+
 # ---------------------------------------------------------------- documents
 
 
@@ -357,16 +387,19 @@ def _place_ids(names: list[str]):
     def place(rows: pa.Table, words: pa.Table) -> pa.Table:
         """A block's documents and encoded words to the documents' ids."""
         expected = rows.column("n_words")[0].as_py() if rows.num_rows else 0
-        if words.num_rows != expected:
-            raise RuntimeError(f"a block has {expected} distinct words and found {words.num_rows}: its input changed")
-        order = np.argsort(words.column("i").to_numpy())
-        coded = words.column("ids").combine_chunks().take(pa.array(order)) if words.num_rows else pa.array([], pa.binary())
-        if isinstance(coded, pa.ChunkedArray):
-            coded = pa.concat_arrays(coded.chunks)
-        begin = np.zeros(len(coded) + 1, np.int64)
-        np.cumsum(pc.binary_length(coded).to_numpy(zero_copy_only=False) // 4, out=begin[1:])
-        flat = np.frombuffer(b"".join(coded.to_pylist()), np.int32)
-        lengths = np.diff(begin)
+        lengths = np.full(expected, -1, np.int64)
+        shares = [(_unpacked(r["numbers"]), _unpacked(r["sizes"]), _unpacked(r["ids"])) for r in words.to_pylist()]
+        for numbers, sizes, _ in shares:
+            lengths[numbers] = sizes
+        if sum(len(x[0]) for x in shares) != expected or (lengths < 0).any():
+            raise RuntimeError(f"a block of {expected} distinct words did not find them again: its input changed")
+        begin = np.zeros(expected, np.int64)
+        at = 0
+        for numbers, sizes, ids in shares:
+            begin[numbers] = at + np.cumsum(sizes) - sizes
+            at += len(ids)
+        flat = np.concatenate([x[2] for x in shares]) if shares else np.zeros(0, np.int32)
+        del shares
         parts, ends = [], np.zeros(rows.num_rows + 1, np.int64)
         for row, packed in enumerate(rows.column("words")):
             seq = _unpacked(packed.as_py())
@@ -391,6 +424,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
     spark = docs.sparkSession
     content = spark.sparkContext.broadcast(read_vocabulary(path))
     newer = newer_characters()
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     taken = docs.select(docs[text].alias("text"), *[docs[c].alias(f"k{i}") for i, c in enumerate(keep)])
     kept = [f"k{i}" for i in range(len(keep))]
 
@@ -405,15 +439,17 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, _, numbers in _blocks(batches, Splitter(pattern, newer), 0):
-            n = len(numbers)
-            t = pa.table([pa.array([key] * n, pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(numbers), pa.string()).cast(pa.binary())], names=["block", "i", "word"])
-            yield from t.to_batches(max_chunksize=1 << 16)
+            for bucket, at, share in _dealt(numbers, buckets):
+                row = [[bucket], [key], [_packed(at)], *([x] for x in _packed_words(share))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(row, [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()], strict=True)],
+                    names=["bucket", "block", "numbers", "sizes", "words"],
+                )
 
     schema = ", ".join(f"{c} {taken.schema[c].dataType.simpleString()}" for c in kept)
     sequence_rows = taken.mapInArrow(sequences, ", ".join(x for x in (schema, "block string, n_words int, words binary") if x))
-    word_rows = taken.mapInArrow(words, "block string, i int, word binary")
-    # a partition of words per 32 MiB or so: AQE joins the small ones
-    coded = word_rows.repartition(F.col("word")).mapInArrow(functools.partial(_replay_words, content), "block string, i int, ids binary")
+    word_rows = taken.mapInArrow(words, f"bucket int, {_WORDS}").repartition("bucket").drop("bucket")
+    coded = word_rows.mapInArrow(functools.partial(_replay_words, content), _CODED)
     out = (
         sequence_rows.groupBy("block")
         .cogroup(coded.groupBy("block"))
@@ -437,16 +473,15 @@ def decoder(df: DataFrame, path: str):
             if ids.null_count:
                 raise ValueError("a null id can't be decoded")
             flat = ids.to_numpy()
-            if len(flat) and (flat.min() < 0 or flat.max() >= v.size or not v.known[flat].all()):
-                raise ValueError("an id that the vocabulary lacks can't be decoded")
             sizes = pc.list_value_length(filled).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(sizes)])
-            lengths = v.starts[flat + 1] - v.starts[flat]
-            byte_end = np.concatenate([[0], np.cumsum(lengths)])
             out = []
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                out.append(v.bytes[_ranges(v.starts[flat[a:b]], lengths[a:b])].tobytes())
-            assert sum(map(len, out)) == byte_end[-1]
+                mine = flat[a:b]
+                if len(mine) and (mine.min() < 0 or mine.max() >= v.size or not v.known[mine].all()):
+                    raise ValueError("an id that the vocabulary lacks can't be decoded")
+                begin = v.starts[mine]
+                out.append(v.bytes[_ranges(begin, v.starts[mine + 1] - begin)].tobytes())
             yield pa.array(out, pa.binary())
 
     def apply(ids: Column) -> Column:

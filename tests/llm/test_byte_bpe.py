@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import random
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -109,7 +110,8 @@ def test_blocks_are_cut_by_size(monkeypatch):
 
 def test_a_changed_block_fails():
     rows = pa.table({"k0": [1], "block": ["0-0"], "n_words": [2], "words": [byte_bpe._packed([])]})
-    words = pa.table({"block": ["0-0"], "i": [0], "ids": [b"\0\0\0\0"]})
+    one = byte_bpe._packed(np.ones(1, np.int32))
+    words = pa.table({"block": ["0-0"], "numbers": [one], "sizes": [one], "ids": [one]})
     with pytest.raises(RuntimeError, match="input changed"):
         byte_bpe._place_ids(["doc_id"])(rows, words)
 
