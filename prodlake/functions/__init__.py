@@ -5,9 +5,10 @@ from prodlake.functions.expressions import (  # noqa: F401
     chronological_bounds,
     decimal_mean,
     decimal_sum,
+    from_limbs,
     independent_bounds,
     interval_bounds,
-    rounded_double_sum,
+    limbs,
     search_predicate,
     text_contains,
 )

@@ -118,6 +118,35 @@ def decimal_mean(c: str | Column, dtype: T.DecimalType = MEAN_TYPE) -> Column:
     return (F.sum(col) / F.count(col)).cast(dtype)
 
 
-def rounded_double_sum(c: str | Column, digits: int = 4) -> Column:
-    """Double sum rounded, so summation order does not show in the result."""
-    return F.round(F.sum(c), digits)
+# a double is cut into limbs of so many bits, the least one ending at 2**-60
+LIMB_BITS = 20
+LIMBS = range(-60, 80, LIMB_BITS)
+EXACT_BELOW = 2.0**80
+
+
+def _power(exponent: int) -> str:
+    return f"{2.0**exponent!r}D"
+
+
+def limbs(x: str) -> list[str]:
+    """A double column below ``EXACT_BELOW`` as small whole numbers (SQL text), one
+    for each exponent of ``LIMBS``. Scaling by a power of two, rounding to a whole
+    number and the difference of two such numbers are exact, so the limbs times
+    their powers add up to the double rounded to a multiple of ``2**-60``."""
+    whole = [f"rint({x} * {_power(-e)})" for e in LIMBS]
+    low = [f"{a} - {b} * {_power(LIMB_BITS)}" for a, b in zip(whole, whole[1:], strict=False)]
+    return [f"cast({n} AS bigint)" for n in [*low, whole[-1]]]
+
+
+def from_limbs(sums: list[str]) -> str:
+    """The double that sums of limbs stand for (SQL text over their columns). They
+    are carried first, so that none is above half a unit of the next: then the first
+    that isn't 0 outweighs all below it, and one addition rounds each time."""
+    carry, parts = "0L", []
+    for s, e in zip(sums, LIMBS, strict=True):
+        total = f"({s} + {carry})"
+        if e != LIMBS[-1]:
+            carry = f"shiftright({total} + {1 << (LIMB_BITS - 1)}L, {LIMB_BITS})"
+            total = f"({total} - {carry} * {1 << LIMB_BITS}L)"
+        parts.append(f"cast({total} AS double) * {_power(e)}")
+    return "(" + " + ".join(parts) + ")"

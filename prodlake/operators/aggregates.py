@@ -12,12 +12,14 @@ which spills instead of failing when a partition is large.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from prodlake.functions import INDEPENDENT, decimal_mean, decimal_sum, rounded_double_sum
+from prodlake.functions import INDEPENDENT, decimal_mean, decimal_sum, from_limbs, limbs
+from prodlake.functions.expressions import EXACT_BELOW, LIMBS
 from prodlake.operators.filters import between
 from prodlake.schemas import SUM_TYPE
 
@@ -79,18 +81,49 @@ def records_between(df: DataFrame, *bounds, **kw) -> DataFrame:
     return per_wellbore(df, None, "count", *bounds, **kw)
 
 
+def exact_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+    """Sums of double columns (output name: column) by the keys, with the same bits
+    whatever the order of the rows.
+
+    Each value is cut, without error, into seven whole numbers of 20 bits, which are
+    added as longs (enough for 2**43 rows a group): a hash aggregate with plain
+    partial sums. A group's seven sums are put together once, within one unit in the
+    last place of the true sum. Bits below 2**-60 are rounded away value by value.
+    NaN, infinities and values of 2**80 or more are added as doubles; the order can
+    show in finite sums of the latter only. NULLs don't count; no values: NULL."""
+    cols = [f"cast(`{c}` AS double)" for c in sums.values()]
+    inside = [f"abs({c}) < {EXACT_BELOW!r}D" for c in cols]  # NaN is above all numbers
+    cut = df.selectExpr(
+        *[f"`{k}`" for k in keys],
+        *[f"if({i}, {c}, NULL) AS _x{k}" for k, (c, i) in enumerate(zip(cols, inside, strict=True))],
+        *[f"if({i}, NULL, {c}) AS _l{k}" for k, (c, i) in enumerate(zip(cols, inside, strict=True))],
+    )
+    parts = [f"sum({n}) AS _{k}_{j}" for k in range(len(cols)) for j, n in enumerate(limbs(f"_x{k}"))]
+    added = cut.groupBy(*keys).agg(*[F.expr(x) for x in [*parts, *[f"sum(_l{k}) AS _l{k}" for k in range(len(cols))]]])
+    out = []
+    for k, name in enumerate(sums):
+        small = from_limbs([f"_{k}_{j}" for j in range(len(LIMBS))])
+        out.append(f"coalesce({small} + coalesce(_l{k}, 0D), _l{k}) AS `{name}`")
+    return added.selectExpr(*[f"`{k}`" for k in keys], *out)
+
+
 def group_sums(
     df: DataFrame, keys: Sequence[str], measures: Sequence[str], digits: int | None = None, prefix: str = "sum_"
 ) -> DataFrame:
     """Sum of each measure by the keys, every output aliased ``prefix+name``.
 
-    ``digits`` rounds double sums so that the order in which partial sums
-    meet does not show in the result.
-    """
-    aggs = [
-        (rounded_double_sum(m, digits) if digits is not None else F.sum(m)).alias(f"{prefix}{m}") for m in measures
-    ]
-    return df.groupBy(*keys).agg(*aggs)
+    Doubles are added exactly (``exact_sums``), so the order in which rows and
+    partial sums meet does not show in the result, rounded to ``digits`` or not.
+    All measures must be doubles, or none."""
+    doubles = [isinstance(df.schema[m].dataType, (T.DoubleType, T.FloatType)) for m in measures]
+    if not all(doubles):
+        if any(doubles):
+            raise ValueError("sum doubles and other measures apart")
+        return df.groupBy(*keys).agg(*[F.sum(m).alias(f"{prefix}{m}") for m in measures])
+    out = exact_sums(df, keys, {f"{prefix}{m}": m for m in measures})
+    if digits is None:
+        return out
+    return out.select(*keys, *[F.round(f"{prefix}{m}", digits).alias(f"{prefix}{m}") for m in measures])
 
 
 def year_wellbore_sums(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
@@ -125,6 +158,19 @@ def measure_pivot(
     return df.groupBy(row).agg(*sums)
 
 
+def measure_map(df: DataFrame, measure: str = "oil", row: str = "year", column: str = "wellbore") -> DataFrame:
+    """The pivot without a list of values: one row per ``row`` value with a map
+    from every ``column`` value to the sum of ``measure``, in key order.
+
+    No job looks for the distinct values first, and no column limit applies: the
+    sums are made per pair (partial, then final), and only one entry per pair goes
+    into a map. NULL is no key of a map; its rows are left out, as a pivot's
+    consumer does."""
+    sums = df.filter(F.col(column).isNotNull()).groupBy(row, column).agg(decimal_sum(measure).alias("_sum"))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(column).alias("key"), F.col("_sum").alias("value"))))
+    return sums.groupBy(row).agg(F.map_from_entries(entries).alias(f"{measure}_by_{column}"))
+
+
 def ordered_by(df: DataFrame, *cols: str) -> DataFrame:
     """Listing order as the prose asks ("sorted by wellbores"): a range
     shuffle after the aggregate, never a sort before it."""

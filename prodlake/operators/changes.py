@@ -13,9 +13,9 @@ Plain Parquet has no ``MERGE``; write the returned table to a new folder
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from prodlake.operators.quality import apply_defaults, default_checks, failed, production_checks
 from prodlake.schemas import PRODUCTION_RULES
 from prodlake.session import scratch_path
+from prodlake.session import stored as stored_frame
 
 # --- fixed values: change statuses ------------------------------------------
 APPLIED = "applied"
@@ -36,21 +37,32 @@ CONFLICT = "conflict"
 # ("part-00003-<job uuid>-c000..." or, in a partition folder, "....c000...")
 _PART_FILE = r"^part-(\d+)-[0-9a-f-]{36}[-.]c(\d+)"
 GROUP_FILES = 1000
+# 16 bytes a file: offsets of more files than this (16 MB) are shuffle-joined
+MOST_BROADCAST_FILES = 1_000_000
 _BAD, _ROW = "_bad", "_row"
 
 
 @dataclass
 class ChangeResult:
-    """The new table, one report row per change, the removed rows (deletes)
-    and ``changed``: the keys whose stored row the batch may have added,
-    replaced or removed, with the new values where there are any (what a
-    partition-wise write needs, see ``sinks.writers.write_changed_partitions``;
-    a key without a stored row touches nothing)."""
+    """A batch applied to a table: the new table, the removed rows (deletes) and
+    ``changed``: the keys whose stored row the batch may have added, replaced or
+    removed, with the new values where there are any (what a partition-wise write
+    needs, see ``sinks.writers.write_changed_partitions``; a key without a stored
+    row touches nothing).
+
+    ``report``, one row per change, is made when it is first asked for: only it
+    needs to know which of the batch's keys are stored. ``on`` applies the batch,
+    which is staged once, to another table."""
 
     table: DataFrame
-    report: DataFrame
+    make_report: Callable[[], DataFrame]
     removed: DataFrame | None = None
     changed: DataFrame | None = None
+    on: Callable[[DataFrame], ChangeResult] | None = None
+
+    @cached_property
+    def report(self) -> DataFrame:
+        return self.make_report()
 
 
 def current_max_id(table: DataFrame, key: str = "id") -> int:
@@ -72,10 +84,11 @@ def number_stored(
     the same ids.
 
     Offsets are counted on two levels: per group of ``GROUP_FILES`` part
-    numbers, then inside each group, so no task orders all files. What is
-    broadcast is 16 bytes a file (a hash of its path, its offset): 6 MB for
-    100 TB in files of 256 MiB. Rows are never shuffled for it. Two paths
-    with one hash raise. ``schema`` (the written one) lets an empty folder
+    numbers, then inside each group, so no task orders all files. An offset
+    is 16 bytes a file (a hash of its path, its offset): 6 MB for 100 TB in
+    files of 256 MiB. Up to ``MOST_BROADCAST_FILES`` they are broadcast, and
+    rows are not shuffled; beyond, Spark picks the join. Two paths with one
+    hash raise. ``schema`` (the written one) lets an empty folder
     read as no rows.
     """
     stored = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
@@ -93,9 +106,7 @@ def number_stored(
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_file", "_name", "_n", part.alias("_part"), chunk.alias("_chunk"), group.alias("_group"))
     )
-    place = scratch_path(spark, "file-counts")
-    counts.write.parquet(place)
-    counts = spark.read.schema(counts.schema).parquet(place)
+    counts = stored_frame(counts, "file-counts")
     # one row per GROUP_FILES files
     groups = counts.groupBy("_group").agg(F.sum("_n").alias("_sum"))
     ahead = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
@@ -109,7 +120,9 @@ def number_stored(
     )
     rows = stored.select(*cols, F.xxhash64(fpath).alias("_hash"), F.col("_metadata.row_index").alias("_row"))
     new_id = (F.lit(start_after) + F.col("_off") + F.col("_row") + F.lit(1)).cast("long")
-    return rows.join(F.broadcast(offsets), "_hash").select(new_id.alias(key), *cols)
+    if counts.count() <= MOST_BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    return rows.join(offsets, "_hash").select(new_id.alias(key), *cols)
 
 
 def assign_ids(
@@ -151,17 +164,7 @@ def staged_batch(batch: DataFrame, name: str) -> DataFrame:
     """The batch written once to the shared folder with a number per row
     (``_row``), so that equal rows can be told apart and every later join
     reads it from storage."""
-    spark = batch.sparkSession
-    numbered = batch.withColumn(_ROW, F.monotonically_increasing_id())
-    path = scratch_path(spark, name)
-    numbered.write.parquet(path)
-    return spark.read.schema(numbered.schema).parquet(path)
-
-
-def _stored_frame(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored_frame(batch.withColumn(_ROW, F.monotonically_increasing_id()), name)
 
 
 def with_defaults(batch: DataFrame) -> DataFrame:
@@ -208,19 +211,20 @@ def apply_inserts(
         # both sides of the join then come from storage and a hot combination
         # can be split; the table's side is joined as it is
         first = valid.groupBy(*on).agg(F.min(_ROW).alias(_ROW))
-        first = _stored_frame(first, "first-requests")
+        first = stored_frame(first, "first-requests")
         a, b = first.alias("a"), table.select(*on).alias("b")
         same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on])
-        new = _stored_frame(a.join(b, same, "left_anti").select(F.col(f"a.{_ROW}")), "new-requests")
+        new = stored_frame(a.join(b, same, "left_anti").select(F.col(f"a.{_ROW}")), "new-requests")
         conflicts = valid.join(new, _ROW, "left_anti")
         valid = valid.join(new, _ROW, "left_semi")
         report_parts.append(conflicts.select(*cols, F.lit(None).cast("long").alias(key), F.lit(CONFLICT).alias("status")))
     start = current_max_id(table, key) if start_after is None else start_after
     inserted = assign_ids(valid.drop(_ROW), start, key=key, order_by=order_by)
     new_table = table.unionByName(inserted.select(*table.columns))
-    report = inserted.select(*cols, key, F.lit(APPLIED).alias("status"))
-    for part in report_parts:
-        report = report.unionByName(part)
+
+    def report() -> DataFrame:
+        return reduce(DataFrame.unionByName, report_parts, inserted.select(*cols, key, F.lit(APPLIED).alias("status")))
+
     return ChangeResult(new_table, report, changed=inserted.select(key, *cols))
 
 
@@ -254,23 +258,30 @@ def apply_updates(
     # table's left join drops the keys it lacks, so the new table needs no
     # pass over the table's keys (only the report asks which keys exist)
     winners = checked.filter(~F.col(_BAD)).groupBy(key).agg(F.max(candidate).alias("_win"))
-    winners = _stored_frame(winners, "winning-updates")
-    # one row per requested key that is stored, with its winner's row: written
-    # before the batch is joined to it once, so a hot key can be split
-    known = winners.select(key, F.col(f"_win.{_ROW}").alias("_applied")).join(table.select(key), key, "left_semi")
-    known = _stored_frame(known, "stored-updates")
-    status = (
-        F.when(F.col(_BAD), F.lit(BAD_REQUEST))
-        .when(F.col("_applied").isNull(), F.lit(NOT_FOUND))
-        .when(F.col("_applied") == F.col(_ROW), F.lit(APPLIED))
-        .otherwise(F.lit(SUPERSEDED))
-    )
-    report = checked.join(known, key, "left").select(key, path_key, seq, *cols, status.alias("status"))
-    updated = table.join(winners, key, "left").select(
-        key,
-        *[F.when(F.col("_win").isNotNull(), F.col(f"_win.{c}")).otherwise(F.col(c)).alias(c) for c in cols],
-    )
-    return ChangeResult(updated, report, changed=winners.select(key, *[F.col(f"_win.{c}").alias(c) for c in cols]))
+    winners = stored_frame(winners, "winning-updates")
+    changed = winners.select(key, *[F.col(f"_win.{c}").alias(c) for c in cols])
+
+    def on(table: DataFrame) -> ChangeResult:
+        def report() -> DataFrame:
+            # one row per requested key that is stored, with its winner's row: written
+            # before the batch is joined to it once, so a hot key can be split
+            known = winners.select(key, F.col(f"_win.{_ROW}").alias("_applied")).join(table.select(key), key, "left_semi")
+            known = stored_frame(known, "stored-updates")
+            status = (
+                F.when(F.col(_BAD), F.lit(BAD_REQUEST))
+                .when(F.col("_applied").isNull(), F.lit(NOT_FOUND))
+                .when(F.col("_applied") == F.col(_ROW), F.lit(APPLIED))
+                .otherwise(F.lit(SUPERSEDED))
+            )
+            return checked.join(known, key, "left").select(key, path_key, seq, *cols, status.alias("status"))
+
+        updated = table.join(winners, key, "left").select(
+            key,
+            *[F.when(F.col("_win").isNotNull(), F.col(f"_win.{c}")).otherwise(F.col(c)).alias(c) for c in cols],
+        )
+        return ChangeResult(updated, report, changed=changed, on=on)
+
+    return on(table)
 
 
 def apply_deletes(table: DataFrame, deletes: DataFrame, key: str = "id", seq: str = "seq") -> ChangeResult:
@@ -285,11 +296,17 @@ def apply_deletes(table: DataFrame, deletes: DataFrame, key: str = "id", seq: st
     # one row per requested key (a partial aggregate); found or not does not
     # matter to the new table, so it needs no pass over the table's keys
     first = batch.groupBy(key).agg(F.min(F.struct(F.col(seq).isNull(), F.col(seq), F.col(_ROW))).alias("_f"))
-    first = _stored_frame(first.select(key, F.col(f"_f.{_ROW}").alias("_applied")), "first-deletes")
+    first = stored_frame(first.select(key, F.col(f"_f.{_ROW}").alias("_applied")), "first-deletes")
     keys = first.select(key)
-    known = _stored_frame(first.join(table.select(key), key, "left_semi"), "stored-deletes")
-    status = F.when(F.col("_applied") == F.col(_ROW), F.lit(APPLIED)).otherwise(F.lit(NOT_FOUND))
-    report = batch.join(known, key, "left").select(*deletes.columns, status.alias("status"))
-    kept = table.join(keys, key, "left_anti")
-    removed = table.join(keys, key, "left_semi")
-    return ChangeResult(kept, report, removed, changed=keys)
+
+    def on(table: DataFrame) -> ChangeResult:
+        def report() -> DataFrame:
+            known = stored_frame(first.join(table.select(key), key, "left_semi"), "stored-deletes")
+            status = F.when(F.col("_applied") == F.col(_ROW), F.lit(APPLIED)).otherwise(F.lit(NOT_FOUND))
+            return batch.join(known, key, "left").select(*deletes.columns, status.alias("status"))
+
+        kept = table.join(keys, key, "left_anti")
+        removed = table.join(keys, key, "left_semi")
+        return ChangeResult(kept, report, removed, changed=keys, on=on)
+
+    return on(table)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from prodlake.operators import changes as M
@@ -33,6 +33,33 @@ class LoadResult:
     loaded: DataFrame
     rejected: DataFrame
     staged: str
+    counts: LoadCounts
+
+
+@dataclass(frozen=True)
+class LoadCounts:
+    """Rows read, accepted and rejected, counted while they were staged."""
+
+    read: int
+    accepted: int
+    rejected: int
+
+    def reconciled(self) -> bool:
+        return self.read == self.accepted + self.rejected
+
+
+class LoadRefused(RuntimeError):
+    """A load whose counts don't agree, or that rejects more than is allowed."""
+
+
+def require_reconciled(counts: LoadCounts, most_rejected: float = 1.0) -> LoadCounts:
+    """The counts, or ``LoadRefused``: what a second step asks before it runs.
+    ``most_rejected`` is the share of rows that may be rejected."""
+    if not counts.reconciled():
+        raise LoadRefused(f"{counts.read} rows read, {counts.accepted} accepted and {counts.rejected} rejected")
+    if counts.rejected > most_rejected * counts.read:
+        raise LoadRefused(f"{counts.rejected} of {counts.read} rows are rejected")
+    return counts
 
 
 def checked_rows(
@@ -50,6 +77,16 @@ def checked_rows(
     return Q.type_and_check(mapped, rules, extra=extra)
 
 
+def stage_counted(checked: DataFrame, path: str) -> tuple[DataFrame, LoadCounts]:
+    """``stage_checked``, and how many rows were read, accepted and rejected:
+    the rows read are counted by the pass that writes them, the others from the
+    written files' footers, so that rows lost on the way show."""
+    seen = Observation()
+    staged = stage_checked(checked.observe(seen, F.count(F.lit(1)).alias("read")), path)
+    of = {r[STATUS]: r["count"] for r in staged.groupBy(STATUS).count().collect()}
+    return staged, LoadCounts(seen.get["read"], of.get("accepted", 0), of.get("rejected", 0))
+
+
 def stage_checked(checked: DataFrame, path: str) -> DataFrame:
     """Write checked rows once, split into status folders; return the read.
 
@@ -82,11 +119,16 @@ def copy_lake_to_table(
     order_by: Sequence[str] | None = None,
     columns: list[str] | None = None,
     header: bool = True,
+    most_rejected: float = 1.0,
 ) -> LoadResult:
     """K3: S2 + P3 + V1 + M5 + K1 in one load. Returns the appended rows
-    (with their ids), the rejected rows with reasons, and the staging path."""
+    (with their ids), the rejected rows with reasons, the staging path and the
+    reconciled counts. Nothing is appended if the counts don't agree or a
+    greater share than ``most_rejected`` is rejected (``LoadRefused``)."""
     staged_path = scratch_path(spark, "staged-load")
-    staged = stage_checked(checked_rows(spark, src, mapping, rules, columns=columns, header=header), staged_path)
+    checked = checked_rows(spark, src, mapping, rules, columns=columns, header=header)
+    staged, counts = stage_counted(checked, staged_path)
+    require_reconciled(counts, most_rejected)
     names = [r.name for r in rules]
     bad = Q.rejected(staged.filter(F.col(STATUS) == "rejected").drop(STATUS))
     exists = target.kind in ("jdbc", "catalog") or path_exists(spark, target.location)
@@ -107,4 +149,4 @@ def copy_lake_to_table(
         with_ids = staged.filter(F.lit(False)).select(F.lit(None).cast("long").alias(key), *names)
     with_ids = with_ids.select(key, *names)
     append(with_ids, target)
-    return LoadResult(with_ids, bad, staged_path)
+    return LoadResult(with_ids, bad, staged_path, counts)

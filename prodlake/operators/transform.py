@@ -4,6 +4,7 @@ Catalyst collapses into the scan's projection."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -74,6 +75,45 @@ def expand_records(df: DataFrame, json_col: str, schema: T.DataType, keep: Seque
     return df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
 
 
+# a variant's schema: field names, some in backquotes, and type names
+_SCHEMA_PART = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bVARIANT\b|\bVOID\b")
+_AS_TYPE = {"OBJECT<": "STRUCT<", "VARIANT": "STRING", "VOID": "STRING"}
+
+
+def discover_records(df: DataFrame, json_col: str) -> T.DataType:
+    """The type that all of a column's JSON texts fit, found from the records
+    themselves: one aggregate over the parsed texts, whose partial results are
+    merged schemas, and one row to the driver. A field with values of different
+    kinds, or with nulls only, is text. Texts that don't parse tell nothing."""
+    parsed = F.try_parse_json(F.col(json_col))
+    found = df.agg(F.schema_of_variant_agg(parsed)).first()[0]
+    return T._parse_datatype_string(_SCHEMA_PART.sub(lambda m: _AS_TYPE.get(m[0], m[0]), found or "VOID"))
+
+
+def _type_text(t: T.DataType) -> str:
+    """A type as SQL reads it, whatever its fields are called."""
+    if isinstance(t, T.StructType):
+        names = [f.name.replace("`", "``") for f in t.fields]
+        return "STRUCT<" + ", ".join(f"`{n}`: {_type_text(f.dataType)}" for n, f in zip(names, t.fields, strict=True)) + ">"
+    return f"ARRAY<{_type_text(t.elementType)}>" if isinstance(t, T.ArrayType) else t.simpleString()
+
+
+def expand_discovered(
+    df: DataFrame, json_col: str, keep: Sequence[str] = (), schema: T.DataType | None = None
+) -> DataFrame:
+    """JSON text to columns without a declared schema: the fields are those the
+    records have (``schema``: as found before). A list of records becomes a row
+    each; a record that doesn't parse keeps its row, with NULLs."""
+    schema = discover_records(df, json_col) if schema is None else schema
+    records = isinstance(schema, T.ArrayType) and isinstance(schema.elementType, T.StructType)
+    if not records and not isinstance(schema, T.StructType):
+        raise ValueError(f"{json_col} holds no records: its texts are {schema.simpleString()}")
+    value = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", _type_text(schema))
+    if records:
+        return df.select(*keep, F.inline(value))
+    return df.select(*keep, value.alias("_r")).select(*keep, "_r.*")
+
+
 def retype_decimal(df: DataFrame, cols: Sequence[str] = ("oil", "gas"), dtype: T.DecimalType = OIL_GAS_TYPE) -> DataFrame:
     """Change measures to a decimal type, other columns untouched."""
     targets = set(cols)

@@ -18,7 +18,7 @@ from prodlake.schemas import OIL_GAS_TYPE, PRODUCTION_RULES
 from prodlake.session import scratch_path
 from prodlake.sinks.writers import full_refresh, write_changed_partitions
 from prodlake.sources import fixtures as fx
-from prodlake.sources.tables import Target, read_target
+from prodlake.sources.tables import Target, read_target, stored_max
 
 VALUE_COLS = ["wellbore", "year", "month", "oil", "gas"]
 ID_ORDER = ["year", "month", "wellbore", "oil", "gas"]
@@ -48,15 +48,20 @@ _ASSIGNED_SQL = (
 )
 
 
+def _largest_id(spark, sf_dir) -> int:
+    """The largest stored id, from the files' footers."""
+    return int(stored_max(spark, f"{sf_dir.rstrip('/')}/orders.parquet", "o_orderkey") or 0)
+
+
 def _inserted(spark, sf_dir) -> M.ChangeResult:
-    return M.apply_inserts(fx.production_keyed(spark, sf_dir), insert_requests(spark, sf_dir), order_by=ID_ORDER)
+    table, requests = fx.production_keyed(spark, sf_dir), insert_requests(spark, sf_dir)
+    return M.apply_inserts(table, requests, order_by=ID_ORDER, start_after=_largest_id(spark, sf_dir))
 
 
 @register("assign_ids", with_views(_ASSIGNED_SQL, "production_keyed"))
 def assign_ids(spark, sf_dir):
-    table = fx.production_keyed(spark, sf_dir)
     valid = insert_requests(spark, sf_dir).filter(~Q.failed(M.insert_checks()))
-    return M.assign_ids(valid, M.current_max_id(table), order_by=ID_ORDER)
+    return M.assign_ids(valid, _largest_id(spark, sf_dir), order_by=ID_ORDER)
 
 
 @register(
@@ -210,8 +215,9 @@ _CONFLICT_SQL = (
     ),
 )
 def apply_inserts_conflict(spark, sf_dir):
-    table = fx.production_keyed(spark, sf_dir)
-    return M.apply_inserts(table, conflicting_requests(spark, sf_dir), order_by=ID_ORDER, reject_existing_on=VALUE_COLS).report
+    table, requests = fx.production_keyed(spark, sf_dir), conflicting_requests(spark, sf_dir)
+    start = _largest_id(spark, sf_dir)
+    return M.apply_inserts(table, requests, order_by=ID_ORDER, reject_existing_on=VALUE_COLS, start_after=start).report
 
 
 @register(

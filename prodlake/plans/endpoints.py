@@ -111,12 +111,14 @@ _STORED: dict[tuple[str, str], str] = {}
 
 def stored_keyed(spark, sf_dir) -> str:
     """``production_keyed`` saved once per session as a catalog table in the
-    shared folder: filters on its columns reach the Parquet scan."""
+    shared folder: filters on its columns reach the Parquet scan, and Bloom
+    filters of the id and the wellbore rule row groups out."""
     memo = (spark.sparkContext.applicationId, sf_dir)
     name = _STORED.get(memo)
     if name is None or not spark.catalog.tableExists(name):
         name = f"production_{uuid.uuid4().hex[:12]}"
-        full_refresh(fx.production_keyed(spark, sf_dir), Tb.Target.catalog(name, path=scratch_path(spark, name)))
+        target = Tb.Target.catalog(name, path=scratch_path(spark, name), bloom=("id", "wellbore"))
+        full_refresh(fx.production_keyed(spark, sf_dir), target)
         _STORED[memo] = name
     return name
 
@@ -314,6 +316,36 @@ def oil_pivot(spark, sf_dir):
     return A.measure_pivot(rows, PIVOT_VALUES, measure="oil")
 
 
+@register(
+    "oil_pivot_map",
+    with_views(
+        f"SELECT year, count(*) AS n, string_agg(wellbore || '=' || cast(oil AS varchar), ';' ORDER BY wellbore) AS wellbores "
+        f"FROM (SELECT year, wellbore, {dsum('oil')} AS oil FROM production WHERE {interval_sql(INDEPENDENT, *CONSUMER)} GROUP BY year, wellbore) s "
+        "GROUP BY year",
+        "production",
+    ),
+)
+def oil_pivot_map(spark, sf_dir):
+    """The pivot over all wellbores, none of them named beforehand."""
+    pivot = A.measure_map(Fl.between(fx.production(spark, sf_dir), *CONSUMER))
+    entry = F.transform(F.map_entries("oil_by_wellbore"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    n = F.size("oil_by_wellbore").cast("long")
+    return pivot.select("year", n.alias("n"), F.array_join(entry, ";").alias("wellbores"))
+
+
+# an id that lies between stored ids but isn't one, and one that is
+LOOKED_UP_IDS = (1, 2, 33)
+
+
+@register(
+    "lookup_id_stored",
+    with_views(f"SELECT {KEYED_COLS} FROM production_keyed WHERE id IN {LOOKED_UP_IDS}", "production_keyed"),
+)
+def lookup_id_stored(spark, sf_dir):
+    """Some ids of the stored table: row groups that hold none are skipped."""
+    return Tb.scan_table(spark, stored_keyed(spark, sf_dir)).filter(F.col("id").isin(*LOOKED_UP_IDS))
+
+
 def production_lake(spark, sf_dir):
     """``production`` landed once as a Parquet table partitioned by year: the
     layout the prepared layer keeps, where year bounds prune folders and

@@ -28,8 +28,10 @@ from prodlake.schemas import (
 )
 from prodlake.session import scratch_path
 from prodlake.sinks import writers as W
+from prodlake.sinks.copies import copy_files
 from prodlake.sources import files as SF
 from prodlake.sources import fixtures as fx
+from prodlake.sources.json_arrays import scan_json_array_split as scan_split
 from prodlake.sources.tables import Target, read_target
 
 # --- landed files ---------------------------------------------------------
@@ -158,8 +160,8 @@ def scan_csv(spark, sf_dir):
 
 @register("scan_lake", with_views(f"SELECT {_FIELD_TEXT_COLS} FROM field_csv", "field_csv"))
 def scan_lake(spark, sf_dir):
-    # store settings travel with the read; a local path needs none, the
-    # option shown is a harmless Hadoop setting that proves they are passed
+    # store settings travel with the read; a local path needs none, so the
+    # option shown is a harmless Hadoop setting
     return SF.scan_lake(spark, field_csv(spark, sf_dir), {"fs.file.impl.disable.cache": "true"})
 
 
@@ -329,6 +331,14 @@ def validate_schema(spark, sf_dir):
 # --- S3, S4, K4, P4, P5: other file shapes ---------------------------------
 
 PART_SCHEMA = T.StructType([T.StructField(r.name, T.StringType(), True) for r in PART_RULES])
+_TEXT_RULES = [ColumnRule(r.name, T.StringType(), nullable=True, max_length=None) for r in PART_RULES]
+
+
+def broken_array(spark) -> str:
+    """A file whose array breaks off in its second record."""
+    path = scratch_path(spark, "broken-json")
+    spark.range(1).select(F.lit('[{"p_partkey": "1"}, {"p_partkey": "2"').alias("value")).write.text(path)
+    return path
 
 
 @register("scan_binary", with_views(f"SELECT {_FIELD_TEXT_COLS} FROM field_csv", "field_csv"))
@@ -346,6 +356,40 @@ def scan_json_array(spark, sf_dir):
     return SF.scan_json_array(spark, part_json_arrays(spark, sf_dir), PART_SCHEMA)
 
 
+# small ranges, so that the landed files take several each at every size
+RANGE_BYTES = 1 << 16
+
+
+@register("copy_binary", with_views(f"SELECT {_FIELD_TEXT_COLS} FROM field_csv", "field_csv"))
+def copy_binary(spark, sf_dir):
+    """The landed files copied byte for byte, each in ranges by several tasks;
+    the copies are read."""
+    copies = scratch_path(spark, "copied")
+    copy_files(spark, field_csv(spark, sf_dir), copies, glob="*.csv", chunk_bytes=RANGE_BYTES)
+    return SF.scan_csv(spark, f"{copies}/*.csv", columns=FIELD_COLUMNS)
+
+
+@register("scan_json_array_split", with_views(f"SELECT {_PART_COLS} FROM part_strings", "part_strings"))
+def scan_json_array_split(spark, sf_dir):
+    """The arrays, each file read by several tasks."""
+    return scan_split(spark, part_json_arrays(spark, sf_dir), PART_SCHEMA, RANGE_BYTES).drop(SF.CORRUPT)
+
+
+@register(
+    "scan_json_array_split_checked",
+    with_views(
+        f"SELECT {_PART_COLS}, '' AS reason FROM part_strings UNION ALL SELECT '1', NULL, NULL, NULL, NULL, NULL, '' UNION ALL "
+        f"SELECT {', '.join('NULL' for _ in PART_RULES)}, '{Q.MALFORMED}'",
+        "part_strings",
+    ),
+)
+def scan_json_array_split_checked(spark, sf_dir):
+    """The arrays next to a file that breaks off: its whole records are kept."""
+    rows = scan_split(spark, [part_json_arrays(spark, sf_dir), broken_array(spark)], PART_SCHEMA, RANGE_BYTES)
+    checked = Q.type_and_check(rows, _TEXT_RULES)
+    return checked.select(*[r.name for r in PART_RULES], F.col(Q.REASONS).alias("reason"))
+
+
 @register("csv_to_json", with_views(f"SELECT {_PART_COLS} FROM part_strings", "part_strings"))
 def csv_to_json(spark, sf_dir):
     dst = W.csv_to_json(spark, part_csv(spark, sf_dir), scratch_path(spark, "json"))
@@ -383,6 +427,19 @@ def expand_records(spark, sf_dir):
     return P.expand_records(ev, "props", T.StructType([T.StructField("k", T.IntegerType())]), keep=["event_id"])
 
 
+@register("discover_records", "SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS bigint) AS k FROM events")
+def discover_records(spark, sf_dir):
+    """The events' properties as columns, found from the records."""
+    return P.expand_discovered(fx.events(spark, sf_dir), "props", keep=["event_id"])
+
+
+@register("discover_record_lists", with_views("SELECT wellbore, year, month, oil FROM production_keyed", "production_keyed"))
+def discover_record_lists(spark, sf_dir):
+    """Lists of records to a row each, their fields found from the records."""
+    found = P.expand_discovered(_record_lists(spark, sf_dir), "records", keep=["wellbore"])
+    return P.select_cast(found, {"wellbore": "string", "year": "int", "month": "int", "oil": OIL_GAS_TYPE})
+
+
 # --- K1, K2, K5, K6, K3: sinks and loads -----------------------------------
 
 _KEYED = "id, wellbore, year, month, oil, gas"
@@ -431,24 +488,25 @@ def two_step_refresh(spark, sf_dir):
 )
 def scan_json_array_checked(spark, sf_dir):
     """The arrays next to a file that breaks off: it is one row with a reason."""
-    broken = scratch_path(spark, "broken-json")
-    spark.range(1).select(F.lit('[{"p_partkey": "1"}, {"p_partkey": "2"').alias("value")).write.text(broken)
-    rows = SF.scan_json_array_checked(spark, [part_json_arrays(spark, sf_dir), broken], PART_SCHEMA)
-    text_rules = [ColumnRule(r.name, T.StringType(), nullable=True, max_length=None) for r in PART_RULES]
-    checked = Q.type_and_check(rows, text_rules)
+    rows = SF.scan_json_array_checked(spark, [part_json_arrays(spark, sf_dir), broken_array(spark)], PART_SCHEMA)
+    checked = Q.type_and_check(rows, _TEXT_RULES)
     return checked.select(*[r.name for r in PART_RULES], F.col(Q.REASONS).alias("reason"))
 
 
+def _record_lists(spark, sf_dir):
+    rows = fx.production_keyed(spark, sf_dir)
+    record = F.struct("year", "month", "oil")
+    return rows.groupBy("wellbore", "year").agg(F.to_json(F.collect_list(record)).alias("records")).drop("year")
+
+
 @register(
     "expand_record_lists",
     with_views("SELECT wellbore, year, month, oil FROM production_keyed", "production_keyed"),
 )
 def expand_record_lists(spark, sf_dir):
     """Lists of records (the orders of a customer and year) to one row a record."""
-    rows = fx.production_keyed(spark, sf_dir)
-    lists = rows.groupBy("wellbore", "year").agg(F.to_json(F.collect_list(F.struct("year", "month", "oil"))).alias("records"))
     record = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField("oil", OIL_GAS_TYPE)])
-    return P.expand_records(lists.drop("year"), "records", T.ArrayType(record), keep=["wellbore"])
+    return P.expand_records(_record_lists(spark, sf_dir), "records", T.ArrayType(record), keep=["wellbore"])
 
 
 @register(

@@ -109,3 +109,27 @@ def land_raw_stream(spark, sf_dir):
     for _ in range(2):
         _land_stream(spark, events_drop_folder(spark, sf_dir), schema, out, ckpt, **TAGS)
     return _stable(spark.read.parquet(out))
+
+
+@register("land_raw_stream_distinct", _LANDED_SQL)
+def land_raw_stream_distinct(spark, sf_dir):
+    """The events dropped as files, landed, dropped again as other files and
+    landed by a second run: every event once."""
+    events = fx.events(spark, sf_dir)
+    drop, out, ckpt = (scratch_path(spark, f"events-{x}") for x in ("again", "distinct", "distinct-ckpt"))
+    for _ in range(2):
+        events.write.mode("append").parquet(drop)
+        _land_stream(spark, drop, events.schema, out, ckpt, distinct=events.columns, **TAGS)
+    return _stable(spark.read.parquet(out))
+
+
+@register(
+    "load_counts",
+    f"SELECT count(*) AS read, count(*) FILTER (reason = '') AS accepted, count(*) FILTER (reason <> '') AS rejected FROM ({_checked_sql()}) c",
+)
+def load_counts(spark, sf_dir):
+    """What a load read, accepted and rejected, counted while it ran."""
+    target = Target.parquet(scratch_path(spark, "counted-table"))
+    done = _copy(spark, dirty_csv(spark, sf_dir), target, LAKE_TO_TABLE, columns=DIRTY_SOURCE_COLUMNS, header=False)
+    n = done.counts
+    return spark.createDataFrame([(n.read, n.accepted, n.rejected)], "read long, accepted long, rejected long")

@@ -10,9 +10,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from py4j.protocol import Py4JError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -117,6 +119,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to a new folder below the shared folder and read
+    back: later uses read files, and what made them doesn't run again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that its
+    functions run wherever the driver was started from."""
+    sc = spark.sparkContext
+    if _SHIPPED.get("context") == sc.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    into = Path(tempfile.mkdtemp(prefix="prodlake-package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(into, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(into))
+    _SHIPPED["context"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodlake.operators.changes import ChangeResult
-from prodlake.session import delete_path, path_exists, scratch_path
+from prodlake.session import delete_path, path_exists, scratch_path, stored
 from prodlake.sources.files import CORRUPT, scan_csv_checked
 from prodlake.sources.tables import Target, read_target
 
@@ -28,6 +28,8 @@ def _writer(df: DataFrame, target: Target, mode: str):
     if target.kind == "jdbc":
         return w.format("jdbc").options(**target.options)
     w = w.options(**target.options)
+    for c in target.bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
     if target.partition_by:
         w = w.partitionBy(*target.partition_by)
     if target.bucket_by:
@@ -119,27 +121,33 @@ def _null_safe(left: str, right: str, columns: Sequence[str]):
     return reduce(lambda x, y: x & y, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
 
-def _bounds(parts: DataFrame, columns: Sequence[str]):
-    """A filter that every row of ``parts`` meets and that prunes folders:
-    least and greatest value per column (two values and a flag each)."""
-    stats = parts.agg(
-        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))],
-        *[F.max(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-    ).first()
-    out = F.lit(True)
-    for c in columns:
-        inside = F.col(c).isNull() if stats[f"null_{c}"] else F.lit(False)
-        if stats[f"lo_{c}"] is not None:
-            inside = inside | F.col(c).between(F.lit(stats[f"lo_{c}"]), F.lit(stats[f"hi_{c}"]))
-        out = out & inside
-    return out
+_TOUCHED = "_touched"
+
+
+def staged_partitions(parts: DataFrame, path: str) -> DataFrame:
+    """Distinct partitions written to a folder, with a mark (see ``stored_slice``)."""
+    marked = parts.distinct().withColumn(_TOUCHED, F.lit(1))
+    marked.write.parquet(path)
+    return parts.sparkSession.read.schema(marked.schema).parquet(path)
 
 
 def stored_slice(stored: DataFrame, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The stored rows of the ``touched`` partitions (NULL is a partition as
-    well); the scan reads the folders within their bounds alone."""
-    s, t = stored.filter(_bounds(touched, columns)).alias("s"), touched.alias("t")
-    return s.join(t, _null_safe("s", "t", columns), "left_semi").select(*stored.columns)
+    """The stored rows of the ``touched`` partitions (from ``staged_partitions``;
+    NULL is a partition as well).
+
+    The list is joined, not collected. While Spark finds it small enough to be
+    broadcast, it prunes the scan's folders by the list's values when the query
+    runs (dynamic partition pruning, which it considers only where the other side
+    has a filter: the mark); a longer list is joined all the same."""
+    whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns])
+    named = touched.filter((F.col(_TOUCHED) == 1) & whole).alias("t")
+    equal = reduce(lambda x, y: x & y, [F.col(f"s.{c}") == F.col(f"t.{c}") for c in columns])
+    out = stored.alias("s").join(named, equal, "left_semi").select(*stored.columns)
+    unnamed = touched.filter(~whole)
+    if not unnamed.isEmpty():
+        s, t = stored.filter(~whole).alias("s"), unnamed.alias("t")
+        out = out.unionByName(s.join(t, _null_safe("s", "t", columns), "left_semi").select(*stored.columns))
+    return out
 
 
 def write_changed_partitions(
@@ -154,37 +162,37 @@ def write_changed_partitions(
     apply_updates(t, batch)``.
 
     A partition is touched when a changed key has a row in it, or (an update
-    can move a row to another year) will have. Finding them scans the key and
-    partition columns; the batch is then applied to the stored rows of those
-    partitions alone. Their new content is staged in the shared folder, and
-    ``commit_partitions`` swaps it in. If the driver is lost during the swap,
-    call ``commit_partitions`` on the staged folder again: it does the same
-    once more, whatever was done before. Returns the touched partitions, one
-    row each.
+    can move a row to another year) will have. Finding them is one pass over
+    the key and partition columns; the batch, staged once, is then applied to
+    the stored rows of those partitions alone. Their new content is staged in
+    the shared folder, and ``commit_partitions`` swaps it in. If the driver is
+    lost during the swap, call ``commit_partitions`` on the staged folder
+    again: it does the same once more, whatever was done before. Returns the
+    touched partitions, one row each.
     """
     parts = list(target.partition_by)
     if not parts or target.kind in ("jdbc", "catalog"):
         raise ValueError("write_changed_partitions needs a partitioned file target")
-    stored = read_target(spark, target)
+    stored_rows = read_target(spark, target)
     place = scratch_path(spark, "changed-partitions")
-    changed = change(stored).changed
+    result = change(stored_rows)
+    moves = set(parts) <= set(result.changed.columns)
+    new = [F.col(c).alias(f"_new_{c}") for c in parts] if moves else []
     # a key without a stored row touches nothing
-    hits = stored.select(key, *parts).join(changed.select(key).distinct(), key, "left_semi")
-    touched = hits.select(*parts)
-    if set(parts) <= set(changed.columns):
-        moved = changed.select(key, *parts).join(stored.select(key), key, "left_semi")
-        touched = touched.unionByName(moved.select(*parts))
-    touched.distinct().write.parquet(f"{place}/touched")
-    touched = spark.read.schema(touched.schema).parquet(f"{place}/touched")
+    hits = stored_rows.select(key, *parts).join(result.changed.select(key, *new), key)
+    places = [F.struct(*parts)] + ([F.struct(*[F.col(f"_new_{c}").alias(c) for c in parts])] if moves else [])
+    touched = hits.select(F.explode(F.array(*places)).alias("_p")).select("_p.*")
+    touched = staged_partitions(touched, f"{place}/touched")
     if touched.isEmpty():
         delete_path(spark, place)
-        return spark.createDataFrame([], touched.schema)
-    content = change(stored_slice(stored, touched, parts)).table.select(*stored.columns)
+        return spark.createDataFrame([], touched.drop(_TOUCHED).schema)
+    changed = stored_slice(stored_rows, touched, parts)
+    content = (result.on(changed) if result.on else change(changed)).table.select(*stored_rows.columns)
     # full-size files, large partitions split over several
     content.hint("rebalance", *parts).write.partitionBy(*parts).format(target.kind).save(f"{place}/content")
-    found = touched.toArrow()
+    found = stored(touched.drop(_TOUCHED), "touched-partitions")
     commit_partitions(spark, target, place)
-    return spark.createDataFrame(found)
+    return found
 
 
 def commit_partitions(spark: SparkSession, target: Target, place: str) -> None:
@@ -194,13 +202,13 @@ def commit_partitions(spark: SparkSession, target: Target, place: str) -> None:
     parts = list(target.partition_by)
     if not path_exists(spark, f"{place}/content"):
         raise ValueError(f"nothing staged in {place}")
-    stored = read_target(spark, target)
-    staged = spark.read.schema(stored.schema).format(target.kind).load(f"{place}/content")
+    schema = read_target(spark, target).schema
+    staged = spark.read.schema(schema).format(target.kind).load(f"{place}/content")
     touched = spark.read.parquet(f"{place}/touched")
     filled = staged.select(*parts).distinct()
     emptied = touched.alias("t").join(filled.alias("f"), _null_safe("t", "f", parts), "left_anti")
     # found by Spark's own listing before anything is changed
-    listed = spark.read.schema(stored.schema).format(target.kind).load(target.location)
+    listed = spark.read.schema(schema).format(target.kind).load(target.location)
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
     with_folder = listed.select(*parts, folder.alias("_folder")).alias("s")
     gone = with_folder.join(emptied.alias("e"), _null_safe("s", "e", parts), "left_semi").select("_folder").distinct()

@@ -24,10 +24,15 @@ class Target:
     partition_by: tuple[str, ...] = ()
     bucket_by: tuple[str, ...] = ()
     buckets: int | None = None
+    bloom: tuple[str, ...] = ()
 
     @staticmethod
-    def parquet(path: str, partition_by: tuple[str, ...] = ()) -> "Target":
-        return Target("parquet", path, {}, tuple(partition_by))
+    def parquet(path: str, partition_by: tuple[str, ...] = (), bloom: tuple[str, ...] = ()) -> "Target":
+        """A Parquet folder. ``bloom`` names the columns that are looked up by
+        value: each row group stores a Bloom filter of them, and a scan for a
+        value that lies between a group's least and greatest but isn't there
+        skips the group."""
+        return Target("parquet", path, {}, tuple(partition_by), bloom=tuple(bloom))
 
     @staticmethod
     def jdbc(url: str, table: str, **options) -> "Target":
@@ -35,7 +40,11 @@ class Target:
 
     @staticmethod
     def catalog(
-        name: str, path: str | None = None, bucket_by: tuple[str, ...] = (), buckets: int | None = None
+        name: str,
+        path: str | None = None,
+        bucket_by: tuple[str, ...] = (),
+        buckets: int | None = None,
+        bloom: tuple[str, ...] = (),
     ) -> "Target":
         """A session-catalog table; with ``path`` its files live there (an
         external table in the shared folder). With ``bucket_by`` the rows are
@@ -43,7 +52,7 @@ class Target:
         on them reads the table without shuffling it."""
         if bool(bucket_by) != bool(buckets):
             raise ValueError("bucket_by and buckets go together")
-        return Target("catalog", name, {"path": path} if path else {}, (), tuple(bucket_by), buckets)
+        return Target("catalog", name, {"path": path} if path else {}, (), tuple(bucket_by), buckets, tuple(bloom))
 
 
 def read_target(spark: SparkSession, target: Target, schema=None) -> DataFrame:

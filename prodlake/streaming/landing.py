@@ -8,6 +8,8 @@ files were taken, so a rerun lands only new files.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from prodlake.operators.layers import SOURCE_PATH, SOURCE_TIME
 
 
 MAX_FILE_AGE = "100000d"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def raw_stream(
@@ -49,6 +52,16 @@ def raw_stream(
     )
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session of the same cluster whose streams keep their state in RocksDB;
+    the caller's settings stay as they are."""
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return own
+
+
 def land_raw_stream(
     spark: SparkSession,
     source: str,
@@ -59,10 +72,22 @@ def land_raw_stream(
     timeout_s: float | None = None,
     partition_by: tuple[str, ...] = (),
     max_files_per_trigger: int | None = None,
+    distinct: Sequence[str] | None = None,
+    event_time: str | None = None,
+    within: str | None = None,
     **tags,
 ) -> StreamingQuery:
     """Land every file not landed before into ``output`` and stop.
 
+    With ``distinct``, rows that agree in those columns land once, however many
+    files and runs bring them: the first to arrive stays, with its source. What has
+    landed is kept in the checkpoint's state store, by key and on the executors'
+    disks (RocksDB), so it may outgrow memory. It grows with the distinct rows; with
+    ``event_time`` and ``within`` (such as "90 days") a row is remembered for that
+    long by its event time, and the state is bounded. Once a checkpoint is made, its
+    number of state partitions stays (``spark.sql.shuffle.partitions`` of the first
+    run) and so must ``distinct``.
+
     ``max_files_per_trigger`` bounds each micro-batch; ``availableNow``
     still takes every waiting file, in as many batches as needed, so a large
     backlog is landed in steps that each fit the cluster, each committed to
@@ -70,7 +95,15 @@ def land_raw_stream(
     and raises after that time (what is committed stays, a rerun goes on).
     Raises when the query fails.
     """
+    if (event_time is None) != (within is None) or (within and not distinct):
+        raise ValueError("event_time and within go together, and with distinct")
+    if distinct:
+        spark = state_session(spark)
     stream = raw_stream(spark, source, schema, fmt, max_files_per_trigger=max_files_per_trigger, **tags)
+    if within:
+        stream = stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(distinct))
+    elif distinct:
+        stream = stream.dropDuplicates(list(distinct))
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

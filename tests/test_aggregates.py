@@ -71,3 +71,47 @@ def test_first_last_per_key_and_top(spark):
 def test_group_sums_round(spark):
     df = spark.createDataFrame([("x", 1, 0.1), ("x", 1, 0.2)], "c string, y int, v double")
     assert A.group_sums(df, ["c", "y"], ["v"], digits=4).first().sum_v == 0.3
+
+
+def test_double_sums_do_not_depend_on_the_order(spark):
+    import math
+    import random
+    import struct
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(1)
+    values = [1e16, 1.0, -1e16, 3.14, 1e-9, 2.0**79, -(2.0**79), 1 / 3] + [r.choice([-1, 1]) * r.random() * 10.0 ** r.randint(-12, 17) for _ in range(2000)]
+    keyed = [("a", v) for v in values] + [("b", v) for v in values[:5]] + [("c", 0.1)] * 10 + [("n", None)]
+    bits = set()
+    for seed, parts in ((1, 1), (2, 3), (3, 7), (4, 16)):
+        random.Random(seed).shuffle(keyed)
+        df = spark.createDataFrame(keyed, "k string, v double").repartition(parts)
+        out = {x.k: x.sum_v for x in A.group_sums(df, ["k"], ["v"]).collect()}
+        bits.add(tuple(struct.pack("d", out[k]) for k in "abc"))
+        assert out["n"] is None
+        for k, exact in (("a", math.fsum(values)), ("b", math.fsum(values[:5])), ("c", math.fsum([0.1] * 10))):
+            assert abs(out[k] - exact) <= math.ulp(exact)
+    assert len(bits) == 1
+    plain = {spark.createDataFrame([("a", v) for v in sorted(values, key=f)], "k string, v double").coalesce(1).agg(F.sum("v")).first()[0] for f in (abs, lambda v: -abs(v))}
+    assert len(plain) > 1  # an ordinary sum does depend on it
+
+
+def test_double_sums_of_special_values(spark):
+    from math import inf, isnan
+
+    rows = [("i", inf), ("i", 1.0), ("n", inf), ("n", -inf), ("m", float("nan")), ("h", 1e300), ("h", 1e300), ("z", -0.0), ("s", 2.0**-70)]
+    out = {x.k: x.sum_v for x in A.group_sums(spark.createDataFrame(rows, "k string, v double"), ["k"], ["v"]).collect()}
+    assert out["i"] == inf and isnan(out["n"]) and isnan(out["m"]) and out["h"] == 2e300 and out["z"] == 0 and out["s"] == 0
+
+
+def test_pivot_to_a_map(spark):
+    from decimal import Decimal
+
+    rows = [(2000, "W-b", Decimal(1)), (2000, "W-a", Decimal(2)), (2000, "W-b", Decimal(3)), (2001, None, Decimal(4)), (2001, "W-a", None)]
+    pivot = A.measure_map(spark.createDataFrame(rows, "year int, wellbore string, oil decimal(15,5)"))
+    out = {r.year: r.oil_by_wellbore for r in pivot.collect()}
+    assert out == {2000: {"W-a": Decimal(2), "W-b": Decimal(4)}, 2001: {"W-a": None}}
+    assert pivot.filter("year = 2000").selectExpr("map_keys(oil_by_wellbore) AS k").first().k == ["W-a", "W-b"]
+    empty = spark.createDataFrame([], "year int, wellbore string, oil decimal(15,5)")
+    assert A.measure_map(empty).count() == 0

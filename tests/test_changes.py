@@ -238,7 +238,27 @@ def test_partition_commit_goes_on_after_a_crash(spark, tmp, monkeypatch):
         monkeypatch.undo()
 
 
-def test_one_year_update_reads_one_year(spark, tmp):
+def files_read(df, folder: str) -> int:
+    """Files that the executed plan's scan of a folder read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found, todo = [], [plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.finalPhysicalPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if name == "FileSourceScanExec" and folder in node.relation().location().rootPaths().toString():
+            found.append(node.metrics().apply("numFiles").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
+def test_first_and_last_year_read_two_folders(spark, tmp):
     from prodlake.sinks import writers as W
     from prodlake.sources.tables import Target, read_target
 
@@ -246,10 +266,56 @@ def test_one_year_update_reads_one_year(spark, tmp):
     target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
     W.full_refresh(spark.createDataFrame(rows, SCHEMA), target)
     stored = read_target(spark, target)
-    touched = spark.createDataFrame([(1996,)], "year int")
-    plan = W.stored_slice(stored, touched, ["year"])._jdf.queryExecution().executedPlan().toString()
-    filters = [x for x in plan.splitlines() if "PartitionFilters" in x]
-    assert "year#" in filters[0] and "1996" in filters[0] and W.stored_slice(stored, touched, ["year"]).count() == 5
+    for years, n in (([1996], 5), ([1990, 2009], 10), ([1990, 2009, 2050], 10)):
+        touched = W.staged_partitions(spark.createDataFrame([(y,) for y in years], "year int"), f"{tmp}/touched-{n}-{len(years)}")
+        part = W.stored_slice(stored, touched, ["year"])
+        there = [f for y in years for f in Path(f"{tmp}/lake/year={y}").glob("*.parquet")]
+        assert part.count() == n and files_read(part, f"{tmp}/lake") == len(there) < len(list(Path(f"{tmp}/lake").rglob("*.parquet")))
+        assert "dynamicpruning" in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_partitions_are_sliced_too(spark, tmp):
+    from prodlake.sinks import writers as W
+    from prodlake.sources.tables import Target, read_target
+
+    rows = [(i, "W", (1990, None, 1992)[i % 3], 1, Decimal(i), Decimal(0)) for i in range(30)]
+    target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
+    W.full_refresh(spark.createDataFrame(rows, SCHEMA), target)
+    touched = W.staged_partitions(spark.createDataFrame([(None,), (1992,)], "year int"), f"{tmp}/touched")
+    part = W.stored_slice(read_target(spark, target), touched, ["year"])
+    assert {r.year for r in part.collect()} == {None, 1992} and part.count() == 20
+
+
+def test_a_batch_is_staged_once_and_its_report_is_made_on_demand(spark, table, tmp, monkeypatch):
+    from prodlake.sinks import writers as W
+    from prodlake.sources.tables import Target
+
+    staged = []
+    real = M.stored_frame
+    monkeypatch.setattr(M, "stored_frame", lambda df, name: (staged.append(name), real(df, name))[1])
+    change = spark.createDataFrame([(1, 1, 1, "W-9", 2002, 3, Decimal(2), Decimal(2))], CHANGE)
+    target = Target.parquet(f"{tmp}/lake", partition_by=("year",))
+    W.full_refresh(table, target)
+    W.write_changed_partitions(spark, target, lambda t: M.apply_updates(t, change))
+    assert staged == ["update-batch", "winning-updates"]
+    staged.clear()
+    res = M.apply_deletes(table, spark.createDataFrame([(1, 1)], "id long, seq int"))
+    res.table.count(), res.removed.count()
+    assert staged == ["delete-batch", "first-deletes"]
+    assert [r.status for r in res.report.collect()] == [M.APPLIED] and staged[-1] == "stored-deletes"
+    res.report.collect()
+    assert len(staged) == 3
+
+
+def test_offsets_of_many_files_are_not_broadcast(spark, tmp, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(M, "MOST_BROADCAST_FILES", 3)
+    path = f"{tmp}/stored"
+    spark.range(0, 500, numPartitions=7).select(F.col("id").alias("v")).write.parquet(path)
+    numbered = M.number_stored(spark, path, 10)
+    assert "ResolvedHint" not in numbered._jdf.queryExecution().analyzed().toString()
+    assert {r.v: r.id for r in numbered.collect()} == {v: v + 11 for v in range(500)}
 
 
 def test_missing_body_id_and_defaults(spark, table):

@@ -245,3 +245,79 @@ def test_stream_takes_old_files(spark, tmp):
     os.utime(newest, (old, old))
     land_raw_stream(spark, src, schema, out, ckpt)
     assert spark.read.parquet(out).count() == 8
+
+
+def test_fields_are_found_from_the_records(spark):
+    texts = ['{"k": 1, "n": "x"}', '{"k": 2.5, "o": {"p": [1]}}', '{"k": null, "n": 3}', "broken {", None, '{"odd name": true}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, js string")
+    out = P.expand_discovered(df, "js", keep=["id"])
+    assert set(out.columns) == {"id", "k", "n", "o", "odd name"}
+    rows = {r.id: r for r in out.collect()}
+    assert float(rows[1].k) == 2.5 and rows[1].o.p == [1] and (rows[0].n, rows[2].n) == ("x", "3")
+    assert rows[3].k is None and rows[4].k is None and rows[5]["odd name"] is True
+    lists = spark.createDataFrame([('[{"a": 1}, {"b": "y"}]',), ("[]",), (None,)], "js string")
+    assert sorted((r.a or 0, r.b or "") for r in P.expand_discovered(lists, "js").collect()) == [(0, "y"), (1, "")]
+    for plain in ("[1, 2]", "7", None):
+        with pytest.raises(ValueError, match="no records"):
+            P.expand_discovered(spark.createDataFrame([(plain,)], "js string"), "js")
+
+
+def test_load_counts_and_refusals(spark, tmp):
+    from prodlake.operators import load
+
+    src = Path(tmp) / "in.csv"
+    src.write_text("W-1,2000,1,1.5,2\nW-2,2000,13,1,1\nW-3,2000,2,,1\nshort,2000\n")
+    columns = ["wellbore", "year", "month", "oil", "gas"]
+    names = {c: c for c in columns}
+    target = Target.parquet(f"{tmp}/table")
+    done = load.copy_lake_to_table(spark, str(src), target, names, columns=columns, header=False)
+    assert done.counts == load.LoadCounts(4, 2, 2) and done.rejected.count() == 2
+    with pytest.raises(load.LoadRefused, match="2 of 4"):
+        load.copy_lake_to_table(spark, str(src), target, names, columns=columns, header=False, most_rejected=0.4)
+    assert read_target(spark, target).count() == 2  # the refused load appended nothing
+    ran = []
+    with pytest.raises(load.LoadRefused, match="5 rows read"):
+        W.in_order(lambda: load.require_reconciled(load.LoadCounts(5, 2, 2)), lambda: ran.append("second"))
+    assert not ran
+
+
+def test_rows_land_once_in_two_runs(spark, tmp):
+    schema = "id long, at timestamp, v string"
+    rows = spark.createDataFrame([(i, None, str(i % 3)) for i in range(30)], schema)
+    for run in range(3):
+        rows.write.mode("append").parquet(f"{tmp}/drop")
+        if run == 2:
+            spark.createDataFrame([(99, None, "new")], schema).write.mode("append").parquet(f"{tmp}/drop")
+        land_raw_stream(spark, f"{tmp}/drop", rows.schema, f"{tmp}/out", f"{tmp}/ckpt", distinct=["id", "at", "v"])
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp}/out").collect()) == [*range(30), 99]
+    with pytest.raises(ValueError, match="together"):
+        land_raw_stream(spark, f"{tmp}/drop", rows.schema, f"{tmp}/out2", f"{tmp}/ckpt2", within="1 day", distinct=["id"])
+
+
+def test_rows_are_remembered_for_a_time(spark, tmp):
+    rows = spark.sql("SELECT id, timestamp'2026-01-01' + make_interval(0, 0, 0, cast(id AS int)) AS at FROM range(40)")
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{tmp}/drop")
+        land_raw_stream(spark, f"{tmp}/drop", rows.schema, f"{tmp}/out", f"{tmp}/ckpt", distinct=["id", "at"], event_time="at", within="60 days")
+    assert spark.read.parquet(f"{tmp}/out").count() == 40
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp):
+    ids = spark.range(0, 200_000, 2, numPartitions=1).selectExpr("(id * 7919) % 1000003 * 2 AS id", "concat('W-', id) AS wellbore")
+    plain, bloom = Target.parquet(f"{tmp}/plain"), Target.parquet(f"{tmp}/bloom", bloom=("id", "wellbore"))
+    for t in (plain, bloom):
+        W.append(ids, t)
+
+    def rows_scanned(t, condition):
+        df = read_target(spark, t).filter(condition)
+        assert df.count() == (0 if "absent" in condition or "101" in condition else 1)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        while plan.children().size():
+            plan = plan.children().apply(0)
+        return plan.metrics().apply("numOutputRows").value()
+
+    # odd ids lie between stored ids but none is stored
+    assert rows_scanned(plain, "id = 101") > 0 and rows_scanned(bloom, "id = 101") == 0
+    assert rows_scanned(plain, "wellbore = 'W-1absent'") > 0 and rows_scanned(bloom, "wellbore = 'W-1absent'") == 0
+    assert rows_scanned(bloom, "wellbore = 'W-500'") > 0
