@@ -9,18 +9,16 @@ megabyte at a time, so memory follows the slice and not the longest text.
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodlake.session import delete_path, scratch_path
+from prodlake.session import delete_path, scratch_path, ship
 
 ROWS_PER_FILE = 50_000
 
@@ -37,24 +35,6 @@ def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per context, so that its
-    functions run wherever the driver was started from."""
-    sc = spark.sparkContext
-    if _shipped.get("context") == sc.applicationId:
-        return
-    root = Path(__file__).resolve().parents[1]
-    into = Path(tempfile.mkdtemp(prefix="prodlake-package-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(into, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(into))
-    _shipped["context"] = sc.applicationId
-
-
-_shipped: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -142,7 +122,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def row_slices(batch: pa.RecordBatch, column: int, most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+def row_slices(batch: pa.RecordBatch, column: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batch in slices of whole rows whose texts have about ``most`` bytes."""
     _, offsets = text_bytes(batch.column(column))
     at = 0
@@ -226,3 +206,15 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
 def row_of(offsets: np.ndarray) -> np.ndarray:
     """The row number of every element that ``offsets`` lays out."""
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+
+def packed_numbers(x: np.ndarray) -> bytes:
+    """Numbers of one type, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize) if len(x) else np.zeros((0, 1), np.uint8)
+    return zstandard.compress(np.ascontiguousarray(planes.T).tobytes(), 1)
+
+
+def unpacked_numbers(packed: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()

@@ -4,30 +4,36 @@ Training tokens (words of A-Z lower-cased texts, then one end per document) are
 counted as 1- and 2-grams over all training documents. A count ``c`` is kept
 quantised, ``q = 1 + floor(log_b c)``, by setting bits for the pairs (n-gram, 1)
 to (n-gram, q) in one Bloom filter. A lookup probes level 1, 2, ... until a level
-is missing; the last level found stands for the middle of its counts, and a text's log10 probability is the sum over
-its tokens of
+is missing; the last level found stands for the middle of its counts, and a text's
+log10 probability is the sum over its tokens of
 
     P(w | v) = (f(v w) + mu * P(w)) / (f(v) + mu)
     P(w)     = (f(w) + 0.5) / (N + 0.5 * (V + 1))
 
 with ``f`` the filter's answer and the end token in front of the first word.
 
-The filter holds all n-grams and grows with them: it consists of slices of
-``SLICE_SLOTS`` bits, as many as ``bits_per_level`` asks for; an n-gram's hash picks
-the slice. A task fills a slice and answers all n-grams of the documents that fall
-into it, those never seen in training too. The answers are a staged table. Those
-of the highest levels, as many as fit ``max_bytes``, are broadcast; a document's
-other pairs are joined with the table by a shuffle. Both ways give the same answer,
-so the result doesn't depend on ``max_bytes``.
+The filter holds every n-gram and grows with them, so it is not broadcast whole: it
+consists of slices, named by an n-gram's hash, each held by the task that asks it.
 
-The base score needs exact counts. The ``head`` most frequent training tokens are
-sent along as a sorted table of fixed size; a document's other words are joined
-with the counts by a shuffle and summed per document. Both ways are exact, so the
-result doesn't depend on ``head``.
+1. Documents are read in blocks of about ``BLOCK_BYTES`` of text. A block sends each
+   slice its distinct n-grams once, packed in one row, with their counts in the
+   block's training documents.
+2. A slice's task adds up the counts, sets the slice's bits, and answers every block's
+   n-grams with the levels found by probing. Of the counts only those of single
+   tokens go back as well: the base score is exact.
+3. A block's documents, sent as sequences of token numbers, meet the block's answers
+   and are scored. Texts cross no shuffle.
+
+Blocks are cut twice, for steps 1 and 3, in the order in which a task reads its rows;
+a block that doesn't find all of its n-grams answered fails the job. There are twice
+as many slices as shuffle partitions, so a slice is a share of the corpus's n-grams
+that a task can hold whenever the shuffle width fits the input.
+
+Pairs of tokens are told apart by 48 bits of their hash and the slice, tokens by 64.
 
 Defined results. Null or empty text: the end token alone. No training documents:
 N = V = 0, all counts 0. Rows are scored one by one, so repeated and null ids do
-no harm (a null id is not held out). Extra columns are ignored.
+no harm (a null id is not held out). No rows: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,75 +44,33 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prodlake.llm.common import _BASE, drop_staged, hash_words, mix64, row_slices, stage
+from prodlake.llm.common import _BASE, hash_words, mix64, packed_numbers, row_slices, stage, unpacked_numbers
 
 _U = np.uint64
 END = mix64(np.array([0xE0D], np.uint64))[0]  # no word hashes to it but by chance
-GROUP = 256  # documents that are counted together
-SLICE_SLOTS = 1 << 20  # bits of a slice of the filter
-ANSWER_BYTES = 9  # of a broadcast answer: hash and level
+BLOCK_BYTES = 4 << 20
+PAIR_BYTES = 6
 
 
 def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 1, F.lit(False))
 
 
-def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes with an end behind every text, and row offsets."""
-    h, off = hash_words(texts)
-    return np.insert(h, off[1:], END), off + np.arange(len(off))
-
-
-def _pairs(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The hash of every (token before, token); the end stands before the first."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[offsets[:-1]] = END
-    return mix64(before * _U(_BASE) + tokens)
-
-
-def ngram_counts(training: DataFrame) -> DataFrame:
-    """``n`` (1 or 2), ``gram`` (hash), ``c`` over all rows of ``text``; rows that
-    are ``held_out`` (if there is such a column) count 0."""
-    held = F.col("held_out") if "held_out" in training.columns else F.lit(False)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for whole in batches for x in row_slices(whole, 0)):
-            t, off = _tokens(b.column(0))
-            taught = np.repeat(~b.column(1).to_numpy(zero_copy_only=False), np.diff(off))
-            for n, h in ((1, t), (2, _pairs(t, off))):
-                gram, back = np.unique(h, return_inverse=True)
-                c = np.bincount(back, taught, len(gram)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(gram), n, np.int8)), pa.array(gram.view(np.int64)), pa.array(c)], names=["n", "gram", "c"]
-                )
-
-    rows = training.select("text", held.alias("held_out")).mapInArrow(run, "n tinyint, gram bigint, c bigint")
-    return rows.groupBy("n", "gram").agg(F.sum("c").alias("c"))
-
-
 def middle(level: np.ndarray, base: float) -> np.ndarray:
     """The middle of a level's counts, 0 of level 0."""
     least = base ** (level - 1.0)
     return np.where(level > 0, (least + np.maximum(base**level.astype(float) - 1, least)) / 2, 0.0)
 
 
-def middle_of(level: Column, base: float) -> Column:
-    """``middle`` of a column; null is level 0."""
-    least, end = F.pow(F.lit(base), level - 1), F.pow(F.lit(base), level)
-    return F.when(level > 0, (least + F.greatest(end - 1, least)) / 2).otherwise(0.0)
-
-
 @dataclass
 class LogFrequencyFilter:
-    """``bits`` in ``2**slice_bits`` slices; all bits of an n-gram lie in the
-    slice that the top of its hash names."""
+    """One slice: ``bits``, a power of two of them."""
 
-    bits: np.ndarray  # uint8, the slices one behind the other
-    slice_bits: int
+    bits: np.ndarray  # uint8
     base: float
     probes: int
 
@@ -117,118 +81,218 @@ class LogFrequencyFilter:
 
     @staticmethod
     def places(gram: np.ndarray, level: int, probes: int, slots: int) -> Iterator[np.ndarray]:
-        """Bit numbers inside a slice of ``slots`` (a power of two) bits."""
+        """Bit numbers among ``slots`` (a power of two)."""
         h = mix64(gram + _U(level * 0xD6E8FEB86659FD93 % (1 << 64)))
         step = (h >> _U(32)) | _U(1)
         for i in range(probes):
             yield ((h + _U(i) * step) & _U(slots - 1)).astype(np.int64)
 
     @classmethod
-    def fill(cls, gram: np.ndarray, c: np.ndarray, base: float, probes: int, slots: int) -> np.ndarray:
-        """One slice's bits."""
-        out = np.zeros(slots, bool)
+    def fill(cls, gram: np.ndarray, c: np.ndarray, base: float, probes: int, bits_per_level: float) -> LogFrequencyFilter:
+        """The slice of some n-grams with their counts, all of them above 0."""
         top = cls.level(c, base)
+        slots = 1 << max(10, math.ceil(math.log2(max(1.0, float(top.sum()) * bits_per_level))))
+        out = np.zeros(slots, bool)
         for level in range(1, int(top.max(initial=0)) + 1):
             gram, top = gram[top >= level], top[top >= level]
             for at in cls.places(gram, level, probes, slots):
                 out[at] = True
-        return np.packbits(out, bitorder="little")
+        return cls(np.packbits(out, bitorder="little"), base, probes)
 
     def levels(self, gram: np.ndarray) -> np.ndarray:
         """The level found of each n-gram, 0 if it isn't held."""
         top = np.zeros(len(gram), np.int64)
-        slots = len(self.bits) * 8 >> self.slice_bits
-        start = (gram >> _U(64 - self.slice_bits)).astype(np.int64) * slots if self.slice_bits else np.zeros(len(gram), np.int64)
         live, level = np.arange(len(gram)), 1
         while len(live):
-            live = live[self._holds(gram[live], level, start[live], slots)]
+            live = live[self._holds(gram[live], level)]
             top[live] = level
             level += 1
         return top
 
-    def counts(self, gram: np.ndarray) -> np.ndarray:
-        """The quantised count of each n-gram, 0 if it isn't held."""
-        return middle(self.levels(gram), self.base)
-
-    def _holds(self, gram: np.ndarray, level: int, start: np.ndarray, slots: int) -> np.ndarray:
+    def _holds(self, gram: np.ndarray, level: int) -> np.ndarray:
         out = np.ones(len(gram), bool)
-        for at in self.places(gram, level, self.probes, slots):
-            at = at + start
+        for at in self.places(gram, level, self.probes, len(self.bits) * 8):
             out &= ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
         return out
 
 
-def build_filter(
-    counts: DataFrame, *, base: float, probes: int, bits_per_level: float, max_bytes: int, slice_bits: int = 6
-) -> LogFrequencyFilter:
-    """The filter over staged ``gram, c``. The driver gets a histogram of counts
-    by power of two and the finished slices, ``max_bytes`` at most."""
-    level = 1 + F.floor(F.log(F.col("c").cast("double")) / F.lit(math.log(base)) + F.lit(1e-9))
-    power = F.floor(F.log2(F.col("c").cast("double")) + F.lit(1e-9))
-    histogram = counts.groupBy(power.alias("p")).agg(F.sum(level).alias("levels")).collect()
-    need, least = 0, 1
-    for r in sorted(histogram, key=lambda r: -r["p"]):
-        if (need + r["levels"]) * bits_per_level > max_bytes * 8:
-            least = 1 << (int(r["p"]) + 1)
-            break
-        need += r["levels"]
-    total = 1 << max(slice_bits + 10, int(max(1, need * bits_per_level) - 1).bit_length())
-    slots = min(total, max_bytes * 8) >> slice_bits
-    part = F.shiftrightunsigned("gram", 64 - slice_bits)
-
-    def run(frames: Iterator[pa.Table]) -> pa.Table:
-        at = frames.column("part")[0].as_py()
-        gram = frames.column("gram").to_numpy().view(np.uint64)
-        bits = LogFrequencyFilter.fill(gram, frames.column("c").to_numpy(), base, probes, slots)
-        return pa.table({"part": pa.array([at], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
-
-    kept = counts.filter(F.col("c") >= least).select(part.alias("part"), "gram", "c")
-    slices = kept.groupBy("part").applyInArrow(run, "part bigint, bits binary").collect()
-    bits = np.zeros(slots * (1 << slice_bits) // 8, np.uint8)
-    for r in slices:
-        bits[r["part"] * slots // 8 : (r["part"] + 1) * slots // 8] = np.frombuffer(r["bits"], np.uint8)
-    return LogFrequencyFilter(bits, slice_bits, base, probes)
-
-
-def filter_answers(counts: DataFrame, *, base: float, probes: int, bits_per_level: float) -> DataFrame:
-    """``n, gram, c, q`` over staged ``n, gram, c``: the level that the filter of
-    all n-grams with ``c > 0`` finds, of every n-gram with one."""
-    level = 1 + F.floor(F.log(F.col("c").cast("double")) / F.lit(math.log(base)) + F.lit(1e-9))
-    levels = counts.filter("c > 0").agg(F.sum(level)).first()[0] or 0
-    parts = max(1, math.ceil(levels * bits_per_level / SLICE_SLOTS))
-
-    def run(part: pa.Table) -> pa.Table:
-        gram, c = part.column("gram").to_numpy().view(np.uint64), part.column("c").to_numpy()
-        bits = LogFrequencyFilter.fill(gram[c > 0], c[c > 0], base, probes, SLICE_SLOTS)
-        q = LogFrequencyFilter(bits, 0, base, probes).levels(gram).astype(np.int16)
-        return part.select(["n", "gram", "c"]).append_column("q", pa.array(q)).filter(pa.array(q > 0))
-
-    placed = counts.select("n", "gram", "c", F.pmod("gram", F.lit(parts)).alias("part"))
-    return placed.groupBy("part").applyInArrow(run, "n tinyint, gram bigint, c bigint, q smallint")
-
-
-def _head(answers: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of the highest levels, ``most`` at most, sorted, and their levels."""
-    held, least = 0, None
-    for r in sorted(answers.groupBy("q").agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r["q"]):
-        if held + r["k"] > most:
-            break
-        held, least = held + r["k"], r["q"]
-    if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8)
-    top = answers.filter(F.col("q") >= least).select("gram", "q").toArrow()
-    gram = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(gram)
-    return gram[order], top.column("q").to_numpy().astype(np.int8)[order]
-
-
-def _levels_in(head: tuple[np.ndarray, np.ndarray], gram: np.ndarray) -> np.ndarray:
-    """The levels of n-grams in the head, -1 of others."""
-    known, q = head
-    if not len(known):
-        return np.full(len(gram), -1, np.int64)
-    at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
-    return np.where(known[at] == gram, q[at], -1).astype(np.int64)
+# ---------------------------------------------------------------- blocks
+
+
+@dataclass
+class Block:
+    """Some documents as token numbers; frequent tokens have low numbers. A pair's
+    number is its place among the block's pairs, by the numbers of its tokens."""
+
+    key: str
+    rows: pa.RecordBatch
+    seq: np.ndarray
+    offsets: np.ndarray
+    words: np.ndarray  # hashes, by number
+
+    @classmethod
+    def of(cls, key: str, rows: pa.RecordBatch, texts: pa.Array) -> Block:
+        h, off = hash_words(texts)
+        tokens = np.insert(h, off[1:], END)
+        words, number, count = np.unique(tokens, return_inverse=True, return_counts=True)
+        order = np.argsort(-count, kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        return cls(key, rows, rank[number], off + np.arange(len(off)), words[order])
+
+    @property
+    def end(self) -> int:
+        return int(np.flatnonzero(self.words == END)[0])
+
+
+def pairs_of(seq: np.ndarray, offsets: np.ndarray, end: int, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token before each token, the distinct pairs, and each token's pair."""
+    before = np.empty_like(seq)
+    before[1:] = seq[:-1]
+    before[offsets[:-1]] = end
+    pairs, number = np.unique(before.astype(np.int64) * n_words + seq, return_inverse=True)
+    return before, pairs, number
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """Blocks of rows whose column 0 is the text."""
+    task = TaskContext.get()
+    part, made = task.partitionId() if task else 0, 0
+    for batch in batches:
+        for rows in row_slices(batch, 0, BLOCK_BYTES):
+            yield Block.of(f"{part}-{made}", rows, rows.column(0))
+            made += 1
+
+
+def _deltas(x: np.ndarray) -> bytes:
+    return packed_numbers(np.diff(x, prepend=0).astype(np.int32))
+
+
+def _from_deltas(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_numbers(packed, np.int32), dtype=np.int64)
+
+
+def _by_slice(h: np.ndarray, slices: int) -> dict[int, np.ndarray]:
+    """The numbers of the n-grams of each slice."""
+    at = ((h >> _U(48)) ^ (h & _U(0xFFFF))) % _U(slices) if slices <= 1 << 16 else mix64(h) % _U(slices)
+    order = np.argsort(at, kind="stable")
+    met, begin = np.unique(at[order], return_index=True)
+    return dict(zip(met.tolist(), np.split(order, begin[1:]), strict=True))
+
+
+_ASKED = ["slice", "block", "word_no", "word", "word_c", "pair_no", "pair", "pair_c"]
+_ANSWERED = ["block", "word_no", "word_c", "word_q", "pair_no", "pair_q", "tokens", "vocabulary"]
+
+
+def _asked(slices: int):
+    """A block's distinct n-grams, a row for each slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _blocks(batches):
+            held = b.rows.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            taught = np.repeat(~held, np.diff(b.offsets))
+            n = len(b.words)
+            _, pairs, number = pairs_of(b.seq, b.offsets, b.end, n)
+            word_c = np.bincount(b.seq, taught, n).astype(np.int32)
+            pair_c = np.bincount(number, taught, len(pairs)).astype(np.int32)
+            pair = mix64(b.words[pairs // n] * _U(_BASE) + b.words[pairs % n])
+            words, doubles = _by_slice(b.words, slices), _by_slice(pair, slices)
+            none = np.zeros(0, np.int64)
+            for s in sorted(words.keys() | doubles.keys()):
+                w, p = words.get(s, none), doubles.get(s, none)
+                low = np.ascontiguousarray(pair[p]).view(np.uint8).reshape(-1, 8)[:, :PAIR_BYTES]
+                row = [s, b.key, _deltas(w), b.words[w].tobytes(), packed_numbers(word_c[w]), _deltas(p), low.tobytes(), packed_numbers(pair_c[p])]
+                kinds = [pa.int32(), pa.string(), *[pa.binary()] * 6]
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=_ASKED)
+
+    return run
+
+
+def _sums(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes, their summed counts, and each hash's place."""
+    gram, back = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.zeros(len(gram), np.int64)
+    np.add.at(total, back, np.concatenate(counts).astype(np.int64))
+    return gram, total, back
+
+
+def _answered(base: float, probes: int, bits_per_level: float):
+    """One slice: fill it with all blocks' n-grams, then probe it for each block's."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        rows = asked.to_pylist()
+        counts = [[unpacked_numbers(r[c], np.int32) for r in rows] for c in ("word_c", "pair_c")]
+        words = [np.frombuffer(r["word"], np.uint64) for r in rows]
+        pairs = []
+        for r in rows:
+            wide = np.zeros((len(r["pair"]) // PAIR_BYTES, 8), np.uint8)
+            wide[:, :PAIR_BYTES] = np.frombuffer(r["pair"], np.uint8).reshape(-1, PAIR_BYTES)
+            # a pair of equal bits is no word
+            wide[:, 7] = 1
+            pairs.append(mix64(wide.view(np.uint64).ravel()))
+        word, word_n, word_at = _sums(words, counts[0])
+        pair, pair_n, pair_at = _sums(pairs, counts[1])
+        gram, n = np.concatenate([word, pair]), np.concatenate([word_n, pair_n])
+        f = LogFrequencyFilter.fill(gram[n > 0], n[n > 0], base, probes, bits_per_level)
+        word_q, pair_q = f.levels(word).astype(np.int8), f.levels(pair).astype(np.int8)
+        out: dict[str, list] = {c: [] for c in _ANSWERED}
+        w = p = 0
+        for r, a, b in zip(rows, words, pairs, strict=True):
+            mine, theirs = word_at[w : w + len(a)], pair_at[p : p + len(b)]
+            w, p = w + len(a), p + len(b)
+            values = [r["block"], r["word_no"], packed_numbers(word_n[mine]), packed_numbers(word_q[mine]), r["pair_no"], packed_numbers(pair_q[theirs]), None, None]
+            for c, x in zip(_ANSWERED, values, strict=True):
+                out[c].append(x)
+        for c, x in zip(_ANSWERED, [None] * 6 + [int(word_n.sum()), int((word_n > 0).sum())], strict=True):
+            out[c].append(x)
+        return pa.table({c: pa.array(x, k) for (c, x), k in zip(out.items(), [pa.string(), *[pa.binary()] * 5, pa.int64(), pa.int64()], strict=True)})
+
+    return run
+
+
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``text, held_out, doc_id`` as token numbers."""
+    for b in _blocks(batches):
+        rows, n = b.rows, b.rows.num_rows
+        _, pairs, _ = pairs_of(b.seq, b.offsets, b.end, len(b.words))
+        parts = [packed_numbers(b.seq[x:y]) for x, y in zip(b.offsets[:-1], b.offsets[1:], strict=True)]
+        same = [pa.array(np.full(n, x, np.int32)) for x in (len(b.words), len(pairs), b.end)]
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(2), rows.column(1), pa.array([b.key] * n), *same, pa.array(parts, pa.binary())],
+            names=["doc_id", "held_out", "block", "n_words", "n_pairs", "end_no", "seq"],
+        )
+
+
+def _scores(base: float, mu: float, denominator: float):
+    scale = math.log10(denominator)
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        n_words, n_pairs, end = (rows.column(c)[0].as_py() if rows.num_rows else 0 for c in ("n_words", "n_pairs", "end_no"))
+        c, q, pair_q = np.zeros(n_words, np.int64), np.full(n_words, -1, np.int64), np.full(n_pairs, -1, np.int64)
+        for r in answers.to_pylist():
+            at = _from_deltas(r["word_no"])
+            c[at], q[at] = unpacked_numbers(r["word_c"], np.int64), unpacked_numbers(r["word_q"], np.int8)
+            pair_q[_from_deltas(r["pair_no"])] = unpacked_numbers(r["pair_q"], np.int8)
+        seqs = [unpacked_numbers(x.as_py(), np.int32) for x in rows.column("seq")]
+        off = np.concatenate([[0], np.cumsum([len(x) for x in seqs], dtype=np.int64)])
+        seq = np.concatenate(seqs) if seqs else np.zeros(0, np.int32)
+        before, pairs, number = pairs_of(seq, off, end, max(1, n_words))
+        if len(pairs) != n_pairs or (q < 0).any() or (pair_q < 0).any():
+            raise RuntimeError("a block did not find all its n-grams answered: its input changed")
+        n, row = rows.num_rows, np.repeat(np.arange(rows.num_rows), np.diff(off))
+        f1 = middle(q, base)
+        p1 = (f1[seq] + 0.5) / denominator
+        # a pair is no more frequent than either of its tokens
+        f2 = np.minimum(middle(pair_q, base)[number], np.minimum(f1[before], f1[seq]))
+        score = np.bincount(row, np.log10((f2 + mu * p1) / (f1[before] + mu)), n)
+        plain = np.bincount(row, np.log10(c + 0.5)[seq] - scale, n)
+        known = np.bincount(row, c[seq] > 0, n).astype(np.int64)
+        return pa.table(
+            [rows.column("doc_id"), rows.column("held_out"), pa.array(np.diff(off)), pa.array(known), pa.array(plain), pa.array(score)],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+        )
+
+    return run
 
 
 def score_documents(
@@ -239,129 +303,37 @@ def score_documents(
     base: float = 1.5,
     probes: int = 4,
     bits_per_level: float = 8.0,
-    max_bytes: int = 1 << 25,
     mu: float = 50.0,
-    head: int = 1 << 17,
 ) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
-    spark = docs.sparkSession
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), held_out(docs[id_col]).alias("held_out"))
-    counts = stage(ngram_counts(rows), "lm-counts")
-    answers = stage(filter_answers(counts, base=base, probes=probes, bits_per_level=bits_per_level), "lm-answers")
-    drop_staged(counts)
-    single = answers.filter("n = 1 and c > 0")
-    size = single.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    total, vocabulary = size["n"] or 0, size["v"]
-    model = _head(answers, max_bytes // ANSWER_BYTES)
-    top = single.orderBy(F.desc("c"), "gram").limit(head).select("gram", "c").toArrow()
-    gram = top.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(gram)
-    sent = spark.sparkContext.broadcast((model, gram[order], top.column("c").to_numpy().astype(np.int64)[order]))
-    scale = math.log10(total + 0.5 * (vocabulary + 1))
-    denominator = total + 0.5 * (vocabulary + 1)
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, known, count = sent.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, GROUP):
-                b = whole.slice(at, GROUP)
-                t, off = _tokens(b.column(2))
-                row = np.repeat(np.arange(b.num_rows), np.diff(off))
-                word, back = np.unique(t, return_inverse=True)
-                place = np.minimum(np.searchsorted(known, word), max(0, len(known) - 1))
-                found = known[place] == word if len(known) else np.zeros(len(word), bool)
-                c = np.where(found, count[place], 0) if len(known) else np.zeros(len(word), np.int64)
-                part = np.where(found, np.log10(c + 0.5) - scale, 0.0)
-                base_sum = np.bincount(row, part[back], b.num_rows)
-                n_known = np.bincount(row, found[back], b.num_rows).astype(np.int64)
-                # the model: one lookup per distinct 1- and 2-gram
-                q1 = _levels_in(f, word)
-                pair, pair_back = np.unique(_pairs(t, off), return_inverse=True)
-                before = np.empty(len(t), np.int64)
-                before[1:] = back[:-1]
-                before[off[:-1]] = np.searchsorted(word, END)
-                q12 = _levels_in(f, pair)[pair_back]
-                here = (q12 >= 0) & (q1[before] >= 0) & (q1[back] >= 0)
-                f1 = middle(q1, base)
-                p1 = (f1[back] + 0.5) / denominator
-                f12 = np.minimum(middle(q12, base), np.minimum(f1[before], f1[back]))
-                p = (f12 + mu * p1) / (f1[before] + mu)
-                score = np.bincount(row[here], np.log10(p[here]), b.num_rows).astype(float)  # whole numbers if none is
-                # pairs outside what is broadcast, once per document with their number
-                away = np.flatnonzero(~here)
-                _, one, often = np.unique(row[away] * len(pair) + pair_back[away], return_index=True, return_counts=True)
-                one = away[one]
-                v, w = before[one], back[one]
-                # words outside the head, once per document with their number
-                rest = np.flatnonzero(~found[back])
-                pairs, times = np.unique(np.stack([row[rest], back[rest]]), axis=1, return_counts=True) if len(rest) else (
-                    np.zeros((2, 0), np.int64),
-                    np.zeros(0, np.int64),
-                )
-                m, k, j = pairs.shape[1], b.num_rows, len(one)
-                none = lambda kind: pa.nulls(m + j, kind)
-                rid = b.column(0).to_numpy()
-                word_id, zero = word.view(np.int64), pa.nulls(k + m, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([rid, rid[pairs[0]], rid[row[one]]])),
-                        pa.concat_arrays([b.column(1), none(b.column(1).type)]),
-                        pa.concat_arrays([b.column(3), none(pa.bool_())]),
-                        pa.concat_arrays([pa.array(np.diff(off)), none(pa.int64())]),
-                        pa.concat_arrays([pa.array(n_known), none(pa.int64())]),
-                        pa.concat_arrays([pa.array(base_sum), none(pa.float64())]),
-                        pa.concat_arrays([pa.array(score), none(pa.float64())]),
-                        pa.array(np.repeat([0, 1, 2], [k, m, j]).astype(np.int8)),
-                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(word_id[pairs[1]]), pa.array(pair.view(np.int64)[pair_back[one]])]),
-                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(times), pa.array(often)]),
-                        *[
-                            pa.concat_arrays([zero.cast(kind), pa.array(x, kind, mask=out)])
-                            for kind, side, known_side in ((pa.int16(), q1, True), (pa.int64(), word_id, False))
-                            for at_word in (v, w)
-                            for x, out in ((side[at_word], (q1[at_word] >= 0) != known_side),)
-                        ],
-                    ],
-                    names=["rid", "doc_id", "held_out", "n_tokens", "n_head", "base_head", "score", "kind", "gram", "times", "v", "w", "v_gram", "w_gram"],
-                )
+    ``docs`` must be a table as read (its rows come in the same order whenever a
+    task is run again), not the outcome of a shuffle."""
+    spark = docs.sparkSession
+    rows = docs.select(docs[text_col].alias("text"), held_out(docs[id_col]).alias("held_out"), docs[id_col].alias("doc_id"))
+    slices = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    binary = lambda names: ", ".join(f"{c} binary" for c in names)
+    asked = rows.mapInArrow(_asked(slices), f"slice int, block string, {binary(_ASKED[2:])}")
+    answers = asked.groupBy("slice").applyInArrow(
+        _answered(base, probes, bits_per_level), f"block string, {binary(_ANSWERED[1:6])}, tokens bigint, vocabulary bigint"
+    )
+    answers = stage(answers, "lm-answers")
+    size = answers.filter("block is null").agg(F.sum("tokens").alias("n"), F.sum("vocabulary").alias("v")).first()
+    total, vocabulary = size["n"] or 0, size["v"] or 0
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"rid bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, n_head bigint, base_head double,"
-        " score double, kind tinyint, gram bigint, times bigint, v smallint, w smallint, v_gram bigint, w_gram bigint"
+    sequences = rows.mapInArrow(
+        _sequences, f"doc_id {id_type}, held_out boolean, block string, n_words int, n_pairs int, end_no int, seq binary"
     )
-    # the row number lives only in this table, which is written once
-    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text", "held_out")
-    scored = stage(numbered.mapInArrow(run, schema), "lm-scored")
-    rare = scored.filter("kind = 1").select("rid", "gram", "times")
-    joined = rare.join(single.select("gram", "c"), "gram", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    base_tail = joined.select(
-        "rid",
-        (F.col("times") * (F.log10(F.col("c") + 0.5) - F.lit(scale))).alias("base_tail"),
-        F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("n_tail"),
-        F.lit(0.0).alias("score_tail"),
+    found = answers.filter("block is not null").drop("tokens", "vocabulary")
+    scored = (
+        sequences.groupBy("block")
+        .cogroup(found.groupBy("block"))
+        .applyInArrow(
+            _scores(base, mu, total + 0.5 * (vocabulary + 1)),
+            f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double",
+        )
     )
-    away = scored.filter("kind = 2").select("rid", "gram", "times", "v", "w", "v_gram", "w_gram")
-    slim = lambda df: df.select("rid", "gram", "times", "v", "w")
-    some = away.filter("v_gram is not null or w_gram is not null")
-    words = answers.filter("n = 1")
-    for side in ("v", "w"):
-        # a word whose level is known gets a key of its own that finds nothing
-        key = F.coalesce(f"{side}_gram", F.xxhash64("rid", "gram", F.lit(side)))
-        found = words.select(F.col("gram").alias("key"), F.col("q").alias("found"))
-        some = some.withColumn("key", key).join(found, "key", "left").withColumn(side, F.coalesce(side, "found")).drop("key", "found")
-    paired = slim(away.filter("v_gram is null and w_gram is null")).unionByName(slim(some))
-    paired = paired.join(answers.filter("n = 2").select("gram", "q"), "gram", "left")
-    f_v, f_w, f_vw = (middle_of(F.col(c), base) for c in ("v", "w", "q"))
-    p = (F.least(f_vw, f_v, f_w) + F.lit(mu / denominator) * (f_w + 0.5)) / (f_v + F.lit(mu))
-    score_tail = paired.select("rid", F.lit(0.0).alias("base_tail"), F.lit(0).cast("long").alias("n_tail"), (F.col("times") * F.log10(p)).alias("score_tail"))
-    tail = base_tail.unionByName(score_tail).groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("base_tail", "n_tail", "score_tail")])
-    heads = scored.filter("kind = 0").drop("kind", "gram", "times", "v", "w", "v_gram", "w_gram")
-    return heads.join(tail, "rid", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_head") + F.coalesce("base_tail", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("score_tail", F.lit(0.0))).alias("score"),
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -40,7 +40,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: a public vocabulary file; its path is the operator's parameter
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.tiktoken"
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -52,7 +52,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(CONTROL_TEXT).alias("text"),
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
-    return chat.read_back(chat.format_conversations(turns, tokenizer=VOCABULARY))
+    return chat.read_back(chat.format_conversations(turns, tokenizer=public_tokenizers.path(VOCABULARY)))
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

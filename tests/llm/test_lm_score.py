@@ -7,9 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from prodlake.llm import lm_score
+from prodlake.llm.common import stage
 
 
 def expected(rows) -> list[tuple]:
@@ -23,9 +25,8 @@ def expected(rows) -> list[tuple]:
     ]
 
 
-@pytest.mark.parametrize("head", [0, 5, 1 << 17])
-def test_base_scores(spark, clashing, doc_rows, head):
-    got = lm_score.score_documents(clashing, head=head).collect()
+def test_base_scores(spark, clashing, doc_rows):
+    got = lm_score.score_documents(clashing).collect()
     found = Counter((*tuple(r)[:5], round(r["base_score"], 6)) for r in got)
     assert found == Counter(expected([(r[0], r[1]) for r in doc_rows]))
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
@@ -46,25 +47,43 @@ def test_empty_and_untaught(spark, no_docs):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == pytest.approx(0) for r in got)
 
 
-def test_filter_holds_quantised_counts(spark):
+def test_filter_holds_quantised_counts():
     r = np.random.default_rng(3)
     gram = np.unique(r.integers(0, 2**63, 20000).astype(np.uint64))
     count = np.minimum(1 + r.pareto(0.8, len(gram)).astype(np.int64), 10**9)
-    table = spark.createDataFrame([(int(g) - (1 << 64) if g >= 1 << 63 else int(g), int(c)) for g, c in zip(gram, count, strict=True)], "gram long, c long")
-    f = lm_score.build_filter(table, base=1.5, probes=4, bits_per_level=12, max_bytes=1 << 22, slice_bits=3)
-    level = f.level(count, 1.5)
-    got = f.counts(gram)
+    f = lm_score.LogFrequencyFilter.fill(gram, count, 1.5, 4, 12)
+    level, got = f.level(count, 1.5), f.levels(gram)
     # never below the count's own level, and seldom above it
-    assert (got >= 1.5 ** (level - 1.0)).all()
-    assert ((got >= 1.5 ** (level - 1.0)) & (got <= np.maximum(1.5**level, 1))).mean() > 0.95
-    unknown = f.counts(r.integers(2**63, 2**64, 20000, dtype=np.uint64) | np.uint64(1))
+    assert (got >= level).all() and (got == level).mean() > 0.95
+    unknown = f.levels(r.integers(2**63, 2**64, 20000, dtype=np.uint64) | np.uint64(1))
     assert (unknown > 0).mean() < 0.06
-    small = lm_score.build_filter(table, base=1.5, probes=4, bits_per_level=12, max_bytes=1 << 13, slice_bits=3)
-    assert len(small.bits) <= 1 << 13 and (small.counts(gram[count > 1000]) > 0).all()
+    none = lm_score.LogFrequencyFilter.fill(gram[:0], count[:0], 1.5, 4, 12)
+    assert (none.levels(gram) == 0).all()
 
 
-@pytest.mark.parametrize("max_bytes", [0, 200, 1024, 1 << 25])
-def test_scores_hold_all_ngrams_whatever_is_broadcast(spark, doc_rows, max_bytes):
+def test_levels_stand_for_the_middle_of_their_counts():
+    level = np.arange(0, 30)
+    got = lm_score.middle(level, 1.5)
+    assert got[0] == 0 and got[1] == 1 and (np.diff(got) > 0).all()
+    assert ((got[1:] >= 1.5 ** (level[1:] - 1.0)) & (got[1:] <= 1.5 ** level[1:])).all()
+
+
+def test_a_changed_block_fails(spark):
+    rows = pa.table({"doc_id": [1], "held_out": [False], "block": ["0-0"], "n_words": [2], "n_pairs": [1], "end_no": [0], "seq": [lm_score.packed_numbers(np.zeros(1, np.int32))]})
+    answers = pa.table({c: pa.array([], pa.binary()) for c in lm_score._ANSWERED[:6]})
+    with pytest.raises(RuntimeError, match="input changed"):
+        lm_score._scores(1.5, 50.0, 10.0)(rows, answers)
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, 70_000])
+def test_every_gram_has_one_slice(slices):
+    h = np.random.default_rng(4).integers(0, 2**64, 3000, dtype=np.uint64)
+    found = lm_score._by_slice(h, slices)
+    assert sorted(np.concatenate(list(found.values())).tolist()) == list(range(3000)) and max(found) < slices
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_scores_hold_all_ngrams(spark, doc_rows, partitions):
     """Against plain Python; at this size the filter has hardly a false answer."""
     rows = [(i, t) for i, t, *_ in doc_rows]
     tokens = [[None, *(t or "").encode().lower().split(), None] for _, t in rows]
@@ -84,7 +103,14 @@ def test_scores_hold_all_ngrams_whatever_is_broadcast(spark, doc_rows, max_bytes
         return (min(f(double[v, w]), fv, fw) + 50 * (fw + 0.5) / bottom) / (fv + 50)
 
     want = sorted((str(i), sum(math.log10(p(v, w)) for v, w in zip(t[:-1], t[1:], strict=True))) for (i, _), t in zip(rows, tokens, strict=True))
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = sorted((str(r["doc_id"]), r["score"]) for r in lm_score.score_documents(docs, max_bytes=max_bytes).collect())
+    docs = stage(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "lm-test")
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        # with many bits a level the filter has hardly a false answer; by default a few in a hundred
+        got, few = (sorted((str(r["doc_id"]), r["score"]) for r in lm_score.score_documents(docs, **more).collect()) for more in ({"bits_per_level": 256.0}, {}))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
     assert [g[0] for g in got] == [x[0] for x in want]
     assert [g[1] for g in got] == pytest.approx([x[1] for x in want], rel=1e-3)
+    assert [g[1] for g in few] == pytest.approx([x[1] for x in want], rel=0.02)
