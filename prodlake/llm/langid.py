@@ -7,16 +7,19 @@ languages contain it. A text's n-grams are looked up one and all; the bits are
 counted per language, each count is corrected for the filter's own rate of false
 positives, and the language with the largest corrected count is the answer.
 
-An n-gram belongs to a language if its share of the language's n-grams is at
-least ``min_rate`` and at least ``relative`` of the n-gram's highest share in any
-language. Counts cover every training row; shares sum to 1, so a language keeps
-at most ``1 / min_rate`` n-grams however large the corpus is, which bounds what
-reaches the driver and what is broadcast.
+An n-gram belongs to a language if any of its training rows holds it, however
+rarely; none is left out. The filter grows with the n-grams, ``SLOTS_PER_GRAM`` slots
+for each of the largest language, up to ``MOST_BYTES`` in all, which bounds what is
+broadcast; beyond, slots fill up and the rate of false positives, which the counts are
+corrected for, rises. It is filled in segments by tasks. A language that most n-grams
+of a text belong to is told from its neighbours by the longest n-grams.
 
 Defined results. Null text, empty text, text without a letter (``str.isalpha``):
 ``und`` with score 0. No training row: ``und`` for every text. Ties: the first
 language by code point. Training rows without text or language teach nothing;
-rows that repeat count as often as they stand there. The score is the share of
+an n-gram's number of occurrences doesn't matter. More than ``MOST_LANGUAGES``
+different labels are refused: each is a bit of every slot. Long texts are read in
+overlapping pieces, so that every n-gram counts once. The score is the share of
 the text's n-grams that the language contains, corrected and held within 0 and
 1. Extra columns are left alone.
 """
@@ -37,8 +40,12 @@ from pyspark.sql import functions as F
 from prodlake.llm.common import mix64, stage
 
 PROBES = 3
-ORDERS = (2, 3)
+ORDERS = (2, 3, 4)
 SLICE_CHARS = 1 << 19
+SLOTS_PER_GRAM = 16
+MOST_BYTES = 1 << 25
+MOST_LANGUAGES = 1024
+SEGMENTS = 64
 _U = np.uint64
 _STEP = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -55,83 +62,82 @@ def _letters() -> np.ndarray:
     return out
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, str]]:
-    """``row, text`` pieces: a long text comes in pieces of SLICE_CHARS."""
+def _slices(texts: pa.Array) -> Iterator[tuple[int, str, int]]:
+    """``row, piece, starts``: a text between two gaps, a long one in pieces. The
+    n-grams that begin in the first ``starts`` characters count; what follows them
+    belongs to the next piece as well."""
+    over = max(ORDERS) - 1
     for row, text in enumerate(texts.to_pylist()):
-        for at in range(0, len(text or ""), SLICE_CHARS):
-            yield row, text[at : at + SLICE_CHARS]
-
-
-def _batches(texts: pa.Array) -> Iterator[tuple[np.ndarray, str]]:
-    """Row numbers and pieces, about SLICE_CHARS characters together."""
-    rows, parts, size = [], [], 0
-    for row, part in _slices(texts):
-        rows.append(row)
-        parts.append(part)
-        size += len(part) + 2
+        if text:
+            text = f" {text} "
+            for at in range(0, len(text), SLICE_CHARS):
+                piece = text[at : at + SLICE_CHARS + over]
+                yield row, piece, min(SLICE_CHARS, len(piece))
+
+
+def _batches(texts: pa.Array) -> Iterator[tuple[list[int], list[str], list[int]]]:
+    """Rows, pieces and starts, about SLICE_CHARS characters together."""
+    found, size = [], 0
+    for piece in _slices(texts):
+        found.append(piece)
+        size += len(piece[1])
         if size >= SLICE_CHARS:
-            yield rows, parts
-            rows, parts, size = [], [], 0
-    if rows:
-        yield rows, parts
+            yield tuple(map(list, zip(*found, strict=True)))
+            found, size = [], 0
+    if found:
+        yield tuple(map(list, zip(*found, strict=True)))
 
 
-def grams(rows: list[int], parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of every n-gram that holds a letter. Each piece stands
-    between two gaps, so n-grams never cross pieces."""
+def grams(rows: list[int], parts: list[str], starts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every n-gram that holds a letter and begins where its piece
+    counts; n-grams never cross pieces."""
     length = np.array([len(p) for p in parts])
-    codes = np.frombuffer("".join(f" {p} " for p in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = _letters()[codes].astype(np.uint64)
-    row = np.repeat(np.array(rows), length + 2)
+    piece = np.repeat(np.arange(len(parts)), length)
+    counts = np.arange(len(codes)) - np.repeat(np.cumsum(length) - length, length) < np.repeat(starts, length)
+    row = np.array(rows)
     keep = codes != 32
     found_rows, found = [], []
     for n in ORDERS:
+        if len(codes) < n:
+            continue
         h = np.full(len(codes) - n + 1, _U(n), np.uint64)
         letter = np.zeros(len(h), bool)
         for i in range(n):
             h = h * _STEP[0] + codes[i : i + len(h)]
             letter |= keep[i : i + len(h)]
-        letter &= row[: len(h)] == row[n - 1 :]
+        letter &= (piece[: len(h)] == piece[n - 1 :]) & counts[: len(h)]
         found.append(mix64(h[letter]))
-        found_rows.append(row[: len(h)][letter])
+        found_rows.append(row[piece[: len(h)][letter]])
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(found_rows), np.concatenate(found)
 
 
-def gram_counts(training: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over all rows of ``text, lang``."""
+def language_grams(training: DataFrame) -> DataFrame:
+    """Distinct ``lang, gram`` over all rows of ``text, lang``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[str, list[np.ndarray]] = {}
         for b in batches:
             langs = pc.dictionary_encode(b.column(1))
-            code = langs.indices.to_numpy(zero_copy_only=False)
-            sums: dict[int, tuple[list, list]] = {}
-            for rows, parts in _batches(b.column(0)):
-                row, h = grams(rows, parts)
+            code, names = langs.indices.to_numpy(zero_copy_only=False), langs.dictionary.to_pylist()
+            for rows, parts, starts in _batches(b.column(0)):
+                row, h = grams(rows, parts, starts)
                 for k in np.unique(code[rows]):
-                    g, n = np.unique(h[code[row] == k], return_counts=True)
-                    have = sums.setdefault(int(k), ([], []))
-                    have[0].append(g)
-                    have[1].append(n)
-                    if len(have[0]) >= 16:
-                        sums[int(k)] = tuple([x] for x in _merge(*have))
-            for k, have in sums.items():
-                g, n = _merge(*have)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([langs.dictionary[k].as_py()]).take(pa.array(np.zeros(len(g), np.int64))), pa.array(g.view(np.int64)), pa.array(n)],
-                    names=["lang", "gram", "n"],
-                )
+                    have = sets.setdefault(names[k], [])
+                    have.append(np.unique(h[code[row] == k]))
+                    if len(have) >= 16:
+                        sets[names[k]] = [np.unique(np.concatenate(have))]
+        for name, have in sets.items():
+            g = np.unique(np.concatenate(have))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name]).take(pa.array(np.zeros(len(g), np.int64))), pa.array(g.view(np.int64))], names=["lang", "gram"]
+            )
 
     rows = training.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counted = rows.mapInArrow(run, "lang string, gram bigint, n bigint")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def _merge(parts: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    g, n = np.concatenate(parts), np.concatenate(counts)
-    order = np.argsort(g, kind="stable")
-    g, n = g[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-    return g[first], np.add.reduceat(n, first) if len(g) else n
+    return rows.mapInArrow(run, "lang string, gram bigint").distinct()
 
 
 @dataclass
@@ -143,16 +149,26 @@ class LanguageFilter:
     false_rate: np.ndarray
 
     @classmethod
-    def build(cls, languages: list[str], gram: np.ndarray, lang: np.ndarray, slots_per_gram: int = 16) -> LanguageFilter:
-        most = int(np.bincount(lang, minlength=1).max()) if len(lang) else 1
-        size = 1 << max(10, int(most * slots_per_gram - 1).bit_length())
-        slots = np.zeros((size, (len(languages) + 7) // 8 or 1), np.uint8)
-        bit = (1 << (lang % 8)).astype(np.uint8)
-        for i in range(PROBES):
-            np.bitwise_or.at(slots, (cls.place(gram, i, size), lang // 8), bit)
+    def of(cls, languages: list[str], slots: np.ndarray) -> LanguageFilter:
         fill = [np.mean((slots[:, i // 8] >> (i % 8)) & 1) for i in range(len(languages))]
         return cls(languages, slots, np.array(fill) ** PROBES)
 
+    @staticmethod
+    def shape(languages: int, most: int) -> tuple[int, int]:
+        """Slots and bytes a slot for languages of at most ``most`` n-grams."""
+        width = (languages + 7) // 8 or 1
+        wanted = max(10, (max(1, most) * SLOTS_PER_GRAM - 1).bit_length())
+        return 1 << min(wanted, (MOST_BYTES // width).bit_length() - 1), width
+
+    @classmethod
+    def build(cls, languages: list[str], gram: np.ndarray, lang: np.ndarray) -> LanguageFilter:
+        """Filled here, from n-grams that fit in memory."""
+        size, width = cls.shape(len(languages), int(np.bincount(lang, minlength=1).max()) if len(lang) else 0)
+        slots = np.zeros((size, width), np.uint8)
+        for i in range(PROBES):
+            np.bitwise_or.at(slots, (cls.place(gram, i, size), lang // 8), (1 << (lang % 8)).astype(np.uint8))
+        return cls.of(languages, slots)
+
     @staticmethod
     def place(gram: np.ndarray, probe: int, size: int) -> np.ndarray:
         return ((gram * _STEP[probe]) >> _U(64 - (size.bit_length() - 1))).astype(np.int64)
@@ -167,8 +183,8 @@ class LanguageFilter:
     def detect(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         total = np.zeros(len(texts), np.int64)
         count = np.zeros((len(texts), len(self.languages)), np.int64)
-        for rows, parts in _batches(texts):
-            row, gram = grams(rows, parts)
+        for rows, parts, starts in _batches(texts):
+            row, gram = grams(rows, parts, starts)
             row = row - rows[0]
             n = rows[-1] - rows[0] + 1
             total[rows[0] : rows[0] + n] += np.bincount(row, minlength=n)
@@ -183,19 +199,43 @@ class LanguageFilter:
         return [self.languages[k] if t else "und" for k, t in zip(best, total, strict=True)], score
 
 
-def learn(training: DataFrame, *, min_rate: float = 2e-5, relative: float = 0.25) -> LanguageFilter:
-    """The filter over all rows of ``text, lang``; at most ``1 / min_rate``
-    n-grams a language reach the driver."""
-    counts = stage(gram_counts(training), "gram-counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    rates = counts.join(totals, "lang").withColumn("rate", F.col("n") / F.col("total"))
-    rates = rates.filter(F.col("rate") >= min_rate)
-    top = rates.groupBy("gram").agg(F.max("rate").alias("top"))
-    kept = rates.join(top, "gram").filter(F.col("rate") >= relative * F.col("top")).select("gram", "lang").toArrow()
-    languages = sorted(r["lang"] for r in totals.select("lang").collect())
+def learn(training: DataFrame) -> LanguageFilter:
+    """The filter over all rows of ``text, lang``. The driver gets a row per
+    language and the filter's segments."""
+    found = stage(language_grams(training), "language-grams")
+    sizes = found.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = sorted(r["lang"] for r in sizes)
+    size, width = LanguageFilter.shape(len(languages), max((r["n"] for r in sizes), default=0))
     number = {x: i for i, x in enumerate(languages)}
-    lang = np.array([number[x] for x in kept.column("lang").to_pylist()], np.int64)
-    return LanguageFilter.build(languages, kept.column("gram").to_numpy().astype(np.int64).view(np.uint64), lang)
+    per_segment = max(1, size // SEGMENTS)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            langs = pc.dictionary_encode(b.column(0))
+            names = np.array([number[x] for x in langs.dictionary.to_pylist()], np.int16)
+            lang = names[langs.indices.to_numpy()] if len(names) else np.zeros(0, np.int16)
+            gram = b.column(1).to_numpy().view(np.uint64)
+            for i in range(PROBES):
+                at = LanguageFilter.place(gram, i, size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((at // per_segment).astype(np.int32)), pa.array((at % per_segment).astype(np.int32)), pa.array(lang)],
+                    names=["segment", "slot", "lang"],
+                )
+
+    def fill(rows: pa.Table) -> pa.Table:
+        out = np.zeros((per_segment, width), np.uint8)
+        lang = rows.column("lang").to_numpy()
+        np.bitwise_or.at(out, (rows.column("slot").to_numpy(), lang // 8), (1 << (lang % 8)).astype(np.uint8))
+        return pa.table({"segment": rows.column("segment").slice(0, 1), "bits": pa.array([out.tobytes()], pa.binary())})
+
+    placed = found.mapInArrow(places, "segment int, slot int, lang smallint").distinct()
+    slots = np.zeros((size, width), np.uint8)
+    for r in placed.groupBy("segment").applyInArrow(fill, "segment int, bits binary").collect():
+        begin = r["segment"] * per_segment
+        slots[begin : begin + per_segment] = np.frombuffer(r["bits"], np.uint8).reshape(-1, width)
+    return LanguageFilter.of(languages, slots)
 
 
 def detector(df: DataFrame, model: LanguageFilter):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from prodlake.llm import langid
@@ -50,7 +51,53 @@ def test_filter_answers_all_languages_of_a_gram():
     assert np.allclose(other, f.false_rate, atol=0.01)
 
 
-def test_long_texts_are_read_in_pieces():
-    text = "der die das und " * 100_000
-    rows = [x for x in langid._batches(__import__("pyarrow").array([text, None, "a"]))]
-    assert sum(len(p) for _, parts in rows for p in parts) == len(text) + 1 and len(rows) > 2
+def test_long_texts_count_every_gram_once(monkeypatch):
+    import pyarrow as pa
+
+    text = "der die das und ÄÖ 12 \U0001f600 x" * 40
+    texts = pa.array([text, None, "a", "", "bc" * 30])
+
+    def all_grams():
+        got = [langid.grams(*x) for x in langid._batches(texts)]
+        return sorted(zip(*[np.concatenate(x).tolist() for x in zip(*got, strict=True)], strict=True))
+
+    whole = all_grams()
+    for size in (1, 2, 3, 7, 100):
+        monkeypatch.setattr(langid, "SLICE_CHARS", size)
+        assert all_grams() == whole
+
+
+def test_learned_filter_holds_every_gram(spark, docs, doc_rows):
+    import pyarrow as pa
+
+    model = langid.learn(docs.select("text", "lang"))
+    assert model.languages == sorted({r[2] for r in doc_rows if r[2] and r[1]})
+    for _, text, lang, *_ in doc_rows:
+        if text and lang and any(c.isalpha() for c in text):
+            for x in langid._batches(pa.array([text])):
+                assert model.containing(langid.grams(*x)[1])[:, model.languages.index(lang)].all()
+    # as filled in one place
+    gram, code = [], []
+    for _, text, lang, *_ in doc_rows:
+        for x in langid._batches(pa.array([text])) if text and lang else ():
+            h = np.unique(langid.grams(*x)[1])
+            gram.append(h)
+            code.append(np.full(len(h), model.languages.index(lang)))
+    both = np.unique(np.stack([np.concatenate(code).astype(np.uint64), np.concatenate(gram)]), axis=1)
+    other = langid.LanguageFilter.build(model.languages, both[1], both[0].astype(np.int64))
+    assert (other.slots == model.slots).all()
+
+
+def test_a_full_filter_still_answers(monkeypatch):
+    monkeypatch.setattr(langid, "MOST_BYTES", 1 << 12)
+    r = np.random.default_rng(2)
+    gram, lang = r.integers(0, 2**63, 3000).astype(np.uint64), r.integers(0, 3, 3000)
+    f = langid.LanguageFilter.build(["a", "b", "c"], gram, lang)
+    assert f.slots.nbytes == 1 << 12 and f.containing(gram)[np.arange(3000), lang].all() and (f.false_rate > 0.05).all()
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = spark.createDataFrame([("abc", x) for x in "pqr"], "text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.learn(rows)
