@@ -29,7 +29,6 @@ Empty table: no windows. Extra columns are ignored.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -43,6 +42,8 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prodlake.llm import byte_bpe
+
 # fixed values: control strings of this template and of other common ones
 CONTROL = """
 <|im_start|> <|im_end|> <|endoftext|> <|startoftext|> <|system|> <|user|> <|assistant|> <|end|> <|eot_id|>
@@ -90,6 +91,7 @@ def parse(formatted: str) -> Iterator[tuple[str, str, int, int]]:
 
 
 # fixed value: how byte-level BPE vocabularies of this kind split a text
+_LONG_SPACE = re.compile(r"\s{10000}")
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -100,9 +102,17 @@ def token_counter(vocabulary: bytes | None) -> Callable[[list[str]], list[int]]:
     if vocabulary is None:
         piece = re.compile(r"\w+|[^\w\s]")
         return lambda texts: [sum(1 for _ in piece.finditer(t)) for t in texts]
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-    encoding = tiktoken.Encoding("chat", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
-    return lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
+    v = byte_bpe.vocabulary(vocabulary)
+    encoding = tiktoken.Encoding("chat", pat_str=PIECES, mergeable_ranks=v.ranks, special_tokens={})
+
+    def count(text: str) -> int:
+        if not _LONG_SPACE.search(text):
+            return len(encoding.encode_ordinary(text))
+        # the library's pattern gives up on very long runs of white space
+        pieces = byte_bpe.Splitter(PIECES, byte_bpe.newer_characters())(text)
+        return len(byte_bpe.replay([p.encode() for p in pieces], v)[0])
+
+    return lambda texts: [count(t) for t in texts]
 
 
 @dataclass
@@ -270,7 +280,7 @@ def read_back(windows: DataFrame) -> DataFrame:
     """One row per conversation, read from the formatted windows alone:
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
     n_windows``. Needs a conversation's windows in order in one partition, as
-    ``format_conversations`` leaves them."""
+    ``format_conversations`` leaves them; a window out of turn raises."""
     conv_type = windows.schema["conv_id"].dataType.simpleString()
     kept = windows.select("conv_id", "window", "has_system", "n_repeated", "formatted", "loss")
 
@@ -280,7 +290,10 @@ def read_back(windows: DataFrame) -> DataFrame:
             schema = pa.schema([b.schema.field(0), *_DIGEST_FIELDS])
             done = []
             for r in b.to_pylist():
-                if state is None or r["window"] == 0:
+                following = state is not None and (state["conv_id"], state["windows"]) == (r["conv_id"], r["window"])
+                if r["window"] and not following:
+                    raise ValueError(f"window {r['window']} of conversation {r['conv_id']} is out of turn")
+                if not r["window"]:
                     if state:
                         done.append(_finish(state))
                     state = dict.fromkeys(("turns", "chars", "size", "windows"), 0)

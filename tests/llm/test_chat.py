@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from pathlib import Path
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from prodlake.llm import chat
 
@@ -75,3 +79,24 @@ def test_public_vocabulary_extra_columns_and_empty_table(spark):
     out = chat.read_back(chat.format_conversations(turns, budget=64, tokenizer="/opt/tokenizers/byte_bpe_50k.tiktoken"))
     assert {r["conv_id"]: tuple(r)[1:5] for r in out.collect()} == expected(conversations())
     assert chat.read_back(chat.format_conversations(turns.limit(0))).collect() == []
+
+
+def test_long_white_space_is_counted(spark):
+    vocabulary = Path("/opt/tokenizers/byte_bpe_50k.tiktoken").read_bytes()
+    count = chat.token_counter(vocabulary)
+    texts = [" " * 40 + "x", "a" + "\n" * 33 + " b ", "é \t\t  z" * 9, "don't " * 5 + " " * 21]
+    short = count(texts)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(chat, "_LONG_SPACE", re.compile(""))
+        assert count(texts) == short
+    assert count([" " * 1_000_000 + "x"])[0] > 1000
+    rows = [(1, 0, "user", " " * 1_000_000), (1, 1, "assistant", "a" + "\n" * 1_000_000 + "b"), (1, 2, "user", "x" * 1_000_000)]
+    turns = spark.createDataFrame(rows, SCHEMA)
+    out = chat.read_back(chat.format_conversations(turns, tokenizer="/opt/tokenizers/byte_bpe_50k.tiktoken"))
+    assert {r["conv_id"]: tuple(r)[1:5] for r in out.collect()} == expected(rows)
+
+
+def test_windows_out_of_turn_raise(spark):
+    windows = chat.format_conversations(spark.createDataFrame(conversations(), SCHEMA), budget=120, history=40)
+    with pytest.raises(Exception, match="out of turn"):
+        chat.read_back(windows.orderBy(F.desc("window"))).collect()
