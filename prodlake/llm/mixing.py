@@ -6,9 +6,10 @@ Every source gets a word target: its weight's share of the budget, stopped at
 taken ``floor(r)`` times for certain; the fraction left is a Pareto order
 sample: documents are ranked by ``odds(u) / odds(p)``, ``u`` a uniform number
 drawn from a hash of the row and ``p`` the inclusion probability, and the lowest
-ranks are taken until the source's words are used up. A preference column
-multiplies a document's inclusion odds, so probabilities may differ inside a
-source as well.
+ranks are taken until the source's words are used up. Probabilities differ inside a
+source: a document's inclusion odds are those of ``r`` times its size to the power
+``by_size`` times its preference (a column, if named), over the mean of that product
+by words in its source, so that a source's expected words stay near its target.
 
 Only DataFrame functions run. The cut of a ranked source is found on two
 levels: words are summed per source and rank bin (about the square root of the
@@ -81,6 +82,7 @@ def mix_sources(
     weights=(3, 1, 2),
     share: float = 1.5,
     max_copies: float = 2.0,
+    by_size: float = 0.5,
     preference_col: str | None = None,
     carry: tuple[str, ...] = (),
     seed: int = 17,
@@ -90,12 +92,13 @@ def mix_sources(
     struct ``row``."""
     text, key, src = docs[text_col], docs[id_col], docs[source_col]
     prefer = docs[preference_col].cast("double") if preference_col else F.lit(1.0)
+    sized_by = F.pow(F.greatest(word_count(text), F.lit(1)).cast("double"), F.lit(by_size))
     cols = [
         key.alias("doc_id"),
         src.alias("source"),
         word_count(text).alias("size"),
         F.xxhash64(text).alias("tie"),
-        F.greatest(F.coalesce(prefer, F.lit(1.0)), F.lit(1e-12)).alias("prefer"),
+        (sized_by * F.greatest(F.coalesce(prefer, F.lit(1.0)), F.lit(1e-12))).alias("prefer"),
     ]
     if carry:
         cols.append(F.struct(*[docs[c].alias(c) for c in carry]).alias("row"))
@@ -104,12 +107,16 @@ def mix_sources(
     bins = max(1, math.isqrt(sized.count()))
 
     targets = source_targets(sized, weights, share, max_copies)
+    mean = sized.groupBy("source").agg((F.sum(F.col("size") * F.col("prefer")) / F.sum("size")).alias("mean"))
+    mean = mean.withColumnRenamed("source", "s")
+    targets = targets.join(mean, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = targets.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
     targets = stage(targets.withColumn("extra", F.col("p") * F.col("source_size")), "mix-targets")
 
     joined = sized.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    odds_in = F.col("p") / (1 - F.col("p")) * F.col("prefer")
+    # a source of empty documents only has no mean, and nothing to take
+    odds_in = F.col("p") / (1 - F.col("p")) * F.col("prefer") / F.coalesce("mean", F.lit(1.0))
     rank = F.when(F.col("p") > 0, F.col("u") / (1 - F.col("u")) / odds_in)
     # rank / (1 + rank) is the rank on a scale from 0 to 1
     joined = joined.withColumn("rank", rank).withColumn(

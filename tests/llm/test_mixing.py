@@ -67,6 +67,16 @@ def test_inclusion_odds_follow_the_preference(spark):
     assert high > 0.7 and low < 0.3 and low + high == pytest.approx(1, abs=0.01)
 
 
+def test_inclusion_odds_follow_the_size(spark):
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + 15 * cast(id % 2 as int))").alias("text"), F.lit("s").alias("source"))
+    for by_size, ratio in ((0.5, 4.0), (0.0, 1.0)):
+        got = mixing.mix_sources(rows, share=0.5, by_size=by_size)
+        low, high = (dict(map(tuple, got.groupBy("size").agg(F.avg("copies")).collect()))[k] for k in (1, 16))
+        assert high / (1 - high) / (low / (1 - low)) == pytest.approx(ratio, rel=0.2)
+        taken, target = got.agg(F.sum("taken"), F.first("target")).first()
+        assert abs(taken - target) <= 16
+
+
 def test_extra_columns_empty_tables_and_no_python(spark, clashing, no_docs):
     out = mixing.mix_sources(clashing, carry=("doc_id", "copies"))
     assert out.filter("row.copies <> 'clash'").count() == 0 and out.count() == clashing.count()
