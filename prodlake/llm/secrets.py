@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prodlake.llm.common import text_bytes
+from prodlake.llm.common import drop_staged, stage, text_bytes
 
 KINDS = ("assign", "access", "hex", "novel")
 # fixed values: the three patterns and their least lengths
@@ -73,6 +73,7 @@ example sample placeholder changeme your_api_key your_token_here xxxxxxxxxxxxxxx
 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 ================ ---------------- ................
 """.split()
 
+MERGED_TASKS = 8
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
 
@@ -93,8 +94,18 @@ def identifier_dictionary(docs: DataFrame, text_col: str = "text", dictionary_wo
             )
 
     counted = docs.select(docs[text_col].alias("text")).mapInArrow(run, "word string, n bigint")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(dictionary_words)
+    counted = stage(counted.groupBy("word").agg(F.sum("n").alias("n")), "identifiers")
+    # the power of two that enough words reach: 64 rows, so that few words are ordered
+    power = F.floor(F.log2(F.col("n").cast("double")))
+    left, least = dictionary_words, 1
+    for r in counted.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("p")).collect():
+        left, least = left - r["k"], 1 << int(r["p"])
+        if left <= 0:
+            break
+    # a task's first rows go to the driver: of a few tasks, whatever the table's size
+    top = counted.filter(F.col("n") >= least).coalesce(MERGED_TASKS).orderBy(F.desc("n"), "word").limit(dictionary_words)
     words = [r["word"] for r in top.collect()]
+    drop_staged(counted)
     return " ".join([*words[::-1], *IDENTIFIERS]).encode()
 
 
