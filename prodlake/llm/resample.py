@@ -35,6 +35,7 @@ from prodlake.llm.common import hash_words, ngram_hashes, row_of, row_slices, st
 from prodlake.llm.mixing import uniform
 
 FEW = 10_000  # rows of one cell that may be ordered in one task
+MERGED_TASKS = 8  # a task's first rows go to the driver
 CELLS = 1024
 
 
@@ -129,7 +130,13 @@ def resample(
     rows are targets."""
     good = good if good is not None else (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     target = labels.filter(good & labels[id_col].isNotNull()).select(labels[id_col].alias("label_id")).distinct()
-    target = target.orderBy(F.xxhash64("label_id"), "label_id").limit(max_labels)
+    target = stage(target.withColumn("place", F.xxhash64("label_id")), "target-ids")
+    # about twice as many ids as wanted, by their hash, so that few are ordered
+    n = target.count()
+    share = min(1 << 64, 2 * max_labels * (1 << 64) // max(1, n))
+    few = target.filter(F.col("place") <= F.lit(share - (1 << 63) - 1))
+    target = target if n <= max_labels or few.count() < max_labels else few
+    target = target.coalesce(MERGED_TASKS).orderBy("place", "label_id").limit(max_labels).select("label_id")
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     # at most max_labels ids
     flagged = rows.join(F.broadcast(target), F.col("doc_id") == F.col("label_id"), "left")
