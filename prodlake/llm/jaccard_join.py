@@ -18,11 +18,15 @@ document with fewer words has its whole sequence as one. Two documents link when
    of them (where it is in the largest, the members outside it). Of two classes in
    different components one at least is outside in a shared list, so one side counts
    all shared lists. The query's short lists are merged, the long ones
-   probed by binary search (DivideSkip), and members that occur T times are
-   candidates. All that are in other components and whose sizes, less the shingles
-   that no other prefix has (of the side with fewer such), allow a link are compared
-   on whole sets. No link between components is lost; links inside a component don't
-   change the result and aren't listed.
+   probed by binary search (DivideSkip), and members that occur T times, are in other
+   components and whose sizes and shared prefix shingles allow a link are candidates.
+   They leave packed, a row for a query and a block of neighbours (classes whose
+   commonest list is the same). Where two blocks have many candidates (groups of
+   texts that nearly link), the search goes on inside the pair of blocks, over the
+   inverted lists of their whole sets and with T the required overlap, so that only
+   true links leave it; the other candidates are compared on whole sets one by one.
+   No link between components is lost; links inside a component don't change the
+   result and aren't listed.
 5. Components come from the links found.
 
 A hot list is split by its members' hash in every step, and list rows are sent to
@@ -54,6 +58,8 @@ SUPPORT = 4  # T: shared prefix shingles asked of candidates
 ROUNDS = 3
 BLOCK_MEMBERS = 1024  # members of a list sent as one row
 BLOCK_SHINGLES = 1 << 17  # shingles compared in one group
+BLOCK_CLASSES = 256  # classes of a block of neighbours
+DENSE = 0.25  # candidates per class from which two blocks are searched as a whole
 
 
 def shingle_sets(texts: pa.Array, n: int = 4) -> list[np.ndarray]:
@@ -315,30 +321,43 @@ def _leader_pairs(opened: DataFrame, turn: int, percent: int, rows: int) -> Data
     return shared.groupBy("m").agg(F.max(F.struct("k", "q")).alias("b")).select(F.col("b.q").alias("q"), "m")
 
 
-def _search(opened: DataFrame, percent: int, rows: int) -> DataFrame:
-    """T-occurrence search over the open lists: candidate pairs ``q, m`` of
-    different components that share enough prefix shingles."""
+def _homes(opened: DataFrame, rows: int) -> DataFrame:
+    """``cls, home``: blocks of at most about BLOCK_CLASSES classes whose commonest
+    open list is the same."""
+    sizes = stage(opened.groupBy("token").agg(F.count(F.lit(1)).alias("k")), "open-sizes", rows)
+    best = opened.join(sizes, "token").groupBy("cls").agg(F.max(F.struct("k", "token")).alias("h"))
+    best = stage(best.select("cls", F.col("h.token").alias("token")), "commonest", rows)
+    crowd = best.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("parts"))
+    part = F.pmod(F.xxhash64("cls"), F.col("parts"))
+    return best.join(stage(crowd, "crowds", rows), "token").select("cls", F.xxhash64("token", part).alias("home"))
+
+
+def _candidates(opened: DataFrame, homes: DataFrame, percent: int, rows: int) -> DataFrame:
+    """T-occurrence search over the open lists: candidate pairs of different
+    components that share enough prefix shingles, packed as ``a, b`` (homes, in
+    order) and the lists ``u, v`` of their classes."""
+    opened = opened.join(homes, "cls")
     largest = opened.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
     largest = stage(largest.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("l"), F.sum("k").alias("k")), "list-sizes", rows)
     longest = largest.agg(F.max("k")).first()[0] or 0
     blocks = max(1, -(-longest // BLOCK_MEMBERS))
     block = F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int")
-    member = F.struct("cls", "n", "comp", "most")
+    member = F.struct("cls", "n", "comp", "most", "home")
     main = largest.select("token", F.col("l.comp").alias("main"))
     told = stage(opened.join(main, "token").withColumn("inside", F.col("comp") == F.col("main")).drop("main"), "told-lists", rows)
     packed = told.groupBy("token", "inside", block.alias("block")).agg(F.sort_array(F.collect_list(member)).alias("members"))
     packed = stage(packed, "packed-lists", rows)
     askers = stage(told.filter(~F.col("inside")).select("cls").distinct(), "askers", rows)
-    asked = told.join(askers, "cls").select("token", "inside", F.col("cls").alias("q"), *[F.col(c).alias(f"q{c}") for c in ("n", "comp", "most")])
+    asked = told.join(askers, "cls").select("token", "inside", F.col("cls").alias("q"), *[F.col(c).alias(f"q{c}") for c in ("n", "comp", "most", "home")])
     # inside the largest component it is enough to ask the others
     sides = F.when(F.col("inside"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     met = stage(asked, "queries", rows).withColumn("inside", F.explode(sides)).join(packed, ["token", "inside"])
 
     def run(group: pa.Table) -> pa.Table:
-        q, qn, qcomp, qmost = (group.column(c)[0].as_py() for c in ("q", "qn", "qcomp", "qmost"))
+        q, qn, qcomp, qmost, qhome = (group.column(c)[0].as_py() for c in ("q", "qn", "qcomp", "qmost", "qhome"))
         members = group.column("members").combine_chunks()
         flat, ends = members.values, members.offsets.to_numpy()
-        cls, size, comp, most = (flat.field(i).to_numpy() for i in range(4))
+        cls, size, comp, most, home = (flat.field(i).to_numpy() for i in range(5))
         # lists of equal T are searched together: T falls only for tiny sets
         need = np.minimum(np.minimum(SUPPORT, required(size.astype(np.int64), percent)), required(qn, percent))
         bound = np.minimum(np.minimum(size, qn), np.maximum(most, qmost)).astype(np.int64)
@@ -357,10 +376,111 @@ def _search(opened: DataFrame, percent: int, rows: int) -> DataFrame:
             behind = np.maximum(behind_prefix(n, percent), behind_prefix(qn, percent))
             found.append(m[k[at] + behind >= overlap_needed(n, qn, percent)])
         m = np.concatenate(found) if found else np.zeros(0, np.int64)
-        return pa.table({"q": pa.array(np.full(len(m), q), pa.int64()), "m": pa.array(m, pa.int64())})
+        member, first = np.unique(cls, return_index=True)
+        at = home[first[np.searchsorted(member, m)]]
+        out = []
+        for h in np.unique(at):
+            mine = m[at == h].tolist()
+            sides = [(qhome, [q] * len(mine)), (int(h), mine)]
+            (a, u), (b, v) = sides if qhome <= h else sides[::-1]
+            out.append((a, b, u, v))
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.table({c: pa.array([x[i] for x in out], k) for i, (c, k) in enumerate(zip("abuv", kinds, strict=True))})
+
+    return met.groupBy("q", "block").applyInArrow(run, "a bigint, b bigint, u array<bigint>, v array<bigint>")
+
+
+def _packed_sets(texts: DataFrame, n: int) -> DataFrame:
+    """``home, cls, size, shingles``: the whole sets of some blocks, from ``home,
+    cls, text``."""
+
+    def run(group: pa.Table) -> pa.Table:
+        sets = shingle_sets(group.column("text").combine_chunks(), n)
+        return pa.table(
+            {
+                "home": group.column("home").slice(0, 1),
+                "cls": pa.array([group.column("cls").to_pylist()], pa.list_(pa.int64())),
+                "size": pa.array([[len(x) for x in sets]], pa.list_(pa.int32())),
+                "shingles": pa.array([np.concatenate(sets).tobytes()], pa.binary()),
+            }
+        )
 
-    pairs = met.groupBy("q", "block").applyInArrow(run, "q bigint, m bigint")
-    return pairs.select(F.least("q", "m").alias("q"), F.greatest("q", "m").alias("m")).distinct()
+    return texts.groupBy("home").applyInArrow(run, "home bigint, cls array<bigint>, size array<int>, shingles binary")
+
+
+def overlaps(lists: list[np.ndarray], least: int, members: int, ratio: float = 0.01) -> np.ndarray:
+    """How many of the lists each of ``members`` numbered members is in, for those
+    in at least ``least``; less than that for others. DivideSkip, as in
+    ``divide_skip``: short lists are merged by counting, long ones are probed."""
+    lists = sorted(lists, key=len)
+    longest = len(lists[-1]) if lists else 0
+    aside = max(0, min(least - 1, int(least / (ratio * np.log2(max(2, longest)) + 1)), len(lists)))
+    short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
+    count = np.bincount(np.concatenate(short), minlength=members) if short else np.zeros(members, np.int64)
+    open_ = np.flatnonzero(count >= least - aside)
+    for x in long:
+        if len(x):
+            at = np.minimum(np.searchsorted(x, open_), len(x) - 1)
+            count[open_[x[at] == open_]] += 1
+    return count
+
+
+def links_between(pairs: list[tuple[np.ndarray, np.ndarray]], cls: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """The true links among candidate pairs of some classes, by a search over the
+    inverted lists of their whole sets."""
+    size = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate(sets)
+    member = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    token, begin = np.unique(flat[order], return_index=True)
+    member, end = member[order], np.append(begin[1:], len(flat))
+    by_cls = np.argsort(cls)
+    place = lambda x: by_cls[np.searchsorted(cls[by_cls], x)]
+    asked = np.unique(np.concatenate([np.stack([place(u), place(v)], 1) for u, v in pairs]), axis=0)
+    out = []
+    for u in np.unique(asked[:, 0]):
+        wanted = asked[asked[:, 0] == u, 1]
+        need = overlap_needed(size[u], size[wanted], percent)
+        at = np.searchsorted(token, sets[u])
+        count = overlaps([member[begin[i] : end[i]] for i in at], int(need.min()), len(sets))
+        out += [(int(cls[u]), int(cls[w])) for w in wanted[count[wanted] >= need]]
+    return out
+
+
+def _search(opened: DataFrame, texts: DataFrame, sizes: DataFrame, n: int, percent: int, rows: int) -> DataFrame:
+    """The true links ``u, v`` that the search over the open lists finds."""
+    homes = stage(_homes(opened, rows), "homes", rows)
+    found = stage(_candidates(opened, homes, percent, rows), "candidates")
+    held = homes.groupBy("home").agg(F.count(F.lit(1)).alias("held"))
+    number = found.groupBy("a", "b").agg(F.sum(F.size("u")).alias("k"))
+    for side in ("a", "b"):
+        number = number.join(held.select(F.col("home").alias(side), F.col("held").alias(f"{side}_held")), side)
+    dense = stage(number.filter(F.col("k") >= DENSE * (F.col("a_held") + F.col("b_held"))).select("a", "b"), "dense-blocks", rows)
+
+    single = found.join(dense, ["a", "b"], "left_anti").select(F.explode(F.arrays_zip("u", "v")).alias("p"))
+    single = single.select(F.least("p.u", "p.v").alias("q"), F.greatest("p.u", "p.v").alias("m")).distinct()
+    links = _compare(stage(single, "pairs"), texts, sizes, n, percent)
+    if dense.isEmpty():
+        return links
+
+    needed = dense.select(F.col("a").alias("home")).union(dense.select("b")).distinct()
+    named = homes.join(stage(needed, "dense-homes", rows), "home")
+    sets = stage(_packed_sets(texts.join(named, "cls"), n), "dense-sets")
+    columns = ["a", "b", "cls", "size", "shingles"]
+    first = dense.join(sets.withColumnRenamed("home", "a"), "a").select(*columns)
+    second = dense.filter("a <> b").join(sets.withColumnRenamed("home", "b"), "b").select(*columns)
+
+    def run(asked: pa.Table, blocks: pa.Table) -> pa.Table:
+        cls, whole = [], []
+        for r in blocks.to_pylist():
+            cls += r["cls"]
+            whole += np.split(np.frombuffer(r["shingles"], np.uint64), np.cumsum(r["size"])[:-1])
+        pairs = [(np.array(r["u"], np.int64), np.array(r["v"], np.int64)) for r in asked.to_pylist()]
+        out = links_between(pairs, np.array(cls, np.int64), whole, percent) if pairs else []
+        return pa.table({"u": pa.array([x[0] for x in out], pa.int64()), "v": pa.array([x[1] for x in out], pa.int64())})
+
+    many = found.join(dense, ["a", "b"], "left_semi").groupBy("a", "b")
+    return links.unionByName(many.cogroup(first.unionByName(second).groupBy("a", "b")).applyInArrow(run, "u bigint, v bigint"))
 
 
 def similarity_classes(
@@ -387,8 +507,11 @@ def similarity_classes(
         opened = _open_lists(lists, comps, postings)
         if opened.isEmpty():
             break
-        pairs = _leader_pairs(opened, turn, percent, postings) if turn < ROUNDS else _search(opened, percent, postings)
-        found = stage(_compare(stage(pairs, "pairs"), texts, sizes, words, percent), "links")
+        if turn < ROUNDS:
+            pairs = stage(_leader_pairs(opened, turn, percent, postings), "pairs")
+            found = stage(_compare(pairs, texts, sizes, words, percent), "links")
+        else:
+            found = stage(_search(opened, texts, sizes, words, percent, postings), "links")
         links = found if links is None else links.unionByName(found)
         comps = stage(components(links), "components", postings)
 

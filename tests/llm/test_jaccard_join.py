@@ -99,8 +99,58 @@ def test_search_counts_lists_of_both_main_components(spark):
     lists = {t: (1, 2, 3) if t < 3 else (1, 3, 4) for t in range(6)}
     rows = [(t, c, 30, 30, comp[c]) for t, members in lists.items() for c in members]
     opened = spark.createDataFrame(rows, "token long, cls long, n int, most int, comp long")
-    got = jaccard_join._search(opened, 85, len(rows)).collect()
-    assert [tuple(r) for r in got] == [(1, 3)]
+    homes = spark.createDataFrame([(c, 10 * (c > 2)) for c in comp], "cls long, home long")
+    got = jaccard_join._candidates(opened, homes, 85, len(rows)).collect()
+    assert {(r["a"], r["b"], u, v) for r in got for u, v in zip(r["u"], r["v"], strict=True)} == {(0, 10, 1, 3)}
+
+
+def near_misses(seed: int) -> list[tuple]:
+    """Texts around one, of which most nearly link and some do."""
+    r = random.Random(seed)
+    base, rows = words(300 + seed, 300).split(), []
+    for i in range(60):
+        text = list(base)
+        for at in r.sample(range(300), r.choice([2, 3, 4, 5, 6])):
+            text[at] = f"own{i}x{at}"
+        rows.append(" ".join(text))
+    rows += [words(700 + i, 40) for i in range(5)]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("dense,rounds", [(0.25, 3), (0.0, 0), (100.0, 0), (0.25, 0)])
+def test_groups_of_near_misses(spark, monkeypatch, dense, rounds):
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
+    monkeypatch.setattr(jaccard_join, "BLOCK_CLASSES", 16)
+    rows = near_misses(rounds)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_join.similarity_classes(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == expected(rows)
+    assert 1 < len({r["component_id"] for r in got}) < len(rows)
+
+
+def test_search_inside_blocks_against_all_pairs():
+    r = np.random.default_rng(8)
+    for trial in range(10):
+        pool = np.unique(r.integers(0, 2**63, 70).astype(np.uint64))
+        sets = [np.unique(r.choice(pool, r.integers(1, 60))) for _ in range(25)]
+        cls = r.permutation(1000)[:25].astype(np.int64)
+        u, v = r.integers(0, 25, (2, 80))
+        u, v = u[u != v], v[u != v]
+        got = set(jaccard_join.links_between([(cls[u], cls[v])], cls, sets, 60))
+        both = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+        true = {(int(cls[i]), int(cls[j])) for i, j in zip(u, v, strict=True) if 100 * both(i, j) >= 60 * (len(sets[i]) + len(sets[j]) - both(i, j))}
+        assert got == true
+
+
+@pytest.mark.parametrize("least", [1, 3, 8])
+def test_overlaps_count_members_of_enough_lists(least):
+    r = np.random.default_rng(least)
+    for _ in range(30):
+        lists = [np.unique(r.integers(0, 40, r.integers(0, 30))) for _ in range(r.integers(0, 12))]
+        want = np.bincount(np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64), minlength=40)
+        got = jaccard_join.overlaps(lists, least, 40)
+        assert (got[want >= least] == want[want >= least]).all() and (got[want < least] < least).all()
 
 
 def test_odd_rows(clashing, doc_rows, no_docs):
