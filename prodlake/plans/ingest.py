@@ -50,9 +50,7 @@ def part_csv(spark, sf_dir):
 
 
 def part_json_arrays(spark, sf_dir):
-    return S.landed(
-        spark, sf_dir, "part_json", fx.part_strings, lambda df, p: S.write_json_arrays(df, p, "p_partkey")
-    )
+    return S.landed(spark, sf_dir, "part_json", fx.part_strings, S.write_json_arrays)
 
 
 # The defective lake file: monthly production lines as text, no header, with

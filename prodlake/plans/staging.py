@@ -45,13 +45,11 @@ def write_lines(df: DataFrame, path: str) -> None:
     df.write.text(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, key: str) -> None:
+def write_json_arrays(df: DataFrame, path: str) -> None:
     """One JSON array of objects per file. Rows are dealt round-robin over
-    the files by their position (not by content, so repeated rows or a hot
-    ``key`` cannot pile into one file); the number of files grows with the
-    row count, so no file (one task's group) holds more than about
-    ``ROWS_PER_ARRAY_FILE`` rows. ``key`` orders nothing; it names the
-    record for readers of the landed files."""
+    the files by their position (not by content, so repeated rows cannot
+    pile into one file); the number of files grows with the row count, so no
+    file (one task's group) holds more than about ``ROWS_PER_ARRAY_FILE`` rows."""
     n_files = max(1, -(-df.count() // ROWS_PER_ARRAY_FILE))
     slot = F.pmod(F.monotonically_increasing_id(), F.lit(n_files))
     rows = df.select(slot.alias("_f"), F.to_json(F.struct(*df.columns)).alias("_j"))

@@ -120,7 +120,7 @@ def test_json_array_landing_spreads_rows(spark, tmp):
     old = S.ROWS_PER_ARRAY_FILE
     S.ROWS_PER_ARRAY_FILE = 50
     try:
-        S.write_json_arrays(df, f"{tmp}/arr", "k")
+        S.write_json_arrays(df, f"{tmp}/arr")
     finally:
         S.ROWS_PER_ARRAY_FILE = old
     files = [p for p in Path(f"{tmp}/arr").iterdir() if p.name.startswith("part-") and p.stat().st_size > 0]
