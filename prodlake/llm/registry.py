@@ -36,7 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "cls")
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 #: a public vocabulary file; its path is the operator's parameter
@@ -147,6 +147,8 @@ QUERIES: dict[str, Query] = {
     "op13_vector_codes": op13_vector_codes,
 }
 ORACLE: dict[str, str] = {
+    "op1_jaccard_join": oracle.JACCARD_JOIN,
+    "op6_suffix_dedup": oracle.SUFFIX_DEDUP,
     "op12_hard_negatives": oracle.HARD_NEGATIVES,
     "op13_vector_codes": oracle.vector_codes(),
 }

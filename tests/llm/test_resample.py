@@ -32,6 +32,37 @@ def test_good_texts_are_drawn(spark):
     assert dict(again.select("doc_id", "key").collect()) == pytest.approx(got)
 
 
+def test_weights_against_plain_counts(spark):
+    """log_weight: the sum over a text's 1- and 2-grams of the log ratio of the
+    target's and the raw texts' smoothed counts."""
+    import math
+    import random
+    from collections import Counter
+
+    import pyarrow as pa
+
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice("aa bb cc dd ee ff".split()) for _ in range(r.randint(0, 12)))) for i in range(80)] + [(80, None)]
+    good = {i for i in range(0, 80, 3)}
+    labels = [(i, 1 if i in good else 0, 0) for i in range(0, 60)] + [(1, 1, 1)]
+    good = {i for i in good if i < 60}
+    buckets = 1 << 12
+    grams = {i: Counter(resample.features(pa.array([t]), buckets)[1].tolist()) for i, t in rows}
+    raw, target = Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if i in good:
+            target.update(g)
+    share = sum(target.values()) / sum(raw.values())
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for x in resample.resample(docs.repartition(3), marked, buckets=buckets).collect():
+        g = grams[x["doc_id"]]
+        want = sum(n * math.log((target[b] + 10) / (raw[b] * share + 10)) for b, n in g.items())
+        assert x["n_grams"] == sum(g.values()) and x["log_weight"] == pytest.approx(want, abs=1e-9)
+    few = resample.resample(docs, marked, buckets=buckets, max_labels=5).collect()
+    assert len(few) == 81 and any(x["log_weight"] for x in few)
+
+
 def test_draws_follow_the_weights(spark):
     u = np.random.default_rng(0).random(20000)
     keys = np.where(np.arange(20000) < 10000, np.log(3.0), 0.0) - np.log(-np.log(u))

@@ -90,3 +90,26 @@ def test_values_assigned_inside_a_run():
         assert [(x["kind"], x["value_start"], x["end"]) for x in found] == [("novel", at, at + len(value))], line
     assert secrets.scan_text(f"COLOUR={RANDOM}", novelty, 0.5) == []
     assert secrets.scan_text("export CACHE_KEY=application/json.response.default.settings", novelty, 0.5) == []
+
+
+def test_novel_recall_and_precision():
+    """Random keys planted in contexts that the patterns don't cover, against
+    identifiers, paths and repeated fillers in the same contexts."""
+    import random
+    import string
+
+    r = random.Random(11)
+    novelty = secrets._novelty(" ".join(secrets.IDENTIFIERS).encode())
+    alphabets = [string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + "234567"]
+    lines = ["export STRIPE_KEY={}", "the auth header was {} today", 'private_key = load("{}")', "credential -> {}", "SIGNING_KEY={}\n", "cookie {} expires"]
+    found = harmless = 0
+    plain = [x for x in secrets.IDENTIFIERS if x.isalpha() and len(x) >= 8 and not x.startswith("xxx")]  # known to the dictionary
+    for i in range(300):
+        key = "".join(r.choice(alphabets[i % 3]) for _ in range(r.randint(20, 48)))
+        text = f"some words in front\n{lines[i % len(lines)].format(key)}\nand more words behind it\n"
+        at = text.index(key)
+        found += any(s["kind"] == "novel" and s["value_start"] <= at + 2 and s["end"] >= at + len(key) - 2 for s in secrets.scan_text(text, novelty, 0.5))
+        name = r.choice("._-/").join(r.choice(plain) for _ in range(r.randint(2, 4)))
+        harmless += bool(secrets.scan_text(f"some words in front\n{lines[i % len(lines)].format(name)}\nand more\n", novelty, 0.5))
+    # short names made of two known words cost about as much as the threshold
+    assert found >= 0.9 * 300 and harmless <= 0.3 * 300
