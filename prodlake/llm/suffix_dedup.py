@@ -366,7 +366,8 @@ def remove_repeats(
     ranges = F.when(F.col("whole"), F.array(F.struct(lo.alias("lo"), hi.alias("hi")))).otherwise(
         F.transform("pieces", lambda p: F.struct((p["lo"] + lo).alias("lo"), (p["hi"] + lo).alias("hi")))
     )
-    per_doc = matched.select("doc", ranges.alias("r")).groupBy("doc").agg(F.flatten(F.collect_list("r")).alias("ranges"))
+    # rows that repeat share a key and ask for the same ranges: a set holds each once
+    per_doc = matched.select("doc", ranges.alias("r")).groupBy("doc").agg(F.flatten(F.collect_set("r")).alias("ranges"))
     return _cut(rows, stage(per_doc, "document-matches"), length)
 
 
