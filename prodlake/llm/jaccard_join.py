@@ -58,6 +58,7 @@ SUPPORT = 4  # T: shared prefix shingles asked of candidates
 ROUNDS = 3
 BLOCK_MEMBERS = 1024  # members of a list sent as one row
 BLOCK_SHINGLES = 1 << 17  # shingles compared in one group
+MEMBER = ("cls", "n", "comp", "most", "home")  # what a list tells of its members
 BLOCK_CLASSES = 256  # classes of a block of neighbours
 DENSE = 0.25  # candidates per class from which two blocks are searched as a whole
 
@@ -342,11 +343,13 @@ def _candidates(opened: DataFrame, homes: DataFrame, percent: int, rows: int) ->
     longest = largest.agg(F.max("k")).first()[0] or 0
     blocks = max(1, -(-longest // BLOCK_MEMBERS))
     block = F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int")
-    member = F.struct("cls", "n", "comp", "most", "home")
+    member = F.struct(*MEMBER)
     main = largest.select("token", F.col("l.comp").alias("main"))
     told = stage(opened.join(main, "token").withColumn("inside", F.col("comp") == F.col("main")).drop("main"), "told-lists", rows)
     packed = told.groupBy("token", "inside", block.alias("block")).agg(F.sort_array(F.collect_list(member)).alias("members"))
-    packed = stage(packed, "packed-lists", rows)
+    # columns of plain numbers: a list goes to every class that asks it
+    columns = [F.col(f"members.{c}").alias(f"m_{c}") for c in MEMBER]
+    packed = stage(packed, "packed-lists", rows).select("token", "inside", "block", *columns)
     askers = stage(told.filter(~F.col("inside")).select("cls").distinct(), "askers", rows)
     asked = told.join(askers, "cls").select("token", "inside", F.col("cls").alias("q"), *[F.col(c).alias(f"q{c}") for c in ("n", "comp", "most", "home")])
     # inside the largest component it is enough to ask the others
@@ -355,9 +358,9 @@ def _candidates(opened: DataFrame, homes: DataFrame, percent: int, rows: int) ->
 
     def run(group: pa.Table) -> pa.Table:
         q, qn, qcomp, qmost, qhome = (group.column(c)[0].as_py() for c in ("q", "qn", "qcomp", "qmost", "qhome"))
-        members = group.column("members").combine_chunks()
-        flat, ends = members.values, members.offsets.to_numpy()
-        cls, size, comp, most, home = (flat.field(i).to_numpy() for i in range(5))
+        lists = [group.column(f"m_{c}").combine_chunks() for c in MEMBER]
+        ends = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy())])
+        cls, size, comp, most, home = (x.flatten().to_numpy() for x in lists)
         # lists of equal T are searched together: T falls only for tiny sets
         need = np.minimum(np.minimum(SUPPORT, required(size.astype(np.int64), percent)), required(qn, percent))
         bound = np.minimum(np.minimum(size, qn), np.maximum(most, qmost)).astype(np.int64)
