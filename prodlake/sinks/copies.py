@@ -34,29 +34,44 @@ def _sha256(f, start: int, end: int) -> str:
     return h.hexdigest()
 
 
-def _copy_range(source: str, target: str, start: int, end: int) -> tuple[str, str]:
-    """Checksums of a range as read and as found in the copy."""
+def _copy_range(f, out: int, start: int, end: int) -> str:
+    """Checksum of a range as read."""
+    h, at = hashlib.sha256(), start
+    for piece in read_range(f, start, end):
+        h.update(piece)
+        view = memoryview(piece)
+        while view:
+            n = os.pwrite(out, view, at)
+            view, at = view[n:], at + n
+    return h.hexdigest()
+
+
+def _copy_ranges(source: str, target: str, ranges: list[tuple[int, int]]) -> list[tuple[str, str]]:
+    """Checksums of a file's ranges as read and as found in the copy, which is
+    flushed once for all of them."""
     os.makedirs(os.path.dirname(target), exist_ok=True)
     out = os.open(target, os.O_RDWR | os.O_CREAT, 0o644)
     try:
-        h, at = hashlib.sha256(), start
         with open_input(source) as f:
-            for piece in read_range(f, start, end):
-                h.update(piece)
-                view = memoryview(piece)
-                while view:
-                    n = os.pwrite(out, view, at)
-                    view, at = view[n:], at + n
+            read = [_copy_range(f, out, start, end) for start, end in ranges]
         os.fsync(out)
     finally:
         os.close(out)
     with open(target, "rb") as f:
-        return h.hexdigest(), _sha256(f, start, end)
+        return [(x, _sha256(f, start, end)) for x, (start, end) in zip(read, ranges)]
 
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums = [_copy_range(r["path"], r["partial"], r["start"], r["end"]) for r in batch.to_pylist()]
+        rows = batch.to_pylist()
+        files: dict[tuple[str, str], list[int]] = {}
+        for i, r in enumerate(rows):
+            files.setdefault((r["path"], r["partial"]), []).append(i)
+        sums = [("", "")] * len(rows)
+        for (path, partial), places in files.items():
+            found = _copy_ranges(path, partial, [(rows[i]["start"], rows[i]["end"]) for i in places])
+            for i, x in zip(places, found):
+                sums[i] = x
         columns = [pa.array([x[i] for x in sums], pa.string()) for i in range(2)]
         yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "read_sum", "copy_sum"])
 

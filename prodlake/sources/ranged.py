@@ -22,6 +22,9 @@ from prodlake.sources.files import scan_binary
 
 PIECE = 1 << 20
 MOST_TASKS = 1 << 16
+# up to so many ranges have a task each; more share tasks of about TASK_BYTES
+FEW_TASKS = 64
+TASK_BYTES = 16 << 20
 _SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):")
 
 
@@ -59,7 +62,8 @@ def file_ranges(
     empty: bool = False,
 ) -> tuple[DataFrame, int]:
     """``path, length, ranges, range, start, end`` of all files under a path, a row
-    for every ``chunk_bytes``, and the number of tasks that they are dealt over.
+    for every ``chunk_bytes``, and the number of tasks that they are dealt over: it
+    follows the bytes, however small the ranges, and neighbours share a task.
     Only the listing is read. Spark's reader passes over files without a byte;
     with ``empty`` they are a range as well."""
     if chunk_bytes < 1:
@@ -74,9 +78,12 @@ def file_ranges(
         files = files.unionByName(none.withColumn("length", F.lit(0).cast("long")))
     n = F.greatest(F.lit(1), F.ceil(F.col("length") / F.lit(chunk_bytes))).cast("int")
     files = files.select("path", "length", n.alias("ranges"))
-    tasks = min(files.agg(F.sum("ranges")).first()[0] or 1, MOST_TASKS)
+    total = files.agg(F.sum("ranges").alias("ranges"), F.sum("length").alias("bytes")).first()
+    wanted = max(FEW_TASKS, -(-(total["bytes"] or 0) // TASK_BYTES))
+    tasks = min(total["ranges"] or 1, wanted, MOST_TASKS)
+    run = -(-(total["ranges"] or 1) // tasks)
     each = files.withColumn("range", F.explode(F.sequence(F.lit(0), F.col("ranges") - 1)))
     start = F.col("range").cast("long") * F.lit(chunk_bytes)
     end = F.least(start + F.lit(chunk_bytes), F.col("length"))
     rows = each.select("path", "length", "ranges", "range", start.alias("start"), end.alias("end"))
-    return rows.repartition(tasks, "path", "range"), tasks
+    return rows.repartition(tasks, F.col("path"), F.floor(F.col("range") / F.lit(run))), tasks

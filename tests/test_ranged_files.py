@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from prodlake.sinks import copies
 from prodlake.sources import json_arrays as J
 from prodlake.sources.files import CORRUPT, scan_json_array
-from prodlake.sources.ranged import file_ranges, local_path
+from prodlake.sources.ranged import TASK_BYTES, file_ranges, local_path
 
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("a", "b")])
 
@@ -151,3 +151,33 @@ def test_ranges_cover_every_file(spark, tmp):
     got = rows.collect()
     assert tasks == len(got) == 1 + 1 + 6 + 2
     assert sum(r["end"] - r["start"] for r in got) == 3 + 5 * 4096 + 17 + 8192
+
+
+def test_tasks_follow_the_bytes_not_the_ranges(spark, tmp):
+    sizes = {"a.bin": 1 << 30, "b.bin": (300 << 20) + 5}
+    for name, size in sizes.items():
+        with open(f"{tmp}/{name}", "wb") as f:
+            f.truncate(size)
+    rows, tasks = file_ranges(spark, tmp, 1 << 16)
+    assert tasks == -(-sum(sizes.values()) // TASK_BYTES) == rows.rdd.getNumPartitions()
+    from pyspark.sql import functions as F
+
+    each = rows.withColumn("p", F.spark_partition_id())
+    assert each.count() == (1 << 14) + 4801
+    assert each.agg(F.sum(F.col("end") - F.col("start"))).first()[0] == sum(sizes.values())
+    # neighbours stay together: a task has few runs of a file
+    runs = each.select("path", "p", F.floor(F.col("range") / 100).alias("run")).distinct().count()
+    assert runs < 5 * tasks
+
+
+def test_a_task_flushes_a_file_once(tmp, monkeypatch):
+    import pyarrow as pa
+
+    Path(f"{tmp}/in").write_bytes(bytes(range(256)) * 40)
+    flushed = []
+    monkeypatch.setattr(copies.os, "fsync", lambda fd: flushed.append(fd))
+    rows = [{"path": f"{tmp}/in", "partial": f"{tmp}/out", "start": i, "end": i + 1024} for i in range(0, 10240, 1024)]
+    out = pa.Table.from_batches(copies._copies(iter([pa.RecordBatch.from_pylist(rows)]))).to_pylist()
+    assert len(flushed) == 1 and Path(f"{tmp}/out").read_bytes() == Path(f"{tmp}/in").read_bytes()
+    assert [r["start"] for r in out] == [r["start"] for r in rows]
+    assert all(r["read_sum"] == r["copy_sum"] == hashlib.sha256(bytes(range(256)) * 4).hexdigest() for r in out)
