@@ -339,12 +339,17 @@ def broken_array(spark) -> str:
     return path
 
 
+# bytes of a file that a task holds at a time
+BINARY_PIECE = 1 << 20
+
+
 @register("scan_binary", with_views(f"SELECT {_FIELD_TEXT_COLS} FROM field_csv", "field_csv"))
 def scan_binary(spark, sf_dir):
     """The files' bytes, decoded to lines here and split into fields: what
     was landed comes back. Each file's first line is its header."""
-    files = SF.scan_binary(spark, field_csv(spark, sf_dir), glob="*.csv").select("content")
-    lines = files.select(F.explode(F.slice(F.split(F.decode("content", "UTF-8"), "\n"), 2, 1 << 30)).alias("line"))
+    pieces = SF.scan_binary(spark, field_csv(spark, sf_dir), glob="*.csv", piece_bytes=BINARY_PIECE)
+    first = F.when(F.col("start") == 0, 2).otherwise(1)
+    lines = pieces.select(F.explode(F.slice(F.split(F.decode("content", "UTF-8"), "\n"), first, F.lit(1 << 30))).alias("line"))
     fields = F.split("line", ",")
     return lines.filter("line <> ''").select(*[fields[i].alias(c) for i, c in enumerate(FIELD_COLUMNS)])
 

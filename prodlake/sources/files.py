@@ -98,12 +98,27 @@ def scan_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
     return spark.read.schema(schema).json(path)
 
 
-def scan_binary(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+def scan_binary(
+    spark: SparkSession,
+    path: str,
+    glob: str | None = None,
+    recursive: bool = False,
+    piece_bytes: int | None = None,
+    piece_end: bytes = b"\n",
+) -> DataFrame:
     """Files as opaque bytes: (path, modificationTime, length, content).
 
     Each file is one row whose content is held in memory by one task (Spark
     refuses files over 2 GiB here); it suits many small files. Column
-    pruning to path / length / modificationTime reads no content."""
+    pruning to path / length / modificationTime reads no content.
+
+    With ``piece_bytes`` a row is a piece instead, (path, length, start, content),
+    cut behind a ``piece_end`` byte: large files are read by several tasks, and
+    memory follows the piece, not the file."""
+    if piece_bytes is not None:
+        from prodlake.sources.ranged import scan_pieces
+
+        return scan_pieces(spark, path, piece_bytes, piece_end, glob, recursive)
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)

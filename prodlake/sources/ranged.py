@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from typing import BinaryIO
 from urllib.parse import unquote
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,3 +88,48 @@ def file_ranges(
     end = F.least(start + F.lit(chunk_bytes), F.col("length"))
     rows = each.select("path", "length", "ranges", "range", start.alias("start"), end.alias("end"))
     return rows.repartition(tasks, F.col("path"), F.floor(F.col("range") / F.lit(run))), tasks
+
+
+def _next_start(f: BinaryIO, at: int, before: int, end: bytes) -> int | None:
+    """The first place from ``at`` on, and before ``before``, that follows an
+    ``end`` byte (the file's own start counts as one); None if there is none."""
+    if at == 0:
+        return 0
+    place = at - 1
+    for piece in read_range(f, place, before - 1):
+        found = piece.find(end)
+        if found >= 0:
+            return place + found + 1
+        place += len(piece)
+    return None
+
+
+def _pieces(end: bytes):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                with open_input(r["path"]) as f:
+                    begin = _next_start(f, r["start"], r["end"], end)
+                    if begin is None:  # inside one line that begins further up
+                        continue
+                    stop = None if r["end"] == r["length"] else _next_start(f, r["end"], r["length"], end)
+                    content = b"".join(read_range(f, begin, r["length"] if stop is None else stop))
+                columns = [[r["path"]], [r["length"]], [begin], [content]]
+                types = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types)], ["path", "length", "start", "content"]
+                )
+
+    return pieces
+
+
+def scan_pieces(
+    spark: SparkSession, path: str | list[str], piece_bytes: int, end: bytes, glob: str | None = None, recursive: bool = False
+) -> DataFrame:
+    """``path, length, start, content``: the files' bytes in pieces of about
+    ``piece_bytes``, each cut right behind an ``end`` byte. A line belongs to the
+    piece in whose range it begins, so a piece holds at most a range and a line."""
+    if len(end) != 1:
+        raise ValueError("end must be one byte")
+    ranges, _ = file_ranges(spark, path, piece_bytes, glob, recursive)
+    return ranges.mapInArrow(_pieces(end), "path string, length long, start long, content binary")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from prodlake.sinks import copies
 from prodlake.sources import json_arrays as J
-from prodlake.sources.files import CORRUPT, scan_json_array
+from prodlake.sources.files import CORRUPT, scan_binary, scan_json_array
 from prodlake.sources.ranged import TASK_BYTES, file_ranges, local_path
 
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("a", "b")])
@@ -153,6 +153,40 @@ def test_ranges_cover_every_file(spark, tmp):
     assert sum(r["end"] - r["start"] for r in got) == 3 + 5 * 4096 + 17 + 8192
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 64, 1000])
+def test_binary_pieces_are_whole_lines(spark, tmp, size):
+    r = random.Random(size)
+    for name in ("a", "b", "c d%"):
+        lines = [r.choice(["", "x", "é中,1", "y" * r.randrange(300)]).encode() for _ in range(60)]
+        Path(f"{tmp}/{name}.bin").write_bytes(b"\n".join(lines) + r.choice([b"", b"\n", b"\n\n"]))
+    Path(f"{tmp}/none.bin").write_bytes(b"")
+    pieces = scan_binary(spark, tmp, glob="*.bin", piece_bytes=size).collect()
+    for name in ("a", "b", "c d%"):
+        found = sorted((p.start, bytes(p.content)) for p in pieces if p.path.endswith(f"/{name}.bin"))
+        raw = Path(f"{tmp}/{name}.bin").read_bytes()
+        assert b"".join(c for _, c in found) == raw
+        assert all(raw[s : s + len(c)] == c for s, c in found)
+        assert all(c.endswith(b"\n") for _, c in found[:-1])
+        longest = max(map(len, raw.split(b"\n")))
+        assert max(len(c) for _, c in found) <= size + longest + 1
+
+
+def test_scan_binary_query_holds_pieces_of_a_file(spark, tmp, monkeypatch):
+    from prodlake.plans import catalog, ingest
+    from prodlake.schemas import FIELD_COLUMNS
+
+    rows = [[f"{c}{i}" for c in range(len(FIELD_COLUMNS))] for i in range(400)]
+    text = "\n".join([",".join(FIELD_COLUMNS), *map(",".join, rows)]) + "\n"
+    Path(f"{tmp}/one.csv").write_text(text)
+    monkeypatch.setattr(ingest, "field_csv", lambda *_: tmp)
+    monkeypatch.setattr(ingest, "BINARY_PIECE", 1000)
+    got = catalog.queries()["scan_binary"](spark, tmp)
+    from pyspark.sql import functions as F
+
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert sorted(map(list, got.collect())) == sorted(rows)
+
+
 def test_tasks_follow_the_bytes_not_the_ranges(spark, tmp):
     sizes = {"a.bin": 1 << 30, "b.bin": (300 << 20) + 5}
     for name, size in sizes.items():
