@@ -1,6 +1,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prodlake.operators import layers as L
@@ -321,3 +322,16 @@ def test_bloom_filters_skip_row_groups(spark, tmp):
     assert rows_scanned(plain, "id = 101") > 0 and rows_scanned(bloom, "id = 101") == 0
     assert rows_scanned(plain, "wellbore = 'W-1absent'") > 0 and rows_scanned(bloom, "wellbore = 'W-1absent'") == 0
     assert rows_scanned(bloom, "wellbore = 'W-500'") > 0
+
+
+def test_field_text_equals_four_decimals(spark):
+    from prodlake.sources.fixtures import _text4
+
+    edges = [0.0, -0.0, 5e-5, 4.9999e-5, 1.00005, 0.125, 1e13, 9999999999999.998, 1e-320, -3.14159, 1e22, None]
+    values = edges + [float("nan"), float("inf"), float("-inf")] + [i * 7e-5 for i in range(1, 2000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    quick = _text4(F.col("x"))
+    rows = df.select("x", quick.alias("a"), F.format_string("%.4f", "x").alias("b")).collect()
+    assert [r for r in rows if r.a != r.b] == []
+    # the formatter takes what the decimal can't
+    assert "decimal(18,4)" in df.select(quick.alias("a"))._jdf.queryExecution().optimizedPlan().toString()
