@@ -184,7 +184,7 @@ def _prefix_lists(rows: DataFrame, sketch: np.ndarray, n: int, percent: int) ->
                     at = counts[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)]
                     least = required(len(s), percent)
                     width = min(len(s), len(s) - least + min(SUPPORT, least))
-                    first = np.lexsort((s, at))[:width]
+                    first = np.argsort(at, kind="stable")[:width]  # s is sorted
                     token.append(s[first])
                     cls.append(np.full(width, c, np.int64))
                     size.append(np.full(width, len(s), np.int32))
@@ -371,6 +371,8 @@ def _candidates(opened: DataFrame, homes: DataFrame, percent: int, rows: int) ->
             use = fits & (need == t)
             lists = [cls[a:b][use[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
             m = divide_skip(lists, int(t))
+            if not len(m):
+                continue
             # all shared prefix shingles are counted, and the side whose prefix
             # ends first has no more shared ones than these and those behind it
             member, first, k = np.unique(cls[use], return_index=True, return_counts=True)
@@ -378,15 +380,16 @@ def _candidates(opened: DataFrame, homes: DataFrame, percent: int, rows: int) ->
             n = size[use][first[at]].astype(np.int64)
             behind = np.maximum(behind_prefix(n, percent), behind_prefix(qn, percent))
             found.append(m[k[at] + behind >= overlap_needed(n, qn, percent)])
-        m = np.concatenate(found) if found else np.zeros(0, np.int64)
-        member, first = np.unique(cls, return_index=True)
-        at = home[first[np.searchsorted(member, m)]]
         out = []
-        for h in np.unique(at):
-            mine = m[at == h].tolist()
-            sides = [(qhome, [q] * len(mine)), (int(h), mine)]
-            (a, u), (b, v) = sides if qhome <= h else sides[::-1]
-            out.append((a, b, u, v))
+        m = np.concatenate(found) if found else np.zeros(0, np.int64)
+        if len(m):
+            member, first = np.unique(cls, return_index=True)
+            at = home[first[np.searchsorted(member, m)]]
+            for h in np.unique(at):
+                mine = m[at == h].tolist()
+                sides = [(qhome, [q] * len(mine)), (int(h), mine)]
+                (a, u), (b, v) = sides if qhome <= h else sides[::-1]
+                out.append((a, b, u, v))
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         return pa.table({c: pa.array([x[i] for x in out], k) for i, (c, k) in enumerate(zip("abuv", kinds, strict=True))})
 
