@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,19 @@ def test_too_many_languages_are_refused(spark, monkeypatch):
     rows = spark.createDataFrame([("abc", x) for x in "pqr"], "text string, lang string")
     with pytest.raises(ValueError, match="more than 2 languages"):
         langid.learn(rows)
+
+
+def test_memory_of_a_batch_follows_the_slice():
+    """Eight million characters in one batch, read in slices."""
+    import tracemalloc
+
+    model = langid.LanguageFilter.of(["de", "en"], np.zeros((1 << 12, 1), np.uint8))
+    texts = pa.array(["some words of a text " * 2000] * 200)
+    assert texts.nbytes > 8_000_000
+    model.detect(texts.slice(0, 1))
+    tracemalloc.start()
+    langs, _ = model.detect(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(langs) == 200
+    assert peak < 32 << 20

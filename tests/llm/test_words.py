@@ -52,3 +52,17 @@ def test_ngrams_depend_on_order_and_length():
     h, _ = hash_words(pa.array(["a b a b c"]))
     g = ngram_hashes(h, 2)
     assert g[0] == g[2] and g[0] != g[1] and len(ngram_hashes(h, 6)) == 0
+
+
+def test_memory_follows_the_slice():
+    """Eight megabytes of words: what is held beside the result is a small part of it."""
+    import tracemalloc
+
+    texts = pa.array([("x" * 100 + " ") * 2000] * 40)
+    common.hash_words(texts)
+    tracemalloc.start()
+    h, rows = common.hash_words(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(h) == 80_000 and rows[-1] == len(h)
+    assert peak < 16 << 20
