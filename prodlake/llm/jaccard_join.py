@@ -60,26 +60,41 @@ BLOCK_MEMBERS = 1024  # members of a list sent as one row
 BLOCK_SHINGLES = 1 << 17  # shingles compared in one group
 MEMBER = ("cls", "n", "comp", "most", "home")  # what a list tells of its members
 BLOCK_CLASSES = 256  # classes of a block of neighbours
+PROBED = 1 << 13  # members from which a list is probed rather than counted
 DENSE = 0.25  # candidates per class from which two blocks are searched as a whole
 
 
+def shingle_rows(texts: pa.Array, n: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of every text, one text behind the other,
+    and the row offsets into them."""
+    h, off = hash_words(texts)
+    words = np.diff(off)
+    width = np.where(words >= n, words - n + 1, np.minimum(words, 1))
+    ends = np.concatenate([[0], np.cumsum(width)])
+    g = np.append(ngram_hashes(h, n), np.zeros(n, np.uint64))
+    flat = g[np.minimum(np.arange(ends[-1]) + np.repeat(off[:-1] - ends[:-1], width), len(g) - 1)]
+    for i in np.flatnonzero((words > 0) & (words < n)):
+        flat[ends[i]] = ngram_hashes(h[off[i] : off[i + 1]], int(words[i]))[0]
+    for a, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        flat[a:e].sort()
+    fresh = np.ones(len(flat), bool)
+    fresh[1:] = flat[1:] != flat[:-1]
+    fresh[ends[:-1][width > 0]] = True
+    return flat[fresh], np.concatenate([[0], np.cumsum(fresh)])[ends]
+
+
 def shingle_sets(texts: pa.Array, n: int = 4) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every text."""
-    h, off = hash_words(texts)
-    g = ngram_hashes(h, n)
-    out = []
-    for a, e in zip(off[:-1], off[1:], strict=True):
-        if e - a >= n:
-            out.append(np.unique(g[a : e - n + 1]))
-        else:
-            out.append(ngram_hashes(h[a:e], int(e - a)) if e > a else np.zeros(0, np.uint64))
-    return out
+    flat, off = shingle_rows(texts, n)
+    off = off.tolist()
+    return [flat[a:e] for a, e in zip(off[:-1], off[1:], strict=True)]
 
 
-def class_of(s: np.ndarray) -> int:
-    """A hash of the set as a signed 64-bit number; -1, 0 are not special."""
-    both = np.array([mix64(s).sum(dtype=np.uint64), len(s)], np.uint64)
-    return int(mix64(both[:1] + mix64(both[1:])).view(np.int64)[0])
+def classes_of(flat: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """A hash of each set as a signed 64-bit number; -1, 0 are not special."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(flat), dtype=np.uint64)])
+    size = np.diff(off).astype(np.uint64)
+    return mix64(total[off[1:]] - total[off[:-1]] + mix64(size)).view(np.int64)
 
 
 def required(n: np.ndarray | int, percent: int):
@@ -109,18 +124,16 @@ def _scan_sets(rows: DataFrame, n: int) -> DataFrame:
         for whole in batches:
             kind = whole.column(0).type
             for b in row_slices(whole, 2):
-                sets = shingle_sets(b.column(2), n)
-                flat = np.concatenate(sets)
+                flat, off = shingle_rows(b.column(2), n)
                 sketch += np.bincount((flat >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
-                size = np.array([len(s) for s in sets])
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0),
                         b.column(1),
-                        pa.array([class_of(s) for s in sets], pa.int64()),
-                        pa.array(size, pa.int64()),
-                        pa.nulls(len(sets), pa.int32()),
-                        pa.nulls(len(sets), pa.binary()),
+                        pa.array(classes_of(flat, off), pa.int64()),
+                        pa.array(np.diff(off), pa.int64()),
+                        pa.nulls(b.num_rows, pa.int32()),
+                        pa.nulls(b.num_rows, pa.binary()),
                     ],
                     names=names,
                 )
@@ -175,25 +188,24 @@ def _prefix_lists(rows: DataFrame, sketch: np.ndarray, n: int, percent: int) ->
         counts, seen = sent.value, set()
         for whole in batches:
             for b in row_slices(whole, 0):
-                token, cls, size, spread = [], [], [], []
-                for s in shingle_sets(b.column(0), n):
-                    c = class_of(s)
-                    if not len(s) or c in seen:
-                        continue
-                    seen.add(c)
-                    at = counts[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)]
-                    least = required(len(s), percent)
-                    width = min(len(s), len(s) - least + min(SUPPORT, least))
-                    first = np.argsort(at, kind="stable")[:width]  # s is sorted
-                    token.append(s[first])
-                    cls.append(np.full(width, c, np.int64))
-                    size.append(np.full(width, len(s), np.int32))
-                    spread.append(at[first] >= hot)
-                if token:
-                    t, c = np.concatenate(token), np.concatenate(cls)
-                    far = np.where(np.concatenate(spread), (c & 1023) + 1, 0).astype(np.int16)
+                flat, off = shingle_rows(b.column(0), n)
+                at = counts[(flat >> _U(64 - SKETCH_BITS)).astype(np.int64)]
+                size = np.diff(off)
+                width = size - behind_prefix(size, percent)
+                first, rows = [], []
+                for i, c in enumerate(classes_of(flat, off).tolist()):
+                    if size[i] and c not in seen:
+                        seen.add(c)
+                        rows.append((i, c))
+                        a, e = off[i], off[i + 1]
+                        # a row's shingles are sorted
+                        first.append(a + np.argsort(at[a:e], kind="stable")[: width[i]])
+                if rows:
+                    pick, (row, cls) = np.concatenate(first), np.array(rows, np.int64).T
+                    c = np.repeat(cls, width[row])
+                    far = np.where(at[pick] >= hot, (c & 1023) + 1, 0).astype(np.int16)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(t.view(np.int64)), pa.array(c), pa.array(np.concatenate(size)), pa.array(far)],
+                        [pa.array(flat[pick].view(np.int64)), pa.array(c), pa.array(np.repeat(size[row], width[row]).astype(np.int32)), pa.array(far)],
                         names=["token", "cls", "n", "far"],
                     )
 
@@ -270,22 +282,25 @@ def _compare(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, n: int, perce
     blocks = load.select("q", F.ceil(F.col("load") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     placed = pairs.join(blocks, "q").select("q", F.pmod(F.xxhash64("m"), F.col("blocks")).alias("block"), F.col("m").alias("cls"))
     own = blocks.select("q", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("blocks") - 1).cast("long"))).alias("block"), F.col("q").alias("cls"))
-    rows = placed.unionByName(own).join(texts, "cls")
+    rows = placed.unionByName(own).join(texts, "cls").select("q", "block", "cls", "text")
+    # in a block the query comes first
+    rows = rows.repartition("q", "block").sortWithinPartitions("q", "block", F.col("cls") != F.col("q"))
 
-    def run(group: pa.Table) -> pa.Table:
-        q = group.column("q")[0].as_py()
-        cls = group.column("cls").to_numpy()
-        sets = shingle_sets(group.column("text").combine_chunks(), n)
-        query = sets[int(np.flatnonzero(cls == q)[0])]
-        out = []
-        for c, s in zip(cls, sets, strict=True):
-            if c != q:
-                at = np.minimum(np.searchsorted(query, s), len(query) - 1)
-                if int((query[at] == s).sum()) >= overlap_needed(len(query), len(s), percent):
-                    out.append(c)
-        return pa.table({"u": pa.array([q] * len(out), pa.int64()), "v": pa.array(out, pa.int64())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query = np.zeros(0, np.uint64)
+        for whole in batches:
+            for b in row_slices(whole, 3):
+                out = []
+                for q, c, s in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), shingle_sets(b.column(3), n), strict=True):
+                    if c == q:
+                        query = s.copy()  # not the whole slice
+                        continue
+                    at = np.minimum(np.searchsorted(query, s), len(query) - 1)
+                    if int((query[at] == s).sum()) >= overlap_needed(len(query), len(s), percent):
+                        out.append((q, c))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
-    return rows.groupBy("q", "block").applyInArrow(run, "u bigint, v bigint")
+    return rows.mapInArrow(run, "u bigint, v bigint")
 
 
 def _may_link(percent: int):
@@ -356,44 +371,97 @@ def _candidates(opened: DataFrame, homes: DataFrame, percent: int, rows: int) ->
     sides = F.when(F.col("inside"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     met = stage(asked, "queries", rows).withColumn("inside", F.explode(sides)).join(packed, ["token", "inside"])
 
-    def run(group: pa.Table) -> pa.Table:
-        q, qn, qcomp, qmost, qhome = (group.column(c)[0].as_py() for c in ("q", "qn", "qcomp", "qmost", "qhome"))
-        lists = [group.column(f"m_{c}").combine_chunks() for c in MEMBER]
-        ends = np.concatenate([[0], np.cumsum(lists[0].value_lengths().to_numpy())])
-        cls, size, comp, most, home = (x.flatten().to_numpy() for x in lists)
-        # lists of equal T are searched together: T falls only for tiny sets
-        need = np.minimum(np.minimum(SUPPORT, required(size.astype(np.int64), percent)), required(qn, percent))
-        bound = np.minimum(np.minimum(size, qn), np.maximum(most, qmost)).astype(np.int64)
-        fits = bound * (100 + percent) >= (size.astype(np.int64) + qn) * percent
-        fits &= comp != qcomp
-        found = []
-        for t in np.unique(need[fits]):
-            use = fits & (need == t)
-            lists = [cls[a:b][use[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            m = divide_skip(lists, int(t))
-            if not len(m):
-                continue
-            # all shared prefix shingles are counted, and the side whose prefix
-            # ends first has no more shared ones than these and those behind it
-            member, first, k = np.unique(cls[use], return_index=True, return_counts=True)
-            at = np.searchsorted(member, m)
-            n = size[use][first[at]].astype(np.int64)
-            behind = np.maximum(behind_prefix(n, percent), behind_prefix(qn, percent))
-            found.append(m[k[at] + behind >= overlap_needed(n, qn, percent)])
+    met = met.select("q", "block", "qn", "qcomp", "qmost", "qhome", *[f"m_{c}" for c in MEMBER])
+    met = met.repartition("q", "block").sortWithinPartitions("q", "block")
+    return met.mapInArrow(lambda batches: _searched(batches, percent), "a bigint, b bigint, u array<bigint>, v array<bigint>")
+
+
+def _fitting(b: pa.RecordBatch, percent: int, before: int) -> dict[str, np.ndarray]:
+    """The members in lists of ``b`` whose sizes allow a link with their query, in
+    order; ``row`` numbers the lists from ``before``."""
+    ask = {c: b.column(c).to_numpy() for c in ("q", "block", "qn", "qcomp", "qmost", "qhome")}
+    lists = {c: b.column(f"m_{c}") for c in MEMBER}
+    member = {c: x.flatten().to_numpy() for c, x in lists.items()}
+    row = np.repeat(np.arange(b.num_rows), lists["cls"].value_lengths().to_numpy())
+    n, qn = member["n"].astype(np.int64), ask["qn"].astype(np.int64)[row]
+    bound = np.minimum(np.minimum(n, qn), np.maximum(member["most"], ask["qmost"][row]))
+    fits = np.flatnonzero((bound * (100 + percent) >= (n + qn) * percent) & (member["comp"] != ask["qcomp"][row]))
+    out = {c: ask[c][row[fits]] for c in ("q", "block", "qn", "qhome")}
+    return out | {"row": row[fits] + before} | {c: member[c][fits] for c in ("cls", "n", "home")}
+
+
+def _occurring(row: np.ndarray, cls: np.ndarray, size: np.ndarray, qn: int, percent: int) -> np.ndarray:
+    """Positions of the candidates of a query of size ``qn``, one each, among the
+    members ``cls`` (of ``size``) in its lists ``row``."""
+    size = size.astype(np.int64)
+    # lists of equal T are searched together: T falls only for tiny sets
+    need = np.minimum(np.minimum(SUPPORT, required(size, percent)), required(qn, percent))
+    found = [np.zeros(0, np.int64)]
+    for t in np.unique(need):
+        use = np.flatnonzero(need == t)
+        edge = (np.flatnonzero(np.diff(row[use])) + 1).tolist()
+        lists = [cls[use[a:e]] for a, e in zip([0, *edge], [*edge, len(use)], strict=True)]
+        m = divide_skip(lists, int(t))
+        if not len(m):
+            continue
+        # all shared prefix shingles are counted, and the side whose prefix
+        # ends first has no more shared ones than these and those behind it
+        member, first, k = np.unique(cls[use], return_index=True, return_counts=True)
+        at = np.searchsorted(member, m)
+        place = use[first[at]]
+        n = size[place]
+        behind = np.maximum(behind_prefix(n, percent), behind_prefix(qn, percent))
+        found.append(place[k[at] + behind >= overlap_needed(n, qn, percent)])
+    return np.concatenate(found)
+
+
+def _searched(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The search of ``_candidates`` over rows sorted by query and block. Of a
+    query whose lists go on in the next slice only the fitting members are held."""
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    columns = ("q", "block", "qn", "qhome", "row", "cls", "n", "home")
+
+    def packed(x: dict[str, np.ndarray]) -> pa.RecordBatch:
+        edge = np.flatnonzero((np.diff(x["q"]) != 0) | (np.diff(x["block"]) != 0)) + 1
         out = []
-        m = np.concatenate(found) if found else np.zeros(0, np.int64)
-        if len(m):
-            member, first = np.unique(cls, return_index=True)
-            at = home[first[np.searchsorted(member, m)]]
+        for a, e in zip([0, *edge.tolist()], [*edge.tolist(), len(x["q"])], strict=True):
+            # fewer fitting members than the least T of any: no candidate
+            if e == a or e - a < min(SUPPORT, required(int(min(x["qn"][a], x["n"][a:e].min())), percent)):
+                continue
+            q, qhome = int(x["q"][a]), int(x["qhome"][a])
+            m = a + _occurring(x["row"][a:e], x["cls"][a:e], x["n"][a:e], int(x["qn"][a]), percent)
+            at = x["home"][m]
             for h in np.unique(at):
-                mine = m[at == h].tolist()
+                mine = x["cls"][m[at == h]].tolist()
                 sides = [(qhome, [q] * len(mine)), (int(h), mine)]
-                (a, u), (b, v) = sides if qhome <= h else sides[::-1]
-                out.append((a, b, u, v))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        return pa.table({c: pa.array([x[i] for x in out], k) for i, (c, k) in enumerate(zip("abuv", kinds, strict=True))})
-
-    return met.groupBy("q", "block").applyInArrow(run, "a bigint, b bigint, u array<bigint>, v array<bigint>")
+                (a_, u), (b_, v) = sides if qhome <= h else sides[::-1]
+                out.append((a_, b_, u, v))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=list("abuv"))
+
+    held, before = None, 0
+    for whole in batches:
+        for b in _list_slices(whole):
+            x = _fitting(b, percent, before)
+            before += b.num_rows
+            if held is not None:
+                x = {c: np.concatenate([held[c], x[c]]) for c in columns}
+            q, block = (b.column(c)[b.num_rows - 1].as_py() for c in ("q", "block"))
+            goes_on = (x["q"] == q) & (x["block"] == block)
+            yield packed({c: v[~goes_on] for c, v in x.items()})
+            held = {c: v[goes_on] for c, v in x.items()}
+    if held is not None:
+        yield packed(held)
+
+
+def _list_slices(whole: pa.RecordBatch, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole lists that have about ``most`` members."""
+    ends = np.cumsum(whole.column("m_cls").value_lengths().to_numpy())
+    at = 0
+    while at < whole.num_rows:
+        gone = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, gone + most, "right")))
+        yield whole.slice(at, end - at)
+        at = end
 
 
 def _packed_sets(texts: DataFrame, n: int) -> DataFrame:
@@ -417,10 +485,12 @@ def _packed_sets(texts: DataFrame, n: int) -> DataFrame:
 def overlaps(lists: list[np.ndarray], least: int, members: int, ratio: float = 0.01) -> np.ndarray:
     """How many of the lists each of ``members`` numbered members is in, for those
     in at least ``least``; less than that for others. DivideSkip, as in
-    ``divide_skip``: short lists are merged by counting, long ones are probed."""
+    ``divide_skip``: short lists are merged by counting, long ones are probed. One
+    of up to PROBED members is counted in less time than a probe takes to start."""
     lists = sorted(lists, key=len)
     longest = len(lists[-1]) if lists else 0
-    aside = max(0, min(least - 1, int(least / (ratio * np.log2(max(2, longest)) + 1)), len(lists)))
+    probed = sum(len(x) > PROBED for x in lists) if longest > PROBED else 0
+    aside = min(least - 1, int(least / (ratio * np.log2(max(2, longest)) + 1)), probed)
     short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
     count = np.bincount(np.concatenate(short), minlength=members) if short else np.zeros(members, np.int64)
     open_ = np.flatnonzero(count >= least - aside)
@@ -442,10 +512,11 @@ def links_between(pairs: list[tuple[np.ndarray, np.ndarray]], cls: np.ndarray, s
     member, end = member[order], np.append(begin[1:], len(flat))
     by_cls = np.argsort(cls)
     place = lambda x: by_cls[np.searchsorted(cls[by_cls], x)]
-    asked = np.unique(np.concatenate([np.stack([place(u), place(v)], 1) for u, v in pairs]), axis=0)
+    asked = np.unique(np.concatenate([place(u) * len(cls) + place(v) for u, v in pairs]))
+    first, second = np.divmod(asked, len(cls))
+    edge = np.flatnonzero(np.diff(first)) + 1
     out = []
-    for u in np.unique(asked[:, 0]):
-        wanted = asked[asked[:, 0] == u, 1]
+    for wanted, u in zip(np.split(second, edge), first[np.append(0, edge)], strict=True) if len(asked) else ():
         need = overlap_needed(size[u], size[wanted], percent)
         at = np.searchsorted(token, sets[u])
         count = overlaps([member[begin[i] : end[i]] for i in at], int(need.min()), len(sets))
@@ -477,12 +548,10 @@ def _search(opened: DataFrame, texts: DataFrame, sizes: DataFrame, n: int, perce
     second = dense.filter("a <> b").join(sets.withColumnRenamed("home", "b"), "b").select(*columns)
 
     def run(asked: pa.Table, blocks: pa.Table) -> pa.Table:
-        cls, whole = [], []
-        for r in blocks.to_pylist():
-            cls += r["cls"]
-            whole += np.split(np.frombuffer(r["shingles"], np.uint64), np.cumsum(r["size"])[:-1])
-        pairs = [(np.array(r["u"], np.int64), np.array(r["v"], np.int64)) for r in asked.to_pylist()]
-        out = links_between(pairs, np.array(cls, np.int64), whole, percent) if pairs else []
+        flat = lambda t, c: t.column(c).combine_chunks().flatten().to_numpy()
+        whole = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in blocks.column("shingles")] or [np.zeros(0, np.uint64)])
+        sets = np.split(whole, np.cumsum(flat(blocks, "size"))[:-1])
+        out = links_between([(flat(asked, "u"), flat(asked, "v"))], flat(blocks, "cls"), sets, percent) if asked.num_rows else []
         return pa.table({"u": pa.array([x[0] for x in out], pa.int64()), "v": pa.array([x[1] for x in out], pa.int64())})
 
     many = found.join(dense, ["a", "b"], "left_semi").groupBy("a", "b")

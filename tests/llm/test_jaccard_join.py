@@ -153,6 +153,61 @@ def test_overlaps_count_members_of_enough_lists(least):
         assert (got[want >= least] == want[want >= least]).all() and (got[want < least] < least).all()
 
 
+def test_short_lists_are_counted_not_probed(monkeypatch):
+    r = np.random.default_rng(4)
+    lists = [np.unique(r.integers(0, 300, 280)) for _ in range(400)]
+    want = np.bincount(np.concatenate(lists), minlength=300)
+    calls, probe = [], np.searchsorted
+    monkeypatch.setattr(jaccard_join.np, "searchsorted", lambda *a, **k: calls.append(1) or probe(*a, **k))
+    assert (jaccard_join.overlaps(lists, 100, 300) == want).all() and not calls
+    monkeypatch.setattr(jaccard_join, "PROBED", 100)
+    assert (jaccard_join.overlaps(lists, 100, 300) == want).all() and calls
+
+
+def asked_lists(seed: int) -> tuple[list[dict], set]:
+    """Lists of members that queries ask, sorted, and the candidate pairs."""
+    r = np.random.default_rng(seed)
+    rows, true = [], set()
+    for q in range(1000, 1040):
+        for block in range(2):
+            count: Counter = Counter()
+            for _ in range(r.integers(1, 12)):
+                cls = np.sort(r.choice(np.arange(block, 30, 2), r.integers(1, 9), replace=False)).tolist()
+                count.update(cls)
+                member = {"m_cls": cls, "m_n": [30] * len(cls), "m_comp": [c % 5 for c in cls], "m_most": [30] * len(cls), "m_home": [c % 3 for c in cls]}
+                rows.append({"q": q, "block": block, "qn": 30, "qcomp": q % 5, "qmost": 30, "qhome": 1} | member)
+            # 4 of the lists, and with the 22 behind a prefix an overlap of 28
+            true |= {frozenset((q, c)) for c, k in count.items() if k >= 6 and c % 5 != q % 5}
+    return rows, true
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_queries_searched_in_a_stream(size):
+    import pyarrow as pa
+
+    rows, true = asked_lists(size)
+    kinds = {"m_cls": pa.int64(), "m_n": pa.int32(), "m_comp": pa.int64(), "m_most": pa.int32(), "m_home": pa.int64()}
+    ask = {"q": pa.int64(), "block": pa.int32(), "qn": pa.int32(), "qcomp": pa.int64(), "qmost": pa.int32(), "qhome": pa.int64()}
+    schema = pa.schema([*ask.items(), *[(c, pa.list_(k)) for c, k in kinds.items()]])
+    batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=size)
+    found = [x for b in jaccard_join._searched(iter(batches), 85) for x in b.to_pylist()]
+    pairs = [frozenset(p) for x in found for p in zip(x["u"], x["v"], strict=True)]
+    assert set(pairs) == true and len(pairs) == len(true) and true
+    assert all(x["a"] <= x["b"] for x in found)
+
+
+def test_shingle_rows_of_short_and_empty_texts():
+    import pyarrow as pa
+
+    texts = ["a b c d a b c d a b", None, "a", "", "a b c d e", " ", "a b c", "A b C"]
+    flat, off = jaccard_join.shingle_rows(pa.array(texts))
+    assert np.diff(off).tolist() == [len(shingles(t)) for t in texts]
+    for a, e in zip(off[:-1], off[1:], strict=True):
+        assert (np.diff(flat[a:e]) > 0).all()
+    cls = jaccard_join.classes_of(flat, off)
+    assert cls[6] == cls[7] and cls[1] == cls[3] == cls[5] and len(set(cls.tolist())) == 5
+
+
 def test_odd_rows(clashing, doc_rows, no_docs):
     got = jaccard_join.similarity_classes(clashing).select("doc_id", "n_shingles", "component_id").collect()
     assert Counter(map(tuple, got)) == expected(doc_rows)
