@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodlake.llm import decontaminate, jaccard_join, langid, mixing, secrets
-from prodlake.llm.common import free_name, row_key, ship, stage, table
+from prodlake.llm.common import bounded_batches, free_name, row_key, ship, stage, table
 
 LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bounded_batches(spark)
     model = langid.learn(docs.select("text", "lang"))
     name = free_name(docs, "language_found")
     found = docs.withColumn(name, langid.detector(docs, model)(docs["text"]))
@@ -42,6 +43,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bounded_batches(spark)
     classes = jaccard_join.similarity_classes(docs).filter("n_shingles > 0")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     kept = classes.groupBy("group").agg(F.min(first).alias("first")).select(F.col("first.key").alias("kept_key"))
@@ -54,6 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bounded_batches(spark)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     hit = stage(found.filter("n_hit > 0").select(F.col("key").alias("hit_key")).distinct(), "hit-keys")
     name = free_name(docs, "row_key")
@@ -63,6 +66,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bounded_batches(spark)
     scan = secrets.scanner(secrets.identifier_dictionary(docs))
     clean = secrets.redacted(docs["text"], scan(docs["text"]))
     new = {"text": clean.alias("text")}
@@ -74,6 +78,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bounded_batches(spark)
     mixed = mixing.mix_sources(docs, carry=tuple(docs.columns)).filter("copies > 0")
     extra = [F.col(c).alias(free_name(docs, c)) for c in ("target", "copies")]
     return mixed.select(*[F.col("row")[c].alias(c) for c in docs.columns], *extra)

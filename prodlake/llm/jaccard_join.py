@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prodlake.llm.common import hash_words, mix64, ngram_hashes, row_slices, stage, text_bytes
+from prodlake.llm.common import bounded_batches, hash_words, mix64, ngram_hashes, row_slices, stage, text_bytes
 from prodlake.llm.graph import components
 
 _U = np.uint64
@@ -564,6 +564,7 @@ def similarity_classes(
     """One row per document: ``doc_id, key, cls, n_shingles, group,
     component_id``; ``cls`` names the class of documents with equal sets,
     ``group`` the linked classes (also where no document has an id)."""
+    bounded_batches(docs.sparkSession)
     key = F.xxhash64(docs[id_col].cast("string"), F.lit("\x00"), F.coalesce(docs[text_col], F.lit("")))
     rows = docs.select(docs[id_col].alias("doc_id"), key.alias("key"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     scanned = _scan_sets(rows, words)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from prodlake.llm import registry
+from prodlake.llm.common import BATCH_BYTES, BATCH_SETTING, bounded_batches
+from prodlake.llm.jaccard_join import similarity_classes
 from tests.llm.conftest import SCHEMA, words
 from tests.llm.test_decontaminate import expected as hits
 from tests.llm.test_jaccard_join import expected as classes
@@ -95,3 +99,40 @@ def test_registered_queries():
     for n in range(1, 11):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names and set(registry.queries()) <= set(names)
+
+
+@pytest.fixture()
+def no_bound(spark):
+    was = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.unset(BATCH_SETTING)
+    yield
+    spark.conf.unset(BATCH_SETTING) if was is None else spark.conf.set(BATCH_SETTING, was)
+
+
+def batch_bytes(spark) -> list[int]:
+    """Bytes of each batch in which 3000 rows of 3000 characters reach Python."""
+    wide = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 3000).alias("text"))
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    return [r["n"] for r in wide.mapInArrow(run, "n bigint").collect()]
+
+
+@pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
+def test_rows_of_a_stage_reach_python_in_bounded_batches(spark, folder, no_bound, k):
+    corpus_pipeline.STAGES[k][1](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    sizes = batch_bytes(spark)
+    assert sum(sizes) >= 3000 * 3000 and max(sizes) <= BATCH_BYTES + 10_000
+
+
+def test_the_join_alone_bounds_its_batches(spark, folder, no_bound):
+    similarity_classes(spark.read.parquet(f"{folder}/documents.parquet"))
+    assert max(batch_bytes(spark)) <= BATCH_BYTES + 10_000
+
+
+def test_a_bound_of_the_caller_stays(spark, no_bound):
+    spark.conf.set(BATCH_SETTING, "1m")
+    bounded_batches(spark)
+    assert spark.conf.get(BATCH_SETTING) == "1m" and max(batch_bytes(spark)) <= (1 << 20) + 10_000
