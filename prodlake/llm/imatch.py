@@ -37,16 +37,19 @@ CELLS = 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def terms(text: Column) -> Column:
+def distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.split(F.translate(text, _UPPER, _LOWER), r"[\x20\x09-\x0D]+"))
+
+
+def terms(words: Column) -> Column:
     """Distinct words (A-Z lower-cased), and always the empty one."""
-    low = F.translate(text, _UPPER, _LOWER)
-    return F.array_union(F.array(F.lit("")), F.split(low, r"[\x20\x09-\x0D]+"))
+    return F.array_union(F.array(F.lit("")), words)
 
 
 def lexicon(docs: DataFrame, text_col: str, lowest: float, highest: float) -> DataFrame:
     """``code, subsets``: the terms in the band; bit k of ``subsets`` tells
     whether the term is in subset k. The empty term (code of '') is in none."""
-    counted = docs.select(F.explode(terms(F.coalesce(docs[text_col], F.lit("")))).alias("term"))
+    counted = docs.select(F.explode(terms(distinct_words(F.coalesce(docs[text_col], F.lit(""))))).alias("term"))
     counted = counted.groupBy(F.xxhash64("term").alias("code")).agg(F.count(F.lit(1)).alias("df"))
     # every document has the empty term, so its frequency is their number
     counted = counted.withColumn("n", F.when(F.col("code") == F.xxhash64(F.lit("")), F.col("df")))
@@ -105,15 +108,23 @@ def neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def subset_hashes(kept: Column) -> Column:
-    """One hash per subset of the sorted ``array<struct<code, subsets>>``; 0 if
-    it holds none of the terms."""
+def subset_hashes(df: DataFrame) -> DataFrame:
+    """``hashes`` in place of ``kept``, sorted ``array<struct<code, subsets>>``: one
+    hash per subset, 0 if it holds none of the terms. Each step is a projection of its
+    own: lists of the subsets of a rate first, so that a sparse subset isn't sought in
+    the whole list, then each subset's list, which is made once and read twice."""
+    others = [c for c in df.columns if c != "kept"]
+    rates = sorted(set(RATES))
+    of = {rate: [k for k, r in enumerate(RATES) if r == rate] for rate in rates}
 
-    def of(k: int) -> Column:
-        inside = F.filter(kept, lambda t: F.getbit(t["subsets"], F.lit(k)) == 1)
-        return F.when(F.size(inside) > 0, F.xxhash64(F.transform(inside, lambda t: t["code"]))).otherwise(F.lit(0))
+    def inside(column: str, subsets: list[int]) -> Column:
+        mask = F.lit(sum(1 << k for k in subsets)).cast("long")
+        return F.filter(column, lambda t: t["subsets"].bitwiseAND(mask) != 0)
 
-    return F.array(*[of(k) for k in range(len(RATES))])
+    df = df.select(*others, *[inside("kept", of[rate]).alias(f"rate{rate}") for rate in rates])
+    df = df.select(*others, *[inside(f"rate{rate}", [k])["code"].alias(f"codes{k}") for k, rate in enumerate(RATES)])
+    hashed = [F.when(F.size(f"codes{k}") > 0, F.xxhash64(f"codes{k}")).otherwise(F.lit(0)) for k in range(len(RATES))]
+    return df.select(*others, F.array(*hashed).alias("hashes"))
 
 
 def likeness(a: Column, b: Column, a_all: Column, b_all: Column) -> Column:
@@ -142,27 +153,31 @@ def fingerprints(
     sides = placed.select(
         "range", "number", "extra", "doc_id", F.posexplode(F.array(F.col("text"), edited)).alias("side", "text")
     ).filter(F.col("text").isNotNull())
-    exploded = sides.select("*", F.explode(terms(F.col("text"))).alias("term")).withColumn("code", F.xxhash64("term"))
-    # what a text needs besides its terms goes with its empty term
+    # what a text needs besides its terms is made before they are laid out, so that
+    # no term's row holds the text, and goes with the empty term
+    row = ["range", "number", "side", "extra", "doc_id"]
+    sides = sides.select(
+        *row,
+        F.length("text").alias("n_chars"),
+        F.when(F.col("side") == 1, F.sha2("text", 256)).alias("sha"),
+        distinct_words(F.col("text")).alias("words"),
+    )
+    sides = sides.withColumn("whole", F.xxhash64(F.sort_array("words")))
+    exploded = sides.select(*row, "n_chars", "sha", "whole", F.explode(terms(F.col("words"))).alias("term"))
     head = F.col("term") == ""
-    whole = F.xxhash64(F.array_sort(F.array_distinct(F.split(F.translate("text", _UPPER, _LOWER), r"[\x20\x09-\x0D]+"))))
     slim = exploded.select(
         "range",
         "number",
         "side",
-        "code",
-        F.when(head, F.col("extra")).alias("extra"),
-        F.when(head, F.col("doc_id")).alias("doc_id"),
-        F.when(head, F.length("text")).alias("n_chars"),
-        F.when(head & (F.col("side") == 1), F.sha2("text", 256)).alias("sha"),
-        F.when(head, whole).alias("whole"),
+        F.xxhash64("term").alias("code"),
+        *[F.when(head, F.col(c)).alias(c) for c in ("extra", "doc_id", "n_chars", "sha", "whole")],
     )
     found = slim.join(F.broadcast(words) if small else words, "code")
     per_side = found.groupBy("range", "number", "side").agg(
-        F.array_sort(F.collect_list(F.struct("code", "subsets"))).alias("kept"),
+        F.sort_array(F.collect_list(F.struct("code", "subsets"))).alias("kept"),
         *[F.max(c).alias(c) for c in ("extra", "doc_id", "n_chars", "sha", "whole")],
     )
-    per_side = per_side.withColumn("hashes", subset_hashes(F.col("kept")))
+    per_side = subset_hashes(per_side)
     of = lambda c, side: F.max(F.when(F.col("side") == side, F.col(c)))
     rows = per_side.groupBy("range", "number").agg(
         of("extra", 0).alias("extra"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from prodlake.llm import imatch
@@ -56,3 +57,33 @@ def test_odd_rows(spark, clashing, doc_rows, no_docs):
     assert imatch.fingerprints(no_docs).collect() == []
     one = imatch.fingerprints(spark.createDataFrame([(1, "abcd")], "doc_id long, text string")).first()
     assert one["edited_sha256"] == sha(edited("abcd", "abcd")) and one["near_next"] == 1.0
+
+
+def test_term_rows_hold_no_text(spark):
+    """A text is hashed, sorted and measured before its terms are laid out, each in
+    a row; a row for each term with the whole text in it is quadratic."""
+    docs = spark.createDataFrame([(i, words(i, 50)) for i in range(20)], "doc_id long, text string")
+    plan = imatch.fingerprints(docs)._jdf.queryExecution().optimizedPlan()
+    found, open_ = [], [plan]
+    while open_:
+        node = open_.pop()
+        below = node.children()
+        open_ += [below.apply(i) for i in range(below.size())]
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        if node.nodeName() == "Generate" and "term" in names:
+            found.append(names)
+    assert found and not any({"text", "next_text", "words"} & set(names) for names in found)
+    # a sort by a lambda function keeps the rows of terms out of generated code
+    assert "lambdafunction(if" not in plan.toString()
+
+
+def test_subset_hashes(spark):
+    r = random.Random(3)
+    any_mask = lambda: sum(1 << k for k, rate in enumerate(imatch.RATES) if r.randrange(rate) == 0)
+    lists = [(i, sorted((r.getrandbits(63), any_mask()) for _ in range(i * 7 % 90))) for i in range(60)]
+    df = spark.createDataFrame(lists, "id long, kept array<struct<code: long, subsets: long>>")
+    got = {row["id"]: row["hashes"] for row in imatch.subset_hashes(df).collect()}
+    codes = [(i, k, [c for c, m in kept if m >> k & 1]) for i, kept in lists for k in range(len(imatch.RATES))]
+    want = spark.createDataFrame(codes, "id long, k int, codes array<long>").selectExpr("id", "k", "if(size(codes) > 0, xxhash64(codes), 0) as h")
+    assert all(got[row["id"]][row["k"]] == row["h"] for row in want.collect()) and len(got) == len(lists)
+    assert len({h for hashes in got.values() for h in hashes}) > 500
